@@ -151,13 +151,25 @@ class DriverBinding(Binding):
         raise KeyError(kind)
 
     def person_codes(self):
-        return self.t("customer").select(
+        # numeric codes: region + 1, nation + 1, and the three-way balance
+        # status coded like the reference's yes/no list (1 unknown, 2 yes, 3 no)
+        c = self.t("customer")
+        n = self.t("nation").select("n_nationkey", "n_regionkey")
+        status = (F.when(F.col("c_acctbal") < 0, 3).when(F.col("c_acctbal") < 5000, 1)
+                  .when(F.col("c_acctbal").isNotNull(), 2))
+        return (c.join(n, c.c_nationkey == n.n_nationkey, "left").select(
             F.col("c_custkey").alias("idperson"),
-            F.lit(None).cast("int").alias("gender_id"),
-            F.col("c_nationkey").alias("ethnicity_id"),
-            F.lit(None).cast("int").alias("veteran_id"),
+            (F.col("n_regionkey") + 1).cast("int").alias("gender_id"),
+            (F.col("c_nationkey") + 1).cast("int").alias("ethnicity_id"),
+            status.cast("int").alias("veteran_id"),
             F.lit(None).cast("int").alias("language_id"),
-            F.col("c_acctbal").alias("credits"))
+            F.col("c_acctbal").alias("credits")))
+
+    def part_people(self):
+        """Parts as people (for the exact-duplicate key): name = p_name,
+        first name = p_type."""
+        return self.t("part").select(F.col("p_partkey").alias("idperson"),
+                                     F.col("p_type").alias("firstname"), F.col("p_name").alias("lastname"))
 
     def suspensions(self):
         o = self.t("orders").select("o_orderkey", "o_custkey", "o_orderdate")

@@ -12,10 +12,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from turnstile.binding import DriverBinding
+from turnstile.operators import clusters, features, linkage, suspensions
+from turnstile.plans import bundle
+from turnstile.plans import calendar as cal
+from turnstile.plans import person as per
 from turnstile.plans import population as pop
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Fixed parameters of the registered keys.
+SUSPENSION_AS_OF = "2001-07-01 00:00:00"
+GIVEN_CENTROIDS = [
+    [0.2, 0.2, 0.2, 2.0, 300.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0],
+    [0.6, 0.5, 0.5, 4.0, 500.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0],
+    [1.0, 0.9, 0.8, 6.0, 900.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0],
+]
+
 
 def _b(spark: SparkSession, sf_dir: str) -> DriverBinding:
     return DriverBinding(spark, sf_dir)
@@ -52,7 +64,92 @@ POPULATION: dict[str, Query] = {
 }
 
 
+CALENDAR: dict[str, Query] = {
+    "period_bounds_grid": _q(cal.period_bounds_grid),
+    "period_labels": _q(cal.period_labels),
+    "bucket_month": _q(cal.bucket_counts, "YYYY-MM"),
+    "bucket_day_dy": _q(cal.bucket_counts, "YYYY-MM/DD DY"),
+    "bucket_day_ww": _q(cal.bucket_counts, "YYYY-MM/DD WW"),
+    "bucket_month_ww": _q(cal.bucket_counts, "YYYY-MM WW"),
+    "bucket_hour": _q(cal.bucket_counts, "HH24", "events"),
+    "requests_x_periods": _q(cal.requests_x_periods),
+}
+
+BUNDLE_CODE = "YTD"
+
+
+def _summary(spark, sf_dir):
+    return bundle.summary(_b(spark, sf_dir), BUNDLE_CODE)
+
+
+def _manifest(spark, sf_dir):
+    return bundle.manifest(bundle.population_bundle(_b(spark, sf_dir), BUNDLE_CODE))
+
+
+ASSEMBLY: dict[str, Query] = {
+    "summary": _summary,
+    "bundle_manifest": _manifest,
+}
+
+PERSON_CODE = "YTD"
+PERSON: dict[str, Query] = {
+    "person_header": _q(per.person_header),
+    "person_visits": _q(per.person_visits, PERSON_CODE),
+    "person_visits_by_period": _q(per.person_visits_by_period, PERSON_CODE),
+    "person_services": _q(per.person_services, PERSON_CODE),
+    "person_services_pivot": _q(per.person_services_pivot, PERSON_CODE),
+    "person_housing": _q(per.person_housing, PERSON_CODE),
+    "person_housing_pivot": _q(per.person_housing_pivot, PERSON_CODE),
+    "person_suspensions": _q(per.person_suspensions, PERSON_CODE),
+    "person_reported": _q(per.person_reported, PERSON_CODE),
+    "person_summary": _q(per.person_summary, PERSON_CODE),
+    "person_profile": _q(per.person_profile, SUSPENSION_AS_OF),
+}
+
+
+def _near(spark, sf_dir):
+    b = _b(spark, sf_dir)
+    return linkage.near_duplicates(b.person(), 2, 2)
+
+
+def _near_counts(spark, sf_dir):
+    b = _b(spark, sf_dir)
+    return linkage.near_duplicate_counts(b.person(), 2, 2)
+
+
+def _exact(spark, sf_dir):
+    return linkage.exact_duplicates(_b(spark, sf_dir).part_people())
+
+
+def _flags(spark, sf_dir):
+    return suspensions.suspension_flags(_b(spark, sf_dir), SUSPENSION_AS_OF)
+
+
+def _features(spark, sf_dir):
+    return features.feature_table(_b(spark, sf_dir), "SI", "survey")
+
+
+def _assign(spark, sf_dir):
+    return clusters.assign_nearest(_features(spark, sf_dir), GIVEN_CENTROIDS)
+
+
+def _fit(spark, sf_dir):
+    return clusters.fit_kmeans(_features(spark, sf_dir), k=3, seed=42)[1]
+
+
+LINKAGE_AND_STATE: dict[str, Query] = {
+    "near_duplicates": _near,
+    "near_duplicate_counts": _near_counts,
+    "exact_duplicates": _exact,
+    "suspension_flags": _flags,
+    "feature_table": _features,
+    "cluster_assign": _assign,
+    "cluster_fit": _fit,
+}
+
+
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
-    out.update(POPULATION)
+    for part in (CALENDAR, POPULATION, ASSEMBLY, PERSON, LINKAGE_AND_STATE):
+        out.update(part)
     return out

@@ -161,7 +161,340 @@ def _population() -> dict[str, str]:
     return q
 
 
+# --------------------------------------------------------------- calendar
+
+RELATIVE = ["PD", "PW", "PM", "PQ", "PY", "YTD", "WTD", "TODAY", "P90", "SI"]
+DAY_RE = r"^\d{1,2}/\d{1,2}/\d{4}$"
+MONTH_RE = r"^YYYYMM\d{6}$"
+
+
+def bounds_sql(code: str, as_of: str, inception: str = "1995-01-01 00:00:00") -> tuple[str, str, str]:
+    """(start, end, bucket) SQL for a period code, by calendar arithmetic."""
+    dd = f"CAST({as_of} AS DATE)"
+    w = f"({dd} - CAST(dayofweek({as_of}) AS INTEGER))"
+    day = f"try_strptime({code}, '%m/%d/%Y')"
+    month = f"try_strptime(substr({code}, 7, 6) || '01', '%Y%m%d')"
+    is_day = f"(regexp_matches({code}, '{DAY_RE}') AND {day} IS NOT NULL)"
+    is_month = f"(regexp_matches({code}, '{MONTH_RE}') AND {month} IS NOT NULL)"
+    us = "INTERVAL 1 MICROSECOND"
+    start = f"""CASE
+      WHEN {code} = 'PD' THEN CAST({dd} - 1 AS TIMESTAMP)
+      WHEN {code} = 'PW' THEN CAST({w} - 7 AS TIMESTAMP)
+      WHEN {code} = 'PM' THEN CAST(date_trunc('month', {dd}) - INTERVAL 1 MONTH AS TIMESTAMP)
+      WHEN {code} = 'PQ' THEN CAST(date_trunc('quarter', {dd}) - INTERVAL 3 MONTH AS TIMESTAMP)
+      WHEN {code} = 'PY' THEN CAST(date_trunc('year', {dd}) - INTERVAL 1 YEAR AS TIMESTAMP)
+      WHEN {code} = 'YTD' THEN CAST(date_trunc('year', {dd}) AS TIMESTAMP)
+      WHEN {code} = 'WTD' THEN CAST({w} AS TIMESTAMP)
+      WHEN {code} = 'TODAY' THEN CAST({dd} AS TIMESTAMP)
+      WHEN {code} = 'P90' THEN CAST({dd} - 90 AS TIMESTAMP)
+      WHEN {code} = 'SI' THEN TIMESTAMP '{inception}'
+      WHEN {is_day} THEN CAST({day} AS TIMESTAMP)
+      WHEN {is_month} THEN CAST({month} AS TIMESTAMP) END"""
+    end = f"""CASE
+      WHEN {code} = 'PD' THEN CAST({dd} AS TIMESTAMP) - {us}
+      WHEN {code} = 'PW' THEN CAST({w} AS TIMESTAMP) - {us}
+      WHEN {code} = 'PM' THEN CAST(date_trunc('month', {dd}) AS TIMESTAMP) - {us}
+      WHEN {code} = 'PQ' THEN CAST(date_trunc('quarter', {dd}) AS TIMESTAMP) - {us}
+      WHEN {code} = 'PY' THEN CAST(date_trunc('year', {dd}) AS TIMESTAMP) - {us}
+      WHEN {code} IN ('YTD', 'WTD', 'TODAY', 'SI') THEN CAST({as_of} AS TIMESTAMP)
+      WHEN {code} = 'P90' THEN CAST({dd} + 1 AS TIMESTAMP) - {us}
+      WHEN {is_day} THEN CAST({day} AS TIMESTAMP) + INTERVAL 1 DAY - {us}
+      WHEN {is_month} THEN CAST({month} AS TIMESTAMP) + INTERVAL 1 MONTH - {us} END"""
+    bucket_ = f"""CASE
+      WHEN {code} IN ('PD', 'TODAY') THEN 'HH24'
+      WHEN {code} IN ('PW', 'PM', 'WTD') THEN 'YYYY-MM/DD DY'
+      WHEN {code} = 'PQ' THEN 'YYYY-MM/DD WW'
+      WHEN {code} = 'P90' THEN 'YYYY-MM WW'
+      WHEN {code} IN ('PY', 'YTD', 'SI') THEN 'YYYY-MM'
+      WHEN {is_day} THEN 'HH24'
+      WHEN {is_month} THEN 'YYYY-MM' END"""
+    return start, end, bucket_
+
+
+FRIENDLY_SQL = ("CASE code WHEN 'PD' THEN 'Prior Day' WHEN 'PW' THEN 'Prior Week' WHEN 'PM' THEN 'Prior Month' "
+                "WHEN 'PQ' THEN 'Prior Quarter' WHEN 'PY' THEN 'Prior Year' WHEN 'YTD' THEN 'Year to Date' "
+                "WHEN 'WTD' THEN 'Week to Date' WHEN 'TODAY' THEN 'Today' WHEN 'P90' THEN 'Previous 90 days' "
+                "WHEN 'SI' THEN 'all dates' ELSE 'Unknown Period' END")
+
+
+def _calendar() -> dict[str, str]:
+    q = {}
+    codes = ", ".join(f"'{c}'" for c in RELATIVE)
+    grid_codes = f"""
+        SELECT as_of, unnest([{codes}, strftime(as_of, '%-m/%-d/%Y'), 'YYYYMM' || strftime(as_of, '%Y%m')]) AS code
+        FROM (SELECT DISTINCT o_orderdate AS as_of FROM orders)"""
+    s, e, bk = bounds_sql("code", "as_of")
+    q["period_bounds_grid"] = f"SELECT as_of, code, {s} AS start, {e} AS \"end\", {bk} AS bucket FROM ({grid_codes})"
+    q["period_labels"] = f"SELECT DISTINCT code, {FRIENDLY_SQL} AS label FROM ({grid_codes})"
+    for key, fmt, tbl, ts in [("bucket_month", "YYYY-MM", "orders", "o_orderdate"),
+                              ("bucket_day_dy", "YYYY-MM/DD DY", "orders", "o_orderdate"),
+                              ("bucket_day_ww", "YYYY-MM/DD WW", "orders", "o_orderdate"),
+                              ("bucket_month_ww", "YYYY-MM WW", "orders", "o_orderdate"),
+                              ("bucket_hour", "HH24", "events", "ts")]:
+        q[key] = f"SELECT {bucket(ts, fmt)} AS period, count(*) AS visits FROM {tbl} GROUP BY 1"
+    reqs = ", ".join(f"({i + 1}, '{c}')" for i, c in enumerate(RELATIVE)) + \
+        ", (11, '3/15/2000'), (12, 'YYYYMM199902'), (13, 'SOON')"
+    s, e, _ = bounds_sql("interval", "TIMESTAMP '2000-05-15 12:00:00'")
+    q["requests_x_periods"] = f"""
+        WITH r AS (SELECT request_id, interval, {s} AS start, {e} AS "end"
+                   FROM (VALUES {reqs}) t(request_id, interval)),
+             ok AS (SELECT * FROM r WHERE start IS NOT NULL)
+        SELECT ok.request_id, ok.interval, ok.start, ok."end",
+               CAST(count(o_orderkey) AS BIGINT) AS visits,
+               CAST(count(DISTINCT o_custkey) AS BIGINT) AS clients
+        FROM ok LEFT JOIN orders ON o_orderdate BETWEEN ok.start AND ok."end"
+        GROUP BY 1, 2, 3, 4"""
+    return q
+
+
+# --------------------------------------------------------- summary, bundle
+
+YTD_ORD, YTD_EV = ORD_YTD, EV_YTD
+
+
+def _summary_sql() -> str:
+    o, ev = YTD_ORD, YTD_EV
+    parts = [
+        f"SELECT 1 AS section, 'Total distinct clients in report period' AS name, "
+        f"CAST(count(DISTINCT o_custkey) AS BIGINT) AS count FROM orders WHERE {between('o_orderdate', o)}",
+        f"""SELECT 2, coalesce(cat, 'Unknown') || ' services delivered.', count(*) FROM (
+            SELECT {prefix('p_name')} AS cat FROM orders JOIN lineitem ON l_orderkey = o_orderkey
+            JOIN part ON p_partkey = l_partkey WHERE {between('o_orderdate', o)} AND p_size - 25 <= 0) GROUP BY cat""",
+        f"""SELECT 3, ' Days spent in ' || coalesce(lab, 'Unknown'), count(*) FROM (
+            SELECT {prefix('p_name')} AS lab FROM events JOIN part ON p_partkey = {K}
+            WHERE event_type = 'view' AND {between('ts', ev)}) GROUP BY lab""",
+        f"""SELECT 4, ' Nights spent in ' || coalesce(n_name, 'Unknown'), count(*) FROM events
+            JOIN nation ON n_nationkey = {K} WHERE event_type = 'click' AND {between('ts', ev)} GROUP BY n_name""",
+        f"""SELECT 5, 'Gender -' || coalesce(c_mktsegment, 'Unknown'), count(DISTINCT c_custkey) FROM orders
+            JOIN customer ON c_custkey = o_custkey WHERE {between('o_orderdate', o)} GROUP BY c_mktsegment""",
+        f"""SELECT 6, 'Ethnicity -' || coalesce(n_name, 'Unknown'), count(DISTINCT c_custkey) FROM orders
+            JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey
+            WHERE {between('o_orderdate', o)} GROUP BY n_name""",
+        f"""SELECT 7, CASE lab WHEN 'Yes' THEN 'Veterans' WHEN 'No' THEN 'Non-veterans'
+                   ELSE 'Veteran status Unknown' END, count(DISTINCT c_custkey) FROM (
+            SELECT c_custkey, {STATUS} AS lab FROM orders JOIN customer ON c_custkey = o_custkey
+            WHERE {between('o_orderdate', o)}) WHERE lab IS NOT NULL GROUP BY lab""",
+    ]
+    return "SELECT section, name, CAST(count AS BIGINT) AS count FROM (" + " UNION ALL ".join(parts) + ")"
+
+
+def _manifest_sql() -> str:
+    from turnstile.plans.bundle import POPULATION_TABS
+
+    o, ev = YTD_ORD, YTD_EV
+    counts = [
+        f"SELECT {len(POPULATION_TABS)}",
+        f"SELECT count(*) FROM ({_summary_sql()})",
+        f"SELECT count(DISTINCT {bucket('o_orderdate', 'YYYY-MM')}) FROM orders JOIN customer ON c_custkey = o_custkey "
+        f"WHERE {between('o_orderdate', o)}",
+        f"SELECT count(DISTINCT {bucket('o_orderdate', 'YYYY-MM')}) FROM orders JOIN lineitem ON l_orderkey = o_orderkey "
+        f"JOIN part ON p_partkey = l_partkey WHERE {between('o_orderdate', o)} AND p_size - 25 <= 0",
+        f"SELECT count(DISTINCT {bucket('ts', 'YYYY-MM')}) FROM events JOIN part ON p_partkey = {K} "
+        f"WHERE event_type = 'view' AND {between('ts', ev)}",
+        f"SELECT count(DISTINCT {bucket('ts', 'YYYY-MM')}) FROM events JOIN nation ON n_nationkey = {K} "
+        f"WHERE event_type = 'click' AND {between('ts', ev)}",
+        f"SELECT count(DISTINCT user_id) FROM events JOIN customer ON c_custkey = user_id "
+        f"WHERE event_type = 'view' AND {K} = 5 AND {between('ts', ev)} AND EXISTS (SELECT 1 FROM part WHERE p_partkey = 5)",
+        f"SELECT count(DISTINCT user_id) FROM events JOIN customer ON c_custkey = user_id "
+        f"WHERE event_type = 'signup' AND {K} = 2 AND {between('ts', ev)}",
+        f"SELECT count(DISTINCT {bucket('o_orderdate', 'YYYY-MM')}) FROM orders JOIN customer ON c_custkey = o_custkey "
+        f"WHERE {between('o_orderdate', o)}",
+        f"SELECT count(DISTINCT {bucket('o_orderdate', 'YYYY-MM')}) FROM orders JOIN customer ON c_custkey = o_custkey "
+        f"JOIN nation ON n_nationkey = c_nationkey WHERE {between('o_orderdate', o)}",
+        f"SELECT count(DISTINCT {bucket('o_orderdate', 'YYYY-MM')}) FROM orders JOIN customer ON c_custkey = o_custkey "
+        f"WHERE {between('o_orderdate', o)} AND {STATUS} IS NOT NULL",
+        f"SELECT count(*) FROM (SELECT o_custkey, min(o_orderdate) AS fs FROM orders GROUP BY 1) "
+        f"JOIN customer ON c_custkey = o_custkey WHERE {between('fs', o)}",
+    ]
+    rows = []
+    for i, ((tab, desc), cnt) in enumerate(zip(POPULATION_TABS, counts)):
+        d = desc.replace("'", "''")
+        rows.append(f"SELECT {i} AS ordinal, '{tab}' AS tab, '{d}' AS description, CAST(({cnt}) AS BIGINT) AS rows")
+    return " UNION ALL ".join(rows)
+
+
+def _assembly() -> dict[str, str]:
+    return {"summary": _summary_sql(), "bundle_manifest": _manifest_sql()}
+
+
+# ----------------------------------------------------------------- person
+
+ASOF_ORD = "TIMESTAMP '2000-05-15 12:00:00'"
+
+
+def _person() -> dict[str, str]:
+    o, ev = ORD_YTD, EV_YTD
+    q = {}
+
+    def txt(c):
+        return (f"strftime({c}, '%m/%d/%Y') || ' (' || CAST(CAST(floor((epoch_us({ASOF_ORD}) - epoch_us({c})) "
+                f"/ 86400000000) AS BIGINT) AS VARCHAR) || ' days ago)'")
+    q["person_header"] = f"""
+        WITH span AS (SELECT o_custkey, min(o_orderdate) AS f, max(o_orderdate) AS l FROM orders GROUP BY 1),
+        p AS (SELECT c.*, n_name, f, l FROM customer c LEFT JOIN nation ON n_nationkey = c_nationkey
+              LEFT JOIN span ON o_custkey = c_custkey)
+        SELECT c_custkey AS idperson, attr_ord, "Attribute", "Value" FROM (
+          SELECT c_custkey, 1 AS attr_ord, 'Name' AS "Attribute", concat_ws(' ', c_mktsegment, c_name) AS "Value" FROM p
+          UNION ALL SELECT c_custkey, 2, 'Client ID', CAST(c_custkey AS VARCHAR) FROM p
+          UNION ALL SELECT c_custkey, 3, 'Ethnicity', n_name FROM p
+          UNION ALL SELECT c_custkey, 4, 'Gender', c_mktsegment FROM p
+          UNION ALL SELECT c_custkey, 5, 'Language', CAST(NULL AS VARCHAR) FROM p
+          UNION ALL SELECT c_custkey, 6, 'Veteran', {STATUS} FROM p
+          UNION ALL SELECT c_custkey, 7, 'First visit', {txt('f')} FROM p
+          UNION ALL SELECT c_custkey, 8, 'Last visit', {txt('l')} FROM p
+          UNION ALL SELECT c_custkey, 9, 'Credits', CAST(c_acctbal AS VARCHAR) FROM p)"""
+    q["person_visits"] = f"""
+        SELECT c_custkey AS idperson, min(o_orderdate) AS earliest_visit, max(o_orderdate) AS latest_visit,
+               CAST(count(DISTINCT o_orderkey) AS BIGINT) AS total_visits
+        FROM customer LEFT JOIN orders ON o_custkey = c_custkey AND {between('o_orderdate', o)} GROUP BY 1"""
+    q["person_visits_by_period"] = f"""
+        SELECT o_custkey AS idperson, {bucket('o_orderdate', 'YYYY-MM')} AS period,
+               CAST(count(DISTINCT o_orderkey) AS BIGINT) AS visits
+        FROM orders WHERE {between('o_orderdate', o)} AND o_custkey IN (SELECT c_custkey FROM customer)
+        GROUP BY 1, 2"""
+    svc = f"""
+        SELECT o_custkey, o_orderdate, {prefix('p_name')} AS cat
+        FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey
+        WHERE {between('o_orderdate', o)} AND p_size - 25 <= 0
+          AND o_custkey IN (SELECT c_custkey FROM customer)"""
+    q["person_services"] = f"""
+        SELECT o_custkey AS idperson, cat AS servicename, count(*) AS total FROM ({svc}) GROUP BY 1, 2"""
+    q["person_services_pivot"] = f"""
+        SELECT o_custkey AS idperson, {bucket('o_orderdate', 'YYYY-MM')} AS period,
+               {filter_cols('count(*)', 'cat', CATEGORIES)} FROM ({svc}) GROUP BY 1, 2"""
+    hous = f"""
+        SELECT user_id, ts, {prefix('p_name')} AS lab FROM events JOIN part ON p_partkey = {K}
+        WHERE event_type = 'view' AND {between('ts', ev)} AND user_id IN (SELECT c_custkey FROM customer)"""
+    q["person_housing"] = f"""
+        SELECT user_id AS idperson, lab AS housing_type, count(*) AS nights_spent FROM ({hous}) GROUP BY 1, 2"""
+    q["person_housing_pivot"] = f"""
+        SELECT user_id AS idperson, {bucket('ts', 'YYYY-MM')} AS period,
+               {filter_cols('count(*)', 'lab', CATEGORIES)} FROM ({hous}) GROUP BY 1, 2"""
+    q["person_suspensions"] = f"""
+        SELECT o_custkey AS idperson, o_orderdate AS suspension_starttime,
+               CAST(floor((epoch_us(l_shipdate) - epoch_us(o_orderdate)) / 86400000000) AS BIGINT) AS days,
+               CAST((epoch_us(l_shipdate) - epoch_us(o_orderdate)) / 1000000 AS BIGINT) AS seconds,
+               s_name AS reason
+        FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN supplier ON s_suppkey = l_suppkey
+        WHERE l_shipdate > o_orderdate AND {between('o_orderdate', o)}
+          AND o_custkey IN (SELECT c_custkey FROM customer)"""
+    q["person_reported"] = f"""
+        SELECT c_custkey AS idperson, CAST(count(DISTINCT event_id) AS BIGINT) AS incarcerations
+        FROM customer LEFT JOIN events ON user_id = c_custkey AND event_type = 'signup' AND {K} = 2
+             AND {between('ts', ev)} GROUP BY 1"""
+    q["person_summary"] = f"""
+        SELECT c_custkey AS idperson, 1 AS section, 'Total client visits in report period' AS name,
+               CAST(count(DISTINCT o_orderkey) AS BIGINT) AS count
+        FROM customer LEFT JOIN orders ON o_custkey = c_custkey AND {between('o_orderdate', o)} GROUP BY 1
+        UNION ALL
+        SELECT o_custkey, 2, coalesce(cat, 'Unknown') || ' services delivered.', count(*) FROM ({svc}) GROUP BY o_custkey, cat
+        UNION ALL
+        SELECT user_id, 3, ' Days spent in ' || coalesce(lab, 'Unknown'), count(*) FROM ({hous}) GROUP BY user_id, lab"""
+    q["person_profile"] = f"""
+        SELECT c_custkey AS idperson, c_mktsegment AS firstname, c_name AS lastname,
+               CAST(NULL AS VARCHAR) AS alias, CAST(NULL AS INTEGER) AS sexoffender, {STATUS} AS veteran,
+               c_acctbal AS credits, fs AS timelinestart,
+               c_custkey IN (SELECT o_custkey FROM orders JOIN lineitem ON l_orderkey = o_orderkey
+                             WHERE l_shipdate > o_orderdate AND l_shipdate > TIMESTAMP '2001-07-01 00:00:00')
+                 AS currentlysuspended
+        FROM customer LEFT JOIN (SELECT o_custkey, min(o_orderdate) AS fs FROM orders GROUP BY 1) f
+             ON o_custkey = c_custkey"""
+    return q
+
+
+# ------------------------------------------------- linkage, state, features
+
+def _linkage_and_state() -> dict[str, str]:
+    q = {}
+    pairs = """
+        SELECT a.c_custkey AS id, a.c_mktsegment AS firstname, a.c_name AS lastname,
+               b.c_custkey AS dup_id, b.c_mktsegment AS dup_firstname, b.c_name AS dup_lastname
+        FROM customer a JOIN customer b ON a.c_custkey <> b.c_custkey
+         AND levenshtein(a.c_name, b.c_name) <= 2 AND levenshtein(a.c_mktsegment, b.c_mktsegment) <= 2
+        WHERE a.c_name IS NOT NULL AND a.c_mktsegment IS NOT NULL
+          AND b.c_name IS NOT NULL AND b.c_mktsegment IS NOT NULL"""
+    q["near_duplicates"] = pairs
+    q["near_duplicate_counts"] = f"""
+        SELECT id, firstname, lastname, CAST(count(*) AS BIGINT) AS dups FROM ({pairs}) GROUP BY 1, 2, 3"""
+    q["exact_duplicates"] = """
+        SELECT p_partkey AS idperson, p_type AS firstname, p_name AS lastname FROM part
+        WHERE (p_type, p_name) IN (SELECT p_type, p_name FROM part GROUP BY 1, 2 HAVING count(*) > 1)"""
+    q["suspension_flags"] = """
+        SELECT c_custkey AS idperson,
+               c_custkey IN (SELECT o_custkey FROM orders JOIN lineitem ON l_orderkey = o_orderkey
+                             WHERE l_shipdate > o_orderdate AND l_shipdate > TIMESTAMP '2001-07-01 00:00:00')
+                 AS iscurrentlysuspended
+        FROM customer"""
+    q["feature_table"] = _features_sql()
+    cents = [
+        [0.2, 0.2, 0.2, 2.0, 300.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0],
+        [0.6, 0.5, 0.5, 4.0, 500.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0],
+        [1.0, 0.9, 0.8, 6.0, 900.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0],
+    ]
+    rates = ["genderrate", "ethnicityrate", "veteranrate", "servicerate", "creditrate", "unknownrate",
+             "stablerate", "unstablerate", "shelteredrate", "unshelteredrate", "jailrate"]
+
+    def dist(c):
+        terms = [f"(coalesce({r}, 0.0) - CAST({v!r} AS DOUBLE)) * (coalesce({r}, 0.0) - CAST({v!r} AS DOUBLE))"
+                 for r, v in zip(rates, c)]
+        return "(" + " + ".join(terms) + ")"
+    d0, d1, d2 = (dist(c) for c in cents)
+    q["cluster_assign"] = f"""
+        SELECT idperson, CASE WHEN d0 <= d1 AND d0 <= d2 THEN 0 WHEN d1 <= d2 THEN 1 ELSE 2 END AS prediction
+        FROM (SELECT idperson, {d0} AS d0, {d1} AS d1, {d2} AS d2 FROM ({q['feature_table']}))"""
+    return q
+
+
+def _features_sql() -> str:
+    si = EV_SI
+    return f"""
+        WITH v AS (SELECT o_orderkey, o_custkey FROM orders JOIN customer ON c_custkey = o_custkey
+                   WHERE {between('o_orderdate', si)}),
+        visits AS (SELECT o_custkey AS idperson, count(o_orderkey) AS visits FROM v GROUP BY 1),
+        persons AS (SELECT c_custkey AS idperson, n_regionkey + 1 AS gender_id, c_nationkey + 1 AS ethnicity_id,
+                           CASE WHEN c_acctbal < 0 THEN 3 WHEN c_acctbal < 5000 THEN 1
+                                WHEN c_acctbal IS NOT NULL THEN 2 END AS veteran_id, c_acctbal AS credits
+                    FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey
+                    WHERE c_custkey IN (SELECT o_custkey FROM v)),
+        services AS (SELECT o_custkey AS idperson, count(l_partkey) AS services
+                      FROM v JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1),
+        housing AS (SELECT user_id AS idperson,
+                           count(*) FILTER (WHERE event_type = 'view' AND {K} = 1) AS unknown,
+                           count(*) FILTER (WHERE event_type = 'view' AND {K} = 2) AS stable,
+                           count(*) FILTER (WHERE event_type = 'view' AND {K} = 3) AS unstable,
+                           count(*) FILTER (WHERE event_type = 'view' AND {K} = 4) AS sheltered,
+                           count(*) FILTER (WHERE event_type = 'view' AND {K} = 5) AS unsheltered,
+                           count(*) FILTER (WHERE event_type = 'view' AND {K} = 6) AS jail
+                    FROM events WHERE {between('ts', si)} AND user_id IN (SELECT c_custkey FROM customer)
+                    GROUP BY 1),
+        j AS (SELECT visits.idperson,
+                     CAST(coalesce(visits, 0) AS DOUBLE) AS visits,
+                     CAST(coalesce(gender_id, 0) AS DOUBLE) AS gender_id,
+                     CAST(coalesce(ethnicity_id, 0) AS DOUBLE) AS ethnicity_id,
+                     CAST(coalesce(veteran_id, 0) AS DOUBLE) AS veteran_id,
+                     CAST(coalesce(credits, 0) AS DOUBLE) AS credits,
+                     CAST(coalesce(services, 0) AS DOUBLE) AS services,
+                     CAST(coalesce(unknown, 0) AS DOUBLE) AS unknown,
+                     CAST(coalesce(stable, 0) AS DOUBLE) AS stable,
+                     CAST(coalesce(unstable, 0) AS DOUBLE) AS unstable,
+                     CAST(coalesce(sheltered, 0) AS DOUBLE) AS sheltered,
+                     CAST(coalesce(unsheltered, 0) AS DOUBLE) AS unsheltered,
+                     CAST(coalesce(jail, 0) AS DOUBLE) AS jail
+              FROM visits LEFT JOIN persons USING (idperson) LEFT JOIN services USING (idperson)
+                   LEFT JOIN housing USING (idperson)),
+        m AS (SELECT max(gender_id) AS g FROM j)
+        SELECT idperson,
+               gender_id / nullif(g, 0) AS genderrate, ethnicity_id / nullif(g, 0) AS ethnicityrate,
+               veteran_id / nullif(g, 0) AS veteranrate,
+               services / nullif(visits, 0) AS servicerate, credits / nullif(visits, 0) AS creditrate,
+               unknown / nullif(visits, 0) AS unknownrate, stable / nullif(visits, 0) AS stablerate,
+               unstable / nullif(visits, 0) AS unstablerate, sheltered / nullif(visits, 0) AS shelteredrate,
+               unsheltered / nullif(visits, 0) AS unshelteredrate, jail / nullif(visits, 0) AS jailrate
+        FROM j, m"""
+
+
 def all_sql() -> dict[str, str]:
     out: dict[str, str] = {}
-    out.update(_population())
+    for part in (_calendar(), _population(), _assembly(), _person(), _linkage_and_state()):
+        out.update(part)
     return {k: " ".join(v.split()) for k, v in out.items()}
