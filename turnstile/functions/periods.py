@@ -53,7 +53,8 @@ DEFAULT_INCEPTION = "2018-01-01"
 DAY_CODE = re.compile(r"^\d{1,2}/\d{1,2}/\d{4}$")
 MONTH_CODE = re.compile(r"^YYYYMM\d{6}$")
 
-_US = F.expr("make_dt_interval(0, 0, 0, 0.000001)")
+def _us() -> Column:
+    return F.expr("make_dt_interval(0, 0, 0, 0.000001)")
 
 
 def code_kind(code: str) -> str | None:
@@ -85,7 +86,7 @@ def _ts(d: Column) -> Column:
 
 def _eod(exclusive_day: Column) -> Column:
     """Last microsecond before the given (date) midnight."""
-    return _ts(exclusive_day) - _US
+    return _ts(exclusive_day) - _us()
 
 
 def period_bounds(code: Column | str, as_of: Column | str | datetime,

@@ -2,9 +2,9 @@
 
 The reference clears every flag, commits, then sets flags one row and one
 commit at a time, so readers briefly see nobody suspended (Q14).  Here the
-new person table is one set-based plan, written as a new version; readers
-always resolve the newest *committed* version (one with a ``_SUCCESS``
-marker), so they see either the old or the new state, never a mix.
+new person table is one set-based plan, written as a new version and then
+published by appending one row to a version log; readers resolve the newest
+logged version, so they see either the old or the new state, never a mix.
 """
 
 from __future__ import annotations
@@ -38,21 +38,31 @@ def suspension_flags(b: Binding, as_of: str, require_started: bool = False) -> D
 
 
 def write_version(df: DataFrame, root: str, version: int | None = None) -> str:
-    """Write ``df`` as a new version directory under ``root``."""
+    """Write ``df`` as a new version, then publish it.
+
+    The data goes to its own directory first; only after that job has
+    committed is one row appended to the version log.  Readers resolve the
+    newest logged version, so a half-written version is never visible and
+    the previous state stays readable throughout.
+    """
+    spark = df.sparkSession
+    root = root.rstrip("/")
     version = version if version is not None else time.time_ns()
-    path = f"{root.rstrip('/')}/version={version:020d}"
+    path = f"{root}/data/version={version:020d}"
     df.write.mode("errorifexists").parquet(path)
+    entry = spark.createDataFrame([(version, path)], "version long, path string")
+    entry.coalesce(1).write.mode("append").parquet(f"{root}/log")
     return path
 
 
 def committed_versions(spark: SparkSession, root: str) -> list[str]:
-    """Version directories whose write job committed (``_SUCCESS`` present)."""
+    """Paths of published versions, oldest first (the log is one small row
+    per publish)."""
     try:
-        markers = (spark.read.format("binaryFile").load(f"{root.rstrip('/')}/version=*/_SUCCESS")
-                   .select("path").collect())
-    except Exception:  # noqa: BLE001 - no version written yet
+        log = spark.read.parquet(f"{root.rstrip('/')}/log")
+    except Exception:  # noqa: BLE001 - nothing published yet
         return []
-    return sorted(r.path.rsplit("/", 1)[0] for r in markers)
+    return [r.path for r in log.orderBy("version").collect()]
 
 
 def read_current(spark: SparkSession, root: str) -> DataFrame:

@@ -137,7 +137,21 @@ def _fit(spark, sf_dir):
     return clusters.fit_kmeans(_features(spark, sf_dir), k=3, seed=42)[1]
 
 
+def _request_stream(spark, sf_dir):
+    """ST1-ST3 end to end: requests derived from the app-user table are
+    dropped as JSON files, drained by the stream, and the sink read back."""
+    from turnstile.session import scratch_path
+    from turnstile.streaming import request_queue as rq
+
+    b = _b(spark, sf_dir)
+    root = scratch_path(spark, "request_stream")
+    rq.requests_from_app_users(b).write.json(f"{root}/queue")
+    rq.serve(spark, b, f"{root}/queue", f"{root}/out", f"{root}/checkpoint")
+    return rq.results(spark, f"{root}/out").select(*rq.RESULT_COLUMNS)
+
+
 LINKAGE_AND_STATE: dict[str, Query] = {
+    "request_stream": _request_stream,
     "near_duplicates": _near,
     "near_duplicate_counts": _near_counts,
     "exact_duplicates": _exact,
