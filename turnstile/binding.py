@@ -44,6 +44,9 @@ class Binding:
     housing_delim: str = "("
     unsheltered_object: int = 5
     incarcerated_object: int = 2
+    # size bounds fixed by a schema's specification (role -> rows), used to
+    # decide broadcasts without a counting job
+    dimension_rows: dict = field(default_factory=dict)
 
     # -- roles (implemented per schema) ---------------------------------
     def person(self) -> DataFrame: raise NotImplementedError
@@ -79,6 +82,8 @@ class DriverBinding(Binding):
             housing_delim=" ",
             unsheltered_object=5,
             incarcerated_object=2,
+            # nation has 25 rows at every scale factor (TPC-H specification)
+            dimension_rows={"city": 25, "ethnicity_dim": 25},
         )
         self.t = ParquetTables(spark, sf_dir)
 
@@ -140,7 +145,7 @@ class DriverBinding(Binding):
         if kind == "gender":
             return c.select(F.col("c_custkey").alias("idperson"), F.col("c_mktsegment").alias("label"))
         if kind == "ethnicity":
-            n = self.t("nation").select("n_nationkey", F.col("n_name").alias("label"))
+            n = F.broadcast(self.t("nation").select("n_nationkey", F.col("n_name").alias("label")))
             return (c.join(n, c.c_nationkey == n.n_nationkey)
                     .select(F.col("c_custkey").alias("idperson"), "label"))
         if kind == "veteran":
@@ -154,7 +159,7 @@ class DriverBinding(Binding):
         # numeric codes: region + 1, nation + 1, and the three-way balance
         # status coded like the reference's yes/no list (1 unknown, 2 yes, 3 no)
         c = self.t("customer")
-        n = self.t("nation").select("n_nationkey", "n_regionkey")
+        n = F.broadcast(self.t("nation").select("n_nationkey", "n_regionkey"))   # 25 rows by spec
         status = (F.when(F.col("c_acctbal") < 0, 3).when(F.col("c_acctbal") < 5000, 1)
                   .when(F.col("c_acctbal").isNotNull(), 2))
         return (c.join(n, c.c_nationkey == n.n_nationkey, "left").select(

@@ -89,13 +89,8 @@ def _eod(exclusive_day: Column) -> Column:
     return _ts(exclusive_day) - _us()
 
 
-def period_bounds(code: Column | str, as_of: Column | str | datetime,
-                  inception: Column | str = DEFAULT_INCEPTION) -> Column:
-    """``struct(start, end, bucket)`` for a period code; NULL fields for an
-    unknown code (callers route those rows to a reject frame)."""
-    code = F.lit(code) if isinstance(code, str) else code
-    n = F.lit(as_of).cast("timestamp_ntz") if not isinstance(as_of, Column) else as_of.cast("timestamp_ntz")
-    inc = F.lit(inception) if isinstance(inception, str) else inception
+def _branches(code: Column, n: Column, inc: Column) -> dict:
+    """code kind -> (start, end) expressions over ``as_of`` = n."""
     d = F.to_date(n)
     week = F.date_sub(d, F.dayofweek(d) - 1)           # Sunday on or before d
     month = F.trunc(d, "month")
@@ -103,36 +98,50 @@ def period_bounds(code: Column | str, as_of: Column | str | datetime,
     year = F.trunc(d, "year")
     one_day = F.try_to_date(code, "M/d/yyyy")
     one_month = F.try_to_date(F.substring(code, 7, 6), "yyyyMM")
-    is_day = code.rlike(r"^\d{1,2}/\d{1,2}/\d{4}$") & one_day.isNotNull()
-    is_month = code.rlike(r"^YYYYMM\d{6}$") & one_month.isNotNull()
-
-    start = (F.when(code == "PD", _ts(F.date_sub(d, 1)))
-             .when(code == "PW", _ts(F.date_sub(week, 7)))
-             .when(code == "PM", _ts(F.add_months(month, -1)))
-             .when(code == "PQ", _ts(F.add_months(quarter, -3)))
-             .when(code == "PY", _ts(F.add_months(year, -12)))
-             .when(code == "YTD", _ts(year))
-             .when(code == "WTD", _ts(week))
-             .when(code == "TODAY", _ts(d))
-             .when(code == "P90", _ts(F.date_sub(d, 90)))
-             .when(code == "SI", _ts(F.to_date(inc)))
-             .when(is_day, _ts(one_day))
-             .when(is_month, _ts(one_month)))
-    end = (F.when(code == "PD", _eod(d))
-           .when(code == "PW", _eod(week))
-           .when(code == "PM", _eod(month))
-           .when(code == "PQ", _eod(quarter))
-           .when(code == "PY", _eod(year))
-           .when(code.isin("YTD", "WTD", "TODAY", "SI"), n)
-           .when(code == "P90", _eod(F.date_add(d, 1)))
-           .when(is_day, _eod(F.date_add(one_day, 1)))
-           .when(is_month, _eod(F.add_months(one_month, 1))))
-    fmt = F.lit(None).cast("string")
-    for c in RELATIVE_CODES:
-        fmt = F.when(code == c, F.lit(BUCKET_FORMAT[c])).otherwise(fmt)
-    fmt = (F.when(is_day, F.lit(BUCKET_FORMAT["DAY"]))
-           .when(is_month, F.lit(BUCKET_FORMAT["MONTH"]))
-           .otherwise(fmt))
+    return {
+        "PD": (_ts(F.date_sub(d, 1)), _eod(d)),
+        "PW": (_ts(F.date_sub(week, 7)), _eod(week)),
+        "PM": (_ts(F.add_months(month, -1)), _eod(month)),
+        "PQ": (_ts(F.add_months(quarter, -3)), _eod(quarter)),
+        "PY": (_ts(F.add_months(year, -12)), _eod(year)),
+        "YTD": (_ts(year), n),
+        "WTD": (_ts(week), n),
+        "TODAY": (_ts(d), n),
+        "P90": (_ts(F.date_sub(d, 90)), _eod(F.date_add(d, 1))),
+        "SI": (_ts(F.to_date(inc)), n),
+        "DAY": (_ts(one_day), _eod(F.date_add(one_day, 1))),
+        "MONTH": (_ts(one_month), _eod(F.add_months(one_month, 1))),
+    }
+
+
+def period_bounds(code: Column | str, as_of: Column | str | datetime,
+                  inception: Column | str = DEFAULT_INCEPTION) -> Column:
+    """``struct(start, end, bucket)`` for a period code; NULL fields for an
+    unknown code (callers route those rows to a reject frame).
+
+    A literal code yields just its own branch (a small constant expression
+    Catalyst folds); a code column yields a per-row ``CASE`` over all kinds.
+    """
+    n = F.lit(as_of).cast("timestamp_ntz") if not isinstance(as_of, Column) else as_of.cast("timestamp_ntz")
+    inc = F.lit(inception) if isinstance(inception, str) else inception
+    if isinstance(code, str):
+        kind = code_kind(code)
+        if kind is None:
+            nul = F.lit(None).cast("timestamp_ntz")
+            return F.struct(nul.alias("start"), nul.alias("end"), F.lit(None).cast("string").alias("bucket"))
+        s, e = _branches(F.lit(code), n, inc)[kind]
+        return F.struct(s.alias("start"), e.alias("end"), F.lit(BUCKET_FORMAT[kind]).alias("bucket"))
+    br = _branches(code, n, inc)
+    is_day = code.rlike(r"^\d{1,2}/\d{1,2}/\d{4}$") & F.try_to_date(code, "M/d/yyyy").isNotNull()
+    is_month = code.rlike(r"^YYYYMM\d{6}$") & F.try_to_date(F.substring(code, 7, 6), "yyyyMM").isNotNull()
+    conds = [(code == c, c) for c in RELATIVE_CODES] + [(is_day, "DAY"), (is_month, "MONTH")]
+    start = end = fmt = None
+    for cond, kind in conds:
+        s, e = br[kind]
+        f = F.lit(BUCKET_FORMAT[kind])
+        start = F.when(cond, s) if start is None else start.when(cond, s)
+        end = F.when(cond, e) if end is None else end.when(cond, e)
+        fmt = F.when(cond, f) if fmt is None else fmt.when(cond, f)
     return F.struct(start.alias("start"), end.alias("end"), fmt.alias("bucket"))
 
 

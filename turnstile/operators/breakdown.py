@@ -21,16 +21,18 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from turnstile.operators.joins import MAX_BROADCAST_ROWS, bounded_broadcast
+from turnstile.operators.joins import MAX_BROADCAST_ROWS, bounded_broadcast  # noqa: F401
 
 MAX_PIVOT_VALUES = 1000
 
 
 def rows_by_label(fact: DataFrame, key: str, dim: DataFrame, group: Sequence[str] = (),
-                  out: str = "n", dim_key: str = "id", label: str = "label") -> DataFrame:
-    """count(*) of facts per (group..., label); label = dim[label] via key."""
+                  out: str = "n", dim_key: str = "id", label: str = "label",
+                  dim_rows: int | None = None) -> DataFrame:
+    """count(*) of facts per (group..., label); label = dim[label] via key.
+    ``dim_rows``: a known bound on the dimension's size, if any."""
     pre = fact.groupBy(*group, key).agg(F.count(F.lit(1)).alias("_n"))
-    d = bounded_broadcast(dim.select(F.col(dim_key).alias("_k"), F.col(label).alias("label")))
+    d = bounded_broadcast(dim.select(F.col(dim_key).alias("_k"), F.col(label).alias("label")), dim_rows)
     j = pre.join(d, pre[key] == d["_k"])
     return j.groupBy(*group, "label").agg(F.sum("_n").cast("bigint").alias(out))
 
@@ -39,16 +41,16 @@ def people_by_label(fact: DataFrame, labels: DataFrame, group: Sequence[str] = (
                     out: str = "n") -> DataFrame:
     """count(DISTINCT person_id) per (group..., label); labels = (idperson, label)."""
     pre = fact.select(*group, "person_id").distinct()
-    lab = bounded_broadcast(labels.select("idperson", "label"))
+    lab = labels.select("idperson", "label")      # grows with the people: Spark sizes the join
     j = pre.join(lab, pre.person_id == lab.idperson)
     return j.groupBy(*group, "label").agg(F.count(F.lit(1)).cast("bigint").alias(out))
 
 
 def rows_total_and_breakdown(fact: DataFrame, key: str, dim: DataFrame, period: str = "period",
-                             out: str = "n", dim_key: str = "id") -> DataFrame:
+                             out: str = "n", dim_key: str = "id", dim_rows: int | None = None) -> DataFrame:
     """AG13 for count(*): (period|NULL, label, n, is_total) in one pass."""
     pre = fact.groupBy(period, key).agg(F.count(F.lit(1)).alias("_n"))
-    d = bounded_broadcast(dim.select(F.col(dim_key).alias("_k"), "label"))
+    d = bounded_broadcast(dim.select(F.col(dim_key).alias("_k"), "label"), dim_rows)
     j = pre.join(d, pre[key] == d["_k"])
     return (j.groupingSets([[period, "label"], ["label"]], period, "label")
             .agg(F.sum("_n").cast("bigint").alias(out), F.grouping(period).cast("int").alias("is_total")))
@@ -58,7 +60,7 @@ def people_total_and_breakdown(fact: DataFrame, labels: DataFrame, period: str =
                                out: str = "n") -> DataFrame:
     """AG13 for count(DISTINCT person): totals are true distinct counts."""
     pre = fact.select(period, "person_id").distinct()
-    lab = bounded_broadcast(labels.select("idperson", "label"))
+    lab = labels.select("idperson", "label")
     j = pre.join(lab, pre.person_id == lab.idperson)
     return (j.groupingSets([[period, "label"], ["label"]], period, "label")
             .agg(F.count_distinct("person_id").cast("bigint").alias(out),

@@ -11,28 +11,29 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_ROWS = 1_000_000
 
 
-def bounded_row_count(df: DataFrame, limit: int) -> int:
-    """Row count capped at ``limit + 1``: each task stops after ``limit + 1``
-    rows, so the check costs at most that much per partition."""
-    return df.limit(limit + 1).count()
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
-                      known_rows: int | None = None) -> DataFrame:
-    """Broadcast ``df`` only when its row count is proven <= ``max_rows``.
-
-    ``known_rows`` is for frames whose size is fixed by construction (literal
-    code lists); otherwise one bounded counting job decides.  Beyond the bound
-    the frame is returned unchanged and the planner picks a shuffle join.
+def bounded_broadcast(df: DataFrame, known_rows: int | None = None,
+                      max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast ``df`` only when its row count has a bound known up front
+    (a literal list, a table whose size is fixed by its specification, a
+    product of such bounds) that is within ``max_rows``.
+
+    Everything else is left to Spark's own size checks, which cost no extra
+    job: the planner broadcasts a side whose estimated size is under
+    ``spark.sql.autoBroadcastJoinThreshold``, and AQE re-plans a shuffle join
+    into a broadcast once the materialised side is measured under
+    ``spark.sql.adaptive.autoBroadcastJoinThreshold``.  Beyond those bounds the
+    join stays a sort-merge join (with AQE skew splitting).
     """
-    n = known_rows if known_rows is not None else bounded_row_count(df, max_rows)
-    return F.broadcast(df) if n <= max_rows else df
+    if known_rows is not None and known_rows <= max_rows:
+        return F.broadcast(df)
+    return df
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str = "id",
-                   how: str = "inner", max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Fact ⋈ dimension on one key, broadcasting the dimension when small."""
-    d = bounded_broadcast(dim, max_rows)
+                   how: str = "inner", known_rows: int | None = None) -> DataFrame:
+    """Fact ⋈ dimension on one key, broadcasting the dimension when its size
+    bound is known and small."""
+    d = bounded_broadcast(dim, known_rows)
     cond = fact[fact_key] == d[dim_key]
     out = fact.join(d, cond, how)
     return out.drop(d[dim_key]) if fact_key != dim_key else out
@@ -46,14 +47,15 @@ def expand_days(ranges: DataFrame, start: str = "start", end: str = "end", day:
 
 def range_join(facts: DataFrame, ranges: DataFrame, ts: str = "timestamp",
                start: str = "start", end: str = "end",
-               max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+               known_day_rows: int | None = None) -> DataFrame:
     """facts ⋈ ranges on ``ts BETWEEN start AND end`` as an equi-join on the
     calendar day plus an exact residual filter (no nested-loop join).
 
-    The day-expanded range side is broadcast when its size is proven small;
-    otherwise both sides shuffle on the day and AQE splits hot days.
+    The day-expanded range side is broadcast when its size bound
+    (``known_day_rows``) is known and small; otherwise Spark's size checks
+    decide, and a shuffle join on the day has AQE split hot days.
     """
-    r = bounded_broadcast(expand_days(ranges, start, end, "_day"), max_rows)
+    r = bounded_broadcast(expand_days(ranges, start, end, "_day"), known_day_rows)
     f = facts.withColumn("_fday", F.to_date(F.col(ts)))
     return (f.join(r, f["_fday"] == r["_day"])
             .where(F.col(ts).between(F.col(start), F.col(end)))

@@ -55,23 +55,40 @@ def near_values(values: DataFrame, col: str, k: int) -> DataFrame:
     return cand.where(F.levenshtein("a", "b", k).between(0, k))
 
 
+# The variant join multiplies its input many times over, so AQE, which
+# sizes partitions by the *input*, would coalesce it into a handful of tasks.
+# Its partition count is therefore fixed from the session's shuffle setting
+# times this factor (an explicit count is never coalesced).
+EXPLODING_JOIN_FACTOR = 4
+
+
+def _exploding_partitions(df: DataFrame) -> int:
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, n) * EXPLODING_JOIN_FACTOR
+
+
 def near_name_pairs(people: DataFrame, k_first: int = 2, k_last: int = 2) -> DataFrame:
     """Verified pairs of distinct name keys:
     (firstname, lastname, dup_firstname, dup_lastname), both directions,
     including a name paired with itself."""
     names = (people.where(F.col("firstname").isNotNull() & F.col("lastname").isNotNull())
              .select("firstname", "lastname").distinct())
+    n = _exploding_partitions(people)
     near_first = near_values(names, "firstname", k_first).select(
         F.col("a").alias("firstname"), F.col("b").alias("dup_firstname"))
-    # left: each name key, re-addressed to every near first name
-    left = (names.join(near_first, "firstname")
-            .select("firstname", "lastname", "dup_firstname",
-                    F.explode(deletion_variants("lastname", k_last)).alias("var")))
-    right = names.select(F.col("firstname").alias("dup_firstname"), F.col("lastname").alias("dup_lastname"),
-                         F.explode(deletion_variants("lastname", k_last)).alias("var"))
-    cand = (left.join(right, ["dup_firstname", "var"])
-            .select("firstname", "lastname", "dup_firstname", "dup_lastname").distinct())
-    return cand.where(F.levenshtein("lastname", "dup_lastname", k_last).between(0, k_last))
+    variants = names.select("firstname", "lastname",
+                            F.explode(deletion_variants("lastname", k_last)).alias("var"))
+    # right: every name key under each of its last-name variants
+    right = (variants.select(F.col("firstname").alias("dup_firstname"), F.col("lastname").alias("dup_lastname"),
+                             "var")
+             .repartition(n, "dup_firstname", "var"))
+    # left: the same, re-addressed to every near first name
+    left = (variants.join(F.broadcast(near_first) if k_first == 0 else near_first, "firstname")
+            .select("firstname", "lastname", "dup_firstname", "var")
+            .repartition(n, "dup_firstname", "var"))
+    cand = left.join(right, ["dup_firstname", "var"])
+    verified = cand.where(F.levenshtein("lastname", "dup_lastname", k_last).between(0, k_last))
+    return verified.select("firstname", "lastname", "dup_firstname", "dup_lastname").distinct()
 
 
 def near_duplicates(people: DataFrame, k_first: int = 2, k_last: int = 2) -> DataFrame:

@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnstile.binding import Binding
-from turnstile.operators.joins import bounded_broadcast
 
 
 def active_suspensions(b: Binding, as_of: str, require_started: bool = False) -> DataFrame:
@@ -31,7 +30,6 @@ def active_suspensions(b: Binding, as_of: str, require_started: bool = False) ->
 def suspension_flags(b: Binding, as_of: str, require_started: bool = False) -> DataFrame:
     """Every person with ``iscurrentlysuspended`` recomputed as of ``as_of``."""
     active = active_suspensions(b, as_of, require_started).select(F.col("person_id").alias("_sid")).distinct()
-    active = bounded_broadcast(active)
     p = b.person().select("idperson")
     return (p.join(active, p.idperson == active["_sid"], "left")
             .select("idperson", F.col("_sid").isNotNull().alias("iscurrentlysuspended")))

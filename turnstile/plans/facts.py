@@ -39,8 +39,9 @@ def event_visits_in(b: Binding, p: Period, persons: DataFrame | None = None) ->
 def semi_persons(fact: DataFrame, persons: DataFrame | None, col: str = "person_id") -> DataFrame:
     if persons is None:
         return fact
-    from turnstile.operators.joins import bounded_broadcast
-    ids = bounded_broadcast(persons.select(F.col("idperson").alias("_pid")).distinct())
+    # a short request list is a small relation the planner broadcasts itself;
+    # a long one (every person) becomes a shuffle semi join
+    ids = persons.select(F.col("idperson").alias("_pid")).distinct()
     return fact.join(ids, fact[col] == ids["_pid"], "left_semi")
 
 
@@ -68,6 +69,11 @@ def survey_in(b: Binding, p: Period, prompt_kind: str, object_id: int | None = N
     return semi_persons(s, persons)
 
 
+def response_rows(b: Binding, kind: str) -> int | None:
+    """Known size bound of a response dimension, if the schema fixes one."""
+    return b.dimension_rows.get(kind)
+
+
 def response_dim(b: Binding, kind: str) -> DataFrame:
     """Response dimension labelled for reports: (id, label)."""
     r = b.response(kind)

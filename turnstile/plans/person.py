@@ -121,7 +121,8 @@ def person_suspensions(b: Binding, code: str, persons: DataFrame | None = None)
     """RP29: suspensions starting in the period with length and reason."""
     p = facts.period(b, code)
     s = facts.semi_persons(b.suspensions().where(p.contains("starttime")), persons)
-    r = bounded_broadcast(b.reasons().select(F.col("id").alias("_rid"), F.col("name").alias("reason")))
+    r = bounded_broadcast(b.reasons().select(F.col("id").alias("_rid"), F.col("name").alias("reason")),
+                          b.dimension_rows.get("reasons"))
     j = s.join(r, s.reason_id == r["_rid"])
     return j.select(F.col("person_id").alias("idperson"),
                     F.col("starttime").alias("suspension_starttime"),

@@ -57,7 +57,7 @@ def services_pivot(b: Binding, code: str, fmt: str | None = None) -> DataFrame:
 def _survey_total(b, code, kind, label_name, total_name, order_by_total):
     p = facts.period(b, code, "survey")
     out = bd.rows_by_label(facts.survey_in(b, p, kind), "object_id", facts.response_dim(b, kind),
-                           out=total_name)
+                           out=total_name, dim_rows=facts.response_rows(b, kind))
     out = out.select(F.col("label").alias(label_name), total_name)
     return out.orderBy(F.desc(total_name), label_name) if order_by_total else out.orderBy(label_name)
 
@@ -66,7 +66,7 @@ def _survey_pivot(b, code, kind, fmt=None):
     p = facts.period(b, code, "survey")
     dim = facts.response_dim(b, kind)
     long = bd.rows_by_label(facts.with_bucket(facts.survey_in(b, p, kind), p, fmt), "object_id", dim,
-                            group=["period"], out="total")
+                            group=["period"], out="total", dim_rows=facts.response_rows(b, kind))
     return bd.pivot(long, ["period"], "label", "total", bd.label_values(dim)).orderBy("period")
 
 
@@ -95,7 +95,8 @@ def flagged_people(b: Binding, code: str, min_nights: int = 1) -> DataFrame:
     (which must exist in the housing dimension), by night count."""
     p = facts.period(b, code, "survey")
     s = facts.survey_in(b, p, "housing", b.unsheltered_object)
-    dim = bounded_broadcast(b.response("housing").select(F.col("id").alias("_hid")))
+    dim = bounded_broadcast(b.response("housing").select(F.col("id").alias("_hid")),
+                            facts.response_rows(b, "housing"))
     s = s.join(dim, s.object_id == dim["_hid"], "left_semi")
     nights = (s.groupBy("person_id").agg(F.count(F.lit(1)).cast("bigint").alias("unsheltered_nights"))
               .where(F.col("unsheltered_nights") >= min_nights))

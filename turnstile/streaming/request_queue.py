@@ -73,7 +73,8 @@ def answer(requests: DataFrame, b: Binding) -> DataFrame:
     agg = hits.groupBy("request_key").agg(
         F.count(F.lit(1)).cast("bigint").alias("visits"),
         F.count_distinct("person_id").cast("bigint").alias("clients"))
-    users = bounded_broadcast(b.app_users().select(F.col("id").alias("_uid"), "email"))
+    users = bounded_broadcast(b.app_users().select(F.col("id").alias("_uid"), "email"),
+                              b.dimension_rows.get("app_users"))
     out = (ok.join(agg, "request_key", "left")
            .join(users, ok.appuser == users["_uid"], "left"))
     return out.select("request_key", "kind", "interval", "label", "start", "end", "appuser", "email", "client",
