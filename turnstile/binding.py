@@ -54,6 +54,10 @@ class Binding:
     def visits(self) -> DataFrame: raise NotImplementedError
     def requests(self) -> DataFrame: raise NotImplementedError
     def services(self) -> DataFrame: raise NotImplementedError
+
+    def free_services(self) -> DataFrame:
+        """Services with non-positive points (FIL6)."""
+        return self.services().where(F.col("points") <= 0)
     def survey(self) -> DataFrame: raise NotImplementedError
     def response(self, kind: str) -> DataFrame: raise NotImplementedError
     def person_label(self, kind: str) -> DataFrame: raise NotImplementedError
@@ -124,6 +128,14 @@ class DriverBinding(Binding):
             F.col("p_name").alias("name"),
             (F.col("p_size") - F.lit(25)).alias("points"))
 
+    def free_services(self):
+        # p_size <= 25 is the same predicate as points <= 0, stated on the
+        # stored column so it reaches the Parquet scan as a pushed filter
+        return self.t("part").where(F.col("p_size") <= 25).select(
+            F.col("p_partkey").alias("idservice"),
+            F.col("p_name").alias("name"),
+            (F.col("p_size") - F.lit(25)).alias("points"))
+
     def survey(self):
         return self.t("events").select(
             F.col("event_id").alias("idsnapshot"),

@@ -15,8 +15,15 @@ def fit_kmeans(features: DataFrame, k: int = 3, seed: int = 42, cols=RATE_COLUMN
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import VectorAssembler
 
+    from turnstile.session import ensure_checkpoint_dir
+
     x = features.select("idperson", *[F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in cols])
-    vec = VectorAssembler(inputCols=list(cols), outputCol="features").transform(x)
+    vec = VectorAssembler(inputCols=list(cols), outputCol="features").transform(x).select("idperson", "features")
+    # k-means passes over its input once per iteration: materialise the
+    # feature plan once in the shared checkpoint folder (this also cuts the
+    # lineage, so a lost executor recomputes from the checkpoint, not the joins)
+    ensure_checkpoint_dir(features.sparkSession)
+    vec = vec.checkpoint(eager=True)
     model = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features").fit(vec)
     assign = model.transform(vec).select("idperson", F.col("prediction").cast("int").alias("prediction"))
     spark = features.sparkSession

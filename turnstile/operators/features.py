@@ -69,14 +69,18 @@ def feature_table(b: Binding, code: str = "SI", source: str = "survey",
     its own maximum.  Maxima are scalar subqueries (no cross join).
     """
     base = visits_per_person(b, code, source)
-    j = (base.join(seen_people(b, code, source), "idperson", "left")
+    seen = seen_people(b, code, source)
+    j = (base.join(seen, "idperson", "left")
          .join(services_per_person(b, code, source), "idperson", "left")
          .join(housing_per_person(b, code, source), "idperson", "left"))
     counts = ["visits", "gender_id", "ethnicity_id", "veteran_id", "credits", "services"] + [n for n, _ in HOUSING_COUNTS]
     j = j.select("idperson", *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in counts])
 
     def max_of(c):
-        return j.select(F.max(c)).scalar()
+        # every person of ``base`` is in ``seen`` (same visits, same person
+        # filter), so the maximum over the joined table is the maximum over
+        # ``seen`` with NULL read as 0: a smaller subquery than ``j`` itself
+        return seen.select(F.coalesce(F.max(F.col(c).cast("double")), F.lit(0.0))).scalar()
 
     gmax = max_of("gender_id")
     emax = gmax if normalise_by == "gender_id" else max_of("ethnicity_id")

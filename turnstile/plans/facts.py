@@ -56,7 +56,7 @@ def service_fact(b: Binding, p: Period, persons: DataFrame | None = None) -> Dat
 def service_dim(b: Binding) -> DataFrame:
     """Services with non-positive points (FIL6), labelled by the category
     prefix of their name (FN2): (id, label)."""
-    s = b.services().where(F.col("points") <= 0)
+    s = b.free_services()
     return s.select(F.col("idservice").alias("id"), prefix_before("name", b.service_delim).alias("label"))
 
 

@@ -498,3 +498,34 @@ def all_sql() -> dict[str, str]:
     for part in (_calendar(), _population(), _assembly(), _person(), _linkage_and_state()):
         out.update(part)
     return {k: " ".join(v.split()) for k, v in out.items()}
+
+
+def _stream_sql() -> str:
+    """Requests derived from the app-user table (rotating type and code), each
+    answered over the orders in its period."""
+    codes = ", ".join(f"'{c}'" for c in RELATIVE)
+    reqs = f"""
+        SELECT CASE s_suppkey % 3 WHEN 0 THEN 'ALL' WHEN 1 THEN 'IND' ELSE 'PROFILE' END AS kind,
+               CASE WHEN s_suppkey % 3 = 2 THEN 'PW' ELSE [{codes}][s_suppkey % 10 + 1] END AS interval,
+               CASE WHEN s_suppkey % 3 <> 2 THEN s_suppkey END AS appuser,
+               CASE WHEN s_suppkey % 3 <> 0 THEN s_suppkey END AS client
+        FROM supplier"""
+    s, e, _ = bounds_sql("interval", ASOF_ORD)
+    return f"""
+        WITH r AS (SELECT *, {s} AS start, {e} AS "end", {FRIENDLY_SQL.replace('code', 'interval')} AS label
+                   FROM ({reqs}))
+        SELECT r.kind, r.interval, r.label, r.start, r."end", r.appuser, u.s_name AS email, r.client,
+               CAST(count(o.o_orderkey) AS BIGINT) AS visits, CAST(count(DISTINCT o.o_custkey) AS BIGINT) AS clients
+        FROM r LEFT JOIN supplier u ON u.s_suppkey = r.appuser
+        LEFT JOIN orders o ON o.o_orderdate BETWEEN r.start AND r."end"
+             AND (r.kind = 'ALL' OR o.o_custkey = r.client)
+        GROUP BY 1, 2, 3, 4, 5, 6, 7, 8"""
+
+
+_all_sql_base = all_sql
+
+
+def all_sql() -> dict[str, str]:  # noqa: F811
+    out = _all_sql_base()
+    out["request_stream"] = " ".join(_stream_sql().split())
+    return out
