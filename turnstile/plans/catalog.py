@@ -137,6 +137,16 @@ def _fit(spark, sf_dir):
     return clusters.fit_kmeans(_features(spark, sf_dir), k=3, seed=42)[1]
 
 
+def _centroids(spark, sf_dir):
+    return clusters.fit_kmeans(_features(spark, sf_dir), k=3, seed=42)[2]
+
+
+def _fea(fn):
+    def run(spark, sf_dir):
+        return fn(_b(spark, sf_dir), "SI", "survey")
+    return run
+
+
 def _request_stream(spark, sf_dir):
     """ST1-ST3 end to end: requests derived from the app-user table are
     dropped as JSON files, drained by the stream, and the sink read back."""
@@ -158,9 +168,14 @@ LINKAGE_AND_STATE: dict[str, Query] = {
     "near_duplicate_counts": _near_counts,
     "exact_duplicates": _exact,
     "suspension_flags": _flags,
+    "feature_people": _fea(features.seen_people),
+    "feature_visits": _fea(features.visits_per_person),
+    "feature_services": _fea(features.services_per_person),
+    "feature_housing": _fea(features.housing_per_person),
     "feature_table": _features,
     "cluster_assign": _assign,
     "cluster_fit": _fit,
+    "cluster_centroids": _centroids,
 }
 
 

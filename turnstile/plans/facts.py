@@ -36,9 +36,24 @@ def event_visits_in(b: Binding, p: Period, persons: DataFrame | None = None) ->
     return semi_persons(v, persons)
 
 
-def semi_persons(fact: DataFrame, persons: DataFrame | None, col: str = "person_id") -> DataFrame:
+# A request list up to this long becomes a literal IN filter that reaches the
+# Parquet scan (FIL3); longer lists go through a semi join.
+MAX_LITERAL_IDS = 1000
+
+
+def semi_persons(fact: DataFrame, persons, col: str = "person_id") -> DataFrame:
+    """Restrict facts to the requested persons.
+
+    ``persons`` is None (everyone), a list of ids (a pushed-down IN filter
+    when short) or a DataFrame with an ``idperson`` column (semi join).
+    """
     if persons is None:
         return fact
+    if isinstance(persons, (list, tuple, set, frozenset)):
+        ids = sorted({int(x) for x in persons})
+        if len(ids) <= MAX_LITERAL_IDS:
+            return fact.where(F.col(col).isin(ids))
+        persons = fact.sparkSession.createDataFrame([(i,) for i in ids], "idperson long")
     # a short request list is a small relation the planner broadcasts itself;
     # a long one (every person) becomes a shuffle semi join
     ids = persons.select(F.col("idperson").alias("_pid")).distinct()

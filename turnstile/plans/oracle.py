@@ -525,7 +525,23 @@ def _stream_sql() -> str:
 _all_sql_base = all_sql
 
 
+def _feature_parts_sql() -> dict[str, str]:
+    """FEA1-FEA4 as the CTEs of the feature-table oracle."""
+    full = _features_sql()
+    head = full[:full.index("j AS (")].rstrip().rstrip(",")
+    return {
+        "feature_people": f"{head} SELECT idperson, gender_id, ethnicity_id, veteran_id, credits FROM persons",
+        "feature_visits": f"{head} SELECT idperson, CAST(visits AS BIGINT) AS visits FROM visits",
+        "feature_services": f"{head} SELECT idperson, CAST(services AS BIGINT) AS services FROM services",
+        "feature_housing": f"{head} SELECT idperson, CAST(unknown AS BIGINT) AS unknown, "
+                           "CAST(stable AS BIGINT) AS stable, CAST(unstable AS BIGINT) AS unstable, "
+                           "CAST(sheltered AS BIGINT) AS sheltered, CAST(unsheltered AS BIGINT) AS unsheltered, "
+                           "CAST(jail AS BIGINT) AS jail FROM housing",
+    }
+
+
 def all_sql() -> dict[str, str]:  # noqa: F811
     out = _all_sql_base()
     out["request_stream"] = " ".join(_stream_sql().split())
+    out.update({k: " ".join(v.split()) for k, v in _feature_parts_sql().items()})
     return out

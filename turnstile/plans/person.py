@@ -20,7 +20,7 @@ from turnstile.operators.joins import bounded_broadcast
 from turnstile.plans import facts
 
 
-def _persons(b: Binding, persons: DataFrame | None) -> DataFrame:
+def _persons(b: Binding, persons) -> DataFrame:
     p = b.person()
     return p if persons is None else facts.semi_persons(p, persons, "idperson")
 

@@ -33,15 +33,27 @@ RESULT_COLUMNS = ["request_key", "kind", "interval", "label", "start", "end", "a
                   "client", "visits", "clients"]
 
 
-def read_requests(spark: SparkSession, queue_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """SRC3 as a stream; ``source_file`` keeps where each request came from."""
+def read_requests(spark: SparkSession, queue_dir: str, max_files_per_trigger: int | None = None,
+                  archive_dir: str | None = None) -> DataFrame:
+    """SRC3 as a stream; ``source_file`` keeps where each request came from.
+    ``archive_dir`` moves processed files there (SRC4 ``cleanSource``); the
+    checkpoint alone already guarantees a file is answered once."""
     r = (spark.readStream.schema(REQUEST_SCHEMA)
          .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record"))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    if archive_dir:
+        r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     return r.json(queue_dir).select("*", F.col("_metadata.file_path").alias("source_file"))
 
 
+def read_requests_batch(spark: SparkSession, queue_dir: str) -> DataFrame:
+    """SRC3 batch form: every request currently in the directory."""
+    return (spark.read.schema(REQUEST_SCHEMA)
+            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record")
+            .json(queue_dir).select("*", F.col("_metadata.file_path").alias("source_file")))
+
+
 def classify(requests: DataFrame, b: Binding) -> DataFrame:
     """ST2 + PER15: kind, resolved period and a deterministic request key."""
     interval = F.when(F.col("type").isNull() & F.col("idperson").isNotNull(),
@@ -83,7 +95,7 @@ def answer(requests: DataFrame, b: Binding) -> DataFrame:
 
 
 def serve(spark: SparkSession, b: Binding, queue_dir: str, out_dir: str, checkpoint_dir: str,
-          max_files_per_trigger: int | None = None):
+          max_files_per_trigger: int | None = None, archive_dir: str | None = None):
     """ST1: drain the queue with ``availableNow`` and stop."""
 
     def process(batch: DataFrame, epoch_id: int) -> None:
@@ -97,7 +109,7 @@ def serve(spark: SparkSession, b: Binding, queue_dir: str, out_dir: str, checkpo
         finally:
             c.unpersist()
 
-    q = (read_requests(spark, queue_dir, max_files_per_trigger).writeStream
+    q = (read_requests(spark, queue_dir, max_files_per_trigger, archive_dir).writeStream
          .foreachBatch(process)
          .option("checkpointLocation", checkpoint_dir)
          .trigger(availableNow=True)
@@ -106,6 +118,14 @@ def serve(spark: SparkSession, b: Binding, queue_dir: str, out_dir: str, checkpo
     return q
 
 
+def serve_batch(spark: SparkSession, b: Binding, queue_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Batch form of the router: (answers, rejects) for every queued request."""
+    c = classify(read_requests_batch(spark, queue_dir), b)
+    rej = c.where(F.col("kind") == "REJECT").select("request_key", "source_file", "type", "interval",
+                                                      "_corrupt_record")
+    return answer(c, b), rej
+
+
 def results(spark: SparkSession, out_dir: str) -> DataFrame:
     return spark.read.parquet(f"{out_dir}/results")
 
