@@ -72,6 +72,14 @@ class Binding:
     def as_of_for(self, source: str) -> str:
         return self.as_of.get(source) or self.as_of["visits"]
 
+    def memo(self, key, build):
+        """Per-binding memo for small driver-side values (resolved periods,
+        pivot label lists) so repeated reports do not rebuild them."""
+        cache = self.__dict__.setdefault("_memo", {})
+        if key not in cache:
+            cache[key] = build()
+        return cache[key]
+
 
 class DriverBinding(Binding):
     """Binding onto the driver's tables (see README, "Driver binding")."""

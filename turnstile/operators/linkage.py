@@ -20,6 +20,8 @@ shuffle join, so AQE's skew handling splits such a key across tasks.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,6 +45,48 @@ def deletion_variants(col: str, k: int) -> Column:
     return F.expr(f"array_distinct(concat({', '.join(levels)}))")
 
 
+def variant_rows(df: DataFrame, col: str, k: int, out: str = "var") -> DataFrame:
+    """``df`` plus one row per distinct deletion variant of ``col`` (0..k
+    deletions).
+
+    For k <= 2 the deleted positions come from ``explode(sequence(..))`` and
+    the variant from ``substr``/``concat`` (whole-stage codegen, no lambda
+    functions).  Only the lexicographically smallest set of positions that
+    yields a given string is kept: the first deleted position starts its run
+    of equal characters, and the second differs from the character before it
+    once the first is gone.  The smallest set always passes both tests, so
+    no variant is lost, and repeats (deleting either of two equal
+    neighbours) are not generated, so no de-duplication shuffle is needed.
+    Larger k uses the array form.
+    """
+    if k > 2:
+        return df.withColumn(out, F.explode(deletion_variants(col, k)))
+    n = F.length(F.col(col))
+    empty = F.array().cast("array<int>")
+
+    def ch(pos):
+        return F.expr(f"substr({col}, {pos}, 1)")
+
+    run_start = (F.col("_i") == 1) | (ch("_i - 1") != ch("_i"))
+    levels = [df.withColumn(out, F.col(col))]
+    if k >= 1:
+        one = (df.withColumn("_i", F.explode(F.when(n >= 1, F.sequence(F.lit(1), n)).otherwise(empty)))
+               .where(run_start))
+        levels.append(one.withColumn(out, F.concat(F.expr(f"substr({col}, 1, _i - 1)"),
+                                                   F.expr(f"substr({col}, _i + 1)"))).drop("_i"))
+    if k >= 2:
+        before_j = F.when(F.col("_j") - 1 == F.col("_i"),
+                          F.when(F.col("_i") > 1, ch("_i - 1"))).otherwise(ch("_j - 1"))
+        two = (df.withColumn("_i", F.explode(F.when(n >= 2, F.sequence(F.lit(1), n - 1)).otherwise(empty)))
+               .where(run_start)
+               .withColumn("_j", F.explode(F.sequence(F.col("_i") + 1, n)))
+               .where(before_j.isNull() | (before_j != ch("_j"))))
+        levels.append(two.withColumn(out, F.concat(F.expr(f"substr({col}, 1, _i - 1)"),
+                                                   F.expr(f"substr({col}, _i + 1, _j - _i - 1)"),
+                                                   F.expr(f"substr({col}, _j + 1)"))).drop("_i", "_j"))
+    return reduce(DataFrame.unionByName, levels)
+
+
 def near_values(values: DataFrame, col: str, k: int) -> DataFrame:
     """(a, b) for distinct non-NULL values with levenshtein(a, b) <= k,
     including a == b."""
@@ -76,17 +120,16 @@ def near_name_pairs(people: DataFrame, k_first: int = 2, k_last: int = 2) -> Dat
     n = _exploding_partitions(people)
     near_first = near_values(names, "firstname", k_first).select(
         F.col("a").alias("firstname"), F.col("b").alias("dup_firstname"))
-    variants = names.select("firstname", "lastname",
-                            F.explode(deletion_variants("lastname", k_last)).alias("var"))
-    # right: every name key under each of its last-name variants
+    variants = variant_rows(names, "lastname", k_last)
     right = (variants.select(F.col("firstname").alias("dup_firstname"), F.col("lastname").alias("dup_lastname"),
                              "var")
              .repartition(n, "dup_firstname", "var"))
-    # left: the same, re-addressed to every near first name
+    # left: each name key re-addressed to every near first name
     left = (variants.join(F.broadcast(near_first) if k_first == 0 else near_first, "firstname")
             .select("firstname", "lastname", "dup_firstname", "var")
             .repartition(n, "dup_firstname", "var"))
-    cand = left.join(right, ["dup_firstname", "var"])
+    # hash join per partition: the candidate join needs no sort
+    cand = left.hint("shuffle_hash").join(right, ["dup_firstname", "var"])
     verified = cand.where(F.levenshtein("lastname", "dup_lastname", k_last).between(0, k_last))
     return verified.select("firstname", "lastname", "dup_firstname", "dup_lastname").distinct()
 

@@ -7,6 +7,7 @@ the matching oracle SQL.
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,8 +30,16 @@ GIVEN_CENTROIDS = [
 ]
 
 
+_BINDINGS: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDictionary()
+
+
 def _b(spark: SparkSession, sf_dir: str) -> DriverBinding:
-    return DriverBinding(spark, sf_dir)
+    """One binding per (session, data directory): its table scans, resolved
+    periods and pivot label lists are reused by every query."""
+    per_session = _BINDINGS.setdefault(spark, {})
+    if sf_dir not in per_session:
+        per_session[sf_dir] = DriverBinding(spark, sf_dir)
+    return per_session[sf_dir]
 
 
 def _q(fn, *args, **kw) -> Query:

@@ -16,7 +16,13 @@ from turnstile.functions.periods import Period
 
 
 def period(b: Binding, code: str, source: str = "visits") -> Period:
-    return Period(code, b.as_of_for(source), b.inception)
+    return b.memo(("period", code, source), lambda: Period(code, b.as_of_for(source), b.inception))
+
+
+def pivot_values(b: Binding, name: str, dim: DataFrame) -> list:
+    """Sorted pivot columns of a dimension (one small distinct job, memoised)."""
+    from turnstile.operators.breakdown import label_values
+    return b.memo(("labels", name), lambda: label_values(dim))
 
 
 def with_bucket(df: DataFrame, p: Period | None, fmt: str | None = None, ts: str = "timestamp") -> DataFrame:

@@ -93,7 +93,7 @@ def person_services_pivot(b: Binding, code: str, persons: DataFrame | None = Non
     dim = facts.service_dim(b)
     long = bd.rows_by_label(facts.with_bucket(facts.service_fact(b, p, persons), p, fmt), "service_id", dim,
                             group=["person_id", "period"], out="total")
-    wide = bd.pivot(long, ["person_id", "period"], "label", "total", bd.label_values(dim))
+    wide = bd.pivot(long, ["person_id", "period"], "label", "total", facts.pivot_values(b, "services", dim))
     return wide.withColumnRenamed("person_id", "idperson")
 
 
@@ -113,7 +113,7 @@ def person_housing_pivot(b: Binding, code: str, persons: DataFrame | None = None
     dim = facts.response_dim(b, "housing")
     long = bd.rows_by_label(facts.with_bucket(facts.survey_in(b, p, "housing", persons=persons), p, fmt),
                             "object_id", dim, group=["person_id", "period"], out="total")
-    wide = bd.pivot(long, ["person_id", "period"], "label", "total", bd.label_values(dim))
+    wide = bd.pivot(long, ["person_id", "period"], "label", "total", facts.pivot_values(b, "housing", dim))
     return wide.withColumnRenamed("person_id", "idperson")
 
 

@@ -48,7 +48,7 @@ def services_pivot(b: Binding, code: str, fmt: str | None = None) -> DataFrame:
     dim = facts.service_dim(b)
     long = bd.rows_by_label(facts.with_bucket(facts.service_fact(b, p), p, fmt), "service_id", dim,
                             group=["period"], out="total")
-    return bd.pivot(long, ["period"], "label", "total", bd.label_values(dim)).orderBy("period")
+    return bd.pivot(long, ["period"], "label", "total", facts.pivot_values(b, "services", dim)).orderBy("period")
 
 
 # ----------------------------------------------------------- survey facts
@@ -67,7 +67,7 @@ def _survey_pivot(b, code, kind, fmt=None):
     dim = facts.response_dim(b, kind)
     long = bd.rows_by_label(facts.with_bucket(facts.survey_in(b, p, kind), p, fmt), "object_id", dim,
                             group=["period"], out="total", dim_rows=facts.response_rows(b, kind))
-    return bd.pivot(long, ["period"], "label", "total", bd.label_values(dim)).orderBy("period")
+    return bd.pivot(long, ["period"], "label", "total", facts.pivot_values(b, kind, dim)).orderBy("period")
 
 
 def housing_total(b: Binding, code: str) -> DataFrame:
@@ -131,7 +131,7 @@ def category_pivot(b: Binding, code: str, kind: str, fmt: str | None = None) ->
     labels = b.person_label(kind)
     long = bd.people_by_label(facts.with_bucket(facts.visits_in(b, p), p, fmt), labels,
                               group=["period"], out="total")
-    return bd.pivot(long, ["period"], "label", "total", bd.label_values(labels)).orderBy("period")
+    return bd.pivot(long, ["period"], "label", "total", facts.pivot_values(b, kind, labels)).orderBy("period")
 
 
 def status_total(b: Binding, code: str) -> DataFrame:
