@@ -252,7 +252,10 @@ class CentreBinding(Binding):
         return self._t("person").select("idperson", "timelinestarttime")
 
     def visits(self):
-        return self._t("visit").select("idsnapshot", "person_id", "timestamp")
+        v = self._t("visit")
+        from turnstile.sources.layout import PART_COL
+        keep = ["idsnapshot", "person_id", "timestamp"] + ([PART_COL] if PART_COL in v.columns else [])
+        return v.select(*keep)
 
     def event_visits(self):
         return self.visits()

@@ -30,16 +30,23 @@ def with_bucket(df: DataFrame, p: Period | None, fmt: str | None = None, ts: str
     return df.withColumn("period", bucket(F.col(ts), fmt))
 
 
-def visits_in(b: Binding, p: Period, persons: DataFrame | None = None) -> DataFrame:
+def in_period(df: DataFrame, p: Period, ts: str = "timestamp") -> DataFrame:
+    """FIL1: closed range on the timestamp; when the fact is stored by month
+    (``sources.layout``), also the implied partition filter."""
+    from turnstile.sources.layout import PART_COL, prune_to_period
+    if PART_COL in df.columns:
+        return prune_to_period(df, p, ts)
+    return df.where(p.contains(ts))
+
+
+def visits_in(b: Binding, p: Period, persons=None) -> DataFrame:
     """FIL1 (+FIL3 in batch form): visits in the period, optionally only of
-    the requested persons (a semi join, broadcast when the list is small)."""
-    v = b.visits().where(p.contains("timestamp"))
-    return semi_persons(v, persons)
+    the requested persons."""
+    return semi_persons(in_period(b.visits(), p), persons)
 
 
-def event_visits_in(b: Binding, p: Period, persons: DataFrame | None = None) -> DataFrame:
-    v = b.event_visits().where(p.contains("timestamp"))
-    return semi_persons(v, persons)
+def event_visits_in(b: Binding, p: Period, persons=None) -> DataFrame:
+    return semi_persons(in_period(b.event_visits(), p), persons)
 
 
 # A request list up to this long becomes a literal IN filter that reaches the
@@ -84,7 +91,7 @@ def service_dim(b: Binding) -> DataFrame:
 def survey_in(b: Binding, p: Period, prompt_kind: str, object_id: int | None = None,
               persons: DataFrame | None = None) -> DataFrame:
     """JN3/FIL4/FIL5: survey answers to one prompt in the period."""
-    s = b.survey().where(p.contains("timestamp") & (F.col("prompt_id") == F.lit(b.prompts[prompt_kind])))
+    s = in_period(b.survey(), p).where(F.col("prompt_id") == F.lit(b.prompts[prompt_kind]))
     if object_id is not None:
         s = s.where(F.col("object_id") == F.lit(object_id))
     return semi_persons(s, persons)
