@@ -239,7 +239,7 @@ def _calendar() -> dict[str, str]:
         WITH r AS (SELECT request_id, interval, {s} AS start, {e} AS "end"
                    FROM (VALUES {reqs}) t(request_id, interval)),
              ok AS (SELECT * FROM r WHERE start IS NOT NULL)
-        SELECT ok.request_id, ok.interval, ok.start, ok."end",
+        SELECT CAST(ok.request_id AS BIGINT) AS request_id, ok.interval, ok.start, ok."end",
                CAST(count(o_orderkey) AS BIGINT) AS visits,
                CAST(count(DISTINCT o_custkey) AS BIGINT) AS clients
         FROM ok LEFT JOIN orders ON o_orderdate BETWEEN ok.start AND ok."end"
