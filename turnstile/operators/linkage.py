@@ -51,13 +51,14 @@ def variant_rows(df: DataFrame, col: str, k: int, out: str = "var") -> DataFrame
 
     For k <= 2 the deleted positions come from ``explode(sequence(..))`` and
     the variant from ``substr``/``concat`` (whole-stage codegen, no lambda
-    functions).  Only the lexicographically smallest set of positions that
-    yields a given string is kept: the first deleted position starts its run
-    of equal characters, and the second differs from the character before it
-    once the first is gone.  The smallest set always passes both tests, so
-    no variant is lost, and repeats (deleting either of two equal
-    neighbours) are not generated, so no de-duplication shuffle is needed.
-    Larger k uses the array form.
+    functions).  Position sets that cannot be the lexicographically smallest
+    set yielding their string are skipped: the first deleted position must
+    start its run of equal characters, and the second must differ from the
+    character before it once the first is gone.  The smallest set always
+    passes both tests, so no variant is lost; most repeats (deleting either
+    of two equal neighbours) are never generated, so no de-duplication
+    shuffle is needed, and the few left only add candidates that the final
+    distinct removes.  Larger k uses the array form.
     """
     if k > 2:
         return df.withColumn(out, F.explode(deletion_variants(col, k)))
