@@ -84,7 +84,7 @@ class Binding:
 class DriverBinding(Binding):
     """Binding onto the driver's tables (see README, "Driver binding")."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, tables: dict | None = None):
         super().__init__(
             spark=spark,
             as_of={"visits": "2000-05-15 12:00:00", "survey": "2024-01-24 15:30:00"},
@@ -97,7 +97,7 @@ class DriverBinding(Binding):
             # nation has 25 rows at every scale factor (TPC-H specification)
             dimension_rows={"city": 25, "ethnicity_dim": 25},
         )
-        self.t = ParquetTables(spark, sf_dir)
+        self.t = ParquetTables(spark, sf_dir, tables)
 
     def person(self):
         return self.t("customer").select(

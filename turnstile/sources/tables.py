@@ -9,12 +9,15 @@ DRIVER_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "
 
 
 class ParquetTables:
-    """Lazy, memoised Parquet scans of ``{root}/{name}.parquet``."""
+    """Lazy, memoised Parquet scans of ``{root}/{name}.parquet``.
 
-    def __init__(self, spark: SparkSession, root: str):
+    ``overrides`` maps a table name to a DataFrame to use instead, e.g. a
+    bucketed or month-partitioned copy (``sources.layout``)."""
+
+    def __init__(self, spark: SparkSession, root: str, overrides: dict | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
-        self._cache: dict[str, DataFrame] = {}
+        self._cache: dict[str, DataFrame] = dict(overrides or {})
 
     def __call__(self, name: str) -> DataFrame:
         if name not in self._cache:
