@@ -9,8 +9,9 @@ them with an explicit schema (malformed lines land in ``_corrupt_record``);
 * no type but ``idperson`` -> profile request with period ``PW``,
 * anything else, or an unknown period code -> the reject table.
 
-All requests of a batch are answered by ONE range join of the visits with
-the resolved periods (no per-request loop).  Acknowledgement is the stream
+All requests of a batch are answered by one plan (no per-request loop):
+population requests by a calendar-day range join with the visits, person
+requests by an equi-join on the person.  Acknowledgement is the stream
 checkpoint, not file deletion: a restart with the same checkpoint re-reads
 nothing.  Each batch overwrites only its own ``batch=<epoch>`` output, so a
 replayed batch is idempotent.
@@ -78,10 +79,18 @@ def answer(requests: DataFrame, b: Binding) -> DataFrame:
     """Figures for every accepted request in one plan: population requests
     range-join all visits; person requests also match on the person."""
     ok = requests.where(F.col("kind") != "REJECT")
-    per_person = F.col("kind").isin("IND", "PROFILE")
-    ranges = ok.select("request_key", "start", "end", F.when(per_person, F.col("client")).alias("_who"))
-    hits = range_join(b.visits(), ranges)
-    hits = hits.where(F.col("_who").isNull() | (F.col("_who") == F.col("person_id")))
+    visits = b.visits().select("person_id", "timestamp")
+    # population requests: every visit in the period (calendar-day equi-join)
+    pop_req = ok.where(F.col("kind") == "ALL").select("request_key", "start", "end")
+    pop_hits = range_join(visits, pop_req).select("request_key", "person_id")
+    # person requests: only that person's visits (equi-join on the person,
+    # the period as a residual filter), never every visit of the period
+    per_req = ok.where(F.col("kind").isin("IND", "PROFILE")).select(
+        "request_key", F.col("start").alias("_s"), F.col("end").alias("_e"), F.col("client").alias("_who"))
+    per_hits = (visits.join(per_req, visits.person_id == per_req["_who"])
+                .where(F.col("timestamp").between(F.col("_s"), F.col("_e")))
+                .select("request_key", "person_id"))
+    hits = pop_hits.unionByName(per_hits)
     agg = hits.groupBy("request_key").agg(
         F.count(F.lit(1)).cast("bigint").alias("visits"),
         F.count_distinct("person_id").cast("bigint").alias("clients"))
