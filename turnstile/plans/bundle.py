@@ -126,7 +126,11 @@ def write_bundle(tabs: list[Tab], base: str, report: str, run_ts: str, fmt: str
         t.df.write.mode("overwrite").format(fmt).save(path)
         rows.append((report, run_ts, t.ordinal, t.name, path))
     paths = spark.createDataFrame(rows, "report string, run_ts string, ordinal int, tab string, path string")
-    counts = manifest(tabs).select("ordinal", "rows")
+    # row counts from the written files (footer metadata), not by recomputing the tabs
+    counts = reduce(DataFrame.unionByName, [
+        spark.read.format(fmt).load(path).agg(F.count(F.lit(1)).cast("bigint").alias("rows"))
+        .select(F.lit(ordinal).alias("ordinal"), "rows")
+        for _, _, ordinal, _, path in rows])
     m = paths.join(counts, "ordinal").orderBy("ordinal")
     m.write.mode("overwrite").parquet(f"{root}/_manifest")
     return spark.read.parquet(f"{root}/_manifest")
