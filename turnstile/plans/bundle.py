@@ -134,3 +134,34 @@ def write_bundle(tabs: list[Tab], base: str, report: str, run_ts: str, fmt: str
     m = paths.join(counts, "ordinal").orderBy("ordinal")
     m.write.mode("overwrite").parquet(f"{root}/_manifest")
     return spark.read.parquet(f"{root}/_manifest")
+
+
+# Tab names and descriptions of the person bundle (RP31).
+PERSON_TABS = [
+    ("Outline", "tab names and descriptions"),
+    ("Summary", "visit, service and housing totals"),
+    ("Client Information", "client information"),
+    ("Visit Counts Sub-period", "number of visits by sub-period"),
+    ("Services Delivered Sub-period", "services delivered by sub-period"),
+    ("Housing by Sub-Period", "housing by sub-period"),
+    ("Suspensions", "suspension history"),
+    ("Incarcerations", "incarceration history"),
+]
+
+
+def person_bundle(b: Binding, code: str, persons=None) -> list[Tab]:
+    """RP31: the person bundle in batch form; every tab is keyed by
+    ``idperson`` and covers all requested persons (None = everyone)."""
+    from turnstile.plans import person as per
+
+    frames = {
+        "Outline": outline(b.spark, PERSON_TABS),
+        "Summary": per.person_summary(b, code, persons),
+        "Client Information": per.person_header(b, persons),
+        "Visit Counts Sub-period": per.person_visits_by_period(b, code, persons),
+        "Services Delivered Sub-period": per.person_services_pivot(b, code, persons),
+        "Housing by Sub-Period": per.person_housing_pivot(b, code, persons),
+        "Suspensions": per.person_suspensions(b, code, persons),
+        "Incarcerations": per.person_reported(b, code, persons),
+    }
+    return [Tab(i, t, d, frames[t]) for i, (t, d) in enumerate(PERSON_TABS)]

@@ -85,6 +85,7 @@ CALENDAR: dict[str, Query] = {
 }
 
 BUNDLE_CODE = "YTD"
+PERSON_CODE = "YTD"
 
 
 def _summary(spark, sf_dir):
@@ -95,12 +96,16 @@ def _manifest(spark, sf_dir):
     return bundle.manifest(bundle.population_bundle(_b(spark, sf_dir), BUNDLE_CODE))
 
 
+def _person_manifest(spark, sf_dir):
+    return bundle.manifest(bundle.person_bundle(_b(spark, sf_dir), PERSON_CODE))
+
+
 ASSEMBLY: dict[str, Query] = {
     "summary": _summary,
     "bundle_manifest": _manifest,
+    "person_bundle_manifest": _person_manifest,
 }
 
-PERSON_CODE = "YTD"
 PERSON: dict[str, Query] = {
     "person_header": _q(per.person_header),
     "person_visits": _q(per.person_visits, PERSON_CODE),

@@ -540,8 +540,23 @@ def _feature_parts_sql() -> dict[str, str]:
     }
 
 
+def _person_manifest_sql() -> str:
+    from turnstile.plans.bundle import PERSON_TABS
+
+    q = _person()
+    keys = [None, "person_summary", "person_header", "person_visits_by_period", "person_services_pivot",
+            "person_housing_pivot", "person_suspensions", "person_reported"]
+    rows = []
+    for i, ((tab, desc), key) in enumerate(zip(PERSON_TABS, keys)):
+        cnt = f"SELECT {len(PERSON_TABS)}" if key is None else f"SELECT count(*) FROM ({q[key]})"
+        d = desc.replace("'", "''")
+        rows.append(f"SELECT {i} AS ordinal, '{tab}' AS tab, '{d}' AS description, CAST(({cnt}) AS BIGINT) AS rows")
+    return " UNION ALL ".join(rows)
+
+
 def all_sql() -> dict[str, str]:  # noqa: F811
     out = _all_sql_base()
+    out["person_bundle_manifest"] = " ".join(_person_manifest_sql().split())
     out["request_stream"] = " ".join(_stream_sql().split())
     out.update({k: " ".join(v.split()) for k, v in _feature_parts_sql().items()})
     return out
