@@ -131,8 +131,19 @@ def near_name_pairs(people: DataFrame, k_first: int = 2, k_last: int = 2) -> Dat
             .repartition(n, "dup_firstname", "var"))
     # hash join per partition: the candidate join needs no sort
     cand = left.hint("shuffle_hash").join(right, ["dup_firstname", "var"])
-    verified = cand.where(F.levenshtein("lastname", "dup_lastname", k_last).between(0, k_last))
-    return verified.select("firstname", "lastname", "dup_firstname", "dup_lastname").distinct()
+    # both relations are symmetric, so every unordered pair arrives in both
+    # orientations: verify one orientation only and mirror afterwards
+    one_way = cand.where(F.struct("firstname", "lastname") <= F.struct("dup_firstname", "dup_lastname"))
+    verified = (one_way.where(F.levenshtein("lastname", "dup_lastname", k_last).between(0, k_last))
+                .select("firstname", "lastname", "dup_firstname", "dup_lastname").distinct())
+    fwd = F.struct(F.col("firstname").alias("f"), F.col("lastname").alias("l"),
+                   F.col("dup_firstname").alias("df"), F.col("dup_lastname").alias("dl"))
+    back = F.struct(F.col("dup_firstname").alias("f"), F.col("dup_lastname").alias("l"),
+                    F.col("firstname").alias("df"), F.col("lastname").alias("dl"))
+    same = (F.col("firstname") == F.col("dup_firstname")) & (F.col("lastname") == F.col("dup_lastname"))
+    both = verified.select(F.explode(F.when(same, F.array(fwd)).otherwise(F.array(fwd, back))).alias("p"))
+    return both.select(F.col("p.f").alias("firstname"), F.col("p.l").alias("lastname"),
+                       F.col("p.df").alias("dup_firstname"), F.col("p.dl").alias("dup_lastname"))
 
 
 def near_duplicates(people: DataFrame, k_first: int = 2, k_last: int = 2) -> DataFrame:
