@@ -102,14 +102,16 @@ def near_values(values: DataFrame, col: str, k: int) -> DataFrame:
 
 # The variant join multiplies its input many times over, so AQE, which
 # sizes partitions by the *input*, would coalesce it into a handful of tasks.
-# Its partition count is therefore fixed from the session's shuffle setting
-# times this factor (an explicit count is never coalesced).
+# Its partition count is therefore fixed explicitly (an explicit count is
+# never coalesced): enough to cover every core several times, and never
+# fewer than the session's shuffle setting, which operators size to the data.
 EXPLODING_JOIN_FACTOR = 4
 
 
 def _exploding_partitions(df: DataFrame) -> int:
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, n) * EXPLODING_JOIN_FACTOR
+    spark = df.sparkSession
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(spark.sparkContext.defaultParallelism * EXPLODING_JOIN_FACTOR, shuffle, 1)
 
 
 def near_name_pairs(people: DataFrame, k_first: int = 2, k_last: int = 2) -> DataFrame:
