@@ -165,3 +165,17 @@ def person_bundle(b: Binding, code: str, persons=None) -> list[Tab]:
         "Incarcerations": per.person_reported(b, code, persons),
     }
     return [Tab(i, t, d, frames[t]) for i, (t, d) in enumerate(PERSON_TABS)]
+
+
+# Tab names of the visit-ranking bundle (its Summary tab is
+# always empty in the reference and is dropped, Q23).
+RANKING_TABS = [
+    ("Outline", "tab names and descriptions"),
+    ("Clients By Total Visits", "clients sorted by total visits"),
+]
+
+
+def ranking_bundle(b: Binding, code: str = "SI") -> list[Tab]:
+    """The visit-ranking report: Outline + RP21."""
+    frames = {"Outline": outline(b.spark, RANKING_TABS), "Clients By Total Visits": pop.visit_ranking(b, code)}
+    return [Tab(i, t, d, frames[t]) for i, (t, d) in enumerate(RANKING_TABS)]
