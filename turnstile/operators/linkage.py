@@ -128,7 +128,9 @@ def near_name_pairs(people: DataFrame, k_first: int = 2, k_last: int = 2) -> Dat
                              "var")
              .repartition(n, "dup_firstname", "var"))
     # left: each name key re-addressed to every near first name
-    left = (variants.join(F.broadcast(near_first) if k_first == 0 else near_first, "firstname")
+    # near_first grows with the distinct first names: Spark's size checks
+    # decide whether it is broadcast
+    left = (variants.join(near_first, "firstname")
             .select("firstname", "lastname", "dup_firstname", "var")
             .repartition(n, "dup_firstname", "var"))
     # hash join per partition: the candidate join needs no sort
