@@ -64,10 +64,15 @@ def committed_versions(spark: SparkSession, root: str) -> list[str]:
 
 
 def read_current(spark: SparkSession, root: str) -> DataFrame:
-    versions = committed_versions(spark, root)
-    if not versions:
+    """The newest published version (only that one log row reaches the driver)."""
+    try:
+        log = spark.read.parquet(f"{root.rstrip('/')}/log")
+    except Exception:  # noqa: BLE001 - nothing published yet
+        log = None
+    newest = log.orderBy(F.desc("version")).select("path").first() if log is not None else None
+    if newest is None:
         raise FileNotFoundError(f"no committed version under {root}")
-    return spark.read.parquet(versions[-1])
+    return spark.read.parquet(newest.path)
 
 
 def refresh_suspension_flags(b: Binding, as_of: str, root: str, require_started: bool = False) -> str:
