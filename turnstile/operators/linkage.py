@@ -105,7 +105,7 @@ def near_values(values: DataFrame, col: str, k: int) -> DataFrame:
 # Its partition count is therefore fixed explicitly (an explicit count is
 # never coalesced): enough to cover every core several times, and never
 # fewer than the session's shuffle setting, which operators size to the data.
-EXPLODING_JOIN_FACTOR = 4
+EXPLODING_JOIN_FACTOR = 8
 
 
 def _exploding_partitions(df: DataFrame) -> int:
