@@ -50,18 +50,23 @@ def prefix_before(c: Column | str, delim: str, missing: str = "drop_last") -> Co
     return F.when(pos > 0, F.left(c, pos - 1)).otherwise(absent)
 
 
+def _micros_between(start: Column | str, end: Column | str) -> Column:
+    """Wall-clock microseconds from ``start`` to ``end``.  On
+    ``timestamp_ntz`` values ``timestampdiff`` does not depend on the session
+    time zone (a zoned cast would lose an hour across a daylight-saving
+    change)."""
+    return F.timestamp_diff("MICROSECOND", _c(start).cast("timestamp_ntz"), _c(end).cast("timestamp_ntz"))
+
+
 def days_elapsed(earlier: Column | str, now: Column | str) -> Column:
     """FN6: whole days between two timestamps (floor of the exact difference,
     not the number of midnights crossed)."""
-    e = _c(earlier).cast("timestamp")
-    n = _c(now).cast("timestamp")
-    return F.floor((F.unix_micros(n) - F.unix_micros(e)) / F.lit(_MICROS_PER_DAY)).cast("bigint")
+    return F.floor(_micros_between(earlier, now) / F.lit(_MICROS_PER_DAY)).cast("bigint")
 
 
 def seconds_between(start: Column | str, end: Column | str) -> Column:
     """FN4: length of an interval in whole seconds (portable to SQL oracles)."""
-    return ((F.unix_micros(_c(end).cast("timestamp")) - F.unix_micros(_c(start).cast("timestamp")))
-            / F.lit(1_000_000)).cast("bigint")
+    return (_micros_between(start, end) / F.lit(1_000_000)).cast("bigint")
 
 
 def code_label(c: Column | str, mapping: dict) -> Column:
@@ -86,8 +91,11 @@ def ratio(a: Column | str, b: Column | str) -> Column:
 
 
 def us_date(ts: Column | str) -> Column:
-    """FN5: ``MM/dd/yyyy``."""
-    return F.date_format(_c(ts), "MM/dd/yyyy")
+    """FN5: ``MM/dd/yyyy`` from the stored wall clock (time-zone independent)."""
+    t = _c(ts)
+    return F.concat(F.lpad(F.month(t).cast("string"), 2, "0"), F.lit("/"),
+                    F.lpad(F.dayofmonth(t).cast("string"), 2, "0"), F.lit("/"),
+                    F.lpad(F.year(t).cast("string"), 4, "0"))
 
 
 def attribute_value(df: DataFrame, keys: list[str], attrs: list[tuple[str, Column | str]],
