@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from llm.decontaminate import contamination
 from llm.scratch import table
+from llm.sketch_join import jaccard_components
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,8 +17,13 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    return {"op1_decontamination": op1_decontamination}
+    found = (op1_decontamination, op4_ngram_jaccard)
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
