@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from llm.decontaminate import contamination
 from llm.scratch import table
 from llm.sketch_join import jaccard_components
+from llm.substrings import repeated_spans_removed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,8 +22,12 @@ def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_spans_removed(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    found = (op1_decontamination, op4_ngram_jaccard)
+    found = (op1_decontamination, op4_ngram_jaccard, op10_substring_dedup)
     return {f.__name__: f for f in found}
 
 
