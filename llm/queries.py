@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from llm.decontaminate import contamination
+from llm.line_dedup import line_decisions
+from llm.mixing import taken_words
 from llm.scratch import table
 from llm.sketch_join import jaccard_components
 from llm.substrings import repeated_spans_removed
@@ -22,12 +24,20 @@ def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return taken_words(table(spark, sf_dir, "documents"))
+
+
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_decisions(table(spark, sf_dir, "documents"))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_spans_removed(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Query]:
-    found = (op1_decontamination, op4_ngram_jaccard, op10_substring_dedup)
+    found = (op1_decontamination, op4_ngram_jaccard, op7_source_mixing, op8_line_dedup, op10_substring_dedup)
     return {f.__name__: f for f in found}
 
 
