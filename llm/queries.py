@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from llm.decontaminate import contamination
 from llm.line_dedup import line_decisions
 from llm.mixing import taken_words
+from llm.quality import quality_scores
 from llm.scratch import table
 from llm.sketch_join import jaccard_components
 from llm.substrings import repeated_spans_removed
+from llm.token_shards import read_shards, write_shards
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +23,14 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_shards(write_shards(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")))
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -37,7 +48,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = (op1_decontamination, op4_ngram_jaccard, op7_source_mixing, op8_line_dedup, op10_substring_dedup)
+    found = (op1_decontamination, op2_token_shards, op3_quality, op4_ngram_jaccard, op7_source_mixing, op8_line_dedup, op10_substring_dedup)
     return {f.__name__: f for f in found}
 
 
