@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from llm.scratch import stored
 from llm.words import ALNUM, Words, blocks, ragged, sorted_order
 
-SEGMENT_BYTES = 16 << 20
+SEGMENT_BYTES = 4 << 20
 #: Phrases that one pass over the index takes along; more go through it in further passes.
 PHRASES_AT_ONCE = 200_000
 INDEX = "segment long, doc_ids array<long>, n_words array<long>, terms binary, counts binary, positions binary"

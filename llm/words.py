@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE = 1 << 21
+SLICE = 1 << 19
 _U = np.uint64
 _BASE, _LEN, _M1, _M2 = _U(0x9E3779B97F4A7C15), _U(0xD6E8FEB86659FD93), _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB)
 _RANDOM = np.random.default_rng(20240229).integers(1, 2**63, 256, dtype=np.uint64) * _U(2) + _U(1)
