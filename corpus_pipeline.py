@@ -1,14 +1,68 @@
-"""The corpus pipeline: documents through stages, each written as Parquet and read again."""
+"""The corpus pipeline: documents through five stages, each written as Parquet and read again.
+
+1. quality: documents that the classifier rejects go.
+2. near duplicates: of each group of documents linked by similar word shingles, the one with the smallest id stays.
+3. decontamination: documents that hold a window of a benchmark item go.
+4. mixing: every document comes as many times, none up to three, as the mix of sources to target weights takes its words.
+5. tokens: the mix is encoded and written in wavelet-matrix shards; the result tells each document's tokens.
+
+Each stage decides on all its predecessor kept and returns the columns of its input, but for the last.  Rows with equal ids
+stay or go together.  Documents without words pass stages 2 and 3 and are taken no time by the mix.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from llm.decontaminate import contamination
+from llm.mixing import taken_words
+from llm.quality import good_documents
 from llm.scratch import stored, table
+from llm.sketch_join import jaccard_components
+from llm.token_shards import read_shards, write_shards
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return good_documents(docs, table(spark, sf_dir, "labels"))
+
+
+def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["gone"]), "left_anti")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = jaccard_components(docs)
+    return _without(docs, stored(found.where("NOT doc_id <=> component_id").select(F.col("doc_id").alias("gone")).distinct(), "duplicate-ids"))
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = contamination(docs, table(spark, sf_dir, "benchmark"))
+    return _without(docs, stored(found.where("contaminated").select(F.col("doc_id").alias("gone")).distinct(), "contaminated-ids"))
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    taken = taken_words(docs).where("size > 0").groupBy(F.col("doc_id").alias("of")).agg(F.max(F.round(F.col("taken") / F.col("size")).cast("int")).alias("times"))
+    taken = stored(taken.where("times > 0"), "mix-times")
+    mix = docs.join(taken, docs["doc_id"].eqNullSafe(taken["of"])).withColumn("time", F.explode(F.sequence(F.lit(1), "times")))
+    return mix.select(*docs.columns)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return read_shards(write_shards(docs, public_tokenizers.path("byte_bpe_50k.json")))
+
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality", quality),
+    ("near duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("mixing", mixing),
+    ("tokens", tokens),
+]
+#: No SQL: trees, the shuffling hash and the tokenizer can't be told in it; tests/llm holds the run against brute force.
 ORACLE_SQL = None
 
 

@@ -47,8 +47,8 @@ def pack(block: int, hashes: np.ndarray, records: np.ndarray, info: bytes, bucke
             yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()), strict=True)], names=_NAMES[PACKED])
 
 
-def judged(packed: DataFrame, buckets: int, kind: np.dtype, judge: Callable[[np.ndarray], np.ndarray], finish: Callable[[bytes, np.ndarray], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """``judge`` gets all records of a bucket and gives a byte for each; ``finish`` gets a block's information and bytes."""
+def judged(packed: DataFrame, buckets: int, kind: np.dtype, judge: Callable[[np.ndarray], np.ndarray], finish: Callable[[bytes, np.ndarray], Iterator[pa.RecordBatch]], schema: str, verdict: type = np.uint8) -> DataFrame:
+    """``judge`` gets all records of a bucket and gives a verdict for each; ``finish`` gets a block's information and verdicts."""
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[pa.RecordBatch]] = {}
@@ -59,7 +59,7 @@ def judged(packed: DataFrame, buckets: int, kind: np.dtype, judge: Callable[[np.
             parts = [np.frombuffer(x.column("records")[0].as_buffer(), kind) for x in some]
             flags = np.split(judge(np.concatenate(parts)), np.cumsum([len(x) for x in parts])[:-1])
             for x, f in zip(some, flags, strict=True):
-                yield pa.RecordBatch.from_arrays([x.column("bucket"), x.column("block"), pa.array([f.astype(np.uint8).tobytes()], pa.binary()), x.column("places"), x.column("info")], names=_NAMES[JUDGED])
+                yield pa.RecordBatch.from_arrays([x.column("bucket"), x.column("block"), pa.array([f.astype(verdict).tobytes()], pa.binary()), x.column("places"), x.column("info")], names=_NAMES[JUDGED])
 
     def back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, dict[int, bytes]] = {}
@@ -71,8 +71,8 @@ def judged(packed: DataFrame, buckets: int, kind: np.dtype, judge: Callable[[np.
                     own[row["block"]] = row["places"], row["info"]
         for block, (places, info) in own.items():
             order = np.argsort(np.frombuffer(places, _place_type(buckets)), kind="stable")
-            flags = np.empty(len(order), np.uint8)
-            flags[order] = np.frombuffer(b"".join(held[block][i] for i in sorted(held[block])), np.uint8)
+            flags = np.empty(len(order), verdict)
+            flags[order] = np.frombuffer(b"".join(held[block][i] for i in sorted(held[block])), verdict)
             yield from finish(info, flags)
 
     met = packed.repartition(buckets, "bucket").mapInArrow(meet, JUDGED)

@@ -7,14 +7,20 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from llm.context_mixing import mixing_scores
 from llm.decontaminate import contamination
 from llm.line_dedup import line_decisions
 from llm.mixing import taken_words
+from llm.placement import placed
 from llm.quality import quality_scores
 from llm.scratch import table
 from llm.sketch_join import jaccard_components
 from llm.substrings import repeated_spans_removed
 from llm.token_shards import read_shards, write_shards
+from llm.topk_search import top_k
+
+#: Shards of the sharding query; every fourth takes twice as many documents.
+SHARDS = {f"shard-{i:03d}": 2 if i % 4 == 0 else 1 for i in range(64)}
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +41,15 @@ def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op5_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return top_k(vectors, vectors.where("vec_id % 100 = 0"))
+
+
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return placed(table(spark, sf_dir, "documents").select("doc_id"), ["doc_id"], SHARDS)
+
+
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken_words(table(spark, sf_dir, "documents"))
 
@@ -43,12 +58,16 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_decisions(table(spark, sf_dir, "documents"))
 
 
+def op9_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing_scores(table(spark, sf_dir, "documents"))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_spans_removed(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Query]:
-    found = (op1_decontamination, op2_token_shards, op3_quality, op4_ngram_jaccard, op7_source_mixing, op8_line_dedup, op10_substring_dedup)
+    found = (op1_decontamination, op2_token_shards, op3_quality, op4_ngram_jaccard, op5_topk_search, op6_sharding, op7_source_mixing, op8_line_dedup, op9_context_mixing, op10_substring_dedup)
     return {f.__name__: f for f in found}
 
 
