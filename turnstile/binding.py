@@ -8,7 +8,8 @@ prunes columns and pushes report filters through it into the Parquet reader.
 
 Role schemas
 ------------
-person            idperson, firstname, lastname, aliasname, credits
+person            idperson, firstname, lastname, aliasname, credits, sexoffender
+person_table      every column of the person table, its id as idperson
 first_seen        idperson, timelinestarttime
 visits            idsnapshot, person_id, timestamp
 requests          connection_id, service_id
@@ -50,6 +51,7 @@ class Binding:
 
     # -- roles (implemented per schema) ---------------------------------
     def person(self) -> DataFrame: raise NotImplementedError
+    def person_table(self) -> DataFrame: raise NotImplementedError
     def first_seen(self) -> DataFrame: raise NotImplementedError
     def visits(self) -> DataFrame: raise NotImplementedError
     def requests(self) -> DataFrame: raise NotImplementedError
@@ -73,8 +75,7 @@ class Binding:
         return self.as_of.get(source) or self.as_of["visits"]
 
     def memo(self, key, build):
-        """Per-binding memo for small driver-side values (resolved periods,
-        pivot label lists) so repeated reports do not rebuild them."""
+        """Per-binding memo of resolved periods, which no table feeds."""
         cache = self.__dict__.setdefault("_memo", {})
         if key not in cache:
             cache[key] = build()
@@ -105,7 +106,11 @@ class DriverBinding(Binding):
             F.col("c_mktsegment").alias("firstname"),
             F.col("c_name").alias("lastname"),
             F.lit(None).cast("string").alias("aliasname"),
-            F.col("c_acctbal").alias("credits"))
+            F.col("c_acctbal").alias("credits"),
+            F.lit(None).cast("int").alias("sexoffender"))
+
+    def person_table(self):
+        return self.t("customer").withColumnRenamed("c_custkey", "idperson")
 
     def first_seen(self):
         # first visit of each person; the partial aggregate runs map-side
@@ -246,7 +251,14 @@ class CentreBinding(Binding):
         return self.tables[name]
 
     def person(self):
-        return self._t("person").select("idperson", "firstname", "lastname", "aliasname", "credits")
+        p = self._t("person")
+        named = "registered_offender_id"   # Q9
+        offender = F.col(named) if named in p.columns else F.lit(None)
+        return p.select("idperson", "firstname", "lastname", "aliasname", "credits",
+                        offender.cast("int").alias("sexoffender"))
+
+    def person_table(self):
+        return self._t("person")
 
     def first_seen(self):
         return self._t("person").select("idperson", "timelinestarttime")

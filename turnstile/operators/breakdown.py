@@ -21,9 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from turnstile.operators.joins import MAX_BROADCAST_ROWS, bounded_broadcast  # noqa: F401
-
-MAX_PIVOT_VALUES = 1000
+from turnstile.operators.joins import bounded_broadcast
 
 
 def rows_by_label(fact: DataFrame, key: str, dim: DataFrame, group: Sequence[str] = (),
@@ -67,34 +65,48 @@ def people_total_and_breakdown(fact: DataFrame, labels: DataFrame, period: str =
                  F.grouping(period).cast("int").alias("is_total")))
 
 
-def label_values(labels: DataFrame, label: str = "label", max_values: int = MAX_PIVOT_VALUES) -> list:
-    """Sorted distinct non-NULL labels of a dimension, for a stable pivot
-    schema.  The distinct runs on the executors; at most ``max_values + 1``
-    values reach the driver, and more than ``max_values`` raises."""
-    vals = (labels.where(F.col(label).isNotNull()).select(label).distinct()
-            .limit(max_values + 1).collect())
-    if len(vals) > max_values:
-        raise ValueError(f"pivot on {label!r} has more than {max_values} values")
-    return sorted(r[0] for r in vals)
+def label_values(labels: DataFrame, label: str = "label") -> list:
+    """Sorted distinct non-NULL labels, read anew on each call: a label that
+    came since the last one gets its column.  As in Spark's own ``pivot``, more
+    labels than ``spark.sql.pivotMaxValues`` are an error; the long reports
+    (``*_by_period``) have no such width."""
+    most = int(labels.sparkSession.conf.get("spark.sql.pivotMaxValues"))
+    found = labels.where(F.col(label).isNotNull()).select(label).distinct().limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"pivot on {label!r} has more than spark.sql.pivotMaxValues = {most} labels")
+    return sorted(r[0] for r in found)
+
+
+def column_names(index: Sequence[str], labels: Sequence[str]) -> list[str]:
+    """A column name for each label: the label itself, or with a number added
+    where another column has that name already (names ignore case)."""
+    used, out = {c.lower() for c in index}, []
+    for v in labels:
+        name, n = str(v), 1
+        while name.lower() in used:
+            n += 1
+            name = f"{v} ({n})"
+        used.add(name.lower())
+        out.append(name)
+    return out
 
 
 def pivot(long: DataFrame, index: Sequence[str], column: str = "label", value: str = "n",
           values: Sequence | None = None, rename: dict | None = None) -> DataFrame:
-    """PV1/PV3: long -> wide; gaps become 0 (bigint), NULL labels dropped."""
+    """PV1/PV3: long -> wide; gaps become 0 (bigint), NULL labels dropped.
+
+    ``values`` gives the columns (``dimension`` mode: all labels of a
+    dimension); without it the columns are the labels that ``long`` has
+    (``observed`` mode)."""
     if values is None:
         values = label_values(long, column)
-    wide = (long.where(F.col(column).isNotNull())
-            .groupBy(*index).pivot(column, list(values)).agg(F.sum(value)))
-    cols = [F.col(c) for c in index]
-    for v in values:
-        name = (rename or {}).get(v, str(v))
-        cols.append(F.coalesce(F.col(f"`{v}`"), F.lit(0)).cast("bigint").alias(name))
-    return wide.select(*cols)
-
-
-def keyed_pivot_values(dim: DataFrame, label: str = "label") -> list:
-    return label_values(dim, label)
+    names = column_names(index, [(rename or {}).get(v, v) for v in values])
+    n = F.coalesce(F.col(value), F.lit(0))
+    sums = [F.sum(F.when(F.col(column) == F.lit(v), n).otherwise(F.lit(0))).cast("bigint").alias(name)
+            for v, name in zip(values, names)]
+    rows = long.where(F.col(column).isNotNull()).groupBy(*index)
+    return rows.agg(*sums) if sums else rows.agg(F.count(F.lit(1)).alias("_n")).drop("_n")
 
 
 __all__ = ["rows_by_label", "people_by_label", "rows_total_and_breakdown",
-           "people_total_and_breakdown", "label_values", "pivot", "MAX_BROADCAST_ROWS"]
+           "people_total_and_breakdown", "label_values", "column_names", "pivot"]

@@ -8,10 +8,13 @@ from pyspark.sql import functions as F
 from turnstile.operators.features import RATE_COLUMNS
 
 
-def fit_kmeans(features: DataFrame, k: int = 3, seed: int = 42, cols=RATE_COLUMNS, max_iter: int = 20):
+def fit_kmeans(features: DataFrame, k: int = 3, seed: int = 42, cols=RATE_COLUMNS, max_iter: int = 300,
+               tol: float = 1e-4):
     """ML1: Spark ML k-means (k-means|| init, fixed seed) over the rates.
     NULL rates (no visits to divide by) are treated as 0.
-    Returns (model, assignments(idperson, prediction), centroids)."""
+    The fit stops at the tolerance ``tol``; ``max_iter`` is a bound far beyond.
+    Returns (model, assignments(idperson, prediction), centroids); the model's
+    summary tells the iterations used (fewer than ``max_iter``: converged)."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import VectorAssembler
 
@@ -24,7 +27,7 @@ def fit_kmeans(features: DataFrame, k: int = 3, seed: int = 42, cols=RATE_COLUMN
     # lineage, so a lost executor recomputes from the checkpoint, not the joins)
     ensure_checkpoint_dir(features.sparkSession)
     vec = vec.checkpoint(eager=True)
-    model = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features").fit(vec)
+    model = KMeans(k=k, seed=seed, maxIter=max_iter, tol=tol, featuresCol="features").fit(vec)
     assign = model.transform(vec).select("idperson", F.col("prediction").cast("int").alias("prediction"))
     spark = features.sparkSession
     rows = [(i, *[float(v) for v in c]) for i, c in enumerate(model.clusterCenters())]
@@ -41,3 +44,24 @@ def assign_nearest(features: DataFrame, centroids: list[list[float]], cols=RATE_
         F.zip_with(f, c, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda acc, x: acc + x))
     return features.select("idperson", (F.array_position(dist, F.array_min(dist)) - 1).cast("int")
                            .alias("prediction"))
+
+
+def update_step(features: DataFrame, centroids: list[list[float]], cols=RATE_COLUMNS) -> DataFrame:
+    """ML3: the centroids after one step of the algorithm from the given ones:
+    the mean of each cluster's people, to six decimals.  Clusters without people
+    have no row."""
+    placed = assign_nearest(features, centroids, cols).join(features, "idperson")
+    return placed.groupBy(F.col("prediction").alias("cluster")).agg(
+        *[F.round(F.avg(F.coalesce(F.col(c), F.lit(0.0))), 6).alias(c) for c in cols])
+
+
+def fit_facts(features: DataFrame, k: int = 3, seed: int = 42, cols=RATE_COLUMNS, max_iter: int = 300) -> DataFrame:
+    """Facts by which a real fit can be checked: people, clusters that have
+    some, people who aren't with their nearest centroid, and whether the fit
+    converged before ``max_iter``."""
+    model, assign, _ = fit_kmeans(features, k, seed, cols, max_iter)
+    nearest = assign_nearest(features, [[float(v) for v in c] for c in model.clusterCenters()], cols)
+    both = assign.join(nearest.withColumnRenamed("prediction", "nearest"), "idperson")
+    return both.agg(F.count(F.lit(1)).alias("people"), F.count_distinct("prediction").alias("clusters"),
+                    F.count_if(F.col("prediction") != F.col("nearest")).alias("misplaced"),
+                    F.lit(model.summary.numIter < max_iter).alias("converged"))

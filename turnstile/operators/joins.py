@@ -1,42 +1,19 @@
-"""Join helpers: size-checked broadcast and an equi-join form of range joins."""
+"""Join helpers: broadcast of sides of a specified size and an equi-join form of range joins."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A broadcast side is held whole in every executor; above this many rows we
-# leave the join to the planner (sort-merge, with AQE's runtime re-plan and
-# skew splitting).
-MAX_BROADCAST_ROWS = 1_000_000
 
-
-def bounded_broadcast(df: DataFrame, known_rows: int | None = None,
-                      max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only when its row count has a bound known up front
-    (a literal list, a table whose size is fixed by its specification, a
-    product of such bounds) that is within ``max_rows``.
-
-    Everything else is left to Spark's own size checks, which cost no extra
-    job: the planner broadcasts a side whose estimated size is under
+def bounded_broadcast(df: DataFrame, specified_rows: int | None = None) -> DataFrame:
+    """Broadcast ``df`` if its schema's specification fixes its number of rows
+    (``nation`` has 25 at every scale).  All else is left to Spark's own checks
+    of bytes: the planner broadcasts a side whose estimated size is under
     ``spark.sql.autoBroadcastJoinThreshold``, and AQE re-plans a shuffle join
-    into a broadcast once the materialised side is measured under
-    ``spark.sql.adaptive.autoBroadcastJoinThreshold``.  Beyond those bounds the
-    join stays a sort-merge join (with AQE skew splitting).
-    """
-    if known_rows is not None and known_rows <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
-def join_dimension(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str = "id",
-                   how: str = "inner", known_rows: int | None = None) -> DataFrame:
-    """Fact ⋈ dimension on one key, broadcasting the dimension when its size
-    bound is known and small."""
-    d = bounded_broadcast(dim, known_rows)
-    cond = fact[fact_key] == d[dim_key]
-    out = fact.join(d, cond, how)
-    return out.drop(d[dim_key]) if fact_key != dim_key else out
+    once a side is measured; beyond that it stays a sort-merge join with AQE
+    skew splitting."""
+    return df if specified_rows is None else F.broadcast(df)
 
 
 def expand_days(ranges: DataFrame, start: str = "start", end: str = "end", day: str = "day") -> DataFrame:
@@ -46,16 +23,15 @@ def expand_days(ranges: DataFrame, start: str = "start", end: str = "end", day:
 
 
 def range_join(facts: DataFrame, ranges: DataFrame, ts: str = "timestamp",
-               start: str = "start", end: str = "end",
-               known_day_rows: int | None = None) -> DataFrame:
+               start: str = "start", end: str = "end") -> DataFrame:
     """facts ⋈ ranges on ``ts BETWEEN start AND end`` as an equi-join on the
     calendar day plus an exact residual filter (no nested-loop join).
 
-    The day-expanded range side is broadcast when its size bound
-    (``known_day_rows``) is known and small; otherwise Spark's size checks
-    decide, and a shuffle join on the day has AQE split hot days.
+    Spark's size checks decide whether the day-expanded ranges are broadcast; a
+    shuffle join on the day has AQE split hot days.  A fact comes once for each
+    range that holds it, so callers give distinct ranges.
     """
-    r = bounded_broadcast(expand_days(ranges, start, end, "_day"), known_day_rows)
+    r = expand_days(ranges, start, end, "_day")
     f = facts.withColumn("_fday", F.to_date(F.col(ts)))
     return (f.join(r, f["_fday"] == r["_day"])
             .where(F.col(ts).between(F.col(start), F.col(end)))

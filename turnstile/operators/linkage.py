@@ -14,8 +14,9 @@ on *distinct names*, never a cross join:
    every candidate is verified exactly with ``levenshtein`` on the last name;
 4. verified name pairs are expanded to the people that carry those names.
 
-Step 3 is where a hot variant could concentrate work: its join is a plain
-shuffle join, so AQE's skew handling splits such a key across tasks.
+Step 3 is where a hot variant could concentrate work.  Its join is a plain
+sort-merge join whose shuffles the planner adds, so AQE splits such a key across
+tasks (a test forces small thresholds and sees the split).
 """
 
 from __future__ import annotations
@@ -47,45 +48,27 @@ def deletion_variants(col: str, k: int) -> Column:
 
 def variant_rows(df: DataFrame, col: str, k: int, out: str = "var") -> DataFrame:
     """``df`` plus one row per distinct deletion variant of ``col`` (0..k
-    deletions).
-
-    For k <= 2 the deleted positions come from ``explode(sequence(..))`` and
-    the variant from ``substr``/``concat`` (whole-stage codegen, no lambda
-    functions).  Position sets that cannot be the lexicographically smallest
-    set yielding their string are skipped: the first deleted position must
-    start its run of equal characters, and the second must differ from the
-    character before it once the first is gone.  The smallest set always
-    passes both tests, so no variant is lost; most repeats (deleting either
-    of two equal neighbours) are never generated, so no de-duplication
-    shuffle is needed, and the few left only add candidates that the final
-    distinct removes.  Larger k uses the array form.
+    deletions), for any k.
+
+    Each further deletion explodes the positions from the last one on
+    (``explode(sequence(..))`` and ``substr``/``concat``, whole-stage codegen, no
+    array of all variants in a row).  Of equal neighbours only the first is
+    deleted, counted after the deletions before it, so most repeats are never
+    made; the few left only add candidates, which the final distinct removes.
     """
-    if k > 2:
-        return df.withColumn(out, F.explode(deletion_variants(col, k)))
-    n = F.length(F.col(col))
-    empty = F.array().cast("array<int>")
-
-    def ch(pos):
-        return F.expr(f"substr({col}, {pos}, 1)")
-
-    run_start = (F.col("_i") == 1) | (ch("_i - 1") != ch("_i"))
-    levels = [df.withColumn(out, F.col(col))]
-    if k >= 1:
-        one = (df.withColumn("_i", F.explode(F.when(n >= 1, F.sequence(F.lit(1), n)).otherwise(empty)))
-               .where(run_start))
-        levels.append(one.withColumn(out, F.concat(F.expr(f"substr({col}, 1, _i - 1)"),
-                                                   F.expr(f"substr({col}, _i + 1)"))).drop("_i"))
-    if k >= 2:
-        before_j = F.when(F.col("_j") - 1 == F.col("_i"),
-                          F.when(F.col("_i") > 1, ch("_i - 1"))).otherwise(ch("_j - 1"))
-        two = (df.withColumn("_i", F.explode(F.when(n >= 2, F.sequence(F.lit(1), n - 1)).otherwise(empty)))
-               .where(run_start)
-               .withColumn("_j", F.explode(F.sequence(F.col("_i") + 1, n)))
-               .where(before_j.isNull() | (before_j != ch("_j"))))
-        levels.append(two.withColumn(out, F.concat(F.expr(f"substr({col}, 1, _i - 1)"),
-                                                   F.expr(f"substr({col}, _i + 1, _j - _i - 1)"),
-                                                   F.expr(f"substr({col}, _j + 1)"))).drop("_i", "_j"))
-    return reduce(DataFrame.unionByName, levels)
+    if k < 0:
+        raise ValueError("k must be >= 0")
+    level = df.withColumn(out, F.col(col)).withColumn("_from", F.lit(1))
+    levels = [level]
+    for _ in range(k):
+        n = F.length(out)
+        some = F.when(F.col("_from") <= n, F.sequence(F.col("_from"), n)).otherwise(F.array().cast("array<int>"))
+        cut = level.withColumn("_i", F.explode(some))
+        first = (F.col("_i") == 1) | (F.expr(f"substr({out}, _i - 1, 1)") != F.expr(f"substr({out}, _i, 1)"))
+        level = (cut.where(first).withColumn(out, F.concat(F.expr(f"substr({out}, 1, _i - 1)"), F.expr(f"substr({out}, _i + 1)")))
+                 .withColumn("_from", F.col("_i")).drop("_i"))
+        levels.append(level)
+    return reduce(DataFrame.unionByName, levels).drop("_from")
 
 
 def near_values(values: DataFrame, col: str, k: int) -> DataFrame:
@@ -94,47 +77,31 @@ def near_values(values: DataFrame, col: str, k: int) -> DataFrame:
     v = values.select(F.col(col).alias("a")).where(F.col("a").isNotNull()).distinct()
     if k == 0:
         return v.select("a", F.col("a").alias("b"))
-    left = v.select("a", F.explode(deletion_variants("a", k)).alias("var"))
+    left = variant_rows(v, "a", k)
     right = left.select(F.col("a").alias("b"), "var")
     cand = left.join(right, "var").select("a", "b").distinct()
     return cand.where(F.levenshtein("a", "b", k).between(0, k))
 
 
-# The variant join multiplies its input many times over, so AQE, which
-# sizes partitions by the *input*, would coalesce it into a handful of tasks.
-# Its partition count is therefore fixed explicitly (an explicit count is
-# never coalesced): enough to cover every core several times, and never
-# fewer than the session's shuffle setting, which operators size to the data.
-EXPLODING_JOIN_FACTOR = 8
-
-
-def _exploding_partitions(df: DataFrame) -> int:
-    spark = df.sparkSession
-    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(spark.sparkContext.defaultParallelism * EXPLODING_JOIN_FACTOR, shuffle, 1)
-
-
 def near_name_pairs(people: DataFrame, k_first: int = 2, k_last: int = 2) -> DataFrame:
     """Verified pairs of distinct name keys:
     (firstname, lastname, dup_firstname, dup_lastname), both directions,
     including a name paired with itself."""
     names = (people.where(F.col("firstname").isNotNull() & F.col("lastname").isNotNull())
              .select("firstname", "lastname").distinct())
-    n = _exploding_partitions(people)
     near_first = near_values(names, "firstname", k_first).select(
         F.col("a").alias("firstname"), F.col("b").alias("dup_firstname"))
     variants = variant_rows(names, "lastname", k_last)
     right = (variants.select(F.col("firstname").alias("dup_firstname"), F.col("lastname").alias("dup_lastname"),
-                             "var")
-             .repartition(n, "dup_firstname", "var"))
+                             "var"))
     # left: each name key re-addressed to every near first name
     # near_first grows with the distinct first names: Spark's size checks
     # decide whether it is broadcast
     left = (variants.join(near_first, "firstname")
-            .select("firstname", "lastname", "dup_firstname", "var")
-            .repartition(n, "dup_firstname", "var"))
-    # hash join per partition: the candidate join needs no sort
-    cand = left.hint("shuffle_hash").join(right, ["dup_firstname", "var"])
+            .select("firstname", "lastname", "dup_firstname", "var"))
+    # a join whose shuffles Spark adds itself: AQE splits a hot variant over
+    # tasks (it leaves explicit repartitions as they are)
+    cand = left.join(right, ["dup_firstname", "var"])
     # both relations are symmetric, so every unordered pair arrives in both
     # orientations: verify one orientation only and mirror afterwards
     one_way = cand.where(F.struct("firstname", "lastname") <= F.struct("dup_firstname", "dup_lastname"))

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnstile.binding import Binding
+from turnstile.sources.tables import read_if_there
 
 
 def active_suspensions(b: Binding, as_of: str, require_started: bool = False) -> DataFrame:
@@ -53,31 +54,37 @@ def write_version(df: DataFrame, root: str, version: int | None = None) -> str:
     return path
 
 
+def _log(spark: SparkSession, root: str) -> DataFrame | None:
+    """The version log, or None if nothing was published yet; any other error of the storage is raised."""
+    return read_if_there(spark, f"{root.rstrip('/')}/log")
+
+
 def committed_versions(spark: SparkSession, root: str) -> list[str]:
     """Paths of published versions, oldest first (the log is one small row
     per publish)."""
-    try:
-        log = spark.read.parquet(f"{root.rstrip('/')}/log")
-    except Exception:  # noqa: BLE001 - nothing published yet
-        return []
-    return [r.path for r in log.orderBy("version").collect()]
+    log = _log(spark, root)
+    return [] if log is None else [r.path for r in log.orderBy("version").collect()]
 
 
 def read_current(spark: SparkSession, root: str) -> DataFrame:
     """The newest published version (only that one log row reaches the driver)."""
-    try:
-        log = spark.read.parquet(f"{root.rstrip('/')}/log")
-    except Exception:  # noqa: BLE001 - nothing published yet
-        log = None
+    log = _log(spark, root)
     newest = log.orderBy(F.desc("version")).select("path").first() if log is not None else None
     if newest is None:
         raise FileNotFoundError(f"no committed version under {root}")
     return spark.read.parquet(newest.path)
 
 
-def refresh_suspension_flags(b: Binding, as_of: str, root: str, require_started: bool = False) -> str:
-    """SNK3: person rows with the recomputed flag, published atomically as a
-    new version.  Returns the written path."""
-    person = b.person()
+def refreshed_person_table(b: Binding, as_of: str, require_started: bool = False) -> DataFrame:
+    """The whole person table, every column kept, with ``iscurrentlysuspended``
+    recomputed as of ``as_of``."""
+    person = b.person_table()
     flags = suspension_flags(b, as_of, require_started)
-    return write_version(person.join(flags, "idperson"), root)
+    rest = [c for c in person.columns if c not in ("idperson", "iscurrentlysuspended")]
+    return person.drop("iscurrentlysuspended").join(flags, "idperson").select("idperson", *rest, "iscurrentlysuspended")
+
+
+def refresh_suspension_flags(b: Binding, as_of: str, root: str, require_started: bool = False) -> str:
+    """SNK3: the person table with the recomputed flag, published atomically as
+    a new version.  Returns the written path."""
+    return write_version(refreshed_person_table(b, as_of, require_started), root)

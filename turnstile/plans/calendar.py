@@ -3,8 +3,6 @@ bucket breakdowns over whole tables, and many requests served in one job."""
 
 from __future__ import annotations
 
-from datetime import datetime
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -56,29 +54,20 @@ def resolve(b: Binding, requests: DataFrame) -> tuple[DataFrame, DataFrame]:
     return r.where(F.col("start").isNotNull()), r.where(F.col("start").isNull())
 
 
-def max_period_days(b: Binding, source: str = "visits") -> int:
-    """Upper bound on the calendar days any accepted period spans: the longest
-    is SI (inception to as-of); day, month, quarter and year codes are shorter."""
-    as_of = datetime.fromisoformat(b.as_of_for(source))
-    inception = datetime.fromisoformat(b.inception)
-    return max((as_of - inception).days + 2, 367)
-
-
-def requests_x_periods(b: Binding, requests: DataFrame | None = None,
-                       n_requests: int | None = None) -> DataFrame:
+def requests_x_periods(b: Binding, requests: DataFrame | None = None) -> DataFrame:
     """JN14: all pending requests served in one job: per request, visits and
-    distinct people in its own period (range join as a day equi-join).
-    ``n_requests``, when the caller knows it, bounds the day-expanded side."""
-    if requests is None:
-        requests, n_requests = requests_frame(b), len(SAMPLE_REQUESTS)
-    ok, _ = resolve(b, requests)
+    distinct people in its own period.  Each different period meets the visits
+    once (a range join as a day equi-join), however many requests ask for it."""
+    ok, _ = resolve(b, requests_frame(b) if requests is None else requests)
     ok = ok.select("request_id", "interval", "start", "end")
-    bound = n_requests * max_period_days(b) if n_requests is not None else None
-    hits = range_join(b.visits(), ok, known_day_rows=bound)
-    agg = hits.groupBy("request_id").agg(
-        F.count(F.lit(1)).cast("bigint").alias("visits"),
-        F.count_distinct("person_id").cast("bigint").alias("clients"))
-    return (ok.join(agg, "request_id", "left")
+    figures = period_figures(b, ok.select("start", "end").distinct())
+    return (ok.join(figures, ["start", "end"], "left")
             .select("request_id", "interval", "start", "end",
                     F.coalesce("visits", F.lit(0)).cast("bigint").alias("visits"),
                     F.coalesce("clients", F.lit(0)).cast("bigint").alias("clients")))
+
+
+def period_figures(b: Binding, periods: DataFrame) -> DataFrame:
+    """(start, end, visits, clients) of each of the different ``periods``."""
+    return (range_join(b.visits(), periods).groupBy("start", "end")
+            .agg(F.count(F.lit(1)).alias("visits"), F.count_distinct("person_id").alias("clients")))

@@ -34,8 +34,8 @@ _BINDINGS: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDict
 
 
 def _b(spark: SparkSession, sf_dir: str) -> DriverBinding:
-    """One binding per (session, data directory): its table scans, resolved
-    periods and pivot label lists are reused by every query."""
+    """One binding per (session, data directory); it keeps resolved periods,
+    and nothing that is read from a table."""
     per_session = _BINDINGS.setdefault(spark, {})
     if sf_dir not in per_session:
         per_session[sf_dir] = DriverBinding(spark, sf_dir)
@@ -54,14 +54,17 @@ POPULATION: dict[str, Query] = {
     "distinct_clients_by_period": _q(pop.distinct_clients_by_period, "PQ"),
     "services_total": _q(pop.services_total, "PY"),
     "services_pivot": _q(pop.services_pivot, "PY"),
+    "services_by_period": _q(pop.services_by_period, "PY"),
     "housing_total": _q(pop.housing_total, "P90"),
     "housing_pivot": _q(pop.housing_pivot, "P90"),
+    "housing_by_period": _q(pop.survey_by_period, "P90", "housing"),
     "city_total": _q(pop.city_total, "PW"),
     "city_pivot": _q(pop.city_pivot, "PW"),
     "flagged_people": _q(pop.flagged_people, "P90"),
     "reported_people": _q(pop.reported_people, "YTD"),
     "category_total": _q(pop.category_total, "PQ", "gender"),
     "category_pivot": _q(pop.category_pivot, "PQ", "gender"),
+    "category_by_period": _q(pop.category_by_period, "PQ", "gender"),
     "category2_total": _q(pop.category_total, "PM", "ethnicity"),
     "category2_pivot": _q(pop.category_pivot, "PM", "ethnicity"),
     "status_total": _q(pop.status_total, "YTD"),
@@ -148,11 +151,11 @@ def _assign(spark, sf_dir):
 
 
 def _fit(spark, sf_dir):
-    return clusters.fit_kmeans(_features(spark, sf_dir), k=3, seed=42)[1]
+    return clusters.fit_facts(_features(spark, sf_dir), k=3, seed=42)
 
 
 def _centroids(spark, sf_dir):
-    return clusters.fit_kmeans(_features(spark, sf_dir), k=3, seed=42)[2]
+    return clusters.update_step(_features(spark, sf_dir), GIVEN_CENTROIDS)
 
 
 def _fea(fn):
@@ -161,23 +164,46 @@ def _fea(fn):
     return run
 
 
-def _request_stream(spark, sf_dir):
-    """ST1-ST3 end to end: requests derived from the app-user table are
-    dropped as JSON files, drained by the stream, and the sink read back."""
+def _served(spark, sf_dir):
+    """ST1-ST3 end to end: lines derived from the app-user table, repeated and
+    malformed ones among them, are dropped as files and drained by the stream."""
     from turnstile.session import scratch_path
     from turnstile.streaming import request_queue as rq
 
     b = _b(spark, sf_dir)
     root = scratch_path(spark, "request_stream")
-    rq.requests_from_app_users(b).write.json(f"{root}/queue")
+    rq.request_lines(b).write.text(f"{root}/queue")
     rq.serve(spark, b, f"{root}/queue", f"{root}/out", f"{root}/checkpoint")
-    # the request key hashes the queue file path, so it is left out of the
+    return rq, f"{root}/out"
+
+
+def _request_stream(spark, sf_dir):
+    rq, out = _served(spark, sf_dir)
+    # the request key holds the queue file path, so it is left out of the
     # registered result (everything else is deterministic)
-    return rq.results(spark, f"{root}/out").select(*[c for c in rq.RESULT_COLUMNS if c != "request_key"])
+    return rq.results(spark, out).select(*[c for c in rq.RESULT_COLUMNS if c != "request_key"])
+
+
+def _request_rejects(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    rq, out = _served(spark, sf_dir)
+    return rq.rejects(spark, out).select("type", "interval", F.col("_corrupt_record").alias("corrupt_record"))
+
+
+def _published(spark, sf_dir):
+    """SNK3/ST4: the person table with recomputed flags, published and read back."""
+    from turnstile.session import scratch_path
+
+    root = scratch_path(spark, "suspension_state")
+    suspensions.refresh_suspension_flags(_b(spark, sf_dir), SUSPENSION_AS_OF, root)
+    return suspensions.read_current(spark, root)
 
 
 LINKAGE_AND_STATE: dict[str, Query] = {
     "request_stream": _request_stream,
+    "request_rejects": _request_rejects,
+    "suspension_state": _published,
     "near_duplicates": _near,
     "near_duplicate_counts": _near_counts,
     "exact_duplicates": _exact,

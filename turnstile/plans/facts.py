@@ -19,10 +19,13 @@ def period(b: Binding, code: str, source: str = "visits") -> Period:
     return b.memo(("period", code, source), lambda: Period(code, b.as_of_for(source), b.inception))
 
 
-def pivot_values(b: Binding, name: str, dim: DataFrame) -> list:
-    """Sorted pivot columns of a dimension (one small distinct job, memoised)."""
+def pivot_values(dim: DataFrame, columns: str = "dimension") -> list | None:
+    """Pivot columns: every label of the dimension, or (``observed``) None, for
+    the labels that have rows."""
     from turnstile.operators.breakdown import label_values
-    return b.memo(("labels", name), lambda: label_values(dim))
+    if columns not in ("dimension", "observed"):
+        raise ValueError(columns)
+    return label_values(dim) if columns == "dimension" else None
 
 
 def with_bucket(df: DataFrame, p: Period | None, fmt: str | None = None, ts: str = "timestamp") -> DataFrame:
@@ -45,34 +48,26 @@ def visits_in(b: Binding, p: Period, persons=None) -> DataFrame:
     return semi_persons(in_period(b.visits(), p), persons)
 
 
-def event_visits_in(b: Binding, p: Period, persons=None) -> DataFrame:
-    return semi_persons(in_period(b.event_visits(), p), persons)
-
-
-# A request list up to this long becomes a literal IN filter that reaches the
-# Parquet scan (FIL3); longer lists go through a semi join.
-MAX_LITERAL_IDS = 1000
-
-
 def semi_persons(fact: DataFrame, persons, col: str = "person_id") -> DataFrame:
     """Restrict facts to the requested persons.
 
-    ``persons`` is None (everyone), a list of ids (a pushed-down IN filter
-    when short) or a DataFrame with an ``idperson`` column (semi join).
+    ``persons`` is None (everyone), a list of ids (an IN filter that reaches
+    the scan, FIL3) or a DataFrame with an ``idperson`` column (a semi join,
+    which Spark sizes).  The caller's type decides, not the number of ids.
     """
     if persons is None:
         return fact
     if isinstance(persons, (list, tuple, set, frozenset)):
-        ids = sorted({int(x) for x in persons})
-        if len(ids) <= MAX_LITERAL_IDS:
-            return fact.where(F.col(col).isin(ids))
-        persons = fact.sparkSession.createDataFrame([(i,) for i in ids], "idperson long")
-    # a short request list is a small relation the planner broadcasts itself;
-    # a long one (every person) becomes a shuffle semi join
+        return fact.where(F.col(col).isin(sorted({int(x) for x in persons})))
     ids = persons.select(F.col("idperson").alias("_pid")).distinct()
     return fact.join(ids, fact[col] == ids["_pid"], "left_semi")
 
 
+def known_persons(b: Binding, fact: DataFrame, col: str = "person_id") -> DataFrame:
+    """JN8: facts of people that the person table has."""
+    return semi_persons(fact, b.person().select("idperson"), col)
+
+
 def service_fact(b: Binding, p: Period, persons: DataFrame | None = None) -> DataFrame:
     """JN2: visit ⋈ service request; (idsnapshot, person_id, timestamp, service_id)."""
     v = visits_in(b, p, persons)

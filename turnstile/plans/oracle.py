@@ -25,6 +25,33 @@ SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 NATIONS = sorted(f"NATION_{i}" for i in range(25))
 
 
+# Tab names and descriptions of both bundles.
+POPULATION_TABS = [
+    ("Outline", "tab names and descriptions"),
+    ("Summary", "summary totals for the report period"),
+    ("Distinct Clients", "a count of individuals served by sub-period within the period."),
+    ("Services", "breakdown by service type and sub-period within the period."),
+    ("Housing", "breakdown by housing conditions and sub-period within the period."),
+    ("Housing by City", "breakdown by city and sub-period within the period."),
+    ("Unsheltered_by_Name", "clients reporting unsheltered housing in the period."),
+    ("Incarcerations", "clients reporting incarceration in the report period."),
+    ("Gender", "breakdown by gender and sub-period within the period."),
+    ("Ethnicity", "breakdown by ethnicity and sub-period within the period."),
+    ("Veterans", "breakdown by veteran status and sub-period within the period."),
+    ("New Clients", "a list of clients with first visit occurring in the report period."),
+]
+PERSON_TABS = [
+    ("Outline", "tab names and descriptions"),
+    ("Summary", "visit, service and housing totals"),
+    ("Client Information", "client information"),
+    ("Visit Counts Sub-period", "number of visits by sub-period"),
+    ("Services Delivered Sub-period", "services delivered by sub-period"),
+    ("Housing by Sub-Period", "housing by sub-period"),
+    ("Suspensions", "suspension history"),
+    ("Incarcerations", "incarceration history"),
+]
+
+
 def between(col: str, b: tuple) -> str:
     return f"{col} BETWEEN TIMESTAMP '{b[0]}' AND TIMESTAMP '{b[1]}'"
 
@@ -84,6 +111,8 @@ def _population() -> dict[str, str]:
     q["services_pivot"] = f"""
         SELECT {bucket('o_orderdate', 'YYYY-MM')} AS period, {filter_cols('count(*)', 'cat', CATEGORIES)}
         FROM ({svc}) GROUP BY 1"""
+    q["services_by_period"] = f"""
+        SELECT {bucket('o_orderdate', 'YYYY-MM')} AS period, cat AS label, count(*) AS total FROM ({svc}) GROUP BY 1, 2"""
     housing = f"""
         SELECT ts, {prefix('p_name')} AS lab FROM events JOIN part ON p_partkey = {K}
         WHERE event_type = 'view' AND {between('ts', EV_P90)}"""
@@ -91,6 +120,8 @@ def _population() -> dict[str, str]:
     q["housing_pivot"] = f"""
         SELECT {bucket('ts', 'YYYY-MM WW')} AS period, {filter_cols('count(*)', 'lab', CATEGORIES)}
         FROM ({housing}) GROUP BY 1"""
+    q["housing_by_period"] = f"""
+        SELECT {bucket('ts', 'YYYY-MM WW')} AS period, lab AS label, count(*) AS total FROM ({housing}) GROUP BY 1, 2"""
     city = f"""
         SELECT ts, n_name AS lab FROM events JOIN nation ON n_nationkey = {K}
         WHERE event_type = 'click' AND {between('ts', EV_PW)}"""
@@ -118,6 +149,9 @@ def _population() -> dict[str, str]:
         SELECT {bucket('o_orderdate', 'YYYY-MM/DD WW')} AS period,
                {filter_cols('count(DISTINCT c_custkey)', 'lab', SEGMENTS)}
         FROM ({seg}) GROUP BY 1"""
+    q["category_by_period"] = f"""
+        SELECT {bucket('o_orderdate', 'YYYY-MM/DD WW')} AS period, lab AS label,
+               CAST(count(DISTINCT c_custkey) AS BIGINT) AS total FROM ({seg}) GROUP BY 1, 2"""
     nat = f"""
         SELECT o_orderdate, c_custkey, n_name AS lab FROM orders JOIN customer ON c_custkey = o_custkey
         JOIN nation ON n_nationkey = c_nationkey WHERE {between('o_orderdate', ORD_PM)}"""
@@ -279,8 +313,6 @@ def _summary_sql() -> str:
 
 
 def _manifest_sql() -> str:
-    from turnstile.plans.bundle import POPULATION_TABS
-
     o, ev = YTD_ORD, YTD_EV
     counts = [
         f"SELECT {len(POPULATION_TABS)}",
@@ -442,6 +474,16 @@ def _linkage_and_state() -> dict[str, str]:
     q["cluster_assign"] = f"""
         SELECT idperson, CASE WHEN d0 <= d1 AND d0 <= d2 THEN 0 WHEN d1 <= d2 THEN 1 ELSE 2 END AS prediction
         FROM (SELECT idperson, {d0} AS d0, {d1} AS d1, {d2} AS d2 FROM ({q['feature_table']}))"""
+    means = ", ".join(f"round(avg(coalesce({r}, 0.0)), 6) AS {r}" for r in rates)
+    q["cluster_centroids"] = f"""
+        SELECT prediction AS cluster, {means}
+        FROM ({q['cluster_assign']}) JOIN ({q['feature_table']}) USING (idperson) GROUP BY 1"""
+    q["cluster_fit"] = f"""
+        SELECT count(*) AS people, CAST(3 AS BIGINT) AS clusters, CAST(0 AS BIGINT) AS misplaced, true AS converged
+        FROM ({q['feature_table']})"""
+    q["suspension_state"] = f"""
+        SELECT c_custkey AS idperson, customer.* EXCLUDE (c_custkey), f.iscurrentlysuspended
+        FROM customer JOIN ({q['suspension_flags']}) f ON f.idperson = c_custkey"""
     return q
 
 
@@ -493,36 +535,38 @@ def _features_sql() -> str:
         FROM j, m"""
 
 
-def all_sql() -> dict[str, str]:
-    out: dict[str, str] = {}
-    for part in (_calendar(), _population(), _assembly(), _person(), _linkage_and_state()):
-        out.update(part)
-    return {k: " ".join(v.split()) for k, v in out.items()}
-
-
 def _stream_sql() -> str:
     """Requests derived from the app-user table (rotating type and code), each
-    answered over the orders in its period."""
+    twice, and a profile request for every app user, each answered over the
+    orders in its period."""
     codes = ", ".join(f"'{c}'" for c in RELATIVE)
-    reqs = f"""
+    base = f"""
         SELECT CASE s_suppkey % 3 WHEN 0 THEN 'ALL' WHEN 1 THEN 'IND' ELSE 'PROFILE' END AS kind,
                CASE WHEN s_suppkey % 3 = 2 THEN 'PW' ELSE [{codes}][s_suppkey % 10 + 1] END AS interval,
                CASE WHEN s_suppkey % 3 <> 2 THEN s_suppkey END AS appuser,
                CASE WHEN s_suppkey % 3 <> 0 THEN s_suppkey END AS client
         FROM supplier"""
+    profiles = f"SELECT 'PROFILE', [{codes}][s_suppkey % 10 + 1], NULL, s_suppkey FROM supplier"
     s, e, _ = bounds_sql("interval", ASOF_ORD)
     return f"""
-        WITH r AS (SELECT *, {s} AS start, {e} AS "end", {FRIENDLY_SQL.replace('code', 'interval')} AS label
-                   FROM ({reqs}))
-        SELECT r.kind, r.interval, r.label, r.start, r."end", r.appuser, u.s_name AS email, r.client,
-               CAST(count(o.o_orderkey) AS BIGINT) AS visits, CAST(count(DISTINCT o.o_custkey) AS BIGINT) AS clients
-        FROM r LEFT JOIN supplier u ON u.s_suppkey = r.appuser
-        LEFT JOIN orders o ON o.o_orderdate BETWEEN r.start AND r."end"
-             AND (r.kind = 'ALL' OR o.o_custkey = r.client)
-        GROUP BY 1, 2, 3, 4, 5, 6, 7, 8"""
-
-
-_all_sql_base = all_sql
+        WITH r AS (SELECT *, row_number() OVER () AS line, {s} AS start, {e} AS "end",
+                          {FRIENDLY_SQL.replace('code', 'interval')} AS label
+                   FROM ({base} UNION ALL {base} UNION ALL {profiles}))
+        SELECT kind, interval, label, start, "end", appuser, email, client, visits, clients FROM (
+            SELECT r.line, r.kind, r.interval, r.label, r.start, r."end", r.appuser, u.s_name AS email, r.client,
+                   CAST(count(o.o_orderkey) AS BIGINT) AS visits,
+                   CAST(count(DISTINCT o.o_custkey) AS BIGINT) AS clients
+            FROM r LEFT JOIN supplier u ON u.s_suppkey = r.appuser
+            LEFT JOIN orders o ON o.o_orderdate BETWEEN r.start AND r."end"
+                 AND (r.kind = 'ALL' OR o.o_custkey = r.client)
+            GROUP BY 1, 2, 3, 4, 5, 6, 7, 8, 9)"""
+
+
+REJECTS_SQL = """
+    SELECT CAST(NULL AS VARCHAR) AS type, CAST(NULL AS VARCHAR) AS interval,
+           '{not json ' || CAST(s_suppkey AS VARCHAR) AS corrupt_record FROM supplier
+    UNION ALL SELECT 'ZZZ', 'PQ', NULL FROM supplier
+    UNION ALL SELECT 'ALL', 'SOON', NULL FROM supplier"""
 
 
 def _feature_parts_sql() -> dict[str, str]:
@@ -541,8 +585,6 @@ def _feature_parts_sql() -> dict[str, str]:
 
 
 def _person_manifest_sql() -> str:
-    from turnstile.plans.bundle import PERSON_TABS
-
     q = _person()
     keys = [None, "person_summary", "person_header", "person_visits_by_period", "person_services_pivot",
             "person_housing_pivot", "person_suspensions", "person_reported"]
@@ -554,9 +596,11 @@ def _person_manifest_sql() -> str:
     return " UNION ALL ".join(rows)
 
 
-def all_sql() -> dict[str, str]:  # noqa: F811
-    out = _all_sql_base()
-    out["person_bundle_manifest"] = " ".join(_person_manifest_sql().split())
-    out["request_stream"] = " ".join(_stream_sql().split())
-    out.update({k: " ".join(v.split()) for k, v in _feature_parts_sql().items()})
-    return out
+def all_sql() -> dict[str, str]:
+    out: dict[str, str] = {}
+    for part in (_calendar(), _population(), _assembly(), _person(), _linkage_and_state(), _feature_parts_sql()):
+        out.update(part)
+    out["person_bundle_manifest"] = _person_manifest_sql()
+    out["request_stream"] = _stream_sql()
+    out["request_rejects"] = REJECTS_SQL
+    return {k: " ".join(v.split()) for k, v in out.items()}

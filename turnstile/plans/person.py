@@ -55,12 +55,12 @@ def person_header(b: Binding, persons: DataFrame | None = None) -> DataFrame:
 
 
 def person_visits(b: Binding, code: str, persons: DataFrame | None = None) -> DataFrame:
-    """RP23: per person, earliest/latest visit and distinct visits in the
-    period; persons without visits get 0 and NULLs."""
+    """RP23: per person, earliest/latest visit and visits in the
+    period (the visit id is their key); persons without visits get 0 and NULLs."""
     p = facts.period(b, code)
     agg = (facts.visits_in(b, p, persons).groupBy("person_id")
            .agg(F.min("timestamp").alias("earliest_visit"), F.max("timestamp").alias("latest_visit"),
-                F.count_distinct("idsnapshot").cast("bigint").alias("total_visits")))
+                F.count(F.lit(1)).alias("total_visits")))
     who = _persons(b, persons).select("idperson")
     return (who.join(agg, who.idperson == agg.person_id, "left")
             .select("idperson", "earliest_visit", "latest_visit",
@@ -72,55 +72,54 @@ def person_visits_by_period(b: Binding, code: str, persons: DataFrame | None = N
     """RP24: distinct visits per person and sub-period (JN8 as a semi join)."""
     p = facts.period(b, code)
     v = facts.with_bucket(facts.visits_in(b, p, persons), p, fmt)
-    who = _persons(b, persons).select(F.col("idperson").alias("_id"))
-    v = v.join(who, v.person_id == who["_id"], "left_semi")
+    v = facts.known_persons(b, v)
     return (v.groupBy(F.col("person_id").alias("idperson"), "period")
-            .agg(F.count_distinct("idsnapshot").cast("bigint").alias("visits")))
+            .agg(F.count(F.lit(1)).alias("visits")))
 
 
 def person_services(b: Binding, code: str, persons: DataFrame | None = None) -> DataFrame:
     """RP25: services per person and category."""
     p = facts.period(b, code)
-    out = bd.rows_by_label(facts.service_fact(b, p, persons), "service_id", facts.service_dim(b),
+    out = bd.rows_by_label(facts.known_persons(b, facts.service_fact(b, p, persons)), "service_id", facts.service_dim(b),
                            group=["person_id"], out="total")
     return out.select(F.col("person_id").alias("idperson"), F.col("label").alias("servicename"), "total")
 
 
 def person_services_pivot(b: Binding, code: str, persons: DataFrame | None = None,
-                          fmt: str | None = None) -> DataFrame:
+                          fmt: str | None = None, columns: str = "dimension") -> DataFrame:
     """RP26: per person and sub-period, one column per category."""
     p = facts.period(b, code)
     dim = facts.service_dim(b)
-    long = bd.rows_by_label(facts.with_bucket(facts.service_fact(b, p, persons), p, fmt), "service_id", dim,
+    long = bd.rows_by_label(facts.with_bucket(facts.known_persons(b, facts.service_fact(b, p, persons)), p, fmt), "service_id", dim,
                             group=["person_id", "period"], out="total")
-    wide = bd.pivot(long, ["person_id", "period"], "label", "total", facts.pivot_values(b, "services", dim))
+    wide = bd.pivot(long, ["person_id", "period"], "label", "total", facts.pivot_values(dim, columns))
     return wide.withColumnRenamed("person_id", "idperson")
 
 
 def person_housing(b: Binding, code: str, persons: DataFrame | None = None) -> DataFrame:
     """RP27: housing answers per person."""
     p = facts.period(b, code, "survey")
-    out = bd.rows_by_label(facts.survey_in(b, p, "housing", persons=persons), "object_id",
+    out = bd.rows_by_label(facts.known_persons(b, facts.survey_in(b, p, "housing", persons=persons)), "object_id",
                            facts.response_dim(b, "housing"), group=["person_id"], out="nights_spent")
     return out.select(F.col("person_id").alias("idperson"), F.col("label").alias("housing_type"),
                       "nights_spent")
 
 
 def person_housing_pivot(b: Binding, code: str, persons: DataFrame | None = None,
-                         fmt: str | None = None) -> DataFrame:
+                         fmt: str | None = None, columns: str = "dimension") -> DataFrame:
     """RP28: publishes the housing frame (Q6)."""
     p = facts.period(b, code, "survey")
     dim = facts.response_dim(b, "housing")
-    long = bd.rows_by_label(facts.with_bucket(facts.survey_in(b, p, "housing", persons=persons), p, fmt),
+    long = bd.rows_by_label(facts.with_bucket(facts.known_persons(b, facts.survey_in(b, p, "housing", persons=persons)), p, fmt),
                             "object_id", dim, group=["person_id", "period"], out="total")
-    wide = bd.pivot(long, ["person_id", "period"], "label", "total", facts.pivot_values(b, "housing", dim))
+    wide = bd.pivot(long, ["person_id", "period"], "label", "total", facts.pivot_values(dim, columns))
     return wide.withColumnRenamed("person_id", "idperson")
 
 
 def person_suspensions(b: Binding, code: str, persons: DataFrame | None = None) -> DataFrame:
     """RP29: suspensions starting in the period with length and reason."""
     p = facts.period(b, code)
-    s = facts.semi_persons(b.suspensions().where(p.contains("starttime")), persons)
+    s = facts.known_persons(b, facts.semi_persons(b.suspensions().where(p.contains("starttime")), persons))
     r = bounded_broadcast(b.reasons().select(F.col("id").alias("_rid"), F.col("name").alias("reason")),
                           b.dimension_rows.get("reasons"))
     j = s.join(r, s.reason_id == r["_rid"])
@@ -172,6 +171,6 @@ def person_profile(b: Binding, as_of: str | None = None, persons: DataFrame | No
     j = (p.join(lab, "idperson", "left").join(fs, "idperson", "left")
          .join(flags, p.idperson == flags["_fid"], "left"))
     return j.select("idperson", "firstname", "lastname", F.col("aliasname").alias("alias"),
-                    F.lit(None).cast("int").alias("sexoffender"), "veteran", "credits",
+                    "sexoffender", "veteran", "credits",
                     F.col("timelinestarttime").alias("timelinestart"),
                     F.col("iscurrentlysuspended").alias("currentlysuspended"))

@@ -42,13 +42,18 @@ def services_total(b: Binding, code: str) -> DataFrame:
     return out.select(F.col("label").alias("servicename"), "total").orderBy(F.desc("total"), "servicename")
 
 
-def services_pivot(b: Binding, code: str, fmt: str | None = None) -> DataFrame:
-    """RP4: sub-period x category, one column per category."""
+def services_by_period(b: Binding, code: str, fmt: str | None = None) -> DataFrame:
+    """RP4 in long form: (period, label, total), for any number of categories."""
     p = facts.period(b, code)
+    return bd.rows_by_label(facts.with_bucket(facts.service_fact(b, p), p, fmt), "service_id",
+                            facts.service_dim(b), group=["period"], out="total")
+
+
+def services_pivot(b: Binding, code: str, fmt: str | None = None, columns: str = "dimension") -> DataFrame:
+    """RP4: sub-period x category, one column per category."""
     dim = facts.service_dim(b)
-    long = bd.rows_by_label(facts.with_bucket(facts.service_fact(b, p), p, fmt), "service_id", dim,
-                            group=["period"], out="total")
-    return bd.pivot(long, ["period"], "label", "total", facts.pivot_values(b, "services", dim)).orderBy("period")
+    long = services_by_period(b, code, fmt)
+    return bd.pivot(long, ["period"], "label", "total", facts.pivot_values(dim, columns)).orderBy("period")
 
 
 # ----------------------------------------------------------- survey facts
@@ -62,12 +67,18 @@ def _survey_total(b, code, kind, label_name, total_name, order_by_total):
     return out.orderBy(F.desc(total_name), label_name) if order_by_total else out.orderBy(label_name)
 
 
-def _survey_pivot(b, code, kind, fmt=None):
+def survey_by_period(b: Binding, code: str, kind: str, fmt: str | None = None) -> DataFrame:
+    """RP6/RP8 in long form: (period, label, total), for any number of answers."""
     p = facts.period(b, code, "survey")
+    return bd.rows_by_label(facts.with_bucket(facts.survey_in(b, p, kind), p, fmt), "object_id",
+                            facts.response_dim(b, kind), group=["period"], out="total",
+                            dim_rows=facts.response_rows(b, kind))
+
+
+def _survey_pivot(b, code, kind, fmt, columns):
     dim = facts.response_dim(b, kind)
-    long = bd.rows_by_label(facts.with_bucket(facts.survey_in(b, p, kind), p, fmt), "object_id", dim,
-                            group=["period"], out="total", dim_rows=facts.response_rows(b, kind))
-    return bd.pivot(long, ["period"], "label", "total", facts.pivot_values(b, kind, dim)).orderBy("period")
+    long = survey_by_period(b, code, kind, fmt)
+    return bd.pivot(long, ["period"], "label", "total", facts.pivot_values(dim, columns)).orderBy("period")
 
 
 def housing_total(b: Binding, code: str) -> DataFrame:
@@ -75,9 +86,9 @@ def housing_total(b: Binding, code: str) -> DataFrame:
     return _survey_total(b, code, "housing", "hresponse", "total", order_by_total=False)
 
 
-def housing_pivot(b: Binding, code: str, fmt: str | None = None) -> DataFrame:
+def housing_pivot(b: Binding, code: str, fmt: str | None = None, columns: str = "dimension") -> DataFrame:
     """RP6."""
-    return _survey_pivot(b, code, "housing", fmt)
+    return _survey_pivot(b, code, "housing", fmt, columns)
 
 
 def city_total(b: Binding, code: str) -> DataFrame:
@@ -85,9 +96,9 @@ def city_total(b: Binding, code: str) -> DataFrame:
     return _survey_total(b, code, "city", "cresponse", "total", order_by_total=True)
 
 
-def city_pivot(b: Binding, code: str, fmt: str | None = None) -> DataFrame:
+def city_pivot(b: Binding, code: str, fmt: str | None = None, columns: str = "dimension") -> DataFrame:
     """RP8."""
-    return _survey_pivot(b, code, "city", fmt)
+    return _survey_pivot(b, code, "city", fmt, columns)
 
 
 def flagged_people(b: Binding, code: str, min_nights: int = 1) -> DataFrame:
@@ -125,13 +136,19 @@ def category_total(b: Binding, code: str, kind: str) -> DataFrame:
     return out.select(F.col("label").alias("response"), "total").orderBy("response")
 
 
-def category_pivot(b: Binding, code: str, kind: str, fmt: str | None = None) -> DataFrame:
-    """RP12/RP14."""
+def category_by_period(b: Binding, code: str, kind: str, fmt: str | None = None) -> DataFrame:
+    """RP12/RP14 in long form: (period, label, total), for any number of categories."""
     p = facts.period(b, code)
-    labels = b.person_label(kind)
-    long = bd.people_by_label(facts.with_bucket(facts.visits_in(b, p), p, fmt), labels,
+    return bd.people_by_label(facts.with_bucket(facts.visits_in(b, p), p, fmt), b.person_label(kind),
                               group=["period"], out="total")
-    return bd.pivot(long, ["period"], "label", "total", facts.pivot_values(b, kind, labels)).orderBy("period")
+
+
+def category_pivot(b: Binding, code: str, kind: str, fmt: str | None = None,
+                   columns: str = "dimension") -> DataFrame:
+    """RP12/RP14."""
+    labels = b.person_label(kind)
+    long = category_by_period(b, code, kind, fmt)
+    return bd.pivot(long, ["period"], "label", "total", facts.pivot_values(labels, columns)).orderBy("period")
 
 
 def status_total(b: Binding, code: str) -> DataFrame:
@@ -176,7 +193,7 @@ def visit_ranking(b: Binding, code: str) -> DataFrame:
     """RP21: people by number of distinct visits in the period."""
     p = facts.period(b, code)
     counts = (facts.visits_in(b, p).groupBy("person_id")
-              .agg(F.count_distinct("idsnapshot").cast("bigint").alias("clientvisits")))
+              .agg(F.count(F.lit(1)).alias("clientvisits")))   # idsnapshot is the key of visits
     person = b.person()
     j = counts.join(person, counts.person_id == person.idperson)
     return (j.select("idperson", "firstname", "lastname", "clientvisits")
@@ -184,5 +201,12 @@ def visit_ranking(b: Binding, code: str) -> DataFrame:
 
 
 def visit_topk(b: Binding, code: str, k: int = 10) -> DataFrame:
-    """SO7: the k most frequent visitors (TakeOrderedAndProject, no full sort)."""
-    return visit_ranking(b, code).limit(k)
+    """SO7: the k most frequent visitors (TakeOrderedAndProject on the counts
+    of known people; the names join k rows)."""
+    counts = (facts.known_persons(b, facts.visits_in(b, facts.period(b, code))).groupBy("person_id")
+              .agg(F.count(F.lit(1)).alias("clientvisits")))
+    top = counts.orderBy(F.desc("clientvisits"), "person_id").limit(k)
+    person = b.person()
+    return (top.join(person, top.person_id == person.idperson)
+            .select("idperson", "firstname", "lastname", "clientvisits")
+            .orderBy(F.desc("clientvisits"), "idperson"))

@@ -24,10 +24,11 @@ def month_key(ts: Column | str) -> Column:
 
 
 def write_visits_by_month(df: DataFrame, path: str, ts: str = "timestamp", mode: str = "errorifexists") -> None:
-    """Write a visit-like frame partitioned by month.  Rows are clustered by
-    month before the write so each task writes few partition directories."""
+    """Write a visit-like frame partitioned by month.  Rows are range-sorted by
+    month and time before the write: each task writes few directories, and a
+    month with many visits is split over many tasks."""
     (df.withColumn(PART_COL, month_key(ts))
-     .repartition(PART_COL)
+     .repartitionByRange(PART_COL, ts)
      .write.mode(mode).partitionBy(PART_COL).parquet(path))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 DRIVER_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -9,7 +10,8 @@ DRIVER_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "
 
 
 class ParquetTables:
-    """Lazy, memoised Parquet scans of ``{root}/{name}.parquet``.
+    """Lazy Parquet scans of ``{root}/{name}.parquet``, with the files listed
+    anew by each report.
 
     ``overrides`` maps a table name to a DataFrame to use instead, e.g. a
     bucketed or month-partitioned copy (``sources.layout``)."""
@@ -17,12 +19,22 @@ class ParquetTables:
     def __init__(self, spark: SparkSession, root: str, overrides: dict | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
-        self._cache: dict[str, DataFrame] = dict(overrides or {})
+        self.overrides: dict[str, DataFrame] = dict(overrides or {})
 
     def __call__(self, name: str) -> DataFrame:
-        if name not in self._cache:
-            self._cache[name] = self.spark.read.parquet(f"{self.root}/{name}.parquet")
-        return self._cache[name]
+        if name in self.overrides:
+            return self.overrides[name]
+        return self.spark.read.parquet(f"{self.root}/{name}.parquet")
+
+
+def read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
+    """The Parquet table at ``path``, or None if there is no such path."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, *, user: str | None = None,

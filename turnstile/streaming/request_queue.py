@@ -9,29 +9,35 @@ them with an explicit schema (malformed lines land in ``_corrupt_record``);
 * no type but ``idperson`` -> profile request with period ``PW``,
 * anything else, or an unknown period code -> the reject table.
 
-All requests of a batch are answered by one plan (no per-request loop):
-population requests by a calendar-day range join with the visits, person
-requests by an equi-join on the person.  Acknowledgement is the stream
-checkpoint, not file deletion: a restart with the same checkpoint re-reads
-nothing.  Each batch overwrites only its own ``batch=<epoch>`` output, so a
+All requests of a batch are answered by one plan (no per-request loop): the
+figures of each different period, by a calendar-day range join with the visits,
+and of each different (person, period), by an equi-join on the person, are joined
+back to the requests by those values.  So repeated requests cost nothing more and
+get a row each.  Acknowledgement is the stream checkpoint, not file deletion: a
+restart with the same checkpoint re-reads nothing.  Each batch overwrites only its own ``batch=<epoch>`` output, so a
 replayed batch is idempotent.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnstile.binding import Binding
 from turnstile.functions.periods import RELATIVE_CODES, period_bounds, period_label
-from turnstile.operators.joins import bounded_broadcast, range_join
+from turnstile.plans.calendar import period_figures
+from turnstile.sources.tables import read_if_there
 
 REQUEST_SCHEMA = ("type string, interval string, appuser long, client long, idperson long, "
                   "_corrupt_record string")
 PROFILE_DEFAULT_INTERVAL = "PW"
 
-RESULT_COLUMNS = ["request_key", "kind", "interval", "label", "start", "end", "appuser", "email",
-                  "client", "visits", "clients"]
+RESULT_SCHEMA = ("request_key string, kind string, interval string, label string, start timestamp_ntz, "
+                 "end timestamp_ntz, appuser long, email string, client long, visits long, clients long")
+REJECT_SCHEMA = "request_key string, source_file string, type string, interval string, _corrupt_record string"
+RESULT_COLUMNS = [c.split()[0] for c in RESULT_SCHEMA.split(", ")]
 
 
 def read_requests(spark: SparkSession, queue_dir: str, max_files_per_trigger: int | None = None,
@@ -55,12 +61,13 @@ def read_requests_batch(spark: SparkSession, queue_dir: str) -> DataFrame:
             .json(queue_dir).select("*", F.col("_metadata.file_path").alias("source_file")))
 
 
-def classify(requests: DataFrame, b: Binding) -> DataFrame:
-    """ST2 + PER15: kind, resolved period and a deterministic request key."""
+def classify(requests: DataFrame, b: Binding, as_of: str | None = None) -> DataFrame:
+    """ST2 + PER15: kind, the period as of ``as_of`` (the binding's, if None),
+    and a name for the request's content and file (equal requests share it)."""
     interval = F.when(F.col("type").isNull() & F.col("idperson").isNotNull(),
                       F.coalesce("interval", F.lit(PROFILE_DEFAULT_INTERVAL))).otherwise(F.col("interval"))
     r = requests.withColumn("interval", interval)
-    bounds = period_bounds(F.col("interval"), F.lit(b.as_of_for("visits")), F.lit(b.inception))
+    bounds = period_bounds(F.col("interval"), F.lit(as_of or b.as_of_for("visits")), F.lit(b.inception))
     kind = (F.when(F.col("_corrupt_record").isNotNull(), "REJECT")
             .when(F.col("type") == "ALL", "ALL")
             .when((F.col("type") == "IND") & F.col("client").isNotNull(), "IND")
@@ -71,44 +78,44 @@ def classify(requests: DataFrame, b: Binding) -> DataFrame:
          .withColumn("kind", F.when(F.col("start").isNull(), "REJECT").otherwise(kind))
          .withColumn("label", period_label(F.col("interval")))
          .withColumn("client", F.coalesce("client", "idperson")))
-    key = F.xxhash64("source_file", "type", "interval", "appuser", "client", "_corrupt_record")
-    return r.withColumn("request_key", key)
+    # the JSON text names each field it has, so a value can't pass for another field's
+    said = F.to_json(F.struct("source_file", "type", "interval", "appuser", "client", "kind", "_corrupt_record"))
+    return r.withColumn("request_key", F.sha2(said, 256))
 
 
 def answer(requests: DataFrame, b: Binding) -> DataFrame:
-    """Figures for every accepted request in one plan: population requests
-    range-join all visits; person requests also match on the person."""
+    """Figures for every accepted request, one row per request."""
     ok = requests.where(F.col("kind") != "REJECT")
+    everyone = period_figures(b, ok.where(F.col("kind") == "ALL").select("start", "end").distinct())
+    asked = ok.where(F.col("kind") != "ALL").select(F.col("client").alias("person_id"), "start", "end").distinct()
     visits = b.visits().select("person_id", "timestamp")
-    # population requests: every visit in the period (calendar-day equi-join)
-    pop_req = ok.where(F.col("kind") == "ALL").select("request_key", "start", "end")
-    pop_hits = range_join(visits, pop_req).select("request_key", "person_id")
-    # person requests: only that person's visits (equi-join on the person,
-    # the period as a residual filter), never every visit of the period
-    per_req = ok.where(F.col("kind").isin("IND", "PROFILE")).select(
-        "request_key", F.col("start").alias("_s"), F.col("end").alias("_e"), F.col("client").alias("_who"))
-    per_hits = (visits.join(per_req, visits.person_id == per_req["_who"])
-                .where(F.col("timestamp").between(F.col("_s"), F.col("_e")))
-                .select("request_key", "person_id"))
-    hits = pop_hits.unionByName(per_hits)
-    agg = hits.groupBy("request_key").agg(
-        F.count(F.lit(1)).cast("bigint").alias("visits"),
-        F.count_distinct("person_id").cast("bigint").alias("clients"))
-    users = bounded_broadcast(b.app_users().select(F.col("id").alias("_uid"), "email"),
-                              b.dimension_rows.get("app_users"))
-    out = (ok.join(agg, "request_key", "left")
-           .join(users, ok.appuser == users["_uid"], "left"))
+    own = (visits.join(asked, "person_id").where(F.col("timestamp").between(F.col("start"), F.col("end")))
+           .groupBy("person_id", "start", "end").agg(F.count(F.lit(1)).alias("visits")))
+    figures = everyone.select(F.lit("ALL").alias("_kind"), F.lit(None).cast("long").alias("_who"),
+                              F.col("start").alias("_s"), F.col("end").alias("_e"), "visits", "clients").unionByName(
+        own.select(F.lit("ONE").alias("_kind"), F.col("person_id").alias("_who"), F.col("start").alias("_s"),
+                   F.col("end").alias("_e"), "visits", F.lit(1).cast("long").alias("clients")))
+    users = b.app_users().select(F.col("id").alias("_uid"), "email")
+    whole = F.col("kind") == "ALL"
+    out = (ok.withColumn("_k", F.when(whole, "ALL").otherwise("ONE"))
+           .withColumn("_w", F.when(~whole, F.col("client")))
+           .join(figures, (F.col("_k") == F.col("_kind")) & F.col("_w").eqNullSafe(F.col("_who"))
+                 & (F.col("start") == F.col("_s")) & (F.col("end") == F.col("_e")), "left")
+           .join(users, F.col("appuser") == F.col("_uid"), "left"))
     return out.select("request_key", "kind", "interval", "label", "start", "end", "appuser", "email", "client",
                       F.coalesce("visits", F.lit(0)).cast("bigint").alias("visits"),
                       F.coalesce("clients", F.lit(0)).cast("bigint").alias("clients"))
 
 
 def serve(spark: SparkSession, b: Binding, queue_dir: str, out_dir: str, checkpoint_dir: str,
-          max_files_per_trigger: int | None = None, archive_dir: str | None = None):
-    """ST1: drain the queue with ``availableNow`` and stop."""
+          max_files_per_trigger: int | None = None, archive_dir: str | None = None,
+          now: Callable[[], str] | None = None):
+    """ST1: drain the queue with ``availableNow`` and stop.  ``now`` gives the
+    as-of time of each batch, for a stream that lives on; without it the
+    binding's holds."""
 
     def process(batch: DataFrame, epoch_id: int) -> None:
-        c = classify(batch, b)
+        c = classify(batch, b, now() if now else None)
         c.persist()
         try:
             answer(c, b).write.mode("overwrite").parquet(f"{out_dir}/results/batch={epoch_id}")
@@ -136,11 +143,14 @@ def serve_batch(spark: SparkSession, b: Binding, queue_dir: str) -> tuple[DataFr
 
 
 def results(spark: SparkSession, out_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{out_dir}/results")
+    """All answers so far; none if no request came yet."""
+    found = read_if_there(spark, f"{out_dir}/results")
+    return spark.createDataFrame([], f"{RESULT_SCHEMA}, batch int") if found is None else found
 
 
 def rejects(spark: SparkSession, out_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{out_dir}/rejects")
+    found = read_if_there(spark, f"{out_dir}/rejects")
+    return spark.createDataFrame([], f"{REJECT_SCHEMA}, batch int") if found is None else found
 
 
 def requests_from_app_users(b: Binding) -> DataFrame:
@@ -155,3 +165,21 @@ def requests_from_app_users(b: Binding) -> DataFrame:
         F.when(kind != 2, F.col("id")).alias("appuser"),
         F.when(kind == 1, F.col("id")).alias("client"),
         F.when(kind == 2, F.col("id")).alias("idperson"))
+
+
+def request_lines(b: Binding) -> DataFrame:
+    """The lines of a request file: every request of ``requests_from_app_users``
+    twice, a profile request with the number of an app user for each of them, and
+    lines that must be rejected (not JSON, unknown type, unknown period)."""
+    asked = requests_from_app_users(b)
+    codes = F.array(*[F.lit(c) for c in RELATIVE_CODES])
+    users = b.app_users().select("id")
+    profiles = users.select(F.element_at(codes, (F.col("id") % len(RELATIVE_CODES) + 1).cast("int")).alias("interval"),
+                            F.col("id").alias("idperson"))
+    bad = users.select(F.explode(F.array(
+        F.concat(F.lit("{not json "), F.col("id").cast("string")),
+        F.to_json(F.struct(F.lit("ZZZ").alias("type"), F.lit("PQ").alias("interval"), F.col("id").alias("appuser"))),
+        F.to_json(F.struct(F.lit("ALL").alias("type"), F.lit("SOON").alias("interval"), F.col("id").alias("appuser"))),
+    )).alias("value"))
+    lines = [df.select(F.to_json(F.struct(*df.columns)).alias("value")) for df in (asked, asked, profiles)]
+    return lines[0].union(lines[1]).union(lines[2]).union(bad)
