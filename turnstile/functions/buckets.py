@@ -46,12 +46,3 @@ def bucket(ts: Column | str, fmt: str) -> Column:
     if fmt == "HH24":
         return _two(F.hour(ts))
     raise ValueError(f"unknown bucket format {fmt!r}")
-
-
-def bucket_by(ts: Column | str, fmt: Column) -> Column:
-    """Bucket with a per-row format column (many requests in one job)."""
-    ts = F.col(ts) if isinstance(ts, str) else ts
-    out = F.lit(None).cast("string")
-    for f in FORMATS:
-        out = F.when(fmt == f, bucket(ts, f)).otherwise(out)
-    return out

@@ -19,7 +19,6 @@ VETERAN_LABELS = {
     2: "Is a veteran of the US Armed Forces",
     3: "Is not a veteran of the US Armed Forces",
 }
-HOUSING_LABELS = {0: "NA", 1: "Unknown", 2: "Stable", 3: "Unstable", 4: "Sheltered", 5: "Unsheltered", 6: "Jail"}
 VETERAN_SUMMARY = {"Yes": "Veterans", "No": "Non-veterans"}
 VETERAN_SUMMARY_OTHER = "Veteran status Unknown"
 VETERAN_PIVOT_RENAME = {"No": "non-veteran", "Unknown": "unknown", "Yes": "veteran"}

@@ -4,6 +4,7 @@ sink (SNK1/SNK2): tabs become output directories plus a manifest table."""
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -109,9 +110,14 @@ def manifest(tabs: list[Tab]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def report_name(code: str, run_ts: str) -> str:
-    """SNK2: ``<code>-<yyyy-MM-dd_HHmmss>``; ``run_ts`` is explicit."""
-    return f"{code}-{run_ts}"
+def run_stamp(at: datetime) -> str:
+    """``yyyy-MM-dd_HHmmss`` of an explicit time."""
+    return f"{at:%Y-%m-%d_%H%M%S}"
+
+
+def report_name(code: str, at: datetime) -> str:
+    """SNK2: ``<code>-<yyyy-MM-dd_HHmmss>``, with the slashes of a day code as dashes."""
+    return f"{code.replace('/', '-')}-{run_stamp(at)}"
 
 
 def write_bundle(tabs: list[Tab], base: str, report: str, run_ts: str, fmt: str = "parquet") -> DataFrame:

@@ -191,6 +191,29 @@ def _request_rejects(spark, sf_dir):
     return rq.rejects(spark, out).select("type", "interval", F.col("_corrupt_record").alias("corrupt_record"))
 
 
+def _request_reports(spark, sf_dir):
+    """ST2/SNK1: one population request and one request for every person, the
+    bundles they ask for written, and the manifest of what was written."""
+    from datetime import datetime
+
+    from pyspark.sql import functions as F
+
+    from turnstile.session import scratch_path
+    from turnstile.streaming import request_queue as rq
+
+    b = _b(spark, sf_dir)
+    said = {"type": "string", "interval": "string", "appuser": "long", "client": "long", "idperson": "long",
+            "_corrupt_record": "string", "source_file": "string"}
+    none = {c: F.lit(None).cast(t).alias(c) for c, t in said.items()}
+    code = F.lit(BUNDLE_CODE).alias("interval")
+    whole = spark.range(1).select(*({**none, "type": F.lit("ALL").alias("type"), "interval": code}).values())
+    each = b.person().select(*({**none, "type": F.lit("IND").alias("type"), "interval": code,
+                                "client": F.col("idperson").alias("client")}).values())
+    asked = rq.classify(whole.unionByName(each), b)
+    manifest, _ = rq.write_reports(asked, b, scratch_path(spark, "reports"), datetime(2000, 5, 15, 12))
+    return manifest.select("kind", "report", "ordinal", "tab", "rows")
+
+
 def _published(spark, sf_dir):
     """SNK3/ST4: the person table with recomputed flags, published and read back."""
     from turnstile.session import scratch_path
@@ -203,6 +226,7 @@ def _published(spark, sf_dir):
 LINKAGE_AND_STATE: dict[str, Query] = {
     "request_stream": _request_stream,
     "request_rejects": _request_rejects,
+    "request_reports": _request_reports,
     "suspension_state": _published,
     "near_duplicates": _near,
     "near_duplicate_counts": _near_counts,

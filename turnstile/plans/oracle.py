@@ -603,4 +603,8 @@ def all_sql() -> dict[str, str]:
     out["person_bundle_manifest"] = _person_manifest_sql()
     out["request_stream"] = _stream_sql()
     out["request_rejects"] = REJECTS_SQL
+    out["request_reports"] = " UNION ALL ".join(
+        f"SELECT '{kind}' AS kind, 'YTD-2000-05-15_120000' AS report, ordinal, tab, rows FROM ({out[key]})"
+        for kind, key in (("ALL", "bundle_manifest"), ("IND", "person_bundle_manifest"))
+    ) + " UNION ALL SELECT 'PROFILE', 'profile-2000-05-15_120000', 0, 'Profile', 0"
     return {k: " ".join(v.split()) for k, v in out.items()}

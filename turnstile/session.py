@@ -1,14 +1,13 @@
 """Session construction and the shared working folder.
 
 Library code never invents its own scratch location on a cluster: it reads
-``spark.checkpoint.dir`` from the running session.  Only when that setting is
-absent (local runs, tests) does :func:`work_dir` create one under the system
-temporary folder and register it, so ``checkpoint()`` works everywhere.
+``spark.checkpoint.dir`` from the running session and fails without it.  Only in
+a local session (tests, one machine) does :func:`work_dir` create a temporary
+folder and register it, so ``checkpoint()`` works there too.
 """
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -40,13 +39,15 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def work_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and written intermediate tables.
 
-    Uses the cluster's ``spark.checkpoint.dir`` when set; otherwise (tests,
-    local runs) creates a fresh folder and registers it as the checkpoint dir.
+    Uses the cluster's ``spark.checkpoint.dir``; a local session without it
+    gets a fresh folder, registered as the checkpoint dir.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
+    if not sc.master.startswith("local[") and sc.master != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     local = tempfile.mkdtemp(prefix="turnstile-ckpt-")
     try:
         spark.conf.set("spark.checkpoint.dir", local)
@@ -67,7 +68,3 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(base)
     return base
-
-
-def is_local_path(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:") or os.path.isabs(path)

@@ -20,14 +20,19 @@ replayed batch is idempotent.
 
 from __future__ import annotations
 
+import copy
 from collections.abc import Callable
+from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnstile.binding import Binding
 from turnstile.functions.periods import RELATIVE_CODES, period_bounds, period_label
+from turnstile.plans.bundle import person_bundle, population_bundle, report_name, run_stamp, write_bundle
 from turnstile.plans.calendar import period_figures
+from turnstile.plans.person import person_profile
 from turnstile.sources.tables import read_if_there
 
 REQUEST_SCHEMA = ("type string, interval string, appuser long, client long, idperson long, "
@@ -107,17 +112,65 @@ def answer(requests: DataFrame, b: Binding) -> DataFrame:
                       F.coalesce("clients", F.lit(0)).cast("bigint").alias("clients"))
 
 
+def as_of_binding(b: Binding, as_of: str | None) -> Binding:
+    """The same tables, reported as of another time."""
+    if as_of is None:
+        return b
+    out = copy.copy(b)
+    out.as_of, out._memo = {k: as_of for k in b.as_of}, {}
+    return out
+
+
+def write_reports(requests: DataFrame, b: Binding, base: str, at: datetime) -> tuple[DataFrame, DataFrame]:
+    """ST2: the reports that classified requests ask for.  Per different period
+    one population bundle, and one person bundle for all the people asked for;
+    one profile table for all profile requests.  No loop over requests: only
+    over the different periods.
+
+    Returns the manifest (kind, report, ordinal, tab, path, rows) of what was
+    written, and the path of each request's report (request_key, kind, path)."""
+    spark = requests.sparkSession
+    ok = requests.where(F.col("kind") != "REJECT")
+    asked = [(r.kind, r.interval) for r in ok.where("kind != 'PROFILE'").select("kind", "interval").distinct()
+             .orderBy("kind", "interval").collect()]
+    manifests, paths = [], []
+    for kind, code in asked:
+        people = ok.where((F.col("kind") == "IND") & (F.col("interval") == code)).select(F.col("client").alias("idperson"))
+        tabs = population_bundle(b, code) if kind == "ALL" else person_bundle(b, code, people)
+        report = report_name(code, at)
+        m = write_bundle(tabs, f"{base}/{kind}", report, run_stamp(at))
+        manifests.append(m.select(F.lit(kind).alias("kind"), "report", "ordinal", "tab", "path", "rows"))
+        paths.append((kind, code, f"{base}/{kind}/report={report}/run_ts={run_stamp(at)}"))
+    people = ok.where("kind = 'PROFILE'").select(F.col("client").alias("idperson")).distinct()
+    profile = f"{base}/PROFILE/report={report_name('profile', at)}"
+    person_profile(b, persons=people).write.mode("overwrite").parquet(profile)
+    rows = spark.read.parquet(profile).agg(F.count(F.lit(1)).alias("rows"))
+    manifests.append(rows.select(F.lit("PROFILE").alias("kind"), F.lit(report_name("profile", at)).alias("report"),
+                                 F.lit(0).alias("ordinal"), F.lit("Profile").alias("tab"), F.lit(profile).alias("path"), "rows"))
+    where = spark.createDataFrame(paths, "kind string, interval string, path string")
+    found = ok.join(where, ["kind", "interval"], "left")
+    found = found.select("request_key", "kind", F.coalesce("path", F.lit(profile)).alias("path"))
+    return reduce(DataFrame.unionByName, manifests), found
+
+
 def serve(spark: SparkSession, b: Binding, queue_dir: str, out_dir: str, checkpoint_dir: str,
           max_files_per_trigger: int | None = None, archive_dir: str | None = None,
-          now: Callable[[], str] | None = None):
+          now: Callable[[], str] | None = None, reports_dir: str | None = None):
     """ST1: drain the queue with ``availableNow`` and stop.  ``now`` gives the
     as-of time of each batch, for a stream that lives on; without it the
-    binding's holds."""
+    binding's holds.  With ``reports_dir`` each batch's reports are written
+    there, and where each request's report is goes to ``paths``."""
 
     def process(batch: DataFrame, epoch_id: int) -> None:
-        c = classify(batch, b, now() if now else None)
+        as_of = now() if now else None
+        c = classify(batch, b, as_of)
         c.persist()
         try:
+            if reports_dir and c.where(F.col("kind") != "REJECT").limit(1).count():
+                own = as_of_binding(b, as_of)
+                at = datetime.fromisoformat(own.as_of_for("visits"))
+                _, found = write_reports(c, own, f"{reports_dir}/batch={epoch_id}", at)
+                found.write.mode("overwrite").parquet(f"{out_dir}/paths/batch={epoch_id}")
             answer(c, b).write.mode("overwrite").parquet(f"{out_dir}/results/batch={epoch_id}")
             (c.where(F.col("kind") == "REJECT")
              .select("request_key", "source_file", "type", "interval", "_corrupt_record")
