@@ -49,6 +49,15 @@ def services_per_person(b: Binding, code: str = "SI", source: str = "survey") ->
             .agg(F.count("service_id").cast("bigint").alias("services")))
 
 
+def activity_per_person(b: Binding, code: str = "SI", source: str = "survey") -> DataFrame:
+    """FEA2 and FEA3 in one pass over the visits: visits and service requests
+    per person, requests counted per visit first."""
+    v = _visits_with_person(b, facts.period(b, code, source))
+    r = b.requests().groupBy("connection_id").agg(F.count("service_id").alias("_services"))
+    return (v.join(r, v.idsnapshot == r.connection_id, "left").groupBy(F.col("person_id").alias("idperson"))
+            .agg(F.count("idsnapshot").alias("visits"), F.sum("_services").alias("services")))
+
+
 def housing_per_person(b: Binding, code: str = "SI", source: str = "survey") -> DataFrame:
     """FEA4: six conditional counts in one pass (count_if)."""
     p = facts.period(b, code, source)
@@ -68,16 +77,15 @@ def feature_table(b: Binding, code: str = "SI", source: str = "survey",
     gender maximum, as the reference does (Q12); ``'self'`` divides each by
     its own maximum.  Maxima are scalar subqueries (no cross join).
     """
-    base = visits_per_person(b, code, source)
-    seen = seen_people(b, code, source)
-    j = (base.join(seen, "idperson", "left")
-         .join(services_per_person(b, code, source), "idperson", "left")
+    j = (activity_per_person(b, code, source).join(b.person_codes(), "idperson", "left")
          .join(housing_per_person(b, code, source), "idperson", "left"))
     counts = ["visits", "gender_id", "ethnicity_id", "veteran_id", "credits", "services"] + [n for n, _ in HOUSING_COUNTS]
     j = j.select("idperson", *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in counts])
 
+    seen = seen_people(b, code, source)
+
     def max_of(c):
-        # every person of ``base`` is in ``seen`` (same visits, same person
+        # the people of ``j`` are those of ``seen`` (same visits, same person
         # filter), so the maximum over the joined table is the maximum over
         # ``seen`` with NULL read as 0: a smaller subquery than ``j`` itself
         return seen.select(F.coalesce(F.max(F.col(c).cast("double")), F.lit(0.0))).scalar()
