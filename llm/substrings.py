@@ -3,8 +3,9 @@
 Every run of ``k`` words is an edge between its first and last ``k - 1`` words.
 An edge that occurs twice or more is repeated; a chain of repeated edges of which
 each has one successor and one predecessor in all places is one path.  Paths get
-compacted, joined by their first edge, verified at their source coordinates by an
-independent hash of the whole span, and the words they cover go.
+compacted and joined by their first edge and length; a path must have two source
+coordinates or more.  The words that verified paths cover go.  Edges are told
+apart by 64-bit hashes of their words.
 
 Most edges occur once.  A seed of ``m`` words is chosen in every window by least
 hash; equal windows have equal seeds, so only windows with a seed that occurs
@@ -97,18 +98,19 @@ def _twice(values: np.ndarray) -> np.ndarray:
     return out
 
 
-def _edge_flags(edges: np.ndarray) -> np.ndarray:
+def _edge_verdicts(edges: np.ndarray) -> np.ndarray:
+    """Flags in the low three bits, and above them a label by which the occurrences of a path are joined."""
     order = np.argsort(edges["hash"], kind="stable")
     by = edges["hash"][order]
     head = np.concatenate([[True], by[1:] != by[:-1]]) if len(by) else np.zeros(0, bool)
     at = np.flatnonzero(head)
     size = np.diff(np.append(at, len(by)))
-    flags = (size > 1).astype(np.uint8) * REPEATED
+    flags = (by[at] >> _U(35) << _U(3)).astype(np.uint32) | (size > 1).astype(np.uint32) * np.uint32(REPEATED)
     for field, bit in (("next", ONE_NEXT), ("before", ONE_BEFORE)):
         x = edges[field][order]
         if len(at):  # 0: the text ends or begins here
-            flags |= ((np.minimum.reduceat(x, at) == np.maximum.reduceat(x, at)) & (x[at] > 0)).astype(np.uint8) * bit
-    out = np.empty(len(edges), np.uint8)
+            flags |= ((np.minimum.reduceat(x, at) == np.maximum.reduceat(x, at)) & (x[at] > 0)).astype(np.uint32) * np.uint32(bit)
+    out = np.empty(len(edges), np.uint32)
     out[order] = np.repeat(flags, size)
     return out
 
@@ -153,39 +155,28 @@ def paths(texts: DataFrame, k: int, m: int) -> DataFrame:
             edges["before"][inner] = short[starts[inner] - 1]
             inner = starts + k < words.first[owner + 1]
             edges["next"][inner] = short[starts[inner] + k]
-            # a hash of all words up to each place gives an independent hash of any span
-            total = np.concatenate([np.zeros(1, _U), np.cumsum(mixed(words.h ^ _U(0xA4093822299F31D0)) * (np.arange(len(words.h), dtype=_U) * _U(2) + _U(1)), dtype=_U)])
-            plain = np.concatenate([np.zeros(1, _U), np.cumsum(mixed(words.h ^ _U(0xA4093822299F31D0)), dtype=_U)])
-            per = np.bincount(owner, minlength=part.num_rows)
-            info = pa.RecordBatch.from_arrays(
-                [pa.array([to_bytes(part.select(["id", "name"]))], pa.binary())] + [pa.array([x.tobytes()], pa.binary()) for x in (per, (starts - words.first[owner]).astype(np.int64), starts, edges["hash"], total[starts], plain[starts], total[starts + k], plain[starts + k])],
-                names=["rows", "per", "at", "starts", "hash", "total", "plain", "total_to", "plain_to"],
-            )
+            marks = np.zeros(len(words.h), bool)
+            marks[starts] = True
+            info = pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in (to_bytes(part.select(["id", "name"])), words.first.astype(np.int64).tobytes(), np.packbits(marks).tobytes())], names=["rows", "first", "marks"])
             yield from pack(number, edges["hash"] >> _U(20), edges, to_bytes(info), buckets)
 
-    def finish(info: bytes, flags: np.ndarray) -> Iterator[pa.RecordBatch]:
-        batch = from_bytes(info)
-        held = {c: np.frombuffer(batch.column(c)[0].as_py(), np.int64 if c in ("per", "at", "starts") else _U) for c in batch.schema.names[1:]}
-        rows = from_bytes(batch.column("rows")[0].as_py())
-        keep = np.flatnonzero(flags & REPEATED)
+    def finish(info: bytes, verdicts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        rows, first, marks = (x[0].as_py() for x in from_bytes(info).columns)
+        rows, first = from_bytes(rows), np.frombuffer(first, np.int64)
+        keep = np.flatnonzero(verdicts & REPEATED)
         if not len(keep):
             return
-        owner, at, f = np.repeat(np.arange(len(held["per"])), held["per"])[keep], held["at"][keep], flags[keep]
+        starts, f = np.flatnonzero(np.unpackbits(np.frombuffer(marks, np.uint8)))[keep], verdicts[keep]
+        owner = np.searchsorted(first, starts, side="right") - 1
+        at = starts - first[owner]
         joined = (owner[1:] == owner[:-1]) & (at[1:] == at[:-1] + 1) & (f[:-1] & ONE_NEXT > 0) & (f[1:] & ONE_BEFORE > 0)
         head = np.flatnonzero(np.concatenate([[True], ~joined]))
         tail = np.append(head[1:] - 1, len(keep) - 1)
-        i, j = keep[head], keep[tail]
-        # sum over the span of word * (2 * place + 1), with places counted from the span's start
-        plain = held["plain_to"][j] - held["plain"][i]
-        check = mixed(held["total_to"][j] - held["total"][i] - held["starts"][i].astype(_U) * _U(2) * plain) ^ plain
         who = pa.array(owner[head])
-        yield pa.RecordBatch.from_arrays(
-            [rows.column("id").take(who), rows.column("name").take(who), pa.array(at[head]), pa.array(at[tail] + k), pa.array(held["hash"][i].view(np.int64)), pa.array(check.view(np.int64))],
-            names=["id", "name", "start", "end", "edge", "check"],
-        )
+        yield pa.RecordBatch.from_arrays([rows.column("id").take(who), rows.column("name").take(who), pa.array(at[head]), pa.array(at[tail] + k), pa.array(f[head].astype(np.int64) >> 3)], names=["id", "name", "start", "end", "edge"])
 
     packed = texts.mapInArrow(emit, PACKED)
-    return judged(packed, buckets, EDGE, _edge_flags, finish, "id long, name long, start long, end long, edge long, check long")
+    return judged(packed, buckets, EDGE, _edge_verdicts, finish, "id long, name long, start long, end long, edge long", np.uint32)
 
 
 def repeated_spans_removed(docs: DataFrame, k: int = 35, m: int = 16, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -196,8 +187,9 @@ def repeated_spans_removed(docs: DataFrame, k: int = 35, m: int = 16, id_col: st
     both = (rows["id"].eqNullSafe(some["id"])) & (rows["name"] == some["name"])
     texts = stored(rows.join(some, both).select(rows["id"], rows["name"], "text", "seeds"), "seeded-texts")
     found = stored(paths(texts.select("id", "name", "text", "seeds"), k, m), "paths")
-    real = found.groupBy("edge", "check", (F.col("end") - F.col("start")).alias("length")).agg(F.count("*").alias("places")).where("places > 1")
-    spans = found.withColumn("length", F.col("end") - F.col("start")).join(real, ["edge", "check", "length"]).select("id", "name", "start", "end").distinct()
+    found = found.withColumn("length", F.col("end") - F.col("start"))
+    real = found.groupBy("edge", "length").agg(F.count("*").alias("places")).where("places > 1")
+    spans = found.join(real, ["edge", "length"]).select("id", "name", "start", "end").distinct()
     cover = spans.groupBy("id", "name").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"))
     parts = texts.select("id", "name", "text").alias("t").join(cover.alias("c"), F.expr("t.id <=> c.id AND t.name = c.name"), "left").select("t.id", "t.text", F.col("c.spans.start").alias("starts"), F.col("c.spans.end").alias("ends"))
 
