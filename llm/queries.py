@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from llm import oracle
 from llm.context_mixing import mixing_scores
 from llm.decontaminate import contamination
 from llm.line_dedup import line_decisions
@@ -55,7 +57,8 @@ def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_decisions(table(spark, sf_dir, "documents"))
+    removed = F.array_join(F.col("removed").cast("array<string>"), ",").alias("removed")
+    return line_decisions(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", removed)
 
 
 def op9_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,4 +75,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracle.oracle_sql()
