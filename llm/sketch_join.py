@@ -15,9 +15,13 @@ What keeps the join small without losing a link:
   of them has no partner, and pairs are bounded by the shared part of both.
 * Segments of fewer than two shingles, which many texts share by chance, serve
   only sets that have too few other segments for the argument above.
-* In each group of equal segments all members are first verified against one
-  member.  Groups that this has joined into one component are done; of the
-  others, only members outside the first member's component are paired with all.
+* First every text is verified against one other only, of the first members of
+  the groups of equal segments that it is in.  Groups that this has joined into
+  one component are done.  In the others, texts meet the first member, and then
+  what is still apart from it meets all.
+* There, only pairs go on to be verified whose bit sketches allow a link: one bit
+  for each shingle, so that the sketches' Hamming distance, too, is at most the
+  size of the symmetric difference.
 
 Links are verified on exact sets of 64-bit shingle hashes.
 
@@ -41,7 +45,9 @@ from llm.scratch import stored
 from llm.words import NOT_SPACE, Words, blocks, mixed, ragged, span_sums
 
 _U = np.uint64
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
+#: 64-bit words of a text's bit sketch.
+SKETCH = 8
 PACKED = "bucket int, block long, counts binary, hashes binary, ids array<long>, n array<int>, a array<long>, b array<long>"
 COUNTED = "block long, alone binary, ids array<long>, n array<int>, a array<long>, b array<long>"
 
@@ -176,10 +182,23 @@ def sketch_keys(values: np.ndarray, num: int, den: int) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, _U)
 
 
+def bit_sketch(values: np.ndarray) -> np.ndarray:
+    """One bit per value, those on the same bit cancelling out."""
+    at = mixed(values ^ _U(0x082EFA98EC4E6C89))
+    out = np.zeros(SKETCH, _U)
+    np.bitwise_xor.at(out, ((at >> _U(6)) % _U(SKETCH)).astype(np.int64), _U(1) << (at & _U(63)))
+    return out
+
+
+def _near_enough(x: str, y: str, num: int, den: int) -> str:
+    """SQL: the Hamming distance of the bit sketches is no more than a link's symmetric difference can be."""
+    apart = " + ".join(f"bit_count({x}s{i} ^ {y}s{i})" for i in range(SKETCH))
+    return f"{num + den}L * ({apart}) <= {den - num}L * ({x}n + {y}n)"
+
+
 def _possible(x: str, y: str, num: int, den: int) -> str:
     """SQL: the sets' sizes, less the shingles that only one text has, leave room for a link."""
-    need = f"{num}L * ({x}.n + {y}.n)"
-    return f"{need} <= {num + den}L * least({x}.n - {x}.alone, {y}.n - {y}.alone)"
+    return f"{num}L * ({x}n + {y}n) <= {num + den}L * least({x}n - {x}alone, {y}n - {y}alone)"
 
 
 def _verified(pairs: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFrame:
@@ -210,22 +229,32 @@ def linked_nodes(nodes: DataFrame, num: int, den: int) -> tuple[DataFrame, DataF
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), *(batch.column(c).take(each) for c in ("node", "n", "alone"))], names=["key", "node", "n", "alone"])
 
     keys = stored(nodes.select("node", "n", "alone", "shingles").mapInArrow(emit, "key long, node long, n int, alone int"), "sketch-keys")
-    # the member with the fewest shingles of its own stands nearest to the others
-    first = stored(keys.groupBy("key").agg(F.min(F.struct("alone", "node", "n")).alias("p"), F.max("node").alias("top"), F.min("node").alias("low")).where("top != low").select("key", "p.*"), "sketch-firsts")
-    star = keys.alias("k").join(first.alias("p"), "key").where(f"k.node != p.node AND {_possible('k', 'p', num, den)}").select(F.col("k.node").alias("x"), F.col("p.node").alias("y"))
-    links = stored(_verified(star.distinct(), nodes, num, den), "star-links")
-    comps = components(links)
-    shared = keys.join(first.select("key", F.col("node").alias("first")), "key")
-    placed = shared.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    placed = stored(placed, "sketch-placed")
-    split = placed.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("top"), F.min(F.when(F.col("node") == F.col("first"), F.col("comp"))).alias("main")).where("low != top")
-    mixed_keys = stored(placed.join(split.select("key", "main"), "key"), "sketch-mixed")
-    cross = mixed_keys.where("comp != main").alias("k").join(mixed_keys.alias("p"), "key").where(f"k.comp != p.comp AND (p.comp = p.main OR k.node < p.node) AND {_possible('k', 'p', num, den)}")
-    more = stored(_verified(cross.select(F.col("k.node").alias("x"), F.col("p.node").alias("y")).distinct(), nodes, num, den), "cross-links")
-    if more.limit(1).count():
-        links = links.union(more)
-        comps = components(links)
-    return links, comps
+    several = keys.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("top")).where("low != top").select("key")
+    shared = stored(keys.join(several, "key").withColumn("comp", F.col("node")), "shared-keys")
+
+    def split(placed: DataFrame, more: list[str]) -> DataFrame:
+        """Rows of the keys that hold several components, with the first member p of their key: the one with the fewest shingles of its own stands nearest to the others."""
+        first = placed.groupBy("key").agg(F.min(F.struct("alone", "node", "n", "comp", *more)).alias("p"), F.min("comp").alias("low"), F.max("comp").alias("top")).where("low != top").select("key", "p")
+        return stored(placed.join(first, "key"), "split-keys")
+
+    def merged(placed: DataFrame, links: DataFrame) -> DataFrame:
+        return placed.drop("comp", "p").join(components(links), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+
+    # one comparison for each text, with the first member nearest to the others of all its keys
+    near = split(shared, []).where(f"node != p.node AND {_possible('', 'p.', num, den)}").groupBy(F.col("node").alias("x")).agg(F.min("p").alias("p"))
+    links = stored(_verified(near.select("x", F.col("p.node").alias("y")), nodes, num, den), "first-links")
+    sketches = [f"s{i}" for i in range(SKETCH)]
+    apart = split(merged(shared, links), []).drop("p").join(nodes.select("node", *sketches), "node")
+    # what is still apart meets the first members, then all of its keys
+    apart = split(apart, sketches)
+    star = apart.where(f"comp != p.comp AND {_possible('', 'p.', num, den)} AND {_near_enough('', 'p.', num, den)}").select(F.col("node").alias("x"), F.col("p.node").alias("y"))
+    links = links.union(stored(_verified(star.distinct(), nodes, num, den), "star-links"))
+    apart = split(merged(apart, links), sketches)
+    apart = apart.withColumn("main", F.col("p.comp")).drop("p")
+    cross = apart.where("comp != main").alias("k").join(apart.alias("q"), "key").where(f"k.comp != q.comp AND (q.comp = q.main OR k.node < q.node) AND {_possible('k.', 'q.', num, den)} AND {_near_enough('k.', 'q.', num, den)}")
+    more = stored(_verified(cross.select(F.col("k.node").alias("x"), F.col("q.node").alias("y")).distinct(), nodes, num, den), "cross-links")
+    links = links.union(more)
+    return links, components(links)
 
 
 def jaccard_components(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -241,12 +270,13 @@ def jaccard_components(docs: DataFrame, k: int = 3, num: int = 90, den: int = 10
                 sets = Sets(part.column("text"), k)
                 a, b = sets.names()
                 each = [sets.values[i:j].tobytes() for i, j in zip(sets.first[:-1], sets.first[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(each, pa.binary())], names=["a", "b", "shingles"])
+                bits = np.array([bit_sketch(sets.values[i:j]) for i, j in zip(sets.first[:-1], sets.first[1:], strict=True)], _U).reshape(-1, SKETCH).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(each, pa.binary()), *(pa.array(np.ascontiguousarray(x)) for x in bits.T)], names=["a", "b", "shingles", *(f"s{i}" for i in range(SKETCH))])
 
     wanted = able.select("low").distinct()
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     texts = texts.join(wanted, texts["id"].eqNullSafe(wanted["low"]), "left_semi")
-    sets = texts.select("text").mapInArrow(shingles, "a long, b long, shingles binary").dropDuplicates(["a", "b"])
+    sets = texts.select("text").mapInArrow(shingles, "a long, b long, shingles binary, " + ", ".join(f"s{i} long" for i in range(SKETCH))).dropDuplicates(["a", "b"])
     nodes = stored(sets.join(able, ["a", "b"]).withColumn("node", F.monotonically_increasing_id()), "set-nodes")
     _, comps = linked_nodes(nodes, num, den)
     members = nodes.select("node", "a", "b", "low").join(comps, "node")
