@@ -124,9 +124,11 @@ def set_sizes(docs: DataFrame, k: int, id_col: str = "doc_id", text_col: str = "
             every = np.concatenate(parts)
             packed = np.sort(every.astype(_U) << _U(32) | np.arange(len(every), dtype=_U))
             by = packed >> _U(32)
-            same = np.concatenate([[False], by[1:] == by[:-1], [False]])
+            lone = np.ones(len(every), bool)
+            lone[1:] &= by[1:] != by[:-1]
+            lone[:-1] &= by[1:] != by[:-1]
             flags = np.zeros(len(every), bool)
-            flags[(packed & _U(0xFFFFFFFF)).astype(np.int64)[~(same[1:] | same[:-1])]] = True
+            flags[(packed & _U(0xFFFFFFFF)).astype(np.int64)[lone]] = True
             at = 0
             for x, part in zip(some, parts, strict=True):
                 counts = np.frombuffer(x.column("counts")[0].as_buffer(), np.uint32).astype(np.int64)

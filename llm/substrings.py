@@ -92,9 +92,11 @@ def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Recor
 def _twice(values: np.ndarray) -> np.ndarray:
     packed = np.sort(values.astype(_U) << _U(32) | np.arange(len(values), dtype=_U))
     by = packed >> _U(32)
-    same = np.concatenate([[False], by[1:] == by[:-1], [False]])
+    again = np.zeros(len(values), bool)
+    again[1:] |= by[1:] == by[:-1]
+    again[:-1] |= by[1:] == by[:-1]
     out = np.zeros(len(values), np.uint8)
-    out[(packed & _U(0xFFFFFFFF)).astype(np.int64)] = same[1:] | same[:-1]
+    out[(packed & _U(0xFFFFFFFF)).astype(np.int64)] = again
     return out
 
 
