@@ -7,8 +7,8 @@ every block: that gives the token at a place, the number of times a token stands
 in a stretch, and the place of its k-th occurrence, without decoding the shard.
 
 Encoding meets most words again and again.  A text is cut before every single
-space between two characters that are surely no white space; the pre-tokenizer's
-pattern always starts a new piece there, so the pieces' ids follow one another
+space between two characters that are surely no white space, and between an ASCII
+letter and an ASCII mark; the pre-tokenizer's pattern always starts a new piece there, so the pieces' ids follow one another
 unchanged.  Each different piece of a task is encoded once.
 
 Null and empty texts have just the end id.  Null ids come first; rows with equal
@@ -24,6 +24,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 from llm.scratch import stored
 from llm.words import blocks, byte_class, ragged
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 8 << 20
 SHARD_TOKENS = 1 << 20
 END_ID = 2
 #: Pieces that a Python worker remembers; others are encoded again in each block of texts.
@@ -57,9 +58,10 @@ class WaveletMatrix:
     def of(cls, values: np.ndarray, bits: int) -> WaveletMatrix:
         planes, at = [], np.asarray(values)
         for k in range(bits - 1, -1, -1):
-            ones = (at >> at.dtype.type(k) & at.dtype.type(1)).astype(bool)
+            ones = (at & at.dtype.type(1 << k)) != 0
             planes.append(np.packbits(ones, bitorder="little"))
-            at = np.concatenate([at[~ones], at[ones]])
+            if k:  # nothing stands below the last plane
+                at = np.concatenate([at[~ones], at[ones]])
         return cls(len(values), planes)
 
     def to_bytes(self) -> bytes:
@@ -121,7 +123,7 @@ class WaveletMatrix:
     def decode(self) -> np.ndarray:
         at = np.zeros(self.length, np.uint32 if len(self.planes) > 16 else np.uint16)
         for p in range(len(self.planes) - 1, -1, -1):
-            ones = np.unpackbits(self.planes[p], count=self.length, bitorder="little").astype(bool)
+            ones = np.unpackbits(self.planes[p], count=self.length, bitorder="little").view(bool)
             up, z = np.empty_like(at), self.zeros[p]
             up[~ones], up[ones] = at[:z], at[z:] | at.dtype.type(1 << (len(self.planes) - 1 - p))
             at = up
@@ -131,7 +133,8 @@ class WaveletMatrix:
 class Encoder:
     """Ids of whole texts, with every different piece encoded once."""
 
-    SURE = byte_class((0x21, 0x7E))
+    SURE, LETTER = byte_class((0x21, 0x7E)), byte_class((0x41, 0x5A), (0x61, 0x7A))
+    MARK = SURE & ~LETTER & ~byte_class((0x30, 0x39))
     #: Bytes that stand before the last, or as the first, byte of white space that is not ASCII.
     BEFORE_LAST, FIRST = byte_class((0x80, 0x81), (0x9A, 0x9A), (0xC2, 0xC2)), byte_class((0x80, 0xC2), (0xE1, 0xE3))
 
@@ -148,57 +151,83 @@ class Encoder:
         self.known: dict[str, int] = {}
         self.flat, self.lasting = np.zeros(0, self.kind), np.zeros(0, np.int64)
 
+    def _begins_sure(self, first: np.ndarray) -> np.ndarray:
+        """A character with this first byte is no white space."""
+        return self.SURE[first] | ((first >= 0x80) & ~self.FIRST[first])
+
+    def _ends_sure(self, before: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """A character with this last byte, and this one before, is no white space."""
+        return self.SURE[last] | ((last >= 0x80) & ~self.BEFORE_LAST[before])
+
     def _cuts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         at = np.flatnonzero(data == 0x20)
         at = at[(at >= 2) & (at < len(data) - 1)]
-        left, right = data[at - 1], data[at + 1]
-        left = self.SURE[left] | ((left >= 0x80) & ~self.BEFORE_LAST[data[at - 2]])
-        right = self.SURE[right] | ((right >= 0x80) & ~self.FIRST[right])
-        return np.union1d(at[left & right], offsets)
-
-    def _encode(self, pieces: list[str]) -> list[np.ndarray]:
-        """Ids of each piece.  Pieces that begin with a space are encoded in one text and told apart by their bytes."""
-        out: list[np.ndarray] = [None] * len(pieces)
-        joined = [i for i, x in enumerate(pieces) if x[:1] == " " and x[1:2].strip() and x[-1:].strip() and "<|" not in x]
-        alone = sorted(set(range(len(pieces))) - set(joined))
-        for i, e in zip(alone, self.tokenizer.encode_batch_fast([pieces[i] for i in alone], add_special_tokens=False), strict=True):
-            out[i] = np.array(e.ids, self.kind)
-        groups = [joined[i : i + TOGETHER] for i in range(0, len(joined), TOGETHER)]
-        for group, e in zip(groups, self.tokenizer.encode_batch_fast(["".join(pieces[i] for i in g) for g in groups], add_special_tokens=False), strict=True):
-            ids = np.array(e.ids, self.kind)
-            ends = np.searchsorted(np.cumsum(self.lengths[ids]), np.cumsum([len(pieces[i].encode()) for i in group])) + 1
-            for i, x in zip(group, np.split(ids, ends[:-1]), strict=True):
-                out[i] = x
-        return out
+        marked = np.zeros(len(data) + 1, bool)
+        marked[at[self._ends_sure(data[at - 2], data[at - 1]) & self._begins_sure(data[at + 1])]] = True
+        # a letter's piece ends before a mark, too
+        marked[1:-1] |= self.LETTER[data[:-1]] & self.MARK[data[1:]]
+        marked[offsets] = True
+        return np.flatnonzero(marked)
+
+    def _encode(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the pieces, and how many each has.  Pieces that begin with a space and a character that is surely no white
+        space are encoded together, as one text, and told apart by their bytes; that is where the pattern cuts that text."""
+        texts = pieces.to_pylist()
+        data, ends = self._bytes(pieces)
+        starts = np.concatenate([[0], ends[:-1]])
+        second = data[np.minimum(starts + 1, len(data) - 1)]
+        joined = (ends - starts > 1) & (data[starts] == 0x20) & self._begins_sure(second) & self._ends_sure(data[ends - 2], data[ends - 1])
+        joined &= ~pc.match_substring(pieces, "<|").to_numpy(zero_copy_only=False)
+        together, alone = np.flatnonzero(joined), np.flatnonzero(~joined)
+        groups = ["".join([texts[i] for i in together[k : k + TOGETHER]]) for k in range(0, len(together), TOGETHER)]
+        encoded = self.tokenizer.encode_batch_fast(groups + [texts[i] for i in alone], add_special_tokens=False)
+        parts = [np.array(e.ids, self.kind) for e in encoded]
+        first = np.concatenate([np.zeros(0, self.kind), *parts[: len(groups)]])
+        cut = np.searchsorted(np.cumsum(self.lengths[first]), np.cumsum((ends - starts)[together])) + 1
+        counts = np.zeros(len(texts), np.int64)
+        counts[together] = np.diff(cut, prepend=0)
+        counts[alone] = [len(x) for x in parts[len(groups) :]]
+        mixed = np.concatenate([first, *parts[len(groups) :]])
+        order = np.concatenate([together, alone])
+        at = np.cumsum(counts[order]) - counts[order]
+        back = np.empty(len(order), np.int64)
+        back[order] = at
+        return mixed[ragged(back, counts)], counts
+
+    @staticmethod
+    def _bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of all texts, and where each ends."""
+        offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        data = np.frombuffer(texts.buffers()[2], np.uint8)[offsets[0] : offsets[-1]] if texts.buffers()[2] else np.zeros(0, np.uint8)
+        return data, offsets[1:] - offsets[0]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and how many each text has."""
         texts = texts.fill_null("").cast(pa.large_string())
-        offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
-        data = np.frombuffer(texts.buffers()[2], np.uint8)[offsets[0] : offsets[-1]] if texts.buffers()[2] else np.zeros(0, np.uint8)
-        offsets = offsets - offsets[0]
+        if not len(texts):
+            return np.zeros(0, self.kind), np.zeros(0, np.int64)
+        data, ends = self._bytes(texts)
+        offsets = np.concatenate([[0], ends])
         if not len(data):
             return np.zeros(0, self.kind), np.zeros(len(texts), np.int64)
         cuts = self._cuts(data, offsets)
-        found = pa.Array.from_buffers(pa.large_string(), len(cuts) - 1, [None, pa.py_buffer(cuts.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))]).dictionary_encode()
-        pieces, where = found.dictionary.to_pylist(), found.indices.to_numpy()
-        number = np.array([self.known.get(x, -1) for x in pieces])
+        found = pa.Array.from_buffers(pa.large_string(), len(cuts) - 1, [None, pa.py_buffer(cuts), pa.py_buffer(np.ascontiguousarray(data))]).dictionary_encode()
+        known = self.known.get
+        number = np.array([known(x, -1) for x in found.dictionary.to_pylist()])
         missing = np.flatnonzero(number < 0)
-        fresh = self._encode([pieces[i] for i in missing])
+        fresh = found.dictionary.take(pa.array(missing))
+        ids, counts = self._encode(fresh) if len(missing) else (self.flat[:0], self.lasting[:0])
+        number[missing] = np.arange(len(self.known), len(self.known) + len(missing))
+        flat, lengths = np.concatenate([self.flat, ids]), np.concatenate([self.lasting, counts])
         room = max(0, REMEMBERED - len(self.known))
-        kept, late = fresh[:room], fresh[room:]
-        number[missing[:room]] = np.arange(len(self.known), len(self.known) + len(kept))
-        self.known.update((pieces[i], int(number[i])) for i in missing[:room])
-        self.flat = np.concatenate([self.flat, *kept])
-        self.lasting = np.concatenate([self.lasting, np.array([len(x) for x in kept], np.int64)])
-        number[missing[room:]] = np.arange(len(self.known), len(self.known) + len(late))
-        flat = np.concatenate([self.flat, *late])
-        lengths = np.concatenate([self.lasting, np.array([len(x) for x in late], np.int64)])
-        starts = np.cumsum(lengths) - lengths
-        each = number[where]
-        ids = flat[ragged(starts[each], lengths[each])]
-        so_far = np.concatenate([[0], np.cumsum(lengths[each])])
-        return ids, np.diff(so_far[np.searchsorted(cuts, offsets)])
+        if room and len(missing):
+            self.known.update(zip(fresh.slice(0, room).to_pylist(), number[missing[:room]].tolist(), strict=True))
+            self.lasting = lengths[: len(self.known)]
+            self.flat = flat[: self.lasting.sum()]
+        each = number[found.indices.to_numpy()]
+        starts, per = (np.cumsum(lengths) - lengths)[each], lengths[each]
+        so_far = np.concatenate([[0], np.cumsum(per)])
+        return flat[ragged(starts, per)], np.diff(so_far[np.searchsorted(cuts, offsets)])
 
 
 @lru_cache(maxsize=2)
