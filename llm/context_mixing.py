@@ -35,7 +35,7 @@ from llm.scratch import stored
 from llm.words import NOT_SPACE, Words, blocks, ragged
 
 _U = np.uint64
-COUNT_BYTES, SCORE_BYTES = 4 << 20, 1 << 20
+COUNT_BYTES, SCORE_BYTES = 4 << 20, 2 << 20
 BITS = 8
 CLASSES, END_CLASS = 1 << BITS, (1 << BITS) - 1
 END = _U(0x0123456789ABCDEF)
@@ -48,7 +48,7 @@ BEGIN = np.concatenate([[0], np.cumsum(SLOTS)])
 TRUST = np.array([1.0, 4.0, 6.0, 8.0, 3.0], np.float32)
 CHUNK = 1 << 15
 #: Weights at a text's start, tokens between updates, and the step of an update.
-WEIGHTS, TURN, STEP = np.array([0.0, 0.1, 0.4, 0.25, 0.25], np.float32), 32, np.float32(0.01)
+WEIGHTS, TURN, STEP = np.array([0.0, 0.1, 0.4, 0.25, 0.25], np.float32), 64, np.float32(0.01)
 #: Refinement: buckets of the mixed logit, what the mix itself weighs in them, and the refined chance's part.
 BUCKETS, PRIOR, REFINED = 12, np.float32(24), 0.3
 
