@@ -35,8 +35,8 @@ from llm.words import blocks, byte_class, ragged
 BLOCK_BYTES = 8 << 20
 SHARD_TOKENS = 1 << 20
 END_ID = 2
-#: Pieces that a Python worker remembers; others are encoded again in each block of texts.
-REMEMBERED = 400_000
+#: Pieces that a task remembers; others are encoded again in each block of texts.
+REMEMBERED = 300_000
 TOGETHER = 256
 
 
@@ -148,6 +148,11 @@ class Encoder:
         self.lengths = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(size)])
         self.bits = max(1, (size - 1).bit_length())
         self.kind = np.uint16 if self.bits <= 16 else np.uint32
+        self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.forget()
+
+    def forget(self) -> None:
+        """Frees the remembered pieces: a Python worker lives on after its task."""
         self.known: dict[str, int] = {}
         self.flat, self.lasting = np.zeros(0, self.kind), np.zeros(0, np.int64)
 
@@ -166,6 +171,12 @@ class Encoder:
         marked[at[self._ends_sure(data[at - 2], data[at - 1]) & self._begins_sure(data[at + 1])]] = True
         # a letter's piece ends before a mark, too
         marked[1:-1] |= self.LETTER[data[:-1]] & self.MARK[data[1:]]
+        raw = data.tobytes()
+        for token in self.added:  # no cut inside a token that was added to the vocabulary
+            at = raw.find(token)
+            while at >= 0:
+                marked[at + 1 : at + len(token)] = False
+                at = raw.find(token, at + 1)
         marked[offsets] = True
         return np.flatnonzero(marked)
 
@@ -264,6 +275,7 @@ def write_shards(docs: DataFrame, path: str, end_id: int = END_ID, shard_tokens:
                     number, held = number + 1, []
         if held:
             yield shard()
+        own.forget()
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("name"), F.col(text_col).alias("text"))
     ordered = rows.repartitionByRange("id", "name").sortWithinPartitions("id", "name").select("id", "text")
