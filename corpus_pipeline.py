@@ -1,7 +1,8 @@
 """The corpus pipeline: documents through five stages, each written as Parquet and read again.
 
 1. quality: documents that the classifier rejects go.
-2. near duplicates: of each group of documents linked by similar word shingles, the one with the smallest id stays.
+2. near duplicates: of each group of documents linked by five-word shingles of similarity 0.8 or more, the one with the
+   smallest id stays.
 3. decontamination: documents that hold a window of a benchmark item go.
 4. mixing: every document comes as many times, none up to three, as the mix of sources to target weights takes its words.
 5. tokens: the mix is encoded and written in wavelet-matrix shards; the result tells each document's tokens.
@@ -35,7 +36,7 @@ def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = jaccard_components(docs)
+    found = jaccard_components(docs, k=5, num=80, den=100)
     return _without(docs, stored(found.where("NOT doc_id <=> component_id").select(F.col("doc_id").alias("gone")).distinct(), "duplicate-ids"))
 
 

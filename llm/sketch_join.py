@@ -11,10 +11,13 @@ What keeps the join small without losing a link:
 
 * Equal sets become one node, found by their 128-bit hash.
 * Shingles that no other text has are counted beforehand (by hash buckets, in
-  packed blocks).  They are in no intersection, so a set with more than a tenth
-  of them has no partner, and pairs are bounded by the shared part of both.
+  packed blocks).  They are in no intersection, so a set with more than a share of
+  1 - num / den of them has no partner, and pairs are bounded by the shared part of both.
 * Segments of fewer than two shingles, which many texts share by chance, serve
-  only sets that have too few other segments for the argument above.
+  only sets that have too few other segments for the argument above; empty ones
+  only sets that have too few of one shingle or more.
+* Small sets with few shingles a segment would often have empty ones.  They join
+  on their least shingles, by hash, of which two linked sets must share one.
 * First every text is verified against one other only, of the first members of
   the groups of equal segments that it is in.  Groups that this has joined into
   one component are done.  In the others, texts meet the first member, and then
@@ -48,6 +51,8 @@ _U = np.uint64
 BLOCK_BYTES = 4 << 20
 #: 64-bit words of a text's bit sketch.
 SKETCH = 8
+#: Size bands up to here join on least shingles where their segments hold fewer than four.
+SMALL = 26
 PACKED = "bucket int, block long, counts binary, hashes binary, ids array<long>, n array<int>, a array<long>, b array<long>"
 COUNTED = "block long, alone binary, ids array<long>, n array<int>, a array<long>, b array<long>"
 
@@ -174,14 +179,17 @@ def sketch_keys(values: np.ndarray, num: int, den: int) -> np.ndarray:
         differ = (n + min(top, most)) * (den - num) // (den + num)
         if not differ:
             continue
+        if top <= SMALL and lows[b] < 4 * segments:
+            out.append(mixed(np.sort(values)[: n - -(-n * num // den) + 1]))
+            continue
         at = (mixed(values ^ _U(b + 1)) % _U(segments)).astype(np.int64)
         parity, count = np.zeros(segments, _U), np.bincount(at, minlength=segments)
         np.bitwise_xor.at(parity, at, values)
-        dense = count > 1
-        use = dense if dense.sum() > differ else np.ones(segments, bool)
+        # of two linked sets, the one with the higher bound agrees with the other in a segment that both use
+        use = next((full for full in (count > 1, count > 0) if full.sum() > differ), np.ones(segments, bool))
         place = np.arange(segments, dtype=_U)[use] + _U(b << 40)
         out.append(mixed(mixed(parity[use] ^ mixed(place)) + count[use].astype(_U)))
-    return np.concatenate(out) if out else np.zeros(0, _U)
+    return np.unique(np.concatenate(out)) if out else np.zeros(0, _U)
 
 
 def bit_sketch(values: np.ndarray) -> np.ndarray:
