@@ -5,7 +5,7 @@ An edge that occurs twice or more is repeated; a chain of repeated edges of whic
 each has one successor and one predecessor in all places is one path.  Paths get
 compacted and joined by their first edge and length; a path must have two source
 coordinates or more.  The words that verified paths cover go.  Edges are told
-apart by 64-bit hashes of their words.
+apart by 64-bit hashes of their words, and their neighbours by 63 bits.
 
 Most edges occur once.  A seed of ``m`` words is chosen in every window by least
 hash; equal windows have equal seeds, so only windows with a seed that occurs
@@ -34,7 +34,7 @@ from llm.words import NOT_SPACE, SLICE, Words, blocks, mixed, span_sums
 _U = np.uint64
 BLOCK_BYTES = 4 << 20
 REPEATED, ONE_NEXT, ONE_BEFORE = 1, 2, 4
-EDGE = np.dtype([("hash", np.uint64), ("before", np.uint16), ("next", np.uint16)])
+EDGE = np.dtype([("hash", np.uint64), ("before", np.uint64), ("next", np.uint64)])
 
 
 def _sliding(values: np.ndarray, width: int, least: np.ufunc) -> np.ndarray:
@@ -151,12 +151,12 @@ def paths(texts: DataFrame, k: int, m: int) -> DataFrame:
             starts = words.windows_with(words.chosen[np.concatenate(bits).astype(bool)])
             edges = np.zeros(len(starts), EDGE)
             edges["hash"] = mixed(span_sums(words.h, starts, starts + k))
-            short = (words.h >> _U(48)).astype(np.uint16) | np.uint16(1)
+            tags = words.h | _U(1)
             owner = np.searchsorted(words.first, starts, side="right") - 1
             inner = starts > words.first[owner]
-            edges["before"][inner] = short[starts[inner] - 1]
+            edges["before"][inner] = tags[starts[inner] - 1]
             inner = starts + k < words.first[owner + 1]
-            edges["next"][inner] = short[starts[inner] + k]
+            edges["next"][inner] = tags[starts[inner] + k]
             marks = np.zeros(len(words.h), bool)
             marks[starts] = True
             info = pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in (to_bytes(part.select(["id", "name"])), words.first.astype(np.int64).tobytes(), np.packbits(marks).tobytes())], names=["rows", "first", "marks"])
