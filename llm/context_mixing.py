@@ -3,7 +3,7 @@
 The model predicts a text's tokens - lower-cased words, then an end - in two
 parts.  The bits of a token's class (short words by themselves, others by their
 last letters) come one by one from five predictors: counts of ones and zeros
-under hashed contexts of growing length, each smoothed by the one before.  Their
+under contexts of growing length, each smoothed by the one before.  Their
 logits are mixed by weights that are gated by the bit's place and learn online
 within each text; a map of predicted to actual chances then refines the result.
 The token within its class comes from its smoothed count.  So every text gets a
@@ -11,10 +11,11 @@ true probability over all texts of known words and, in each class, one unknown.
 
 What is gathered: counts of every different word of the training texts (packed
 blocks, by hash bucket, so that it grows with the corpus and no task holds it
-all), and counts of ones and zeros under all contexts of all training texts.
-The context tables have a fixed number of slots, so their size is bounded.
+all), and how often each class follows each context, the same way: a block sends
+every different pair of context and class that it holds once and gets back what
+all training texts have of it, so no table bounds what is told apart.
 
-Words are told apart by 64-bit hashes.  Null and empty texts are just an end.
+Words are told apart by 64-bit hashes, contexts by 56 bits.  Null and empty texts are just an end.
 A null id counts as training.  Each row counts for itself, also if rows or ids
 repeat.  Without training rows all counts are 0.  Other columns are not read.
 """
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 from llm.packed import PACKED, from_bytes, judged, pack, to_bytes
 from llm.quality import held_out
 from llm.scratch import stored
-from llm.words import NOT_SPACE, Words, blocks, ragged
+from llm.words import NOT_SPACE, Words, blocks, mixed, ragged
 
 _U = np.uint64
 COUNT_BYTES, SCORE_BYTES = 4 << 20, 2 << 20
@@ -41,12 +42,13 @@ CLASSES, END_CLASS = 1 << BITS, (1 << BITS) - 1
 END = _U(0x0123456789ABCDEF)
 RECORD = np.dtype([("hash", np.uint64), ("count", np.uint32)])
 
-#: Slots of the tables: no context, last class, last two classes, last word, last two words.
+#: Counts of a class under a context: of the other bit at each node on the way to the class, then of the class.
+PATH = np.dtype([("counts", np.float32, (BITS + 1,))])
+#: Tables by slots, for counts that do not come from a corpus: no context, last class, last two classes, last word, last two words.
 SLOTS = (1 << 8, 1 << 16, 1 << 20, 1 << 20, 1 << 21)
 BEGIN = np.concatenate([[0], np.cumsum(SLOTS)])
 #: How many counts of the shorter context a longer one starts from.
 TRUST = np.array([1.0, 4.0, 6.0, 8.0, 3.0], np.float32)
-CHUNK = 1 << 15
 #: Weights at a text's start, tokens between updates, and the step of an update.
 WEIGHTS, TURN, STEP = np.array([0.0, 0.1, 0.4, 0.25, 0.25], np.float32), 64, np.float32(0.01)
 #: Refinement: buckets of the mixed logit, what the mix itself weighs in them, and the refined chance's part.
@@ -144,53 +146,78 @@ def slots(tokens: Tokens, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return out + BEGIN[:-1, None, None].astype(np.int32), (own[:, None] >> down & np.uint32(1)).astype(np.uint8)
 
 
-def context_counts(rows: DataFrame) -> np.ndarray:
-    """Zeros and ones under every slot over all of ``rows(text)``: an array (slots, 2)."""
-    parallel = rows.sparkSession.sparkContext.defaultParallelism
-    partitions = rows.rdd.getNumPartitions()
+def contexts(tokens: Tokens) -> np.ndarray:
+    """For each predictor and token: 56 bits of its context's hash, and the token's class below them."""
+    place = np.arange(len(tokens.hashes))
+    since = place - np.repeat(tokens.first[:-1], tokens.counts)
+
+    def back(values: np.ndarray, k: int, start: np.uint64) -> np.ndarray:
+        return np.where(since >= k, values[np.maximum(place - k, 0)].astype(_U), start)
+
+    c1, c2 = (back(tokens.classes, k, _U(END_CLASS)) for k in (1, 2))
+    w1, w2 = (back(tokens.hashes, k, END) for k in (1, 2))
+    out = np.empty((len(SLOTS), len(place)), _U)
+    for i, context in enumerate((np.zeros(len(place), _U), c1, c1 << _U(BITS) | c2, w1, mixed(w1) + w2)):
+        out[i] = mixed(mixed(context) + _U(i)) & ~_U(CLASSES - 1) | tokens.classes
+    return out
+
+
+def different_contexts(tokens: Tokens) -> tuple[np.ndarray, np.ndarray]:
+    """The different contexts of a block with their classes, and where each predictor's and token's is among them."""
+    some, places, n = [], [], 0
+    for x in contexts(tokens):
+        different, place = np.unique(x, return_inverse=True)
+        some.append(different)
+        places.append((place + n).astype(np.int32))
+        n += len(different)
+    return np.concatenate(some), np.stack(places)
+
+
+def path_counts(records: np.ndarray) -> np.ndarray:
+    """Of each record's context and class: the PATH of the counts in all records."""
+    order = np.argsort(records["hash"], kind="stable")
+    by = records["hash"][order]
+    at = np.flatnonzero(np.concatenate([[True], by[1:] != by[:-1]])) if len(by) else np.zeros(0, np.int64)
+    out = np.zeros(len(records), PATH)
+    if not len(at):
+        return out
+    count, of = np.add.reduceat(records["count"][order].astype(np.int64), at), by[at]
+    paths, above = np.empty((len(at), BITS + 1), np.float32), count
+    paths[:, BITS] = count
+    for k in range(1, BITS + 1):
+        node = of >> _U(k)
+        head = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]]))
+        whole = np.repeat(np.add.reduceat(count, head), np.diff(np.append(head, len(of))))
+        paths[:, BITS - k], above = whole - above, whole
+    out["counts"][order] = np.repeat(paths, np.diff(np.append(at, len(by))), axis=0)
+    return out
+
+
+def block_scores(rows: DataFrame, within: np.ndarray) -> DataFrame:
+    """Per row of ``rows(id, name, held, text)``: the model's log10 probability, less the sum of the log10 counts of its words."""
+    buckets = max(64, rows.rdd.getNumPartitions())
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros(2 * int(BEGIN[-1]), np.int32)
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
         for batch in batches:
             for part in blocks(batch, "text", SCORE_BYTES):
                 tokens = Tokens(part.column("text"))
-                for lo in range(0, len(tokens.hashes), 1 << 16):
-                    where, bits = slots(tokens, np.arange(lo, min(lo + (1 << 16), len(tokens.hashes))))
-                    np.add.at(table, (2 * where + bits).ravel().astype(np.intp), np.int32(1))
-        yield from _rows(table)
-
-    def _rows(table: np.ndarray) -> Iterator[pa.RecordBatch]:
-        for i in range(0, len(table), 2 * CHUNK):
-            own = table[i : i + 2 * CHUNK]
-            some = np.flatnonzero(own)
-            if len(some):
-                parts = [np.array([len(some)], np.int64), some.astype(np.int32), own[some].astype(np.int64 if own.dtype == np.int64 else np.int32)]
-                yield pa.RecordBatch.from_arrays([pa.array([i // (2 * CHUNK)], pa.int32()), pa.array([parts[1].astype(np.uint16).tobytes()], pa.binary()), pa.array([parts[2].tobytes()], pa.binary())], names=["chunk", "some", "counts"])
-
-    def add(kind: type) -> object:
-        def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            held: dict[int, np.ndarray] = {}
-            for batch in batches:
-                for row in batch.to_pylist():
-                    own = held.setdefault(row["chunk"], np.zeros(2 * CHUNK, np.int64))
-                    own[np.frombuffer(row["some"], np.uint16)] += np.frombuffer(row["counts"], kind)
-            for chunk, own in held.items():
-                at = np.flatnonzero(own)
-                yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), pa.array([at.astype(np.uint16).tobytes()], pa.binary()), pa.array([own[at].tobytes()], pa.binary())], names=["chunk", "some", "counts"])
-
-        return added
-
-    schema = "chunk int, some binary, counts binary"
-    # one table for each of a few long tasks; sums by chunk in two steps, so that no task gets them all
-    counted = rows.select("text").coalesce(max(2 * parallel, partitions // 16)).mapInArrow(count, schema)
-    chunks = -(-int(BEGIN[-1]) // CHUNK)
-    first = counted.withColumn("turn", F.spark_partition_id() % 8).repartition(chunks, "chunk", "turn").select("chunk", "some", "counts").mapInArrow(add(np.int32), schema)
-    summed = first.repartition(chunks, "chunk").mapInArrow(add(np.int64), schema)
-    table = np.zeros(2 * chunks * CHUNK, np.int64)
-    for row in summed.toLocalIterator():
-        at = row["chunk"] * 2 * CHUNK + np.frombuffer(row["some"], np.uint16).astype(np.int64)
-        table[at] = np.frombuffer(row["counts"], np.int64)
-    return table.reshape(-1, 2)[: BEGIN[-1]]
+                some, places = different_contexts(tokens)
+                train = np.repeat(~part.column("held").to_numpy(zero_copy_only=False), tokens.counts)
+                records = np.zeros(len(some), RECORD)
+                records["hash"] = some
+                records["count"] = np.bincount(places[:, train].ravel(), minlength=len(some))
+                yield from pack(number, some >> _U(BITS), records, to_bytes(part.select(["id", "name", "text"])), buckets)
+                number += 1
+
+    def finish(info: bytes, paths: np.ndarray) -> Iterator[pa.RecordBatch]:
+        part = from_bytes(info)
+        tokens = Tokens(part.column("text"))
+        _, places = different_contexts(tokens)
+        logs = bit_logs(tokens, (paths, places)) - np.add.reduceat(within[tokens.classes], tokens.first[:-1])
+        yield pa.RecordBatch.from_arrays([part.column("id"), part.column("name"), pa.array(logs)], names=["id", "name", "logs"])
+
+    return judged(rows.mapInArrow(emit, PACKED), buckets, RECORD, path_counts, finish, "id long, name long, logs double", PATH)
 
 
 def small(table: np.ndarray) -> np.ndarray:
@@ -200,8 +227,22 @@ def small(table: np.ndarray) -> np.ndarray:
     return (halved[:, 1] << 16 | halved[:, 0]).astype(np.uint32)
 
 
-def bit_logs(tokens: Tokens, table: np.ndarray) -> np.ndarray:
-    """Per text of a block: log10 of the chance of its tokens' classes."""
+def node_counts(tokens: Tokens, given: np.ndarray | tuple[np.ndarray, np.ndarray], place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ones and both (5, tokens, bits) that the predictors counted at the given tokens' nodes, and the bits (tokens, bits)."""
+    if isinstance(given, np.ndarray):
+        where, bits = slots(tokens, place)
+        pairs = given[where]
+        ones = (pairs >> np.uint32(16)).astype(np.float32)
+        return ones, ones + (pairs & np.uint32(0xFFFF)).astype(np.float32), bits
+    paths, places = given
+    bits = np.unpackbits(tokens.classes[place][:, None], axis=1)
+    found = paths["counts"][places[:, place]]
+    every = np.cumsum(found[..., ::-1], axis=-1)[..., ::-1]
+    return np.where(bits, every[..., 1:], found[..., :-1]), every[..., :-1], bits
+
+
+def bit_logs(tokens: Tokens, given: np.ndarray | tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Per text of a block: log10 of the chance of its tokens' classes, by a table of slots or by paths and each token's places in them."""
     n, one = len(tokens.counts), np.float32(1)
     total, weights = np.zeros(n), np.repeat(WEIGHTS, n * BITS).reshape(len(SLOTS), n, BITS)
     centre = (1 / (1 + np.exp((BUCKETS - 1) / 2 - np.arange(BUCKETS)))).astype(np.float32)
@@ -213,10 +254,7 @@ def bit_logs(tokens: Tokens, table: np.ndarray) -> np.ndarray:
         per = np.minimum(tokens.counts[own] - at, TURN)
         place = ragged(tokens.first[own] + at, per)
         who = np.repeat(own, per)
-        where, bits = slots(tokens, place)
-        pairs = table[where]
-        ones = (pairs >> np.uint32(16)).astype(np.float32)
-        every = ones + (pairs & np.uint32(0xFFFF)).astype(np.float32)
+        ones, every, bits = node_counts(tokens, given, place)
         logits, p, mixed_logit = np.empty_like(ones), np.float32(0.5), np.zeros(bits.shape, np.float32)
         for k, trust in enumerate(TRUST):
             p = np.clip((ones[k] + trust * p) / (every[k] + trust), np.float32(1e-5), np.float32(1 - 1e-5))
@@ -241,7 +279,6 @@ def bit_logs(tokens: Tokens, table: np.ndarray) -> np.ndarray:
 
 def mixing_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row of ``docs``: token counts, the unigram log10 probability, the model's, and the model's bits per byte."""
-    spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("name"), held_out(id_col, 5).alias("held"), F.col(text_col).alias("text"))
     counted = stored(word_counts(rows), "word-counts")
     of_class = np.zeros((2, CLASSES), np.int64)
@@ -249,17 +286,8 @@ def mixing_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         for r in counted.select(F.posexplode(column).alias("c", "n")).groupBy("c").agg(F.sum("n").alias("n")).toLocalIterator():
             of_class[k, r["c"]] = r["n"]
     train_tokens, train_words = map(int, of_class.sum(1))
-    given = spark.sparkContext.broadcast((small(context_counts(rows.where("NOT held"))), np.log10(of_class[0] + 0.5 * of_class[1] + 0.5)))
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, within = given.value
-        for batch in batches:
-            for part in blocks(batch, "text", SCORE_BYTES):
-                tokens = Tokens(part.column("text"))
-                logs = bit_logs(tokens, table) - np.add.reduceat(within[tokens.classes], tokens.first[:-1])
-                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("name"), pa.array(logs)], names=["id", "name", "logs"])
-
-    logs = rows.select("id", "name", "text").mapInArrow(score, "id long, name long, logs double").dropDuplicates(["id", "name"])
+    within = np.log10(of_class[0] + 0.5 * of_class[1] + 0.5)
+    logs = block_scores(rows, within).dropDuplicates(["id", "name"])
     base = F.col("log_counts") - F.col("n_tokens") * float(np.log10(train_tokens + 0.5 * (train_words + 1)))
     out = counted.alias("c").join(logs.alias("l"), F.expr("c.id <=> l.id AND c.name <=> l.name")).select("c.*", (F.col("logs") + F.col("log_counts")).alias("score"))
     bits = F.when(F.col("n_bytes") > 0, -F.col("score") * float(np.log2(10)) / F.col("n_bytes"))
