@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from llm import oracle
 from llm.context_mixing import mixing_scores
+from llm.conversation_repair import repaired_conversations
 from llm.decontaminate import contamination
 from llm.line_dedup import line_decisions
 from llm.mixing import taken_words
@@ -69,8 +70,12 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_spans_removed(table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repaired_conversations(table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Query]:
-    found = (op1_decontamination, op2_token_shards, op3_quality, op4_ngram_jaccard, op5_topk_search, op6_sharding, op7_source_mixing, op8_line_dedup, op9_context_mixing, op10_substring_dedup)
+    found = (op1_decontamination, op2_token_shards, op3_quality, op4_ngram_jaccard, op5_topk_search, op6_sharding, op7_source_mixing, op8_line_dedup, op9_context_mixing, op10_substring_dedup, op11_conversation_repair)
     return {f.__name__: f for f in found}
 
 
