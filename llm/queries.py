@@ -21,6 +21,7 @@ from llm.sketch_join import jaccard_components
 from llm.substrings import repeated_spans_removed
 from llm.token_shards import read_shards, write_shards
 from llm.topk_search import top_k
+from llm.tree_bpe import token_digests
 
 #: Shards of the sharding query; every fourth takes twice as many documents.
 SHARDS = {f"shard-{i:03d}": 2 if i % 4 == 0 else 1 for i in range(64)}
@@ -74,8 +75,12 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repaired_conversations(table(spark, sf_dir, "conversations"))
 
 
+def op12_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def queries() -> dict[str, Query]:
-    found = (op1_decontamination, op2_token_shards, op3_quality, op4_ngram_jaccard, op5_topk_search, op6_sharding, op7_source_mixing, op8_line_dedup, op9_context_mixing, op10_substring_dedup, op11_conversation_repair)
+    found = (op1_decontamination, op2_token_shards, op3_quality, op4_ngram_jaccard, op5_topk_search, op6_sharding, op7_source_mixing, op8_line_dedup, op9_context_mixing, op10_substring_dedup, op11_conversation_repair, op12_tree_bpe)
     return {f.__name__: f for f in found}
 
 
