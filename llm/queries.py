@@ -19,6 +19,7 @@ from llm.quality import quality_scores
 from llm.scratch import table
 from llm.sketch_join import jaccard_components
 from llm.substrings import repeated_spans_removed
+from llm.token_alignment import alignment
 from llm.token_shards import read_shards, write_shards
 from llm.topk_search import top_k
 from llm.tree_bpe import token_digests
@@ -79,8 +80,12 @@ def op12_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))[0]
+
+
 def queries() -> dict[str, Query]:
-    found = (op1_decontamination, op2_token_shards, op3_quality, op4_ngram_jaccard, op5_topk_search, op6_sharding, op7_source_mixing, op8_line_dedup, op9_context_mixing, op10_substring_dedup, op11_conversation_repair, op12_tree_bpe)
+    found = (op1_decontamination, op2_token_shards, op3_quality, op4_ngram_jaccard, op5_topk_search, op6_sharding, op7_source_mixing, op8_line_dedup, op9_context_mixing, op10_substring_dedup, op11_conversation_repair, op12_tree_bpe, op13_token_alignment)
     return {f.__name__: f for f in found}
 
 
