@@ -46,3 +46,11 @@ def bucket(ts: Column | str, fmt: str) -> Column:
     if fmt == "HH24":
         return _two(F.hour(ts))
     raise ValueError(f"unknown bucket format {fmt!r}")
+
+
+def bucket_by(ts: Column | str, fmt: Column) -> Column:
+    """Bucket label with a format of each row; NULL for an unknown one."""
+    out = F.when(fmt == FORMATS[0], bucket(ts, FORMATS[0]))
+    for f in FORMATS[1:]:
+        out = out.when(fmt == f, bucket(ts, f))
+    return out

@@ -157,6 +157,8 @@ def period_label(code: Column | str) -> Column:
 class Period:
     """A resolved literal period: constant columns Catalyst folds and pushes."""
 
+    keys: tuple[str, ...] = ()
+
     def __init__(self, code: str, as_of: str | datetime, inception: str = DEFAULT_INCEPTION):
         self.kind = validate_code(code)
         self.code = code
@@ -188,6 +190,25 @@ class Period:
         return f"Period({self.code!r}, as_of={self.as_of!r})"
 
 
+class Periods:
+    """Many periods at once: a table ``(interval, start, end, bucket)``, one row per code.  Reports that get it in place of
+    a :class:`Period` have the code as a further key, ``interval``; their work and their number of jobs don't depend on how
+    many codes there are."""
+
+    keys = ("interval",)
+
+    def __init__(self, table: DataFrame):
+        self.table = table.select("interval", "start", "end", F.col("bucket").alias("_fmt"))
+
+    def of(self, facts: DataFrame, ts: str = "timestamp") -> DataFrame:
+        """Facts once for each period that holds them, with its ``interval`` (and bucket format, for the sub-periods)."""
+        from turnstile.operators.joins import range_join
+        return range_join(facts, self.table, ts).drop("start", "end")
+
+    def codes(self) -> DataFrame:
+        return self.table.select("interval")
+
+
 def resolve_requests(requests: DataFrame, code_col: str = "interval",
                      as_of_col: str = "as_of", inception: Column | str = DEFAULT_INCEPTION) -> DataFrame:
     """PER15: resolve many requests at once; adds start, end, bucket, label."""

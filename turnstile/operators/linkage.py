@@ -1,22 +1,21 @@
 """Duplicate people (DUP1 near, DUP2 exact).
 
-DUP1 is lossless blocking by deletion neighbourhoods (Bocek, Hunt, Stiller
-2007): if two strings are within edit distance k, deleting at most k
-characters from each yields a common string.  The whole search is equi-joins
-on *distinct names*, never a cross join:
+DUP1 is lossless blocking by segments (``operators/segments.py``).  The whole
+search is equi-joins on *distinct names*, never a cross join:
 
 1. people -> distinct (first, last) name keys with a head count, so a name
    shared by a third of all people is one row from here on;
-2. near first names: distinct first names joined on their deletion variants,
-   verified with ``levenshtein(a, b, k)``;
-3. candidate name pairs: each name key, expanded by its near first names,
-   meets the other name keys on ``(first name, last-name deletion variant)``;
-   every candidate is verified exactly with ``levenshtein`` on the last name;
-4. verified name pairs are expanded to the people that carry those names.
-
-Step 3 is where a hot variant could concentrate work.  Its join is a plain
-sort-merge join whose shuffles the planner adds, so AQE splits such a key across
-tasks (a test forces small thresholds and sees the split).
+2. near first names, by segments and verified with ``levenshtein(a, b, k)``;
+3. candidate name pairs: each name key, expanded by its near first names, meets
+   the other name keys on ``(first name, segment of the last name)``; every
+   candidate is verified exactly with ``levenshtein`` on the last name;
+4. ``near_duplicates`` expands verified name pairs to the people that carry
+   them.  ``duplicate_classes`` and ``duplicate_groups`` (AG12) don't: they give
+   one row per different name and one per person, whatever the number of pairs.
+
+Step 3 is where a hot segment could concentrate work.  Its rows are salted, and
+its join is a plain sort-merge join whose shuffles the planner adds, so AQE splits
+such a key across tasks (a test forces small thresholds and sees the split).
 """
 
 from __future__ import annotations
@@ -26,6 +25,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from turnstile.operators.components import components
+from turnstile.operators.segments import near_pairs
+from turnstile.session import written
+
 
 def _delete_one(x: str) -> str:
     """SQL lambda body: every string obtained by deleting one character of x
@@ -71,16 +74,21 @@ def variant_rows(df: DataFrame, col: str, k: int, out: str = "var") -> DataFrame
     return reduce(DataFrame.unionByName, levels).drop("_from")
 
 
+def _mirrored(pairs: DataFrame, one: list[str], other: list[str]) -> DataFrame:
+    """Both directions of pairs that are there in one; a pair with itself stays one."""
+    there = F.struct(*[F.col(c).alias(n) for c, n in zip([*one, *other], [*one, *other])])
+    back = F.struct(*[F.col(c).alias(n) for c, n in zip([*other, *one], [*one, *other])])
+    same = F.struct(*one) == F.struct(*[F.col(c).alias(n) for c, n in zip(other, one)])
+    return pairs.select(F.explode(F.when(same, F.array(there)).otherwise(F.array(there, back))).alias("p")).select("p.*")
+
+
 def near_values(values: DataFrame, col: str, k: int) -> DataFrame:
     """(a, b) for distinct non-NULL values with levenshtein(a, b) <= k,
     including a == b."""
-    v = values.select(F.col(col).alias("a")).where(F.col("a").isNotNull()).distinct()
-    if k == 0:
-        return v.select("a", F.col("a").alias("b"))
-    left = variant_rows(v, "a", k)
-    right = left.select(F.col("a").alias("b"), "var")
-    cand = left.join(right, "var").select("a", "b").distinct()
-    return cand.where(F.levenshtein("a", "b", k).between(0, k))
+    v = values.select(F.col(col).alias("s")).where(F.col("s").isNotNull()).distinct().withColumn("g", F.lit(0))
+    once = (F.length("r") < F.length("s")) | (F.col("r") <= F.col("s"))
+    found = near_pairs(v, v.withColumnRenamed("s", "r"), k, v, variant_rows, once)
+    return _mirrored(found.select(F.col("s").alias("a"), F.col("r").alias("b")), ["a"], ["b"])
 
 
 def near_name_pairs(people: DataFrame, k_first: int = 2, k_last: int = 2) -> DataFrame:
@@ -90,31 +98,18 @@ def near_name_pairs(people: DataFrame, k_first: int = 2, k_last: int = 2) -> Dat
     names = (people.where(F.col("firstname").isNotNull() & F.col("lastname").isNotNull())
              .select("firstname", "lastname").distinct())
     near_first = near_values(names, "firstname", k_first).select(
-        F.col("a").alias("firstname"), F.col("b").alias("dup_firstname"))
-    variants = variant_rows(names, "lastname", k_last)
-    right = (variants.select(F.col("firstname").alias("dup_firstname"), F.col("lastname").alias("dup_lastname"),
-                             "var"))
-    # left: each name key re-addressed to every near first name
-    # near_first grows with the distinct first names: Spark's size checks
-    # decide whether it is broadcast
-    left = (variants.join(near_first, "firstname")
-            .select("firstname", "lastname", "dup_firstname", "var"))
-    # a join whose shuffles Spark adds itself: AQE splits a hot variant over
-    # tasks (it leaves explicit repartitions as they are)
-    cand = left.join(right, ["dup_firstname", "var"])
-    # both relations are symmetric, so every unordered pair arrives in both
-    # orientations: verify one orientation only and mirror afterwards
-    one_way = cand.where(F.struct("firstname", "lastname") <= F.struct("dup_firstname", "dup_lastname"))
-    verified = (one_way.where(F.levenshtein("lastname", "dup_lastname", k_last).between(0, k_last))
-                .select("firstname", "lastname", "dup_firstname", "dup_lastname").distinct())
-    fwd = F.struct(F.col("firstname").alias("f"), F.col("lastname").alias("l"),
-                   F.col("dup_firstname").alias("df"), F.col("dup_lastname").alias("dl"))
-    back = F.struct(F.col("dup_firstname").alias("f"), F.col("dup_lastname").alias("l"),
-                    F.col("firstname").alias("df"), F.col("lastname").alias("dl"))
-    same = (F.col("firstname") == F.col("dup_firstname")) & (F.col("lastname") == F.col("dup_lastname"))
-    both = verified.select(F.explode(F.when(same, F.array(fwd)).otherwise(F.array(fwd, back))).alias("p"))
-    return both.select(F.col("p.f").alias("firstname"), F.col("p.l").alias("lastname"),
-                       F.col("p.df").alias("dup_firstname"), F.col("p.dl").alias("dup_lastname"))
+        F.col("a").alias("firstname"), F.col("b").alias("g"))
+    # each name key is indexed under its first name, and looked up under every
+    # near one; near_first grows with the distinct first names, so Spark's size
+    # checks decide whether it is broadcast
+    index = names.select(F.col("firstname").alias("g"), F.col("lastname").alias("r"))
+    sought = names.join(near_first, "firstname").select("firstname", "g", F.col("lastname").alias("s"))
+    last = names.select(F.col("lastname").alias("s")).distinct()
+    # of two names of equal length both find each other: one of them is enough
+    once = (F.length("r") < F.length("s")) | (F.struct("r", F.col("g").alias("f")) <= F.struct(F.col("s").alias("r"), F.col("firstname").alias("f")))
+    found = near_pairs(sought, index, k_last, last, variant_rows, once)
+    pairs = found.select("firstname", F.col("s").alias("lastname"), F.col("g").alias("dup_firstname"), F.col("r").alias("dup_lastname"))
+    return _mirrored(pairs, ["firstname", "lastname"], ["dup_firstname", "dup_lastname"])
 
 
 def near_duplicates(people: DataFrame, k_first: int = 2, k_last: int = 2) -> DataFrame:
@@ -159,3 +154,47 @@ def exact_duplicates(people: DataFrame) -> DataFrame:
     return (people.join(keys, ["firstname", "lastname"], "left_semi")
             .select("idperson", "firstname", "lastname")
             .orderBy("lastname", "firstname", "idperson"))
+
+
+def name_classes(people: DataFrame) -> DataFrame:
+    """One row per different name: ``class_id`` (its least person), the name, and how many people have it."""
+    return (people.where(F.col("firstname").isNotNull() & F.col("lastname").isNotNull())
+            .groupBy("firstname", "lastname")
+            .agg(F.min("idperson").alias("class_id"), F.count(F.lit(1)).cast("bigint").alias("heads"))
+            .select("class_id", "firstname", "lastname", "heads"))
+
+
+def class_links(people: DataFrame, k_first: int = 2, k_last: int = 2) -> tuple[DataFrame, DataFrame]:
+    """``(classes, links)``, both written: name classes, and ``(x, y, y_heads)`` for every two near ones, both ways."""
+    spark = people.sparkSession
+    classes = written(spark, name_classes(people), "name_classes")
+    x = classes.select("firstname", "lastname", F.col("class_id").alias("x"))
+    y = classes.select(F.col("firstname").alias("dup_firstname"), F.col("lastname").alias("dup_lastname"),
+                       F.col("class_id").alias("y"), F.col("heads").alias("y_heads"))
+    links = (near_name_pairs(classes, k_first, k_last).join(x, ["firstname", "lastname"])
+             .join(y, ["dup_firstname", "dup_lastname"]).where("x != y").select("x", "y", "y_heads"))
+    return classes, written(spark, links, "class_links")
+
+
+def duplicate_classes(people: DataFrame, k_first: int = 2, k_last: int = 2) -> DataFrame:
+    """AG12 in bounded form: per different name its people, its near names with their people, and its group (the least
+    class that can be reached over near names).  Output is linear in the names."""
+    classes, links = class_links(people, k_first, k_last)
+    near = links.groupBy(F.col("x").alias("class_id")).agg(F.count(F.lit(1)).alias("near_classes"), F.sum("y_heads").alias("near_heads"))
+    groups = components(links.select("x", "y")).select(F.col("node").alias("class_id"), "comp")
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
+    return (classes.join(near, "class_id", "left").join(groups, "class_id", "left")
+            .select("class_id", "firstname", "lastname", "heads", zero("near_classes"), zero("near_heads"),
+                    F.coalesce("comp", "class_id").alias("group_id")))
+
+
+def duplicate_groups(people: DataFrame, k_first: int = 2, k_last: int = 2) -> DataFrame:
+    """Membership: per person with a whole name its class, its group, and how many people the group has."""
+    classes, links = class_links(people, k_first, k_last)
+    groups = components(links.select("x", "y")).select(F.col("node").alias("class_id"), "comp")
+    of = written(people.sparkSession, classes.join(groups, "class_id", "left")
+                 .withColumn("group_id", F.coalesce("comp", "class_id")).drop("comp"), "class_groups")
+    sizes = of.groupBy("group_id").agg(F.sum("heads").cast("bigint").alias("group_heads"))
+    # one row per name: a name that a third of all people have is one row on this side
+    names = of.join(sizes, "group_id").select("firstname", "lastname", "class_id", "group_id", "group_heads")
+    return people.select("idperson", "firstname", "lastname").join(names, ["firstname", "lastname"]).select("idperson", "class_id", "group_id", "group_heads")

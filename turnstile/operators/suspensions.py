@@ -10,11 +10,14 @@ logged version, so they see either the old or the new state, never a mix.
 from __future__ import annotations
 
 import time
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnstile.binding import Binding
+from turnstile.operators.endpoints import OpenSuspensions
+from turnstile.operators.person_store import PersonStore
 from turnstile.sources.tables import read_if_there
 
 
@@ -88,3 +91,25 @@ def refresh_suspension_flags(b: Binding, as_of: str, root: str, require_started:
     """SNK3: the person table with the recomputed flag, published atomically as
     a new version.  Returns the written path."""
     return write_version(refreshed_person_table(b, as_of, require_started), root)
+
+
+def published_twice(b: Binding, root: str, first: str, second: str, buckets: int = 64) -> DataFrame:
+    """SNK3 by buckets: the person table with the flags of one time, then with those of a later one.  The second publish
+    writes only buckets with a turned flag.  Returns what both versions say: ``(idperson, flag_first, flag_second)``."""
+    store = PersonStore(b.spark, root, buckets=buckets)
+    store.create(refreshed_person_table(b, first))
+    then = store.read()
+    version = store.update(suspension_flags(b, second), parent=0)
+    old = then.select("idperson", F.col("iscurrentlysuspended").alias("flag_first"))
+    new = store.read(version).select("idperson", F.col("iscurrentlysuspended").alias("flag_second"))
+    return old.join(new, "idperson")
+
+
+def walked(b: Binding, root: str, times: list[str], require_started: bool = False) -> DataFrame:
+    """ST4 by endpoints: the people with open suspensions at each of the rising ``times``, every state made from the one
+    before it: ``(as_of, idperson, open)``.  Only people of the person table come out."""
+    state = OpenSuspensions(b.spark, root, require_started)
+    state.build(b.suspensions())
+    known = b.person().select("idperson")
+    found = [state.advance(t).select(F.lit(t).cast("timestamp_ntz").alias("as_of"), F.col("person_id").alias("idperson"), "open") for t in times]
+    return reduce(DataFrame.unionByName, found).join(known, "idperson", "left_semi").select("as_of", "idperson", "open")

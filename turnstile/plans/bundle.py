@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnstile.binding import Binding
+from turnstile.plans import facts
 from turnstile.plans import population as pop
 
 
@@ -25,7 +26,7 @@ class Tab:
 def _section(df: DataFrame, section: int, name, count: str, order) -> DataFrame:
     """One Summary section; ``order`` = (numeric asc, text asc, text desc)."""
     o0, o1, o2 = order
-    return df.select(F.lit(section).alias("section"), name.alias("name"),
+    return df.select(*[c for c in ("interval",) if c in df.columns], F.lit(section).alias("section"), name.alias("name"),
                      F.col(count).cast("bigint").alias("count"),
                      o0.cast("double").alias("_o0"), o1.cast("string").alias("_o1"),
                      o2.cast("string").alias("_o2"))
@@ -56,7 +57,8 @@ def summary(b: Binding, code: str) -> DataFrame:
                  [F.lit(0), F.lit(""), F.coalesce(F.col("response"), F.lit("~"))]),
     ]
     u = reduce(DataFrame.unionByName, parts)
-    return u.orderBy("section", "_o0", "_o1", F.desc("_o2")).drop("_o0", "_o1", "_o2")
+    keys = [c for c in ("interval",) if c in u.columns]
+    return u.orderBy(*keys, "section", "_o0", "_o1", F.desc("_o2")).drop("_o0", "_o1", "_o2")
 
 
 # Tab names and descriptions of the population bundle.
@@ -81,10 +83,19 @@ def outline(spark: SparkSession, tabs=POPULATION_TABS) -> DataFrame:
     return spark.createDataFrame([(t, d) for t, d in tabs], "`Report Tab` string, Description string")
 
 
-def population_bundle(b: Binding, code: str) -> list[Tab]:
-    """RP20: the 12 tabs in order; each is a lazy DataFrame."""
+def _outline(b: Binding, code: str | DataFrame, tabs) -> DataFrame:
+    """The outline, once for each code of a frame of them."""
+    if not isinstance(code, DataFrame):
+        return outline(b.spark, tabs)
+    rows = F.array(*[F.struct(F.lit(t).alias("Report Tab"), F.lit(d).alias("Description")) for t, d in tabs])
+    return facts.period(b, code).codes().select("interval", F.explode(rows).alias("r")).select("interval", "r.*")
+
+
+def population_bundle(b: Binding, code: str | DataFrame) -> list[Tab]:
+    """RP20: the 12 tabs in order; each is a lazy DataFrame.  ``code`` may be a
+    frame of codes (``interval``); every tab then has the code as a key."""
     frames = {
-        "Outline": outline(b.spark),
+        "Outline": _outline(b, code, POPULATION_TABS),
         "Summary": summary(b, code),
         "Distinct Clients": pop.distinct_clients_by_period(b, code),
         "Services": pop.services_pivot(b, code),
@@ -155,13 +166,14 @@ PERSON_TABS = [
 ]
 
 
-def person_bundle(b: Binding, code: str, persons=None) -> list[Tab]:
+def person_bundle(b: Binding, code: str | DataFrame, persons=None) -> list[Tab]:
     """RP31: the person bundle in batch form; every tab is keyed by
-    ``idperson`` and covers all requested persons (None = everyone)."""
+    ``idperson`` and covers all requested persons (None = everyone).  For a
+    frame of codes, ``persons`` is one of ``(interval, idperson)``."""
     from turnstile.plans import person as per
 
     frames = {
-        "Outline": outline(b.spark, PERSON_TABS),
+        "Outline": _outline(b, code, PERSON_TABS),
         "Summary": per.person_summary(b, code, persons),
         "Client Information": per.person_header(b, persons),
         "Visit Counts Sub-period": per.person_visits_by_period(b, code, persons),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from turnstile.binding import Binding
 from turnstile.functions.buckets import bucket
 from turnstile.functions.periods import RELATIVE_CODES, period_label, resolve_requests
+from turnstile.operators import cube
 from turnstile.operators.joins import range_join
 
 
@@ -71,3 +72,38 @@ def period_figures(b: Binding, periods: DataFrame) -> DataFrame:
     """(start, end, visits, clients) of each of the different ``periods``."""
     return (range_join(b.visits(), periods).groupBy("start", "end")
             .agg(F.count(F.lit(1)).alias("visits"), F.count_distinct("person_id").alias("clients")))
+
+
+def grid_figures(b: Binding) -> DataFrame:
+    """JN14 at full size: every distinct visit date as ``as_of`` x every code, with the visits and distinct people of its
+    period, in one plan whose work does not depend on how long the periods are (dyadic nodes, ``operators/cube.py``)."""
+    grid = period_bounds_grid(b)
+    figures = cube.period_figures(b.visits(), grid.select("start", "end"))
+    return (grid.join(figures, ["start", "end"], "left")
+            .select("as_of", "code", "start", "end", F.coalesce("visits", F.lit(0)).alias("visits"), F.coalesce("clients", F.lit(0)).alias("clients")))
+
+
+def cube_period_clients(b: Binding) -> DataFrame:
+    """AG2 from stored nodes alone: distinct people of every different period of the grid.  The cube gets all days but
+    the last in one batch, and the last day appended as another."""
+    from turnstile.session import scratch_path
+
+    visits = b.visits().select("person_id", "timestamp")
+    last = visits.agg(F.max(F.to_date("timestamp"))).scalar()
+    stored = cube.DayCube(b.spark, scratch_path(b.spark, "day_cube"))
+    stored.append(visits.where(F.to_date("timestamp") < last), "history")
+    stored.append(visits.where(F.to_date("timestamp") >= last), "last-day")
+    return stored.figures(period_bounds_grid(b).select("start", "end"))
+
+
+def cube_category_clients(b: Binding, kind: str = "gender") -> DataFrame:
+    """AG3 from stored nodes: visits and distinct people of each category in every prior month, quarter and year and every
+    given month of the grid."""
+    from turnstile.session import scratch_path
+
+    labels = b.person_label(kind).select(F.col("idperson").alias("person_id"), F.col("label").alias("response"))
+    visits = b.visits().select("person_id", "timestamp").join(labels, "person_id")
+    stored = cube.DayCube(b.spark, scratch_path(b.spark, "category_cube"), dims=("response",))
+    stored.append(visits, "all")
+    periods = period_bounds_grid(b).where(F.col("code").isin("PM", "PQ", "PY") | F.col("code").startswith("YYYYMM"))
+    return stored.figures(periods.select("start", "end"))

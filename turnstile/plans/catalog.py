@@ -85,6 +85,9 @@ CALENDAR: dict[str, Query] = {
     "bucket_month_ww": _q(cal.bucket_counts, "YYYY-MM WW"),
     "bucket_hour": _q(cal.bucket_counts, "HH24", "events"),
     "requests_x_periods": _q(cal.requests_x_periods),
+    "grid_figures": _q(cal.grid_figures),
+    "cube_period_clients": _q(cal.cube_period_clients),
+    "cube_category_clients": _q(cal.cube_category_clients, "gender"),
 }
 
 BUNDLE_CODE = "YTD"
@@ -134,6 +137,14 @@ def _near_counts(spark, sf_dir):
     return linkage.near_duplicate_counts(b.person(), 2, 2)
 
 
+def _classes(spark, sf_dir):
+    return linkage.duplicate_classes(_b(spark, sf_dir).person(), 2, 2)
+
+
+def _groups(spark, sf_dir):
+    return linkage.duplicate_groups(_b(spark, sf_dir).person(), 2, 2)
+
+
 def _exact(spark, sf_dir):
     return linkage.exact_duplicates(_b(spark, sf_dir).part_people())
 
@@ -223,13 +234,37 @@ def _published(spark, sf_dir):
     return suspensions.read_current(spark, root)
 
 
+# Fixed parameters: the times of the two publishes, and those that the walk visits.
+PUBLISH_TIMES = ("1998-07-01 00:00:00", "2001-07-01 00:00:00")
+WALK_TIMES = ["1995-06-01 00:00:00", "1997-03-15 12:00:00", "1997-03-16 00:00:00", "1999-12-31 23:59:59", "2001-07-01 00:00:00"]
+
+
+def _published_twice(spark, sf_dir):
+    from turnstile.session import scratch_path
+
+    return suspensions.published_twice(_b(spark, sf_dir), scratch_path(spark, "person_store"), *PUBLISH_TIMES)
+
+
+def _walk(started):
+    def run(spark, sf_dir):
+        from turnstile.session import scratch_path
+
+        return suspensions.walked(_b(spark, sf_dir), scratch_path(spark, "endpoints"), WALK_TIMES, started)
+    return run
+
+
 LINKAGE_AND_STATE: dict[str, Query] = {
     "request_stream": _request_stream,
     "request_rejects": _request_rejects,
     "request_reports": _request_reports,
     "suspension_state": _published,
+    "suspension_publishes": _published_twice,
+    "suspension_walk": _walk(False),
+    "suspension_walk_started": _walk(True),
     "near_duplicates": _near,
     "near_duplicate_counts": _near_counts,
+    "duplicate_classes": _classes,
+    "duplicate_groups": _groups,
     "exact_duplicates": _exact,
     "suspension_flags": _flags,
     "feature_people": _fea(features.seen_people),

@@ -10,12 +10,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from turnstile.binding import Binding
-from turnstile.functions.buckets import bucket
+from turnstile.functions.buckets import bucket, bucket_by
 from turnstile.functions.columns import prefix_before
-from turnstile.functions.periods import Period
+from turnstile.functions.periods import Period, Periods, resolve_requests
 
 
-def period(b: Binding, code: str, source: str = "visits") -> Period:
+def period(b: Binding, code: str | DataFrame, source: str = "visits") -> Period | Periods:
+    """The period of one code, or of every different code of a frame ``(interval, ...)``; unknown codes have none there."""
+    if isinstance(code, DataFrame):
+        codes = code.select("interval").distinct().withColumn("as_of", F.lit(b.as_of_for(source)).cast("timestamp_ntz"))
+        return Periods(resolve_requests(codes, "interval", "as_of", F.lit(b.inception)).where(F.col("start").isNotNull()))
     return b.memo(("period", code, source), lambda: Period(code, b.as_of_for(source), b.inception))
 
 
@@ -28,14 +32,19 @@ def pivot_values(dim: DataFrame, columns: str = "dimension") -> list | None:
     return label_values(dim) if columns == "dimension" else None
 
 
-def with_bucket(df: DataFrame, p: Period | None, fmt: str | None = None, ts: str = "timestamp") -> DataFrame:
+def with_bucket(df: DataFrame, p: Period | Periods | None, fmt: str | None = None, ts: str = "timestamp") -> DataFrame:
+    if isinstance(p, Periods) and fmt is None:
+        return df.withColumn("period", bucket_by(F.col(ts), F.col("_fmt")))
     fmt = fmt or (p.bucket if p is not None else None)
     return df.withColumn("period", bucket(F.col(ts), fmt))
 
 
-def in_period(df: DataFrame, p: Period, ts: str = "timestamp") -> DataFrame:
+def in_period(df: DataFrame, p: Period | Periods, ts: str = "timestamp") -> DataFrame:
     """FIL1: closed range on the timestamp; when the fact is stored by month
-    (``sources.layout``), also the implied partition filter."""
+    (``sources.layout``), also the implied partition filter.  For many periods,
+    a range join that adds their ``interval``."""
+    if isinstance(p, Periods):
+        return p.of(df, ts)
     from turnstile.sources.layout import PART_COL, prune_to_period
     if PART_COL in df.columns:
         return prune_to_period(df, p, ts)
@@ -53,12 +62,17 @@ def semi_persons(fact: DataFrame, persons, col: str = "person_id") -> DataFrame:
 
     ``persons`` is None (everyone), a list of ids (an IN filter that reaches
     the scan, FIL3) or a DataFrame with an ``idperson`` column (a semi join,
-    which Spark sizes).  The caller's type decides, not the number of ids.
+    which Spark sizes).  The caller's type decides, not the number of ids.  A
+    frame with an ``interval`` as well asks for each person in their own periods,
+    wherever the facts have one.
     """
     if persons is None:
         return fact
     if isinstance(persons, (list, tuple, set, frozenset)):
         return fact.where(F.col(col).isin(sorted({int(x) for x in persons})))
+    if "interval" in persons.columns and "interval" in fact.columns:
+        asked = persons.select(F.col("idperson").alias("_pid"), F.col("interval").alias("_int")).distinct()
+        return fact.join(asked, (fact[col] == asked["_pid"]) & (fact["interval"] == asked["_int"]), "left_semi")
     ids = persons.select(F.col("idperson").alias("_pid")).distinct()
     return fact.join(ids, fact[col] == ids["_pid"], "left_semi")
 
@@ -73,7 +87,7 @@ def service_fact(b: Binding, p: Period, persons: DataFrame | None = None) -> Dat
     v = visits_in(b, p, persons)
     r = b.requests()
     return (v.join(r, v.idsnapshot == r.connection_id)
-            .select("idsnapshot", "person_id", "timestamp", "service_id"))
+            .select("idsnapshot", "person_id", "timestamp", "service_id", *[c for c in ("interval", "_fmt") if c in v.columns]))
 
 
 def service_dim(b: Binding) -> DataFrame:

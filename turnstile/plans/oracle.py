@@ -266,6 +266,21 @@ def _calendar() -> dict[str, str]:
                               ("bucket_month_ww", "YYYY-MM WW", "orders", "o_orderdate"),
                               ("bucket_hour", "HH24", "events", "ts")]:
         q[key] = f"SELECT {bucket(ts, fmt)} AS period, count(*) AS visits FROM {tbl} GROUP BY 1"
+    grid = q["period_bounds_grid"]
+    q["grid_figures"] = f"""
+        WITH grid AS ({grid}), f AS (
+          SELECT g.start, g."end", count(o_orderkey) AS visits, count(DISTINCT o_custkey) AS clients
+          FROM (SELECT DISTINCT start, "end" FROM grid) g LEFT JOIN orders ON o_orderdate BETWEEN g.start AND g."end" GROUP BY 1, 2)
+        SELECT as_of, code, grid.start, grid."end", CAST(visits AS BIGINT) AS visits, CAST(clients AS BIGINT) AS clients
+        FROM grid JOIN f ON f.start = grid.start AND f."end" = grid."end\""""
+    q["cube_period_clients"] = f"""
+        SELECT g.start, g."end", CAST(count(o_orderkey) AS BIGINT) AS visits, CAST(count(DISTINCT o_custkey) AS BIGINT) AS clients
+        FROM (SELECT DISTINCT start, "end" FROM ({grid})) g LEFT JOIN orders ON o_orderdate BETWEEN g.start AND g."end" GROUP BY 1, 2"""
+    q["cube_category_clients"] = f"""
+        SELECT g.start, g."end", c_mktsegment AS response, CAST(count(*) AS BIGINT) AS visits,
+               CAST(count(DISTINCT o_custkey) AS BIGINT) AS clients
+        FROM (SELECT DISTINCT start, "end" FROM ({grid}) WHERE code IN ('PM', 'PQ', 'PY') OR code LIKE 'YYYYMM%') g
+        JOIN orders ON o_orderdate BETWEEN g.start AND g."end" JOIN customer ON c_custkey = o_custkey GROUP BY 1, 2, 3"""
     reqs = ", ".join(f"({i + 1}, '{c}')" for i, c in enumerate(RELATIVE)) + \
         ", (11, '3/15/2000'), (12, 'YYYYMM199902'), (13, 'SOON')"
     s, e, _ = bounds_sql("interval", "TIMESTAMP '2000-05-15 12:00:00'")
@@ -448,6 +463,24 @@ def _linkage_and_state() -> dict[str, str]:
     q["near_duplicates"] = pairs
     q["near_duplicate_counts"] = f"""
         SELECT id, firstname, lastname, CAST(count(*) AS BIGINT) AS dups FROM ({pairs}) GROUP BY 1, 2, 3"""
+    classes = """
+        WITH RECURSIVE c AS (
+          SELECT min(c_custkey) AS class_id, c_mktsegment AS firstname, c_name AS lastname, CAST(count(*) AS BIGINT) AS heads
+          FROM customer WHERE c_mktsegment IS NOT NULL AND c_name IS NOT NULL GROUP BY 2, 3),
+        e AS (
+          SELECT a.class_id AS x, b.class_id AS y, b.heads FROM c a JOIN c b ON a.class_id <> b.class_id
+            AND levenshtein(a.firstname, b.firstname) <= 2 AND levenshtein(a.lastname, b.lastname) <= 2),
+        reach AS (SELECT class_id AS x, class_id AS y FROM c UNION SELECT r.x, e.y FROM reach r JOIN e ON r.y = e.x),
+        g AS (SELECT x AS class_id, min(y) AS group_id FROM reach GROUP BY 1),
+        n AS (SELECT x AS class_id, count(*) AS near_classes, sum(heads) AS near_heads FROM e GROUP BY 1)"""
+    q["duplicate_classes"] = f"""{classes}
+        SELECT c.class_id, firstname, lastname, heads, CAST(coalesce(near_classes, 0) AS BIGINT) AS near_classes,
+               CAST(coalesce(near_heads, 0) AS BIGINT) AS near_heads, group_id
+        FROM c JOIN g ON g.class_id = c.class_id LEFT JOIN n ON n.class_id = c.class_id"""
+    q["duplicate_groups"] = f"""{classes}
+        SELECT c_custkey AS idperson, c.class_id, g.group_id,
+               CAST(sum(1) OVER (PARTITION BY g.group_id) AS BIGINT) AS group_heads
+        FROM customer JOIN c ON c.firstname = c_mktsegment AND c.lastname = c_name JOIN g ON g.class_id = c.class_id"""
     q["exact_duplicates"] = """
         SELECT p_partkey AS idperson, p_type AS firstname, p_name AS lastname FROM part
         WHERE (p_type, p_name) IN (SELECT p_type, p_name FROM part GROUP BY 1, 2 HAVING count(*) > 1)"""
@@ -457,6 +490,18 @@ def _linkage_and_state() -> dict[str, str]:
                              WHERE l_shipdate > o_orderdate AND l_shipdate > TIMESTAMP '2001-07-01 00:00:00')
                  AS iscurrentlysuspended
         FROM customer"""
+    active = "SELECT o_custkey FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE l_shipdate > o_orderdate AND l_shipdate > TIMESTAMP '{}'"
+    q["suspension_publishes"] = f"""
+        SELECT c_custkey AS idperson, c_custkey IN ({active.format('1998-07-01 00:00:00')}) AS flag_first,
+               c_custkey IN ({active.format('2001-07-01 00:00:00')}) AS flag_second FROM customer"""
+    walk = """
+        SELECT t.as_of, o_custkey AS idperson, CAST(count(*) AS BIGINT) AS open
+        FROM (SELECT unnest([TIMESTAMP '1995-06-01 00:00:00', TIMESTAMP '1997-03-15 12:00:00', TIMESTAMP '1997-03-16 00:00:00',
+                             TIMESTAMP '1999-12-31 23:59:59', TIMESTAMP '2001-07-01 00:00:00']) AS as_of) t
+        JOIN (SELECT o_custkey, o_orderdate, l_shipdate FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE l_shipdate > o_orderdate)
+          ON l_shipdate > t.as_of {} WHERE o_custkey IN (SELECT c_custkey FROM customer) GROUP BY 1, 2"""
+    q["suspension_walk"] = walk.format("")
+    q["suspension_walk_started"] = walk.format("AND o_orderdate <= t.as_of")
     q["feature_table"] = _features_sql()
     cents = [
         [0.2, 0.2, 0.2, 2.0, 300.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0],

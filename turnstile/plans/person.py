@@ -21,10 +21,25 @@ from turnstile.plans import facts
 
 
 def _persons(b: Binding, persons) -> DataFrame:
+    """The people asked for; with their ``interval`` where each has periods of their own."""
     p = b.person()
+    if isinstance(persons, DataFrame) and "interval" in persons.columns:
+        return p.join(persons.select("idperson", "interval").distinct(), "idperson")
     return p if persons is None else facts.semi_persons(p, persons, "idperson")
 
 
+def _keys(who: DataFrame) -> list[str]:
+    return [c for c in ("interval",) if c in who.columns]
+
+
+def _everyone(who: DataFrame, found: DataFrame, keys: list[str]) -> DataFrame:
+    """``who`` with what was found for each, by ``person_id`` (and interval)."""
+    on = who["idperson"] == found["person_id"]
+    for k in keys:
+        on = on & (who[k] == found[k])
+    return who.join(found, on, "left").select(*[who[k] for k in keys], who["idperson"], *[found[c] for c in found.columns if c not in (*keys, "person_id")])
+
+
 def person_header(b: Binding, persons: DataFrame | None = None) -> DataFrame:
     """RP22 + FN20: name, id, labels, first/last visit with days ago, credits
     as ordered (Attribute, Value) rows per person.  A person with no visit
@@ -51,19 +66,19 @@ def person_header(b: Binding, persons: DataFrame | None = None) -> DataFrame:
         ("Last visit", visit_text(F.col("last"))),
         ("Credits", F.col("credits")),
     ]
-    return attribute_value(j, ["idperson"], attrs)
+    return attribute_value(j, [*_keys(p), "idperson"], attrs)
 
 
 def person_visits(b: Binding, code: str, persons: DataFrame | None = None) -> DataFrame:
     """RP23: per person, earliest/latest visit and visits in the
     period (the visit id is their key); persons without visits get 0 and NULLs."""
     p = facts.period(b, code)
-    agg = (facts.visits_in(b, p, persons).groupBy("person_id")
+    agg = (facts.visits_in(b, p, persons).groupBy(*p.keys, "person_id")
            .agg(F.min("timestamp").alias("earliest_visit"), F.max("timestamp").alias("latest_visit"),
                 F.count(F.lit(1)).alias("total_visits")))
-    who = _persons(b, persons).select("idperson")
-    return (who.join(agg, who.idperson == agg.person_id, "left")
-            .select("idperson", "earliest_visit", "latest_visit",
+    who = _persons(b, persons).select(*p.keys, "idperson")
+    return (_everyone(who, agg, p.keys)
+            .select(*p.keys, "idperson", "earliest_visit", "latest_visit",
                     F.coalesce("total_visits", F.lit(0)).cast("bigint").alias("total_visits")))
 
 
@@ -73,7 +88,7 @@ def person_visits_by_period(b: Binding, code: str, persons: DataFrame | None = N
     p = facts.period(b, code)
     v = facts.with_bucket(facts.visits_in(b, p, persons), p, fmt)
     v = facts.known_persons(b, v)
-    return (v.groupBy(F.col("person_id").alias("idperson"), "period")
+    return (v.groupBy(*p.keys, F.col("person_id").alias("idperson"), "period")
             .agg(F.count(F.lit(1)).alias("visits")))
 
 
@@ -81,8 +96,8 @@ def person_services(b: Binding, code: str, persons: DataFrame | None = None) ->
     """RP25: services per person and category."""
     p = facts.period(b, code)
     out = bd.rows_by_label(facts.known_persons(b, facts.service_fact(b, p, persons)), "service_id", facts.service_dim(b),
-                           group=["person_id"], out="total")
-    return out.select(F.col("person_id").alias("idperson"), F.col("label").alias("servicename"), "total")
+                           group=[*p.keys, "person_id"], out="total")
+    return out.select(*p.keys, F.col("person_id").alias("idperson"), F.col("label").alias("servicename"), "total")
 
 
 def person_services_pivot(b: Binding, code: str, persons: DataFrame | None = None,
@@ -91,8 +106,8 @@ def person_services_pivot(b: Binding, code: str, persons: DataFrame | None = Non
     p = facts.period(b, code)
     dim = facts.service_dim(b)
     long = bd.rows_by_label(facts.with_bucket(facts.known_persons(b, facts.service_fact(b, p, persons)), p, fmt), "service_id", dim,
-                            group=["person_id", "period"], out="total")
-    wide = bd.pivot(long, ["person_id", "period"], "label", "total", facts.pivot_values(dim, columns))
+                            group=[*p.keys, "person_id", "period"], out="total")
+    wide = bd.pivot(long, [*p.keys, "person_id", "period"], "label", "total", facts.pivot_values(dim, columns))
     return wide.withColumnRenamed("person_id", "idperson")
 
 
@@ -100,8 +115,8 @@ def person_housing(b: Binding, code: str, persons: DataFrame | None = None) -> D
     """RP27: housing answers per person."""
     p = facts.period(b, code, "survey")
     out = bd.rows_by_label(facts.known_persons(b, facts.survey_in(b, p, "housing", persons=persons)), "object_id",
-                           facts.response_dim(b, "housing"), group=["person_id"], out="nights_spent")
-    return out.select(F.col("person_id").alias("idperson"), F.col("label").alias("housing_type"),
+                           facts.response_dim(b, "housing"), group=[*p.keys, "person_id"], out="nights_spent")
+    return out.select(*p.keys, F.col("person_id").alias("idperson"), F.col("label").alias("housing_type"),
                       "nights_spent")
 
 
@@ -111,19 +126,20 @@ def person_housing_pivot(b: Binding, code: str, persons: DataFrame | None = None
     p = facts.period(b, code, "survey")
     dim = facts.response_dim(b, "housing")
     long = bd.rows_by_label(facts.with_bucket(facts.known_persons(b, facts.survey_in(b, p, "housing", persons=persons)), p, fmt),
-                            "object_id", dim, group=["person_id", "period"], out="total")
-    wide = bd.pivot(long, ["person_id", "period"], "label", "total", facts.pivot_values(dim, columns))
+                            "object_id", dim, group=[*p.keys, "person_id", "period"], out="total")
+    wide = bd.pivot(long, [*p.keys, "person_id", "period"], "label", "total", facts.pivot_values(dim, columns))
     return wide.withColumnRenamed("person_id", "idperson")
 
 
 def person_suspensions(b: Binding, code: str, persons: DataFrame | None = None) -> DataFrame:
     """RP29: suspensions starting in the period with length and reason."""
     p = facts.period(b, code)
-    s = facts.known_persons(b, facts.semi_persons(b.suspensions().where(p.contains("starttime")), persons))
+    s = p.of(b.suspensions(), "starttime") if p.keys else b.suspensions().where(p.contains("starttime"))
+    s = facts.known_persons(b, facts.semi_persons(s, persons))
     r = bounded_broadcast(b.reasons().select(F.col("id").alias("_rid"), F.col("name").alias("reason")),
                           b.dimension_rows.get("reasons"))
     j = s.join(r, s.reason_id == r["_rid"])
-    return j.select(F.col("person_id").alias("idperson"),
+    return j.select(*p.keys, F.col("person_id").alias("idperson"),
                     F.col("starttime").alias("suspension_starttime"),
                     days_elapsed("starttime", "endtime").alias("days"),
                     seconds_between("starttime", "endtime").alias("seconds"),
@@ -134,23 +150,24 @@ def person_reported(b: Binding, code: str, persons: DataFrame | None = None) ->
     """RP30: distinct visits with a 'yes' incarceration answer, per person."""
     p = facts.period(b, code, "survey")
     s = facts.survey_in(b, p, "incarceration", b.incarcerated_object, persons)
-    agg = s.groupBy("person_id").agg(F.count_distinct("idsnapshot").cast("bigint").alias("incarcerations"))
-    who = _persons(b, persons).select("idperson")
-    return (who.join(agg, who.idperson == agg.person_id, "left")
-            .select("idperson", F.coalesce("incarcerations", F.lit(0)).cast("bigint").alias("incarcerations")))
+    agg = s.groupBy(*p.keys, "person_id").agg(F.count_distinct("idsnapshot").cast("bigint").alias("incarcerations"))
+    who = _persons(b, persons).select(*p.keys, "idperson")
+    return (_everyone(who, agg, p.keys)
+            .select(*p.keys, "idperson", F.coalesce("incarcerations", F.lit(0)).cast("bigint").alias("incarcerations")))
 
 
 def person_summary(b: Binding, code: str, persons: DataFrame | None = None) -> DataFrame:
     """RP31 Summary tab per person: visits, services, housing totals."""
+    keys = facts.period(b, code).keys
     visits = person_visits(b, code, persons).select(
-        "idperson", F.lit(1).alias("section"), F.lit("Total client visits in report period").alias("name"),
+        *keys, "idperson", F.lit(1).alias("section"), F.lit("Total client visits in report period").alias("name"),
         F.col("total_visits").alias("count"))
     services = person_services(b, code, persons).select(
-        "idperson", F.lit(2).alias("section"),
+        *keys, "idperson", F.lit(2).alias("section"),
         F.concat(F.coalesce("servicename", F.lit("Unknown")), F.lit(" services delivered.")).alias("name"),
         F.col("total").alias("count"))
     housing = person_housing(b, code, persons).select(
-        "idperson", F.lit(3).alias("section"),
+        *keys, "idperson", F.lit(3).alias("section"),
         F.concat(F.lit(" Days spent in "), F.coalesce("housing_type", F.lit("Unknown"))).alias("name"),
         F.col("nights_spent").alias("count"))
     return reduce(DataFrame.unionByName, [visits, services, housing])

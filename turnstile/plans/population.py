@@ -17,19 +17,23 @@ from turnstile.plans import facts
 def distinct_clients_total(b: Binding, code: str) -> DataFrame:
     """RP1: first and last visit time and distinct people in the period."""
     p = facts.period(b, code)
-    return facts.visits_in(b, p).agg(
+    found = facts.visits_in(b, p).groupBy(*p.keys).agg(
         F.min("timestamp").alias("start"), F.max("timestamp").alias("end"),
         F.count_distinct("person_id").cast("bigint").alias("clients"))
+    if not p.keys:
+        return found
+    # a period without visits has a row, too
+    return p.codes().join(found, "interval", "left").withColumn("clients", F.coalesce("clients", F.lit(0)).cast("bigint"))
 
 
 def distinct_clients_by_period(b: Binding, code: str, fmt: str | None = None) -> DataFrame:
     """RP2/PV2: distinct people per sub-period (visit ⋈ person as existence)."""
     p = facts.period(b, code)
-    v = facts.with_bucket(facts.visits_in(b, p), p, fmt).select("period", "person_id").distinct()
+    v = facts.with_bucket(facts.visits_in(b, p), p, fmt).select(*p.keys, "period", "person_id").distinct()
     persons = b.person().select(F.col("idperson"))
     v = v.join(persons, v.person_id == persons.idperson, "left_semi")
-    return (v.groupBy("period").agg(F.count(F.lit(1)).cast("bigint").alias("clients"))
-            .orderBy("period"))
+    return (v.groupBy(*p.keys, "period").agg(F.count(F.lit(1)).cast("bigint").alias("clients"))
+            .orderBy(*p.keys, "period"))
 
 
 # --------------------------------------------------------------- services
@@ -38,22 +42,28 @@ def distinct_clients_by_period(b: Binding, code: str, fmt: str | None = None) ->
 def services_total(b: Binding, code: str) -> DataFrame:
     """RP3: services delivered by category, largest first."""
     p = facts.period(b, code)
-    out = bd.rows_by_label(facts.service_fact(b, p), "service_id", facts.service_dim(b), out="total")
-    return out.select(F.col("label").alias("servicename"), "total").orderBy(F.desc("total"), "servicename")
+    out = bd.rows_by_label(facts.service_fact(b, p), "service_id", facts.service_dim(b), group=p.keys, out="total")
+    return out.select(*p.keys, F.col("label").alias("servicename"), "total").orderBy(*p.keys, F.desc("total"), "servicename")
 
 
 def services_by_period(b: Binding, code: str, fmt: str | None = None) -> DataFrame:
     """RP4 in long form: (period, label, total), for any number of categories."""
     p = facts.period(b, code)
     return bd.rows_by_label(facts.with_bucket(facts.service_fact(b, p), p, fmt), "service_id",
-                            facts.service_dim(b), group=["period"], out="total")
+                            facts.service_dim(b), group=[*p.keys, "period"], out="total")
 
 
 def services_pivot(b: Binding, code: str, fmt: str | None = None, columns: str = "dimension") -> DataFrame:
     """RP4: sub-period x category, one column per category."""
     dim = facts.service_dim(b)
     long = services_by_period(b, code, fmt)
-    return bd.pivot(long, ["period"], "label", "total", facts.pivot_values(dim, columns)).orderBy("period")
+    return _by_period(long, "total", facts.pivot_values(dim, columns))
+
+
+def _by_period(long: DataFrame, value: str, values: list | None, rename: dict | None = None) -> DataFrame:
+    """Sub-periods down, labels across; one block per interval where there are many."""
+    index = [c for c in ("interval", "period") if c in long.columns]
+    return bd.pivot(long, index, "label", value, values, rename=rename).orderBy(*index)
 
 
 # ----------------------------------------------------------- survey facts
@@ -62,23 +72,23 @@ def services_pivot(b: Binding, code: str, fmt: str | None = None, columns: str =
 def _survey_total(b, code, kind, label_name, total_name, order_by_total):
     p = facts.period(b, code, "survey")
     out = bd.rows_by_label(facts.survey_in(b, p, kind), "object_id", facts.response_dim(b, kind),
-                           out=total_name, dim_rows=facts.response_rows(b, kind))
-    out = out.select(F.col("label").alias(label_name), total_name)
-    return out.orderBy(F.desc(total_name), label_name) if order_by_total else out.orderBy(label_name)
+                           group=p.keys, out=total_name, dim_rows=facts.response_rows(b, kind))
+    out = out.select(*p.keys, F.col("label").alias(label_name), total_name)
+    return out.orderBy(*p.keys, F.desc(total_name), label_name) if order_by_total else out.orderBy(*p.keys, label_name)
 
 
 def survey_by_period(b: Binding, code: str, kind: str, fmt: str | None = None) -> DataFrame:
     """RP6/RP8 in long form: (period, label, total), for any number of answers."""
     p = facts.period(b, code, "survey")
     return bd.rows_by_label(facts.with_bucket(facts.survey_in(b, p, kind), p, fmt), "object_id",
-                            facts.response_dim(b, kind), group=["period"], out="total",
+                            facts.response_dim(b, kind), group=[*p.keys, "period"], out="total",
                             dim_rows=facts.response_rows(b, kind))
 
 
 def _survey_pivot(b, code, kind, fmt, columns):
     dim = facts.response_dim(b, kind)
     long = survey_by_period(b, code, kind, fmt)
-    return bd.pivot(long, ["period"], "label", "total", facts.pivot_values(dim, columns)).orderBy("period")
+    return _by_period(long, "total", facts.pivot_values(dim, columns))
 
 
 def housing_total(b: Binding, code: str) -> DataFrame:
@@ -109,21 +119,21 @@ def flagged_people(b: Binding, code: str, min_nights: int = 1) -> DataFrame:
     dim = bounded_broadcast(b.response("housing").select(F.col("id").alias("_hid")),
                             facts.response_rows(b, "housing"))
     s = s.join(dim, s.object_id == dim["_hid"], "left_semi")
-    nights = (s.groupBy("person_id").agg(F.count(F.lit(1)).cast("bigint").alias("unsheltered_nights"))
+    nights = (s.groupBy(*p.keys, "person_id").agg(F.count(F.lit(1)).cast("bigint").alias("unsheltered_nights"))
               .where(F.col("unsheltered_nights") >= min_nights))
     person = b.person()
     j = nights.join(person, nights.person_id == person.idperson)
-    return (j.orderBy(F.desc("unsheltered_nights"), "idperson")
-            .select("firstname", "lastname", "aliasname", "unsheltered_nights"))
+    return (j.orderBy(*p.keys, F.desc("unsheltered_nights"), "idperson")
+            .select(*p.keys, "firstname", "lastname", "aliasname", "unsheltered_nights"))
 
 
 def reported_people(b: Binding, code: str) -> DataFrame:
     """RP10: distinct people answering 'yes' to the incarceration prompt."""
     p = facts.period(b, code, "survey")
-    ids = facts.survey_in(b, p, "incarceration", b.incarcerated_object).select("person_id").distinct()
+    ids = facts.survey_in(b, p, "incarceration", b.incarcerated_object).select(*p.keys, "person_id").distinct()
     person = b.person()
     j = ids.join(person, ids.person_id == person.idperson)
-    return j.select("idperson", "firstname", "lastname").orderBy("idperson")
+    return j.select(*p.keys, "idperson", "firstname", "lastname").orderBy(*p.keys, "idperson")
 
 
 # -------------------------------------------------------- person categories
@@ -132,15 +142,15 @@ def reported_people(b: Binding, code: str) -> DataFrame:
 def category_total(b: Binding, code: str, kind: str) -> DataFrame:
     """RP11/RP13: distinct people by a person category (gender, ethnicity)."""
     p = facts.period(b, code)
-    out = bd.people_by_label(facts.visits_in(b, p), b.person_label(kind), out="total")
-    return out.select(F.col("label").alias("response"), "total").orderBy("response")
+    out = bd.people_by_label(facts.visits_in(b, p), b.person_label(kind), group=p.keys, out="total")
+    return out.select(*p.keys, F.col("label").alias("response"), "total").orderBy(*p.keys, "response")
 
 
 def category_by_period(b: Binding, code: str, kind: str, fmt: str | None = None) -> DataFrame:
     """RP12/RP14 in long form: (period, label, total), for any number of categories."""
     p = facts.period(b, code)
     return bd.people_by_label(facts.with_bucket(facts.visits_in(b, p), p, fmt), b.person_label(kind),
-                              group=["period"], out="total")
+                              group=[*p.keys, "period"], out="total")
 
 
 def category_pivot(b: Binding, code: str, kind: str, fmt: str | None = None,
@@ -148,23 +158,23 @@ def category_pivot(b: Binding, code: str, kind: str, fmt: str | None = None,
     """RP12/RP14."""
     labels = b.person_label(kind)
     long = category_by_period(b, code, kind, fmt)
-    return bd.pivot(long, ["period"], "label", "total", facts.pivot_values(labels, columns)).orderBy("period")
+    return _by_period(long, "total", facts.pivot_values(labels, columns))
 
 
 def status_total(b: Binding, code: str) -> DataFrame:
     """RP15: distinct people by yes/no status, relabelled, by response desc."""
     out = category_total(b, code, "veteran")
-    return (out.select("response", veteran_summary_name("response").alias("name"), "total")
-            .orderBy(F.desc_nulls_first("response")))
+    keys = [c for c in out.columns if c == "interval"]
+    return (out.select(*keys, "response", veteran_summary_name("response").alias("name"), "total")
+            .orderBy(*keys, F.desc_nulls_first("response")))
 
 
 def status_pivot(b: Binding, code: str, fmt: str | None = None) -> DataFrame:
     """RP16/PV3: fixed answer columns, renamed by name; a missing answer is 0."""
     p = facts.period(b, code)
     long = bd.people_by_label(facts.with_bucket(facts.visits_in(b, p), p, fmt), b.person_label("veteran"),
-                              group=["period"], out="total")
-    return bd.pivot(long, ["period"], "label", "total", list(VETERAN_PIVOT_RENAME),
-                    rename=VETERAN_PIVOT_RENAME).orderBy("period")
+                              group=[*p.keys, "period"], out="total")
+    return _by_period(long, "total", list(VETERAN_PIVOT_RENAME), VETERAN_PIVOT_RENAME)
 
 
 def total_and_breakdown(b: Binding, code: str, kind: str = "gender", fmt: str | None = None) -> DataFrame:
@@ -182,22 +192,22 @@ def total_and_breakdown(b: Binding, code: str, kind: str = "gender", fmt: str |
 def new_people(b: Binding, code: str) -> DataFrame:
     """RP17: people whose first visit falls in the period, oldest first."""
     p = facts.period(b, code)
-    fs = b.first_seen().where(p.contains("timelinestarttime"))
+    fs = p.of(b.first_seen(), "timelinestarttime") if p.keys else b.first_seen().where(p.contains("timelinestarttime"))
     person = b.person()
     j = fs.join(person, "idperson")
-    return (j.orderBy("timelinestarttime", "idperson")
-            .select("firstname", "lastname", "aliasname", F.to_date("timelinestarttime").alias("startdate")))
+    return (j.orderBy(*p.keys, "timelinestarttime", "idperson")
+            .select(*p.keys, "firstname", "lastname", "aliasname", F.to_date("timelinestarttime").alias("startdate")))
 
 
 def visit_ranking(b: Binding, code: str) -> DataFrame:
     """RP21: people by number of distinct visits in the period."""
     p = facts.period(b, code)
-    counts = (facts.visits_in(b, p).groupBy("person_id")
+    counts = (facts.visits_in(b, p).groupBy(*p.keys, "person_id")
               .agg(F.count(F.lit(1)).alias("clientvisits")))   # idsnapshot is the key of visits
     person = b.person()
     j = counts.join(person, counts.person_id == person.idperson)
-    return (j.select("idperson", "firstname", "lastname", "clientvisits")
-            .orderBy(F.desc("clientvisits"), "idperson"))
+    return (j.select(*p.keys, "idperson", "firstname", "lastname", "clientvisits")
+            .orderBy(*p.keys, F.desc("clientvisits"), "idperson"))
 
 
 def visit_topk(b: Binding, code: str, k: int = 10) -> DataFrame:

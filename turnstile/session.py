@@ -11,7 +11,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
@@ -63,6 +63,13 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([work_dir(spark), *parts, uuid.uuid4().hex])
 
 
+def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared working folder as Parquet, and read back: cuts lineage where rounds follow rounds."""
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     base = work_dir(spark)
     if not spark.sparkContext.getCheckpointDir():
