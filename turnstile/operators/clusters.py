@@ -12,24 +12,27 @@ def fit_kmeans(features: DataFrame, k: int = 3, seed: int = 42, cols=RATE_COLUMN
                tol: float = 1e-4):
     """ML1: Spark ML k-means (k-means|| init, fixed seed) over the rates.
     NULL rates (no visits to divide by) are treated as 0.
+    People of equal rates are one point with a weight (``weightCol``), so the
+    passes of the fit go with the different rate vectors, and people get their
+    cluster by a join on theirs.
     The fit stops at the tolerance ``tol``; ``max_iter`` is a bound far beyond.
     Returns (model, assignments(idperson, prediction), centroids); the model's
     summary tells the iterations used (fewer than ``max_iter``: converged)."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import VectorAssembler
 
-    from turnstile.session import ensure_checkpoint_dir
+    from turnstile.session import written
 
-    x = features.select("idperson", *[F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in cols])
-    vec = VectorAssembler(inputCols=list(cols), outputCol="features").transform(x).select("idperson", "features")
-    # k-means passes over its input once per iteration: materialise the
-    # feature plan once in the shared checkpoint folder (this also cuts the
-    # lineage, so a lost executor recomputes from the checkpoint, not the joins)
-    ensure_checkpoint_dir(features.sparkSession)
-    vec = vec.checkpoint(eager=True)
-    model = KMeans(k=k, seed=seed, maxIter=max_iter, tol=tol, featuresCol="features").fit(vec)
-    assign = model.transform(vec).select("idperson", F.col("prediction").cast("int").alias("prediction"))
     spark = features.sparkSession
+    # k-means passes over its input once per iteration: the features are written
+    # once to the shared folder (this also cuts the lineage, so a lost executor
+    # reads them again and doesn't recompute the joins)
+    x = written(spark, features.select("idperson", *[F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in cols]), "rates")
+    points = written(spark, x.groupBy(*cols).agg(F.count(F.lit(1)).cast("double").alias("weight")).orderBy(*cols), "rate_points")
+    vec = VectorAssembler(inputCols=list(cols), outputCol="features").transform(points)
+    model = KMeans(k=k, seed=seed, maxIter=max_iter, tol=tol, featuresCol="features", weightCol="weight").fit(vec.select("features", "weight"))
+    placed = model.transform(vec).select(*cols, F.col("prediction").cast("int").alias("prediction"))
+    assign = x.join(placed, list(cols)).select("idperson", "prediction")
     rows = [(i, *[float(v) for v in c]) for i, c in enumerate(model.clusterCenters())]
     centroids = spark.createDataFrame(rows, ["cluster", *cols])
     return model, assign, centroids

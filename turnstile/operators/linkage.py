@@ -15,7 +15,8 @@ search is equi-joins on *distinct names*, never a cross join:
 
 Step 3 is where a hot segment could concentrate work.  Its rows are salted, and
 its join is a plain sort-merge join whose shuffles the planner adds, so AQE splits
-such a key across tasks (a test forces small thresholds and sees the split).
+a key that is still too large.  ``near_name_pairs`` is the same search by deletion
+variants.
 """
 
 from __future__ import annotations
@@ -74,6 +75,57 @@ def variant_rows(df: DataFrame, col: str, k: int, out: str = "var") -> DataFrame
     return reduce(DataFrame.unionByName, levels).drop("_from")
 
 
+def near_values(values: DataFrame, col: str, k: int) -> DataFrame:
+    """(a, b) for distinct non-NULL values with levenshtein(a, b) <= k,
+    including a == b."""
+    v = values.select(F.col(col).alias("a")).where(F.col("a").isNotNull()).distinct()
+    if k == 0:
+        return v.select("a", F.col("a").alias("b"))
+    left = variant_rows(v, "a", k)
+    right = left.select(F.col("a").alias("b"), "var")
+    cand = left.join(right, "var").select("a", "b").distinct()
+    return cand.where(F.levenshtein("a", "b", k).between(0, k))
+
+
+def near_name_pairs(people: DataFrame, k_first: int = 2, k_last: int = 2) -> DataFrame:
+    """Verified pairs of distinct name keys:
+    (firstname, lastname, dup_firstname, dup_lastname), both directions,
+    including a name paired with itself.
+
+    By deletion variants: many more rows than segments make, but for names so
+    alike that a segment selects little (dense account numbers, say) each of
+    them brings fewer candidates.  :func:`name_pairs_by_segments` gives the same
+    pairs, and is what the reports use."""
+    names = (people.where(F.col("firstname").isNotNull() & F.col("lastname").isNotNull())
+             .select("firstname", "lastname").distinct())
+    near_first = near_values(names, "firstname", k_first).select(
+        F.col("a").alias("firstname"), F.col("b").alias("dup_firstname"))
+    variants = variant_rows(names, "lastname", k_last)
+    right = (variants.select(F.col("firstname").alias("dup_firstname"), F.col("lastname").alias("dup_lastname"),
+                             "var"))
+    # left: each name key re-addressed to every near first name
+    # near_first grows with the distinct first names: Spark's size checks
+    # decide whether it is broadcast
+    left = (variants.join(near_first, "firstname")
+            .select("firstname", "lastname", "dup_firstname", "var"))
+    # a join whose shuffles Spark adds itself: AQE splits a hot variant over
+    # tasks (it leaves explicit repartitions as they are)
+    cand = left.join(right, ["dup_firstname", "var"])
+    # both relations are symmetric, so every unordered pair arrives in both
+    # orientations: verify one orientation only and mirror afterwards
+    one_way = cand.where(F.struct("firstname", "lastname") <= F.struct("dup_firstname", "dup_lastname"))
+    verified = (one_way.where(F.levenshtein("lastname", "dup_lastname", k_last).between(0, k_last))
+                .select("firstname", "lastname", "dup_firstname", "dup_lastname").distinct())
+    fwd = F.struct(F.col("firstname").alias("f"), F.col("lastname").alias("l"),
+                   F.col("dup_firstname").alias("df"), F.col("dup_lastname").alias("dl"))
+    back = F.struct(F.col("dup_firstname").alias("f"), F.col("dup_lastname").alias("l"),
+                    F.col("firstname").alias("df"), F.col("lastname").alias("dl"))
+    same = (F.col("firstname") == F.col("dup_firstname")) & (F.col("lastname") == F.col("dup_lastname"))
+    both = verified.select(F.explode(F.when(same, F.array(fwd)).otherwise(F.array(fwd, back))).alias("p"))
+    return both.select(F.col("p.f").alias("firstname"), F.col("p.l").alias("lastname"),
+                       F.col("p.df").alias("dup_firstname"), F.col("p.dl").alias("dup_lastname"))
+
+
 def _mirrored(pairs: DataFrame, one: list[str], other: list[str]) -> DataFrame:
     """Both directions of pairs that are there in one; a pair with itself stays one."""
     there = F.struct(*[F.col(c).alias(n) for c, n in zip([*one, *other], [*one, *other])])
@@ -82,7 +134,7 @@ def _mirrored(pairs: DataFrame, one: list[str], other: list[str]) -> DataFrame:
     return pairs.select(F.explode(F.when(same, F.array(there)).otherwise(F.array(there, back))).alias("p")).select("p.*")
 
 
-def near_values(values: DataFrame, col: str, k: int) -> DataFrame:
+def values_by_segments(values: DataFrame, col: str, k: int) -> DataFrame:
     """(a, b) for distinct non-NULL values with levenshtein(a, b) <= k,
     including a == b."""
     v = values.select(F.col(col).alias("s")).where(F.col("s").isNotNull()).distinct().withColumn("g", F.lit(0))
@@ -91,13 +143,13 @@ def near_values(values: DataFrame, col: str, k: int) -> DataFrame:
     return _mirrored(found.select(F.col("s").alias("a"), F.col("r").alias("b")), ["a"], ["b"])
 
 
-def near_name_pairs(people: DataFrame, k_first: int = 2, k_last: int = 2) -> DataFrame:
+def name_pairs_by_segments(people: DataFrame, k_first: int = 2, k_last: int = 2) -> DataFrame:
     """Verified pairs of distinct name keys:
     (firstname, lastname, dup_firstname, dup_lastname), both directions,
     including a name paired with itself."""
     names = (people.where(F.col("firstname").isNotNull() & F.col("lastname").isNotNull())
              .select("firstname", "lastname").distinct())
-    near_first = near_values(names, "firstname", k_first).select(
+    near_first = values_by_segments(names, "firstname", k_first).select(
         F.col("a").alias("firstname"), F.col("b").alias("g"))
     # each name key is indexed under its first name, and looked up under every
     # near one; near_first grows with the distinct first names, so Spark's size
@@ -117,7 +169,7 @@ def near_duplicates(people: DataFrame, k_first: int = 2, k_last: int = 2) -> Dat
     within ``k_first`` and last names within ``k_last`` edits (both
     directions, case-sensitive, NULL names never match).  ``k = 0`` and
     ``0`` finds exact matches only."""
-    pairs = near_name_pairs(people, k_first, k_last)
+    pairs = name_pairs_by_segments(people, k_first, k_last)
     p = people.select(F.col("idperson").alias("id"), "firstname", "lastname")
     q = people.select(F.col("idperson").alias("dup_id"), F.col("firstname").alias("dup_firstname"),
                       F.col("lastname").alias("dup_lastname"))
@@ -133,7 +185,7 @@ def near_duplicate_counts(people: DataFrame, k_first: int = 2, k_last: int = 2)
     expanded into pairs."""
     heads = (people.where(F.col("firstname").isNotNull() & F.col("lastname").isNotNull())
              .groupBy("firstname", "lastname").agg(F.count(F.lit(1)).alias("heads")))
-    pairs = near_name_pairs(people, k_first, k_last)
+    pairs = name_pairs_by_segments(people, k_first, k_last)
     dup_heads = heads.select(F.col("firstname").alias("dup_firstname"), F.col("lastname").alias("dup_lastname"),
                              F.col("heads").alias("dup_heads"))
     per_name = (pairs.join(dup_heads, ["dup_firstname", "dup_lastname"])
@@ -171,7 +223,7 @@ def class_links(people: DataFrame, k_first: int = 2, k_last: int = 2) -> tuple[D
     x = classes.select("firstname", "lastname", F.col("class_id").alias("x"))
     y = classes.select(F.col("firstname").alias("dup_firstname"), F.col("lastname").alias("dup_lastname"),
                        F.col("class_id").alias("y"), F.col("heads").alias("y_heads"))
-    links = (near_name_pairs(classes, k_first, k_last).join(x, ["firstname", "lastname"])
+    links = (name_pairs_by_segments(classes, k_first, k_last).join(x, ["firstname", "lastname"])
              .join(y, ["dup_firstname", "dup_lastname"]).where("x != y").select("x", "y", "y_heads"))
     return classes, written(spark, links, "class_links")
 

@@ -3,16 +3,24 @@ sink (SNK1/SNK2): tabs become output directories plus a manifest table."""
 
 from __future__ import annotations
 
+import copy
+import json
+import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
-from functools import reduce
+from functools import partial, reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnstile.binding import Binding
 from turnstile.plans import facts
 from turnstile.plans import population as pop
+from turnstile.session import written
+from turnstile.sources import files
+from turnstile.sources.tables import read_if_there
 
 
 @dataclass(frozen=True)
@@ -91,6 +99,30 @@ def _outline(b: Binding, code: str | DataFrame, tabs) -> DataFrame:
     return facts.period(b, code).codes().select("interval", F.explode(rows).alias("r")).select("interval", "r.*")
 
 
+def narrowed(b: Binding, code: str | DataFrame) -> Binding:
+    """The binding with the facts of the period (or periods) of ``code`` written once: visits, delivered services and
+    answers to the report prompts.  Every tab and the Summary read those, so each fact table is scanned once for a bundle
+    however many tabs use it.  ``whole`` is the binding itself, for what looks beyond the period."""
+    p, answers = facts.period(b, code), facts.period(b, code, "survey")
+    out = copy.copy(b)
+    out.whole = b
+    visits = written(b.spark, facts.visits_in(b, p), "bundle_visits")
+    out.visits = lambda: visits
+    free = b.free_services().select(F.col("idservice").alias("_free"))
+
+    def services() -> DataFrame:
+        rows = facts.service_fact(out, p)
+        return written(b.spark, rows.join(free, rows.service_id == free["_free"], "left_semi"), "bundle_services")
+
+    def survey() -> DataFrame:
+        rows = facts.in_period(b.survey(), answers).where(F.col("prompt_id").isin(sorted(b.prompts.values())))
+        return written(b.spark, rows, "bundle_answers")
+
+    rows, said = _at_once(b.spark, [services, survey])
+    out.service_rows, out.survey = (lambda: rows), (lambda: said)
+    return out
+
+
 def population_bundle(b: Binding, code: str | DataFrame) -> list[Tab]:
     """RP20: the 12 tabs in order; each is a lazy DataFrame.  ``code`` may be a
     frame of codes (``interval``); every tab then has the code as a key."""
@@ -131,26 +163,98 @@ def report_name(code: str, at: datetime) -> str:
     return f"{code.replace('/', '-')}-{run_stamp(at)}"
 
 
+def tab_folder(ordinal: int, name: str) -> str:
+    return f"{ordinal:02d}_{name.replace(' ', '_')}"
+
+
+def _at_once(spark: SparkSession, jobs: list) -> list:
+    """Runs independent writes side by side: small ones wait for each other's latency otherwise."""
+    with ThreadPoolExecutor(max_workers=min(6, len(jobs))) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
+        return [r.result() for r in running]        # the first failure is raised
+
+
+MANIFEST = "report string, run_ts string, ordinal int, tab string, path string, rows long"
+
+
 def write_bundle(tabs: list[Tab], base: str, report: str, run_ts: str, fmt: str = "parquet") -> DataFrame:
-    """SNK1: write each tab under ``base/report=R/run_ts=T/tab=NN_name`` and a
-    manifest table beside them; re-running the same (report, run_ts)
-    overwrites only that run (idempotent for repeated stream batches)."""
+    """SNK1: the tabs and the manifest of one run, which appear whole or not at all.
+
+    Each attempt writes its tabs to ``base/version=V/report=R/run_ts=T/tab=NN_name``; once all are there, one rename puts a
+    pointer with the manifest in place.  Readers go through :func:`read_manifest` and :func:`read_bundle`, so a failed or
+    running attempt leaves them the bundle before it.  Writing the same (report, run_ts) again moves its pointer."""
     spark = tabs[0].df.sparkSession
-    root = f"{base}/report={report}/run_ts={run_ts}"
-    rows = []
-    for t in tabs:
-        path = f"{root}/tab={t.ordinal:02d}_{t.name.replace(' ', '_')}"
-        t.df.write.mode("overwrite").format(fmt).save(path)
-        rows.append((report, run_ts, t.ordinal, t.name, path))
-    paths = spark.createDataFrame(rows, "report string, run_ts string, ordinal int, tab string, path string")
+    root = f"{base}/version={uuid.uuid4().hex}/report={report}/run_ts={run_ts}"
+
+    def write(t: Tab) -> tuple:
+        path = f"{root}/tab={tab_folder(t.ordinal, t.name)}"
+        t.df.write.mode("errorifexists").format(fmt).save(path)
+        return report, run_ts, t.ordinal, t.name, path
+
+    there = _at_once(spark, [partial(write, t) for t in tabs])
     # row counts from the written files (footer metadata), not by recomputing the tabs
     counts = reduce(DataFrame.unionByName, [
         spark.read.format(fmt).load(path).agg(F.count(F.lit(1)).cast("bigint").alias("rows"))
         .select(F.lit(ordinal).alias("ordinal"), "rows")
-        for _, _, ordinal, _, path in rows])
-    m = paths.join(counts, "ordinal").orderBy("ordinal")
-    m.write.mode("overwrite").parquet(f"{root}/_manifest")
-    return spark.read.parquet(f"{root}/_manifest")
+        for _, _, ordinal, _, path in there])
+    rows = {r.ordinal: r.rows for r in counts.collect()}
+    entries = [[*x, rows[x[2]]] for x in sorted(there, key=lambda x: x[2])]
+    files.write_text(spark, _pointer(base, report, run_ts), json.dumps({"format": fmt, "tabs": entries}), replace=True)
+    return read_manifest(spark, base, report, run_ts)
+
+
+def _pointer(base: str, report: str, run_ts: str) -> str:
+    return f"{base}/_current/{report},{run_ts}.json"
+
+
+def _resolved(spark: SparkSession, base: str, report: str, run_ts: str) -> dict:
+    text = files.read_text(spark, _pointer(base, report, run_ts))
+    if text is None:
+        raise FileNotFoundError(f"no bundle {report} of {run_ts} under {base}")
+    return json.loads(text)
+
+
+def read_manifest(spark: SparkSession, base: str, report: str, run_ts: str) -> DataFrame:
+    """What the current bundle holds: a row per tab."""
+    return spark.createDataFrame([tuple(x) for x in _resolved(spark, base, report, run_ts)["tabs"]], MANIFEST).orderBy("ordinal")
+
+
+def read_bundle(spark: SparkSession, base: str, report: str, run_ts: str) -> dict[str, DataFrame]:
+    """The tabs of the current bundle, in order."""
+    found = _resolved(spark, base, report, run_ts)
+    return {name: spark.read.format(found["format"]).load(path) for _, _, _, name, path, _ in found["tabs"]}
+
+
+def write_bundles(tabs: list[Tab], root: str, at: datetime) -> DataFrame:
+    """Bundles of many codes: every tab has an ``interval`` and is written once, to
+    ``root/report=R/run_ts=T/tab=NN_name`` of each code's report; the number of jobs doesn't depend on the codes.
+
+    Returns ``(interval, report, ordinal, tab, path, rows)`` for each code and tab.  A tab without rows has no folder."""
+    spark = tabs[0].df.sparkSession
+    stamp = run_stamp(at)
+    report = F.concat(F.regexp_replace("interval", "/", "-"), F.lit(f"-{stamp}"))
+
+    def write(t: Tab) -> DataFrame:
+        rows = t.df.withColumn("report", report).withColumn("run_ts", F.lit(stamp)).withColumn("tab", F.lit(tab_folder(t.ordinal, t.name)))
+        # each job has a staging folder of its own and replaces only its own partitions
+        (rows.drop("interval").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("report", "run_ts", "tab").parquet(root))
+        found = [n for n in files.names(spark, root) if n.startswith("report=")]
+        if not found:
+            return spark.createDataFrame([], "report string, n long, ordinal int")
+        some = read_if_there(spark, f"{root}/report=*/run_ts=*/tab={tab_folder(t.ordinal, t.name)}", root)
+        if some is None:
+            return spark.createDataFrame([], "report string, n long, ordinal int")
+        return some.groupBy(F.col("report").cast("string").alias("report")).agg(F.count(F.lit(1)).alias("n")).withColumn("ordinal", F.lit(t.ordinal))
+
+    counts = reduce(DataFrame.unionByName, _at_once(spark, [partial(write, t) for t in tabs]))
+    asked = tabs[0].df.select("interval").distinct().withColumn("report", report)
+    each = F.array(*[F.struct(F.lit(t.ordinal).alias("ordinal"), F.lit(t.name).alias("tab"), F.lit(tab_folder(t.ordinal, t.name)).alias("folder")) for t in tabs])
+    rows = asked.select("interval", "report", F.explode(each).alias("t")).select("interval", "report", "t.*")
+    return (rows.join(counts, ["report", "ordinal"], "left")
+            .select("interval", "report", "ordinal", "tab",
+                    F.concat(F.lit(f"{root}/report="), "report", F.lit(f"/run_ts={stamp}/tab="), "folder").alias("path"),
+                    F.coalesce("n", F.lit(0)).cast("bigint").alias("rows")))
 
 
 # Tab names and descriptions of the person bundle (RP31).
@@ -175,7 +279,7 @@ def person_bundle(b: Binding, code: str | DataFrame, persons=None) -> list[Tab]:
     frames = {
         "Outline": _outline(b, code, PERSON_TABS),
         "Summary": per.person_summary(b, code, persons),
-        "Client Information": per.person_header(b, persons),
+        "Client Information": per.person_header(getattr(b, "whole", b), persons),
         "Visit Counts Sub-period": per.person_visits_by_period(b, code, persons),
         "Services Delivered Sub-period": per.person_services_pivot(b, code, persons),
         "Housing by Sub-Period": per.person_housing_pivot(b, code, persons),

@@ -26,6 +26,25 @@ def period_bounds_grid(b: Binding) -> DataFrame:
             .select("as_of", "code", "start", "end", "bucket"))
 
 
+def clock_codes(b: Binding) -> DataFrame:
+    """``(as_of, code)``: every day of the event visits at a time of day of its own, off midnight, x every code."""
+    day = F.to_date("timestamp")
+    days = b.event_visits().select(day.alias("day")).where(F.col("day").isNotNull()).distinct()
+    seconds = F.pmod(F.unix_date("day") * 7919, F.lit(86399)) + 1
+    as_of = F.timestamp_add("SECOND", seconds, F.col("day").cast("timestamp_ntz"))
+    codes = [F.lit(c) for c in RELATIVE_CODES] + [F.date_format("day", "M/d/yyyy"), F.concat(F.lit("YYYYMM"), F.date_format("day", "yyyyMM"))]
+    return days.select(as_of.alias("as_of"), F.explode(F.array(*codes)).alias("code"))
+
+
+def clock_figures(b: Binding) -> DataFrame:
+    """PER6-8, PER10 and JN14 off midnight: events as visits, in periods that end at any second of a day, so days are
+    partial at their ends.  ``(as_of, code, start, end, visits, clients)``."""
+    grid = resolve_requests(clock_codes(b), "code", "as_of", F.lit(b.inception)).select("as_of", "code", "start", "end")
+    figures = cube.period_figures(b.event_visits().select("person_id", "timestamp"), grid.select("start", "end"))
+    return (grid.join(figures, ["start", "end"], "left")
+            .select("as_of", "code", "start", "end", F.coalesce("visits", F.lit(0)).alias("visits"), F.coalesce("clients", F.lit(0)).alias("clients")))
+
+
 def period_labels(b: Binding) -> DataFrame:
     """PER14: friendly label of every code the grid resolves."""
     return period_bounds_grid(b).select("code", period_label(F.col("code")).alias("label")).distinct()

@@ -73,6 +73,7 @@ POPULATION: dict[str, Query] = {
     "new_people": _q(pop.new_people, "PY"),
     "visit_ranking": _q(pop.visit_ranking, "SI"),
     "visit_topk": _q(pop.visit_topk, "SI", 10),
+    "report_order": _q(pop.report_order),
 }
 
 
@@ -86,6 +87,7 @@ CALENDAR: dict[str, Query] = {
     "bucket_hour": _q(cal.bucket_counts, "HH24", "events"),
     "requests_x_periods": _q(cal.requests_x_periods),
     "grid_figures": _q(cal.grid_figures),
+    "clock_figures": _q(cal.clock_figures),
     "cube_period_clients": _q(cal.cube_period_clients),
     "cube_category_clients": _q(cal.cube_category_clients, "gender"),
 }
@@ -99,11 +101,11 @@ def _summary(spark, sf_dir):
 
 
 def _manifest(spark, sf_dir):
-    return bundle.manifest(bundle.population_bundle(_b(spark, sf_dir), BUNDLE_CODE))
+    return bundle.manifest(bundle.population_bundle(bundle.narrowed(_b(spark, sf_dir), BUNDLE_CODE), BUNDLE_CODE))
 
 
 def _person_manifest(spark, sf_dir):
-    return bundle.manifest(bundle.person_bundle(_b(spark, sf_dir), PERSON_CODE))
+    return bundle.manifest(bundle.person_bundle(bundle.narrowed(_b(spark, sf_dir), PERSON_CODE), PERSON_CODE))
 
 
 ASSEMBLY: dict[str, Query] = {
@@ -124,6 +126,7 @@ PERSON: dict[str, Query] = {
     "person_reported": _q(per.person_reported, PERSON_CODE),
     "person_summary": _q(per.person_summary, PERSON_CODE),
     "person_profile": _q(per.person_profile, SUSPENSION_AS_OF),
+    "person_code_labels": _q(per.person_code_labels),
 }
 
 

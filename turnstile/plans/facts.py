@@ -44,7 +44,7 @@ def in_period(df: DataFrame, p: Period | Periods, ts: str = "timestamp") -> Data
     (``sources.layout``), also the implied partition filter.  For many periods,
     a range join that adds their ``interval``."""
     if isinstance(p, Periods):
-        return p.of(df, ts)
+        return df if "interval" in df.columns else p.of(df, ts)      # facts dealt to the periods before stay as they are
     from turnstile.sources.layout import PART_COL, prune_to_period
     if PART_COL in df.columns:
         return prune_to_period(df, p, ts)
@@ -84,6 +84,8 @@ def known_persons(b: Binding, fact: DataFrame, col: str = "person_id") -> DataFr
 
 def service_fact(b: Binding, p: Period, persons: DataFrame | None = None) -> DataFrame:
     """JN2: visit ⋈ service request; (idsnapshot, person_id, timestamp, service_id)."""
+    if hasattr(b, "service_rows"):      # written for a bundle before, of free services only
+        return semi_persons(in_period(b.service_rows(), p), persons)
     v = visits_in(b, p, persons)
     r = b.requests()
     return (v.join(r, v.idsnapshot == r.connection_id)

@@ -192,6 +192,26 @@ def _population() -> dict[str, str]:
         WHERE {between('o_orderdate', ORD_SI)} GROUP BY 1, 2, 3"""
     q["visit_ranking"] = rank
     q["visit_topk"] = f"SELECT * FROM ({rank}) ORDER BY clientvisits DESC, idperson LIMIT 10"
+    flagged = f"""
+        SELECT c_custkey, c_name, count(*) AS n FROM events JOIN customer ON c_custkey = user_id
+        WHERE event_type = 'view' AND {K} = 5 AND {between('ts', EV_P90)} AND EXISTS (SELECT 1 FROM part WHERE p_partkey = 5) GROUP BY 1, 2"""
+    firsts = f"""
+        SELECT c_custkey, c_name, fs FROM (SELECT o_custkey, min(o_orderdate) AS fs FROM orders GROUP BY 1) f
+        JOIN customer ON c_custkey = o_custkey WHERE {between('fs', ORD_PY)}"""
+    twins = """
+        SELECT p_partkey, p_type, p_name FROM part
+        WHERE (p_type, p_name) IN (SELECT p_type, p_name FROM part GROUP BY 1, 2 HAVING count(*) > 1)"""
+    q["report_order"] = " UNION ALL ".join(
+        f"SELECT '{report}' AS report, row_number() OVER (ORDER BY {order}) AS row_no, CAST({name} AS VARCHAR) AS name FROM ({sql})"
+        for report, name, order, sql in (
+            ("services_total", "servicename", "total DESC NULLS FIRST, servicename NULLS FIRST", q["services_total"]),
+            ("city_total", "cresponse", "total DESC NULLS FIRST, cresponse NULLS FIRST", q["city_total"]),
+            ("flagged_people", "c_name", "n DESC, c_custkey", flagged),
+            ("reported_people", "idperson", "idperson", q["reported_people"]),
+            ("status_total", "response", "response DESC NULLS FIRST", q["status_total"]),
+            ("new_people", "c_name", "fs, c_custkey", firsts),
+            ("visit_ranking", "idperson", "clientvisits DESC, idperson", rank),
+            ("exact_duplicates", "p_partkey", "p_name, p_type, p_partkey", twins)))
     return q
 
 
@@ -273,6 +293,14 @@ def _calendar() -> dict[str, str]:
           FROM (SELECT DISTINCT start, "end" FROM grid) g LEFT JOIN orders ON o_orderdate BETWEEN g.start AND g."end" GROUP BY 1, 2)
         SELECT as_of, code, grid.start, grid."end", CAST(visits AS BIGINT) AS visits, CAST(clients AS BIGINT) AS clients
         FROM grid JOIN f ON f.start = grid.start AND f."end" = grid."end\""""
+    days = "SELECT DISTINCT CAST(ts AS DATE) AS day FROM events WHERE ts IS NOT NULL"
+    clock = f"""
+        SELECT CAST(day AS TIMESTAMP) + to_seconds((datediff('day', DATE '1970-01-01', day) * 7919) % 86399 + 1) AS as_of,
+               unnest([{codes}, strftime(day, '%-m/%-d/%Y'), 'YYYYMM' || strftime(day, '%Y%m')]) AS code FROM ({days})"""
+    q["clock_figures"] = f"""
+        WITH g AS (SELECT as_of, code, {s} AS start, {e} AS "end" FROM ({clock}))
+        SELECT as_of, code, start, "end", CAST(count(event_id) AS BIGINT) AS visits, CAST(count(DISTINCT user_id) AS BIGINT) AS clients
+        FROM g LEFT JOIN events ON ts BETWEEN start AND "end" GROUP BY 1, 2, 3, 4"""
     q["cube_period_clients"] = f"""
         SELECT g.start, g."end", CAST(count(o_orderkey) AS BIGINT) AS visits, CAST(count(DISTINCT o_custkey) AS BIGINT) AS clients
         FROM (SELECT DISTINCT start, "end" FROM ({grid})) g LEFT JOIN orders ON o_orderdate BETWEEN g.start AND g."end" GROUP BY 1, 2"""
@@ -446,6 +474,14 @@ def _person() -> dict[str, str]:
                  AS currentlysuspended
         FROM customer LEFT JOIN (SELECT o_custkey, min(o_orderdate) AS fs FROM orders GROUP BY 1) f
              ON o_custkey = c_custkey"""
+    said = lambda code, labels: f"CASE {code} " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in labels) + " END"
+    q["person_code_labels"] = f"""
+        SELECT c_custkey AS idperson,
+               {said('c_nationkey + 1', enumerate(["Unknown", "Asian", "Black", "Hispanic", "Native American", "White"], 1))} AS ethnicity,
+               {said('n_regionkey + 1', enumerate(["Unknown", "Male", "Female"], 1))} AS gender, CAST(NULL AS VARCHAR) AS language,
+               {said("CASE WHEN c_acctbal < 0 THEN 3 WHEN c_acctbal < 5000 THEN 1 WHEN c_acctbal IS NOT NULL THEN 2 END",
+                     enumerate(["Veteran status is unknown", "Is a veteran of the US Armed Forces", "Is not a veteran of the US Armed Forces"], 1))} AS veteran
+        FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey"""
     return q
 
 

@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from turnstile.binding import Binding
-from turnstile.functions.columns import attribute_value, days_elapsed, seconds_between, us_date
+from turnstile.functions.columns import ETHNICITY_LABELS, GENDER_LABELS, LANGUAGE_LABELS, VETERAN_LABELS
+from turnstile.functions.columns import attribute_value, code_label, days_elapsed, seconds_between, us_date
 from turnstile.operators import breakdown as bd
 from turnstile.operators.joins import bounded_broadcast
 from turnstile.plans import facts
@@ -191,3 +192,10 @@ def person_profile(b: Binding, as_of: str | None = None, persons: DataFrame | No
                     "sexoffender", "veteran", "credits",
                     F.col("timelinestarttime").alias("timelinestart"),
                     F.col("iscurrentlysuspended").alias("currentlysuspended"))
+
+
+def person_code_labels(b: Binding) -> DataFrame:
+    """FN7: every person's numeric codes as the reference's labels; a code without a label is NULL (Q10)."""
+    c = b.person_codes()
+    return c.select("idperson", code_label("ethnicity_id", ETHNICITY_LABELS).alias("ethnicity"), code_label("gender_id", GENDER_LABELS).alias("gender"),
+                    code_label("language_id", LANGUAGE_LABELS).alias("language"), code_label("veteran_id", VETERAN_LABELS).alias("veteran"))

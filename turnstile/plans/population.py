@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -220,3 +222,35 @@ def visit_topk(b: Binding, code: str, k: int = 10) -> DataFrame:
     return (top.join(person, top.person_id == person.idperson)
             .select("idperson", "firstname", "lastname", "clientvisits")
             .orderBy(F.desc("clientvisits"), "idperson"))
+
+
+def numbered(report: DataFrame, name: str) -> DataFrame:
+    """An ordered report with ``row_no`` from 1, in its own order.  The rows are written as they come and numbered within
+    their tasks; only the tasks' sizes are added up one after the other, so no task gets all rows."""
+    from pyspark.sql import Window
+
+    from turnstile.session import written
+
+    rows = written(report.sparkSession, report.select("*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_id")), name)
+    sizes = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_first"))
+    before = sizes.select("_part", "_first", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    return rows.join(before, "_part").withColumn("row_no", F.col("_before") + F.col("_id") - F.col("_first") + 1).drop("_part", "_id", "_first", "_before")
+
+
+def report_order(b: Binding) -> DataFrame:
+    """SO1-SO5: the place of every row of the ordered reports: ``(report, row_no, name)``."""
+    from turnstile.operators.linkage import exact_duplicates
+
+    ordered = {
+        "services_total": (services_total(b, "PY"), "servicename"),
+        "city_total": (city_total(b, "PW"), "cresponse"),
+        "flagged_people": (flagged_people(b, "P90"), "lastname"),
+        "reported_people": (reported_people(b, "YTD"), "idperson"),
+        "status_total": (status_total(b, "YTD"), "response"),
+        "new_people": (new_people(b, "PY"), "lastname"),
+        "visit_ranking": (visit_ranking(b, "SI"), "idperson"),
+        "exact_duplicates": (exact_duplicates(b.part_people()), "idperson"),
+    }
+    return reduce(DataFrame.unionByName, [
+        numbered(df, f"order_{name}").select(F.lit(name).alias("report"), "row_no", F.col(c).cast("string").alias("name"))
+        for name, (df, c) in ordered.items()])

@@ -27,10 +27,11 @@ class ParquetTables:
         return self.spark.read.parquet(f"{self.root}/{name}.parquet")
 
 
-def read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
-    """The Parquet table at ``path``, or None if there is no such path."""
+def read_if_there(spark: SparkSession, path: str, base: str | None = None) -> DataFrame | None:
+    """The Parquet table at ``path``, or None if there is no such path.  Folders
+    below ``base`` are partition columns."""
     try:
-        return spark.read.parquet(path)
+        return (spark.read if base is None else spark.read.option("basePath", base)).parquet(path)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise

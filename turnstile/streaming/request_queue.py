@@ -21,6 +21,7 @@ replayed batch is idempotent.
 from __future__ import annotations
 
 import copy
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 from functools import reduce
@@ -30,9 +31,11 @@ from pyspark.sql import functions as F
 
 from turnstile.binding import Binding
 from turnstile.functions.periods import RELATIVE_CODES, period_bounds, period_label
-from turnstile.plans.bundle import person_bundle, population_bundle, report_name, run_stamp, write_bundle
+from turnstile.plans.bundle import narrowed, person_bundle, population_bundle, report_name, write_bundles
 from turnstile.plans.calendar import period_figures
 from turnstile.plans.person import person_profile
+from turnstile.session import written
+from turnstile.sources import files
 from turnstile.sources.tables import read_if_there
 
 REQUEST_SCHEMA = ("type string, interval string, appuser long, client long, idperson long, "
@@ -122,35 +125,52 @@ def as_of_binding(b: Binding, as_of: str | None) -> Binding:
 
 
 def write_reports(requests: DataFrame, b: Binding, base: str, at: datetime) -> tuple[DataFrame, DataFrame]:
-    """ST2: the reports that classified requests ask for.  Per different period
-    one population bundle, and one person bundle for all the people asked for;
-    one profile table for all profile requests.  No loop over requests: only
-    over the different periods.
+    """ST2: the reports that classified requests ask for: a population bundle
+    for each different period, a person bundle for each different period with
+    the people asked for in it, one profile table for all profile requests.
+
+    The periods are a column of the reports, and a tab of all of them is written
+    at once, so the number of jobs depends neither on the requests nor on their
+    periods; no code is collected.  All goes to a folder of its own below
+    ``base``; one rename of a pointer then makes it current (``read_reports``).
 
     Returns the manifest (kind, report, ordinal, tab, path, rows) of what was
     written, and the path of each request's report (request_key, kind, path)."""
     spark = requests.sparkSession
+    root = f"{base}/version={uuid.uuid4().hex}"
     ok = requests.where(F.col("kind") != "REJECT")
-    asked = [(r.kind, r.interval) for r in ok.where("kind != 'PROFILE'").select("kind", "interval").distinct()
-             .orderBy("kind", "interval").collect()]
-    manifests, paths = [], []
-    for kind, code in asked:
-        people = ok.where((F.col("kind") == "IND") & (F.col("interval") == code)).select(F.col("client").alias("idperson"))
-        tabs = population_bundle(b, code) if kind == "ALL" else person_bundle(b, code, people)
-        report = report_name(code, at)
-        m = write_bundle(tabs, f"{base}/{kind}", report, run_stamp(at))
-        manifests.append(m.select(F.lit(kind).alias("kind"), "report", "ordinal", "tab", "path", "rows"))
-        paths.append((kind, code, f"{base}/{kind}/report={report}/run_ts={run_stamp(at)}"))
-    people = ok.where("kind = 'PROFILE'").select(F.col("client").alias("idperson")).distinct()
-    profile = f"{base}/PROFILE/report={report_name('profile', at)}"
-    person_profile(b, persons=people).write.mode("overwrite").parquet(profile)
+    asked = written(spark, ok.select("request_key", "kind", "interval", "client"), "asked")
+    whole = asked.where("kind = 'ALL'").select("interval").distinct()
+    people = asked.where("kind = 'IND'").select("interval", F.col("client").alias("idperson")).distinct()
+    manifests = []
+    for kind, codes, tabs in (("ALL", whole, lambda: population_bundle(narrowed(b, whole), whole)),
+                              ("IND", people, lambda: person_bundle(narrowed(b, people), people, people))):
+        if codes.limit(1).count():      # at most the two kinds of bundle
+            m = write_bundles(tabs(), f"{root}/{kind}", at)
+            manifests.append(m.select(F.lit(kind).alias("kind"), "interval", "report", "ordinal", "tab", "path", "rows"))
+    profiles = asked.where("kind = 'PROFILE'").select(F.col("client").alias("idperson")).distinct()
+    profile = f"{root}/PROFILE/report={report_name('profile', at)}"
+    person_profile(b, persons=profiles).write.mode("overwrite").parquet(profile)
     rows = spark.read.parquet(profile).agg(F.count(F.lit(1)).alias("rows"))
-    manifests.append(rows.select(F.lit("PROFILE").alias("kind"), F.lit(report_name("profile", at)).alias("report"),
-                                 F.lit(0).alias("ordinal"), F.lit("Profile").alias("tab"), F.lit(profile).alias("path"), "rows"))
-    where = spark.createDataFrame(paths, "kind string, interval string, path string")
-    found = ok.join(where, ["kind", "interval"], "left")
+    manifests.append(rows.select(F.lit("PROFILE").alias("kind"), F.lit(None).cast("string").alias("interval"),
+                                 F.lit(report_name("profile", at)).alias("report"), F.lit(0).alias("ordinal"),
+                                 F.lit("Profile").alias("tab"), F.lit(profile).alias("path"), "rows"))
+    manifest = reduce(DataFrame.unionByName, manifests)
+    manifest.write.parquet(f"{root}/_manifest")
+    files.write_text(spark, f"{base}/_current.json", root, replace=True)
+    manifest = read_reports(spark, base)
+    of = manifest.where("ordinal = 0 AND kind != 'PROFILE'").select("kind", "interval", F.regexp_replace("path", "/tab=[^/]*$", "").alias("path"))
+    found = asked.join(of, ["kind", "interval"], "left")
     found = found.select("request_key", "kind", F.coalesce("path", F.lit(profile)).alias("path"))
-    return reduce(DataFrame.unionByName, manifests), found
+    return manifest.drop("interval"), found
+
+
+def read_reports(spark: SparkSession, base: str) -> DataFrame:
+    """The manifest of the current reports below ``base``: (kind, interval, report, ordinal, tab, path, rows)."""
+    root = files.read_text(spark, f"{base}/_current.json")
+    if root is None:
+        raise FileNotFoundError(f"no reports under {base}")
+    return spark.read.parquet(f"{root}/_manifest")
 
 
 def serve(spark: SparkSession, b: Binding, queue_dir: str, out_dir: str, checkpoint_dir: str,
