@@ -48,8 +48,9 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     taken = taken_words(docs).where("size > 0").groupBy(F.col("doc_id").alias("of")).agg(F.max(F.round(F.col("taken") / F.col("size")).cast("int")).alias("times"))
     taken = stored(taken.where("times > 0"), "mix-times")
-    mix = docs.join(taken, docs["doc_id"].eqNullSafe(taken["of"])).withColumn("time", F.explode(F.sequence(F.lit(1), "times")))
-    return mix.select(*docs.columns)
+    # the row travels as one column, so no name of its own meets a helper's
+    rows = docs.select(F.col("doc_id").alias("by"), F.struct("*").alias("row")).join(taken, F.col("by").eqNullSafe(F.col("of")))
+    return rows.select("row", F.explode(F.sequence(F.lit(1), "times"))).select("row.*")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
