@@ -35,8 +35,9 @@ from llm.words import blocks, byte_class, ragged
 BLOCK_BYTES = 8 << 20
 SHARD_TOKENS = 1 << 20
 END_ID = 2
-#: Pieces that a task remembers; others are encoded again in each block of texts.
-REMEMBERED = 300_000
+#: Bytes that the pieces which a Python worker remembers may take, from task to task; what doesn't fit is encoded again in
+#: each block of texts.  An entry counts with what Python adds to its text and ids.
+REMEMBERED, ENTRY = 48 << 20, 160
 TOGETHER = 256
 
 
@@ -45,11 +46,11 @@ class WaveletMatrix:
 
     BLOCK = 512
 
-    def __init__(self, length: int, planes: list[np.ndarray]) -> None:
+    def __init__(self, length: int, planes: list[np.ndarray], before: list[np.ndarray] | None = None) -> None:
         self.length, self.planes = length, planes  # bits packed into bytes, lowest bit first
         step = self.BLOCK // 8
-        self.before = []  # ones before each block
-        for plane in planes:
+        self.before = before or []  # ones before each block
+        for plane in planes if before is None else []:
             sums = np.add.reduceat(np.bitwise_count(plane), np.arange(0, len(plane), step), dtype=np.int64) if len(plane) else np.zeros(0, np.int64)
             self.before.append(np.concatenate([[0], np.cumsum(sums)]))
         self.zeros = [length - int(b[-1]) for b in self.before]
@@ -65,12 +66,18 @@ class WaveletMatrix:
         return cls(len(values), planes)
 
     def to_bytes(self) -> bytes:
-        return np.array([self.length, len(self.planes)], np.uint64).tobytes() + b"".join(p.tobytes() for p in self.planes)
+        """Length and number of planes, the planes, and their counts of ones before each block."""
+        counts = [b.astype("<u4").tobytes() for b in self.before]
+        return np.array([self.length, len(self.planes)], "<u8").tobytes() + b"".join([p.tobytes() for p in self.planes] + counts)
 
     @classmethod
     def from_bytes(cls, data: bytes) -> WaveletMatrix:
-        length, bits = map(int, np.frombuffer(data, np.uint64, 2))
-        return cls(length, list(np.frombuffer(data, np.uint8, offset=16).reshape(bits, -(-length // 8))))
+        """The matrix of a file; neither planes nor counts are read through before they are asked."""
+        length, bits = map(int, np.frombuffer(data, "<u8", 2))
+        size = -(-length // 8)
+        planes = np.frombuffer(data, np.uint8, bits * size, 16).reshape(bits, size)
+        before = np.frombuffer(data, "<u4", offset=16 + bits * size).reshape(bits, -(-length // cls.BLOCK) + 1)
+        return cls(length, list(planes), list(before))
 
     def _ones(self, plane: int, i: int) -> int:
         """Ones among the first i bits of a plane."""
@@ -87,6 +94,27 @@ class WaveletMatrix:
             i, value = (self.zeros[p] + ones if bit else i - ones), value << 1 | bit
         return value
 
+    def _ones_at(self, plane: int, at: np.ndarray) -> np.ndarray:
+        """The same for many places at once."""
+        step = self.BLOCK // 8
+        block, left = at // self.BLOCK, at % self.BLOCK
+        bytes_ = np.zeros((len(at), step), np.uint8)
+        own = block[:, None] * step + np.arange(step)
+        inside = own < len(self.planes[plane])
+        bytes_[inside] = self.planes[plane][own[inside]]
+        whole = np.clip(left[:, None] - 8 * np.arange(step), 0, 8)
+        return self.before[plane][block].astype(np.int64) + np.bitwise_count(bytes_ & ((1 << whole) - 1).astype(np.uint8)).sum(1, dtype=np.int64)
+
+    def counts(self, value: int, lows: np.ndarray, highs: np.ndarray) -> np.ndarray:
+        """How often the value stands in each stretch, by rank alone."""
+        if value >> len(self.planes):
+            return np.zeros(len(lows), np.int64)
+        at = np.concatenate([lows, highs]).astype(np.int64)
+        for p in range(len(self.planes)):
+            ones = self._ones_at(p, at)
+            at = self.zeros[p] + ones if value >> (len(self.planes) - 1 - p) & 1 else at - ones
+        return at[len(lows) :] - at[: len(lows)]
+
     def _bounds(self, value: int, lo: int, hi: int) -> tuple[int, int]:
         """Where the value's occurrences in places lo to hi stand below the last plane."""
         for p in range(len(self.planes)):
@@ -102,7 +130,7 @@ class WaveletMatrix:
 
     def _select(self, plane: int, k: int, one: int) -> int:
         """Place of the k-th (from 0) one or zero of a plane."""
-        before = self.before[plane]
+        before = self.before[plane].astype(np.int64)
         if not one:
             before = np.minimum(np.arange(len(before)) * self.BLOCK, self.length) - before
         block = int(np.searchsorted(before, k, side="right")) - 1
@@ -149,12 +177,9 @@ class Encoder:
         self.bits = max(1, (size - 1).bit_length())
         self.kind = np.uint16 if self.bits <= 16 else np.uint32
         self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.forget()
-
-    def forget(self) -> None:
-        """Frees the remembered pieces: a Python worker lives on after its task."""
         self.known: dict[str, int] = {}
         self.flat, self.lasting = np.zeros(0, self.kind), np.zeros(0, np.int64)
+        self.used = 0
 
     def _begins_sure(self, first: np.ndarray) -> np.ndarray:
         """A character with this first byte is no white space."""
@@ -230,8 +255,10 @@ class Encoder:
         ids, counts = self._encode(fresh) if len(missing) else (self.flat[:0], self.lasting[:0])
         number[missing] = np.arange(len(self.known), len(self.known) + len(missing))
         flat, lengths = np.concatenate([self.flat, ids]), np.concatenate([self.lasting, counts])
-        room = max(0, REMEMBERED - len(self.known))
-        if room and len(missing):
+        costs = np.cumsum(pc.binary_length(fresh).to_numpy(zero_copy_only=False) + counts * self.flat.itemsize + ENTRY) if len(missing) else np.zeros(0, np.int64)
+        room = int(np.searchsorted(costs, REMEMBERED - self.used, side="right"))
+        if room:
+            self.used += int(costs[room - 1])
             self.known.update(zip(fresh.slice(0, room).to_pylist(), number[missing[:room]].tolist(), strict=True))
             self.lasting = lengths[: len(self.known)]
             self.flat = flat[: self.lasting.sum()]
@@ -275,15 +302,15 @@ def write_shards(docs: DataFrame, path: str, end_id: int = END_ID, shard_tokens:
                     number, held = number + 1, []
         if held:
             yield shard()
-        own.forget()
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("name"), F.col(text_col).alias("text"))
     ordered = rows.repartitionByRange("id", "name").sortWithinPartitions("id", "name").select("id", "text")
     return stored(ordered.mapInArrow(shards, SHARDS), "token-shards")
 
 
-def read_shards(shards: DataFrame) -> DataFrame:
-    """Per text of the shards: its id, where its tokens start, how many they are, and their checksum."""
+def read_shards(shards: DataFrame, end_id: int = END_ID) -> DataFrame:
+    """Per text of the shards: its id, where its tokens start, how many they are, their checksum (from the decoded shard), and
+    how many of them are the end id (by rank in the file)."""
     parts = shards.groupBy("part").agg(F.sum("total").alias("all"))
     until = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.select("part", F.coalesce(F.sum("all").over(until), F.lit(0)).alias("before"))
@@ -293,15 +320,16 @@ def read_shards(shards: DataFrame) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                tokens = WaveletMatrix.from_bytes(batch.column("file")[i].as_buffer()).decode().astype("<u4")
+                matrix = WaveletMatrix.from_bytes(batch.column("file")[i].as_buffer())
+                tokens = matrix.decode().astype("<u4")
                 counts = batch.column("n_tokens")[i].values.to_numpy()
                 ends = np.cumsum(counts)
                 sums = [zlib.crc32(tokens[e - n : e]) for n, e in zip(counts, ends, strict=True)]
                 each = pa.array(np.full(len(counts), i))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("part").take(each), batch.column("shard").take(each), batch.column("ids")[i].values, pa.array(ends - counts), pa.array(counts), pa.array(sums, pa.int64())],
-                    names=["part", "shard", "doc_id", "offset", "n_tokens", "ids_crc32"],
+                    [batch.column("part").take(each), batch.column("shard").take(each), batch.column("ids")[i].values, pa.array(ends - counts), pa.array(counts), pa.array(sums, pa.int64()), pa.array(matrix.counts(end_id, ends - counts, ends))],
+                    names=["part", "shard", "doc_id", "offset", "n_tokens", "ids_crc32", "n_end_ids"],
                 )
 
-    texts = shards.select("part", "shard", "ids", "n_tokens", "file").mapInArrow(read, "part int, shard long, doc_id long, offset long, n_tokens long, ids_crc32 long")
-    return texts.join(starts, ["part", "shard"]).select("doc_id", (F.col("before") + F.col("within") + F.col("offset")).alias("start"), "n_tokens", "ids_crc32")
+    texts = shards.select("part", "shard", "ids", "n_tokens", "file").mapInArrow(read, "part int, shard long, doc_id long, offset long, n_tokens long, ids_crc32 long, n_end_ids long")
+    return texts.join(starts, ["part", "shard"]).select("doc_id", (F.col("before") + F.col("within") + F.col("offset")).alias("start"), "n_tokens", "ids_crc32", "n_end_ids")
