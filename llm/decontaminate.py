@@ -28,7 +28,8 @@ from pyspark.sql import functions as F
 from llm.scratch import stored
 from llm.words import ALNUM, Words, blocks, ragged, sorted_order
 
-SEGMENT_BYTES = 4 << 20
+#: Bytes of text in a segment: its lists stay far below what a JVM keeps apart as a huge object.
+SEGMENT_BYTES = 512 << 10
 #: Phrases that one pass over the index takes along; more go through it in further passes.
 PHRASES_AT_ONCE = 200_000
 INDEX = "segment long, doc_ids array<long>, n_words array<long>, terms binary, counts binary, positions binary"
@@ -109,6 +110,12 @@ class Segment:
         self.n_words = np.array(row["n_words"], np.int64)
         self.bounds = np.concatenate([[0], np.cumsum(self.n_words)])
 
+    def has(self, terms: np.ndarray) -> np.ndarray:
+        at = np.searchsorted(self.terms, terms)
+        inside = at < len(self.terms)
+        inside[inside] = self.terms[at[inside]] == terms[inside]
+        return inside
+
     def lists(self, terms: np.ndarray) -> dict[int, np.ndarray]:
         at = np.searchsorted(self.terms, terms)
         return {int(t): self.positions[self.ends[i - 1] if i else 0 : self.ends[i]] for t, i in zip(terms, at, strict=True) if i < len(self.terms) and self.terms[i] == t}
@@ -160,13 +167,16 @@ def _search(index: DataFrame, chunk: list[bytes], base: int, span: int | None) -
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms, phrases, orders = given.value
+        rarest = np.array([p[0 if o is None else o[0]] for p, o in zip(phrases, orders, strict=True)], np.uint64)
         for batch in batches:
             for i in range(batch.num_rows):
                 row = {c: batch.column(c)[i].as_buffer() if c in ("terms", "counts", "positions") else batch.column(c)[i].as_py() for c in batch.schema.names}
                 segment = Segment(row)
+                # only phrases whose rarest term the segment has can occur in it
+                maybe = np.flatnonzero(segment.has(rarest))
                 lists = segment.lists(terms)
-                found = [segment.phrase(lists, p, o) if span is None else segment.near(lists, p, span) for p, o in zip(phrases, orders, strict=True)]
-                which = np.repeat(np.arange(len(found)), [len(x) for x in found])
+                found = [segment.phrase(lists, phrases[i], orders[i]) if span is None else segment.near(lists, phrases[i], span) for i in maybe]
+                which = np.repeat(maybe, [len(x) for x in found])
                 starts = np.concatenate(found) if found else np.zeros(0, np.int64)
                 if not len(starts):
                     continue
@@ -183,7 +193,9 @@ def _search(index: DataFrame, chunk: list[bytes], base: int, span: int | None) -
                     out.append({"segment": row["segment"], "row": int(d), "starts": s[new], "ends": reach[np.append(np.flatnonzero(new)[1:] - 1, len(s) - 1)], "phrases": w + base, "at": s})
                 yield pa.RecordBatch.from_pylist(out, pa.schema([("segment", pa.int64()), ("row", pa.int32()), ("starts", pa.list_(pa.int32())), ("ends", pa.list_(pa.int32())), ("phrases", pa.list_(pa.int64())), ("at", pa.list_(pa.int32()))]))
 
-    return index.mapInArrow(search, MATCHES)
+    found = stored(index.mapInArrow(search, MATCHES), "phrase-matches")
+    given.destroy()  # one pass at a time holds its phrases on the executors
+    return found
 
 
 def _in_passes(index: DataFrame, phrases: DataFrame, span: int | None, at_once: int) -> DataFrame | None:
@@ -224,7 +236,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, segmen
     """Per document: its words, its words within benchmark windows, and the benchmark items whose windows occur."""
     index = build_index(docs, segment_bytes=segment_bytes)
     phrases = numbered(phrases_of(benchmark, width))
-    found = stored(phrase_matches(index, phrases, at_once), "phrase-matches")
+    found = phrase_matches(index, phrases, at_once)
     hit = (
         found.select("segment", "row", F.explode(F.arrays_zip("starts", "ends")).alias("run"))
         .select("segment", "row", F.explode(F.sequence("run.starts", F.col("run.ends") - 1)).alias("word"))
