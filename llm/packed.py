@@ -1,10 +1,14 @@
 """Group hashed records of all texts by value, in packed blocks instead of one row each.
 
-A task packs the records of a block of texts by hash bucket.  Each bucket goes to
-one place, where equal records meet and are judged, and the verdicts go back to
-their block in the order in which the records were given.  A bucket holds about
-as many records as one block does for each bucket, so the number of buckets
-follows the number of input partitions and no place grows with the input.
+A task packs the records of a block of texts by hash bucket; buckets that get none have no row.  Each bucket goes to one
+place, where equal records meet and are judged, and the verdicts go back to their block in the order in which the records
+were given.  What a block keeps for itself (``info``, and which bucket each record went to) travels in a row of its own,
+dealt by the block's number: no bucket holds anything of a block but the records that hash there.
+
+A block should give each different hash once, with what its occurrences have in common, and spread the verdict over them
+when it comes back: a hash in a third of all texts is then one record for each block.  Buckets hold about as many records as
+a block, so their number follows the number of input partitions and no place grows with the input; rows are never more
+than records.
 """
 
 from __future__ import annotations
@@ -15,9 +19,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from llm.words import lean, mixed
+
 PACKED = "bucket int, block long, records binary, places binary, info binary"
 JUDGED = "bucket int, block long, flags binary, places binary, info binary"
 _NAMES = {s: [x.split()[0] for x in s.split(", ")] for s in (PACKED, JUDGED)}
+_TYPES = (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
 
 
 def to_bytes(batch: pa.RecordBatch) -> bytes:
@@ -35,16 +42,19 @@ def _place_type(buckets: int) -> type:
     return np.uint8 if buckets <= 1 << 8 else np.uint16 if buckets <= 1 << 16 else np.uint32
 
 
+def _row(values: list, form: str) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(values, _TYPES, strict=True)], names=_NAMES[form])
+
+
 def pack(block: int, hashes: np.ndarray, records: np.ndarray, info: bytes, buckets: int) -> Iterator[pa.RecordBatch]:
-    """Rows of PACKED for one block; the records of bucket 0 come with the block's own information."""
+    """Rows of PACKED for one block: its own information, and its records by bucket."""
     places = (hashes % np.uint64(buckets)).astype(_place_type(buckets))
+    own_place = int(mixed(np.array([block], np.uint64))[0] % np.uint64(buckets))
+    yield _row([own_place, block, None, places.tobytes(), info], PACKED)
     order = np.argsort(places, kind="stable")
     cuts = np.searchsorted(places[order], np.arange(buckets + 1))
-    for i in range(buckets):
-        own = order[cuts[i] : cuts[i + 1]]
-        if i == 0 or len(own):
-            row = [i, block, records[own].tobytes(), places.tobytes() if i == 0 else None, info if i == 0 else None]
-            yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()), strict=True)], names=_NAMES[PACKED])
+    for i in np.flatnonzero(np.diff(cuts)).tolist():
+        yield _row([i, block, records[order[cuts[i] : cuts[i + 1]]].tobytes(), None, None], PACKED)
 
 
 def judged(packed: DataFrame, buckets: int, kind: np.dtype, judge: Callable[[np.ndarray], np.ndarray], finish: Callable[[bytes, np.ndarray], Iterator[pa.RecordBatch]], schema: str, verdict: type = np.uint8) -> DataFrame:
@@ -54,26 +64,33 @@ def judged(packed: DataFrame, buckets: int, kind: np.dtype, judge: Callable[[np.
         held: dict[int, list[pa.RecordBatch]] = {}
         for batch in batches:
             for i in range(batch.num_rows):
-                held.setdefault(batch.column("bucket")[i].as_py(), []).append(batch.slice(i, 1))
-        for some in held.values():
+                if batch.column("info")[i].is_valid:  # goes on to its block
+                    yield batch.slice(i, 1).rename_columns(_NAMES[JUDGED])
+                else:
+                    held.setdefault(batch.column("bucket")[i].as_py(), []).append(batch.slice(i, 1))
+        while held:
+            _, some = held.popitem()
             parts = [np.frombuffer(x.column("records")[0].as_buffer(), kind) for x in some]
             flags = np.split(judge(np.concatenate(parts)), np.cumsum([len(x) for x in parts])[:-1])
             for x, f in zip(some, flags, strict=True):
-                yield pa.RecordBatch.from_arrays([x.column("bucket"), x.column("block"), pa.array([f.astype(verdict).tobytes()], pa.binary()), x.column("places"), x.column("info")], names=_NAMES[JUDGED])
+                yield _row([x.column("bucket")[0].as_py(), x.column("block")[0].as_py(), f.astype(verdict).tobytes(), None, None], JUDGED)
 
     def back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, dict[int, bytes]] = {}
         own: dict[int, tuple[bytes, bytes]] = {}
         for batch in batches:
             for row in batch.to_pylist():
-                held.setdefault(row["block"], {})[row["bucket"]] = row["flags"]
-                if row["info"] is not None:
+                if row["info"] is None:
+                    held.setdefault(row["block"], {})[row["bucket"]] = row["flags"]
+                else:
                     own[row["block"]] = row["places"], row["info"]
-        for block, (places, info) in own.items():
+        while own:
+            block, (places, info) = own.popitem()
+            found = held.pop(block, {})
             order = np.argsort(np.frombuffer(places, _place_type(buckets)), kind="stable")
             flags = np.empty(len(order), verdict)
-            flags[order] = np.frombuffer(b"".join(held[block][i] for i in sorted(held[block])), verdict)
+            flags[order] = np.frombuffer(b"".join(found[i] for i in sorted(found)), verdict)
             yield from finish(info, flags)
 
-    met = packed.repartition(buckets, "bucket").mapInArrow(meet, JUDGED)
-    return met.repartition(buckets, "block").mapInArrow(back, schema)
+    met = packed.repartition(buckets, "bucket").mapInArrow(lean(meet), JUDGED)
+    return met.repartition(buckets, "block").mapInArrow(lean(back), schema)

@@ -44,8 +44,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from llm.components import components
+from llm.packed import PACKED, from_bytes, judged, pack, to_bytes
 from llm.scratch import stored
-from llm.words import NOT_SPACE, Words, blocks, mixed, ragged, span_sums
+from llm.words import NOT_SPACE, Words, blocks, lean, mixed, ragged, sorted_order, span_sums
 
 _U = np.uint64
 BLOCK_BYTES = 4 << 20
@@ -53,8 +54,8 @@ BLOCK_BYTES = 4 << 20
 SKETCH = 8
 #: Size bands up to here join on least shingles where their segments hold fewer than four.
 SMALL = 26
-PACKED = "bucket int, block long, counts binary, hashes binary, ids array<long>, n array<int>, a array<long>, b array<long>"
-COUNTED = "block long, alone binary, ids array<long>, n array<int>, a array<long>, b array<long>"
+#: ``many``: more than one text of the block has it.
+SHINGLE = np.dtype([("value", np.uint32), ("many", np.uint8)])
 
 
 class Sets:
@@ -86,75 +87,58 @@ class Sets:
         return out[0], out[1]
 
 
-def _counts_by_text(flags: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    total = np.concatenate([[0], np.cumsum(flags)])
-    ends = np.cumsum(counts, dtype=np.int64)
-    return total[ends] - total[ends - counts]
+def _alone(records: np.ndarray) -> np.ndarray:
+    """Which shingles no other block has, and their own in one text only."""
+    values = records["value"]
+    packed = np.sort(values.astype(_U) << _U(32) | np.arange(len(values), dtype=_U))
+    by = packed >> _U(32)
+    lone = np.ones(len(values), bool)
+    lone[1:] &= by[1:] != by[:-1]
+    lone[:-1] &= by[1:] != by[:-1]
+    out = np.zeros(len(values), np.uint8)
+    out[(packed & _U(0xFFFFFFFF)).astype(np.int64)[lone]] = 1
+    return out & (records["many"] == 0)
 
 
 def set_sizes(docs: DataFrame, k: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row of ``docs``: id, set size n, the set's two hashes a and b, and how many of its shingles are surely in no other row."""
+    """Per row of ``docs``: id, set size n, the set's two hashes a and b, and how many of its shingles are surely in no other row.
+
+    A block sends each of its different shingles once.  Those of one text come first, text by text, so the block needs only
+    their number in each text to count the verdicts; those of several texts are known not to be alone."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     buckets = max(64, rows.rdd.getNumPartitions())
 
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
         for batch in batches:
             for part in blocks(batch, "text", BLOCK_BYTES):
                 sets = Sets(part.column("text"), k)
-                bucket = (sets.values >> _U(32)) % _U(buckets)
-                owner = np.repeat(np.arange(len(sets.n)), sets.n)
-                order = np.argsort(bucket.astype(np.uint16 if buckets < 1 << 16 else np.uint64), kind="stable")
-                cuts = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=_U))
+                order = sorted_order(sets.values)
+                by = sets.values[order]
+                head = np.concatenate([[True], by[1:] != by[:-1]]) if len(by) else np.zeros(0, bool)
+                once = head & np.append(head[1:], True) if len(by) else head
+                single = np.zeros(len(by), bool)
+                single[order[once]] = True
+                several = by[head & ~once]
+                own = sets.values[single]
+                values = np.concatenate([own, several])
+                records = np.zeros(len(values), SHINGLE)
+                records["value"] = values.astype(np.uint32)
+                records["many"][len(own) :] = 1
+                per = np.add.reduceat(np.append(single, False).astype(np.int64), sets.first[:-1]) * (sets.n > 0) if len(sets.n) else sets.n
                 a, b = sets.names()
-                for i in range(buckets):
-                    own = order[cuts[i] : cuts[i + 1]]
-                    who = [part.column("id"), sets.n.astype(np.int32), a, b] if i == 0 else [None] * 4
-                    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64()]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([i], pa.int32()), pa.array([number])]
-                        + [pa.array([x.tobytes()], pa.binary()) for x in (np.bincount(owner[own], minlength=len(sets.n)).astype(np.uint32), sets.values[own].astype(np.uint32))]
-                        + [pa.array([x], pa.list_(t)) for x, t in zip(who, kinds, strict=True)],
-                        names=["bucket", "block", "counts", "hashes", "ids", "n", "a", "b"],
-                    )
+                info = pa.RecordBatch.from_arrays([part.column("id"), pa.array(sets.n.astype(np.int32)), pa.array(a), pa.array(b), pa.array(per.astype(np.int64))], names=["id", "n", "a", "b", "per"])
+                yield from pack(number, values >> _U(32), records, to_bytes(info), buckets)
                 number += 1
 
-    def alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list[pa.RecordBatch]] = {}
-        for batch in batches:
-            for i in range(batch.num_rows):
-                held.setdefault(batch.column("bucket")[i].as_py(), []).append(batch.slice(i, 1))
-        for some in held.values():
-            parts = [np.frombuffer(x.column("hashes")[0].as_buffer(), np.uint32) for x in some]
-            every = np.concatenate(parts)
-            packed = np.sort(every.astype(_U) << _U(32) | np.arange(len(every), dtype=_U))
-            by = packed >> _U(32)
-            lone = np.ones(len(every), bool)
-            lone[1:] &= by[1:] != by[:-1]
-            lone[:-1] &= by[1:] != by[:-1]
-            flags = np.zeros(len(every), bool)
-            flags[(packed & _U(0xFFFFFFFF)).astype(np.int64)[lone]] = True
-            at = 0
-            for x, part in zip(some, parts, strict=True):
-                counts = np.frombuffer(x.column("counts")[0].as_buffer(), np.uint32).astype(np.int64)
-                out = _counts_by_text(flags[at : at + len(part)], counts).astype(np.uint32)
-                at += len(part)
-                yield pa.RecordBatch.from_arrays([x.column("block"), pa.array([out.tobytes()], pa.binary()), *(x.column(c) for c in ("ids", "n", "a", "b"))], names=["block", "alone", "ids", "n", "a", "b"])
-
-    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals: dict[int, np.ndarray] = {}
-        who: dict[int, pa.RecordBatch] = {}
-        for batch in batches:
-            for i in range(batch.num_rows):
-                block, own = batch.column("block")[i].as_py(), np.frombuffer(batch.column("alone")[i].as_buffer(), np.uint32)
-                totals[block] = own + totals.get(block, np.uint32(0))
-                if batch.column("ids")[i].is_valid:
-                    who[block] = batch.slice(i, 1)
-        for block, x in who.items():
-            yield pa.RecordBatch.from_arrays([*(x.column(c)[0].values for c in ("ids", "n", "a", "b")), pa.array(totals[block].astype(np.int32))], names=["id", "n", "a", "b", "alone"])
+    def finish(info: bytes, flags: np.ndarray) -> Iterator[pa.RecordBatch]:
+        batch = from_bytes(info)
+        per = batch.column("per").to_numpy()
+        total, ends = np.concatenate([[0], np.cumsum(flags, dtype=np.int64)]), np.cumsum(per)
+        alone = total[ends] - total[ends - per]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("id", "n", "a", "b")), pa.array(alone.astype(np.int32))], names=["id", "n", "a", "b", "alone"])
 
-    packed = rows.mapInArrow(pack, PACKED).repartition(buckets, "bucket").mapInArrow(alone, COUNTED)
-    return packed.repartition(buckets, "block").mapInArrow(gather, "id long, n int, a long, b long, alone int")
+    return judged(rows.mapInArrow(lean(emit), PACKED), buckets, SHINGLE, _alone, finish, "id long, n int, a long, b long, alone int")
 
 
 def _bands(top: int) -> np.ndarray:
@@ -225,7 +209,7 @@ def _verified(pairs: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFra
                 keep[i] = den * shared >= num * (len(every) - shared)
             yield batch.select(["x", "y"]).filter(pa.array(keep))
 
-    return both.select("x", "y", "sx", "sy").mapInArrow(verify, "x long, y long")
+    return both.select("x", "y", "sx", "sy").mapInArrow(lean(verify), "x long, y long")
 
 
 def linked_nodes(nodes: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame]:
@@ -238,7 +222,7 @@ def linked_nodes(nodes: DataFrame, num: int, den: int) -> tuple[DataFrame, DataF
             if len(each):
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), *(batch.column(c).take(each) for c in ("node", "n", "alone"))], names=["key", "node", "n", "alone"])
 
-    keys = stored(nodes.select("node", "n", "alone", "shingles").mapInArrow(emit, "key long, node long, n int, alone int"), "sketch-keys")
+    keys = stored(nodes.select("node", "n", "alone", "shingles").mapInArrow(lean(emit), "key long, node long, n int, alone int"), "sketch-keys")
     several = keys.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("top")).where("low != top").select("key")
     shared = stored(keys.join(several, "key").withColumn("comp", F.col("node")), "shared-keys")
 
@@ -286,7 +270,7 @@ def jaccard_components(docs: DataFrame, k: int = 3, num: int = 90, den: int = 10
     wanted = able.select("low").distinct()
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     texts = texts.join(wanted, texts["id"].eqNullSafe(wanted["low"]), "left_semi")
-    sets = texts.select("text").mapInArrow(shingles, "a long, b long, shingles binary, " + ", ".join(f"s{i} long" for i in range(SKETCH))).dropDuplicates(["a", "b"])
+    sets = texts.select("text").mapInArrow(lean(shingles), "a long, b long, shingles binary, " + ", ".join(f"s{i} long" for i in range(SKETCH))).dropDuplicates(["a", "b"])
     nodes = stored(sets.join(able, ["a", "b"]).withColumn("node", F.monotonically_increasing_id()), "set-nodes")
     _, comps = linked_nodes(nodes, num, den)
     members = nodes.select("node", "a", "b", "low").join(comps, "node")

@@ -34,7 +34,9 @@ from llm.words import NOT_SPACE, SLICE, Words, blocks, mixed, span_sums
 _U = np.uint64
 BLOCK_BYTES = 4 << 20
 REPEATED, ONE_NEXT, ONE_BEFORE = 1, 2, 4
-EDGE = np.dtype([("hash", np.uint64), ("before", np.uint64), ("next", np.uint64)])
+#: ``many``: the block has it in more than one place.  A neighbour of 0: the text ends there, or places differ.
+SEED = np.dtype([("value", np.uint32), ("many", np.uint8)])
+EDGE = np.dtype([("hash", np.uint64), ("before", np.uint64), ("next", np.uint64), ("many", np.uint8)])
 
 
 def _sliding(values: np.ndarray, width: int, least: np.ufunc) -> np.ndarray:
@@ -89,7 +91,14 @@ def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Recor
             number += 1
 
 
-def _twice(values: np.ndarray) -> np.ndarray:
+def _runs(by: np.ndarray) -> np.ndarray:
+    """Where the runs of equal values begin in a sorted array."""
+    return np.flatnonzero(np.concatenate([[True], by[1:] != by[:-1]])) if len(by) else np.zeros(0, np.int64)
+
+
+def _twice(records: np.ndarray) -> np.ndarray:
+    """Which seeds occur more than once in all blocks."""
+    values = records["value"]
     packed = np.sort(values.astype(_U) << _U(32) | np.arange(len(values), dtype=_U))
     by = packed >> _U(32)
     again = np.zeros(len(values), bool)
@@ -97,7 +106,22 @@ def _twice(values: np.ndarray) -> np.ndarray:
     again[:-1] |= by[1:] == by[:-1]
     out = np.zeros(len(values), np.uint8)
     out[(packed & _U(0xFFFFFFFF)).astype(np.int64)] = again
-    return out
+    return out | records["many"]
+
+
+def _different_edges(edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One record for each edge of a block, with its neighbours where all its places agree (else 0), and each place's record."""
+    order = np.argsort(edges["hash"], kind="stable")
+    at = _runs(edges["hash"][order])
+    size = np.diff(np.append(at, len(order)))
+    out = edges[order[at]]
+    out["many"] = size > 1
+    for field in ("next", "before") if len(at) else ():
+        x = edges[field][order]
+        out[field][np.minimum.reduceat(x, at) != np.maximum.reduceat(x, at)] = 0
+    place = np.empty(len(order), np.uint32)
+    place[order] = np.repeat(np.arange(len(at), dtype=np.uint32), size)
+    return out, place
 
 
 def _edge_verdicts(edges: np.ndarray) -> np.ndarray:
@@ -107,7 +131,10 @@ def _edge_verdicts(edges: np.ndarray) -> np.ndarray:
     head = np.concatenate([[True], by[1:] != by[:-1]]) if len(by) else np.zeros(0, bool)
     at = np.flatnonzero(head)
     size = np.diff(np.append(at, len(by)))
-    flags = (by[at] >> _U(35) << _U(3)).astype(np.uint32) | (size > 1).astype(np.uint32) * np.uint32(REPEATED)
+    more = size > 1
+    if len(at):
+        more |= np.maximum.reduceat(edges["many"][order], at) > 0
+    flags = (by[at] >> _U(35) << _U(3)).astype(np.uint32) | more.astype(np.uint32) * np.uint32(REPEATED)
     for field, bit in (("next", ONE_NEXT), ("before", ONE_BEFORE)):
         x = edges[field][order]
         if len(at):  # 0: the text ends or begins here
@@ -127,17 +154,22 @@ def seeds_elsewhere(rows: DataFrame, k: int, m: int) -> DataFrame:
             values = words.seed[words.chosen]
             per = np.diff(np.searchsorted(words.chosen, words.first))
             digests = [words.digest([(s, e)]) for s, e in zip(words.first[:-1], words.first[1:], strict=True)]
-            info = pa.RecordBatch.from_arrays([part.column("id"), part.column("name"), pa.array(words.counts), pa.array(digests, pa.string()), pa.array(per)], names=["id", "name", "n_words", "digest", "per"])
-            yield from pack(number, values >> _U(32), values.astype(np.uint32), to_bytes(info), buckets)
+            different, place, times = np.unique(values, return_inverse=True, return_counts=True)
+            records = np.zeros(len(different), SEED)
+            records["value"], records["many"] = different.astype(np.uint32), times > 1
+            cuts = np.cumsum(per)[:-1]
+            places = [x.astype(np.uint32).tobytes() for x in np.split(place, cuts)]
+            info = pa.RecordBatch.from_arrays([part.column("id"), part.column("name"), pa.array(words.counts), pa.array(digests, pa.string()), pa.array(places, pa.binary())], names=["id", "name", "n_words", "digest", "places"])
+            yield from pack(number, different >> _U(32), records, to_bytes(info), buckets)
 
     def finish(info: bytes, flags: np.ndarray) -> Iterator[pa.RecordBatch]:
         batch = from_bytes(info)
-        ends = np.cumsum(batch.column("per").to_numpy())
-        each = [np.packbits(x).tobytes() if x.any() else None for x in np.split(flags, ends[:-1])]
+        texts = [flags[np.frombuffer(x.as_buffer(), np.uint32)] for x in batch.column("places")]
+        each = [np.packbits(x).tobytes() if x.any() else None for x in texts]
         yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("id", "name", "n_words", "digest")), pa.array(each, pa.binary())], names=["id", "name", "n_words", "digest", "seeds"])
 
     packed = rows.mapInArrow(emit, PACKED)
-    return judged(packed, buckets, np.dtype(np.uint32), _twice, finish, "id long, name long, n_words long, digest string, seeds binary")
+    return judged(packed, buckets, SEED, _twice, finish, "id long, name long, n_words long, digest string, seeds binary")
 
 
 def paths(texts: DataFrame, k: int, m: int) -> DataFrame:
@@ -159,12 +191,14 @@ def paths(texts: DataFrame, k: int, m: int) -> DataFrame:
             edges["next"][inner] = tags[starts[inner] + k]
             marks = np.zeros(len(words.h), bool)
             marks[starts] = True
-            info = pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in (to_bytes(part.select(["id", "name"])), words.first.astype(np.int64).tobytes(), np.packbits(marks).tobytes())], names=["rows", "first", "marks"])
-            yield from pack(number, edges["hash"] >> _U(20), edges, to_bytes(info), buckets)
+            different, place = _different_edges(edges)
+            info = pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in (to_bytes(part.select(["id", "name"])), words.first.astype(np.int64).tobytes(), np.packbits(marks).tobytes(), place.tobytes())], names=["rows", "first", "marks", "place"])
+            yield from pack(number, different["hash"] >> _U(20), different, to_bytes(info), buckets)
 
     def finish(info: bytes, verdicts: np.ndarray) -> Iterator[pa.RecordBatch]:
-        rows, first, marks = (x[0].as_py() for x in from_bytes(info).columns)
+        rows, first, marks, place = (x[0].as_py() for x in from_bytes(info).columns)
         rows, first = from_bytes(rows), np.frombuffer(first, np.int64)
+        verdicts = verdicts[np.frombuffer(place, np.uint32)]
         keep = np.flatnonzero(verdicts & REPEATED)
         if not len(keep):
             return
@@ -190,7 +224,8 @@ def repeated_spans_removed(docs: DataFrame, k: int = 35, m: int = 16, id_col: st
     texts = stored(rows.join(some, both).select(rows["id"], rows["name"], "text", "seeds"), "seeded-texts")
     found = stored(paths(texts.select("id", "name", "text", "seeds"), k, m), "paths")
     found = found.withColumn("length", F.col("end") - F.col("start"))
-    real = found.groupBy("edge", "length").agg(F.count("*").alias("places")).where("places > 1")
+    # written by itself, so that the join below deals out both sides plainly and a hot path can be split
+    real = stored(found.groupBy("edge", "length").agg(F.count("*").alias("places")).where("places > 1"), "real-paths")
     spans = found.join(real, ["edge", "length"]).select("id", "name", "start", "end").distinct()
     cover = spans.groupBy("id", "name").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"))
     parts = texts.select("id", "name", "text").alias("t").join(cover.alias("c"), F.expr("t.id <=> c.id AND t.name = c.name"), "left").select("t.id", "t.text", F.col("c.spans.start").alias("starts"), F.col("c.spans.end").alias("ends"))
