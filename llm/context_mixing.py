@@ -17,7 +17,11 @@ all training texts have of it, so no table bounds what is told apart.
 
 Words are told apart by 64-bit hashes, contexts by 56 bits.  Null and empty texts are just an end.
 A null id counts as training.  Each row counts for itself, also if rows or ids
-repeat.  Without training rows all counts are 0.  Other columns are not read.
+repeat.  Without training rows all counts are 0; without rows there is no result.
+A text stays whole in its block, whatever its length: a block holds the different
+contexts of its texts, five a token at most, with 36 bytes each when they come
+back, so a text of a hundred million words is beyond one Python worker.  Other
+columns are not read.
 """
 
 from __future__ import annotations
@@ -44,9 +48,8 @@ RECORD = np.dtype([("hash", np.uint64), ("count", np.uint32)])
 
 #: Counts of a class under a context: of the other bit at each node on the way to the class, then of the class.
 PATH = np.dtype([("counts", np.float32, (BITS + 1,))])
-#: Tables by slots, for counts that do not come from a corpus: no context, last class, last two classes, last word, last two words.
-SLOTS = (1 << 8, 1 << 16, 1 << 20, 1 << 20, 1 << 21)
-BEGIN = np.concatenate([[0], np.cumsum(SLOTS)])
+#: Predictors: no context, last class, last two classes, last word, last two words.
+PREDICTORS = 5
 #: How many counts of the shorter context a longer one starts from.
 TRUST = np.array([1.0, 4.0, 6.0, 8.0, 3.0], np.float32)
 #: Weights at a text's start, tokens between updates, and the step of an update.
@@ -126,26 +129,6 @@ def word_counts(rows: DataFrame) -> DataFrame:
     return judged(packed, buckets, RECORD, judge, finish, "id long, name long, held boolean, n_tokens long, n_bytes long, n_known long, log_counts double, class_tokens array<long>, class_words array<long>", np.int64)
 
 
-def slots(tokens: Tokens, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For the tokens at the given places: the slots (5, tokens, bits) of all predictors, and the bits (tokens, bits)."""
-    owner = np.searchsorted(tokens.first, place, side="right") - 1
-    since = place - tokens.first[owner]
-    own = tokens.classes[place].astype(np.uint32)
-
-    def back(values: np.ndarray, k: int) -> np.ndarray:
-        return np.where(since >= k, values[np.maximum(place - k, 0)].astype(np.uint32), np.uint32(END_CLASS))
-
-    down = np.arange(BITS - 1, -1, -1, dtype=np.uint32)
-    node = (own[:, None] | np.uint32(CLASSES)) >> (down + np.uint32(1))  # the bits so far, after a leading one
-    c1, c2, w1, w2 = back(tokens.classes, 1), back(tokens.classes, 2), back(tokens.hashes, 1), back(tokens.hashes, 2)
-    out = np.empty((len(SLOTS), *node.shape), np.int32)
-    out[0], out[1] = node, c1[:, None] << np.uint32(BITS) | node
-    for i, context in ((2, c1 * np.uint32(0x9E3779B1) ^ c2 * np.uint32(0x85EBCA77)), (3, w1), (4, w1 * np.uint32(0xC2B2AE3D) ^ w2)):
-        x = (context[:, None] ^ node * np.uint32(0x27D4EB2F)) * np.uint32(0x9E3779B1)
-        out[i] = (x ^ x >> np.uint32(15)) & np.uint32(SLOTS[i] - 1)
-    return out + BEGIN[:-1, None, None].astype(np.int32), (own[:, None] >> down & np.uint32(1)).astype(np.uint8)
-
-
 def contexts(tokens: Tokens) -> np.ndarray:
     """For each predictor and token: 56 bits of its context's hash, and the token's class below them."""
     place = np.arange(len(tokens.hashes))
@@ -156,7 +139,7 @@ def contexts(tokens: Tokens) -> np.ndarray:
 
     c1, c2 = (back(tokens.classes, k, _U(END_CLASS)) for k in (1, 2))
     w1, w2 = (back(tokens.hashes, k, END) for k in (1, 2))
-    out = np.empty((len(SLOTS), len(place)), _U)
+    out = np.empty((PREDICTORS, len(place)), _U)
     for i, context in enumerate((np.zeros(len(place), _U), c1, c1 << _U(BITS) | c2, w1, mixed(w1) + w2)):
         out[i] = mixed(mixed(context) + _U(i)) & ~_U(CLASSES - 1) | tokens.classes
     return out
@@ -214,37 +197,24 @@ def block_scores(rows: DataFrame, within: np.ndarray) -> DataFrame:
         part = from_bytes(info)
         tokens = Tokens(part.column("text"))
         _, places = different_contexts(tokens)
-        logs = bit_logs(tokens, (paths, places)) - np.add.reduceat(within[tokens.classes], tokens.first[:-1])
+        logs = bit_logs(tokens, paths, places) - np.add.reduceat(within[tokens.classes], tokens.first[:-1])
         yield pa.RecordBatch.from_arrays([part.column("id"), part.column("name"), pa.array(logs)], names=["id", "name", "logs"])
 
     return judged(rows.mapInArrow(emit, PACKED), buckets, RECORD, path_counts, finish, "id long, name long, logs double", PATH)
 
 
-def small(table: np.ndarray) -> np.ndarray:
-    """The counts as two halves of 32 bits, ones above; pairs beyond that are halved as often as they need."""
-    over = np.maximum(0, np.ceil(np.log2(np.maximum(table.max(1), 1) / 65_535))).astype(np.int64)
-    halved = table >> over[:, None]
-    return (halved[:, 1] << 16 | halved[:, 0]).astype(np.uint32)
-
-
-def node_counts(tokens: Tokens, given: np.ndarray | tuple[np.ndarray, np.ndarray], place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def node_counts(tokens: Tokens, paths: np.ndarray, places: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Ones and both (5, tokens, bits) that the predictors counted at the given tokens' nodes, and the bits (tokens, bits)."""
-    if isinstance(given, np.ndarray):
-        where, bits = slots(tokens, place)
-        pairs = given[where]
-        ones = (pairs >> np.uint32(16)).astype(np.float32)
-        return ones, ones + (pairs & np.uint32(0xFFFF)).astype(np.float32), bits
-    paths, places = given
     bits = np.unpackbits(tokens.classes[place][:, None], axis=1)
     found = paths["counts"][places[:, place]]
     every = np.cumsum(found[..., ::-1], axis=-1)[..., ::-1]
     return np.where(bits, every[..., 1:], found[..., :-1]), every[..., :-1], bits
 
 
-def bit_logs(tokens: Tokens, given: np.ndarray | tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """Per text of a block: log10 of the chance of its tokens' classes, by a table of slots or by paths and each token's places in them."""
+def bit_logs(tokens: Tokens, paths: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Per text of a block: log10 of the chance of its tokens' classes, by paths and each token's places in them."""
     n, one = len(tokens.counts), np.float32(1)
-    total, weights = np.zeros(n), np.repeat(WEIGHTS, n * BITS).reshape(len(SLOTS), n, BITS)
+    total, weights = np.zeros(n), np.repeat(WEIGHTS, n * BITS).reshape(PREDICTORS, n, BITS)
     centre = (1 / (1 + np.exp((BUCKETS - 1) / 2 - np.arange(BUCKETS)))).astype(np.float32)
     seen = np.tile(PRIOR * np.stack([1 - centre, centre], 1).ravel(), n * BITS)
     longest = np.argsort(-tokens.counts, kind="stable")
@@ -254,7 +224,7 @@ def bit_logs(tokens: Tokens, given: np.ndarray | tuple[np.ndarray, np.ndarray])
         per = np.minimum(tokens.counts[own] - at, TURN)
         place = ragged(tokens.first[own] + at, per)
         who = np.repeat(own, per)
-        ones, every, bits = node_counts(tokens, given, place)
+        ones, every, bits = node_counts(tokens, paths, places, place)
         logits, p, mixed_logit = np.empty_like(ones), np.float32(0.5), np.zeros(bits.shape, np.float32)
         for k, trust in enumerate(TRUST):
             p = np.clip((ones[k] + trust * p) / (every[k] + trust), np.float32(1e-5), np.float32(1 - 1e-5))
@@ -271,7 +241,7 @@ def bit_logs(tokens: Tokens, given: np.ndarray | tuple[np.ndarray, np.ndarray])
         total[own] += np.add.reduceat(np.log10(chance).sum(1, dtype=np.float64), starts)
         # learn from this turn before the next one
         err = STEP * (bits - mix)
-        for k in range(len(SLOTS)):
+        for k in range(PREDICTORS):
             weights[k][own] += np.add.reduceat(err * logits[k], starts, axis=0)
         np.add.at(seen, (2 * cell + bits).ravel(), one)
     return total
