@@ -7,17 +7,23 @@ the table is full.  A row's slot is a hash of its key; the table, whose size is
 fixed, is broadcast, so placing a row takes one lookup and no shuffle.  When a
 shard goes or comes, few rows but its own move.
 
-Any key has a slot, a null key too; equal keys go to the same shard.
+``write_sharded`` writes whole rows by shard: rows are dealt to tasks by ranges of shard and slot, so a task writes few shards,
+and a large shard is written by several tasks.
+
+Any key has a slot, a null key too; equal keys go to the same shard.  Repeated rows are kept.  No rows: no shards.
 """
 
 from __future__ import annotations
 
 import hashlib
+import uuid
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from llm.scratch import shared_dir
+
 #: A prime: every step walks through all slots.
 SLOTS = 65_537
 
@@ -47,7 +53,18 @@ def lookup_table(shards: dict[str, int], slots: int = SLOTS) -> np.ndarray:
 def placed(rows: DataFrame, key_cols: list[str], shards: dict[str, int], slots: int = SLOTS) -> DataFrame:
     """``rows`` with the slot and the shard of each; columns of these names are replaced."""
     names, spark = sorted(shards), rows.sparkSession
-    table = spark.createDataFrame([(i, names[s]) for i, s in enumerate(lookup_table(shards, slots).tolist())], "__slot int, __shard string")
+    table = spark.createDataFrame([(i, names[s]) for i, s in enumerate(lookup_table(shards, slots).tolist())], "i int, name string")
     slot = F.pmod(F.xxhash64(*key_cols), F.lit(slots)).cast("int")
-    found = rows.drop("slot", "shard").withColumn("__slot", slot).join(F.broadcast(table), "__slot")
-    return found.select(*(c for c in rows.columns if c not in ("slot", "shard")), F.col("__slot").alias("slot"), F.col("__shard").alias("shard"))
+    # the row travels as one column, so no name of its own meets the table's
+    kept = [c for c in rows.columns if c not in ("slot", "shard")]
+    found = rows.select(slot.alias("at"), F.struct(*kept).alias("row")).join(F.broadcast(table), F.col("at") == F.col("i"))
+    return found.select("row.*", F.col("at").alias("slot"), F.col("name").alias("shard"))
+
+
+def write_sharded(rows: DataFrame, key_cols: list[str], shards: dict[str, int], slots: int = SLOTS) -> DataFrame:
+    """Writes whole rows to a folder for each shard, and returns them as read back from there, with their slot and shard."""
+    spark = rows.sparkSession
+    dealt = placed(rows, key_cols, shards, slots)
+    path = f"{shared_dir(spark)}/sharded-{uuid.uuid4().hex}"
+    dealt.repartitionByRange("shard", "slot").write.partitionBy("shard").parquet(path)
+    return spark.read.schema(dealt.schema).parquet(path)

@@ -14,7 +14,7 @@ from llm.conversation_repair import repaired_conversations
 from llm.decontaminate import contamination
 from llm.line_dedup import line_decisions
 from llm.mixing import taken_words
-from llm.placement import placed
+from llm.placement import write_sharded
 from llm.quality import quality_scores
 from llm.scratch import table
 from llm.sketch_join import jaccard_components
@@ -52,7 +52,8 @@ def op5_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return placed(table(spark, sf_dir, "documents").select("doc_id"), ["doc_id"], SHARDS)
+    written = write_sharded(table(spark, sf_dir, "documents"), ["doc_id"], SHARDS)
+    return written.select("doc_id", "slot", "shard", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
 
 
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
