@@ -3,6 +3,9 @@
 The mix has as many words as the input.  It is cut into slots of equal length;
 slot i falls to the source whose share of the unit interval holds the i-th point
 of a golden-ratio sequence, so every stretch of the mix is close to the targets.
+A source with less than LEAST_SLOTS of those slots gets shorter ones (a power of two
+of words), in a schedule with all sources of that length: whatever the size of the
+corpus, a source's words come within a few slots of its target.
 Each source's documents, shuffled by hash, form a stream that may be read three
 times over and is cut into blocks as long as a slot: the r-th slot of a source
 takes its r-th block.
@@ -17,6 +20,8 @@ for itself, also if rows or ids repeat.  Other columns are not read.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,6 +34,8 @@ REPEATS = 3
 SLOTS_LOG2, LONGEST = 21, 4096
 #: The golden ratio's fraction in 31 bits, odd: i * GOLDEN modulo 2**31 visits every point once.
 GOLDEN, POINTS = 1327217885, 1 << 31
+#: Slots that a source has at least, as long as they have a word each.
+LEAST_SLOTS = 256
 CELLS, CHUNK, SHUFFLED_TOGETHER = 1024, 1 << 16, 10_000
 
 
@@ -96,14 +103,29 @@ def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
 
 
 def mixture(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The mix as ``(slot, s, rank, row, words)``, the placed documents, and the sources' shares."""
+    """The mix as ``(length, slot, s, rank, row, words)``, the placed documents, and the sources' shares.
+
+    There is one schedule for each length of slots; ``low`` and ``high`` are a source's part of its own."""
     sizes = measured(docs, id_col, text_col, source_col)
     parts = stored(shares(sizes), "mix-shares")
     total = parts.agg(F.max("total")).first()[0] or 0
     length = min(LONGEST, max(1, total >> SLOTS_LOG2))
     placed = stored(shuffled(sizes, parts), "mix-placed")
-    mix = schedule(parts, -(-total // length)).join(blocks_of(placed, parts, length), ["s", "rank"])
-    return mix, placed, parts
+    shorter = F.expr(f"shiftleft(1L, cast(floor(log2(greatest(target / {LEAST_SLOTS}, 1.0D))) AS int))")
+    parts = parts.withColumn("length", F.least(F.lit(length).cast("long"), shorter))
+    alike = Window.partitionBy("length")
+    until = F.sum("target").over(alike.orderBy("s").rowsBetween(Window.unboundedPreceding, -1))
+    parts = parts.withColumn("low", F.coalesce(F.try_divide(until, F.sum("target").over(alike)), F.lit(0.0))).withColumn("high", F.lead("low", 1, 1.0).over(alike.orderBy("s")))
+    parts = stored(parts, "mix-parts")
+    # at most as many lengths as there are powers of two up to LONGEST
+    lengths = parts.groupBy("length").agg(F.ceil(F.round(F.sum("target") / F.col("length"), 6)).alias("slots")).orderBy("length").collect()
+    mixes = []
+    for r in lengths:
+        own = parts.where(F.col("length") == r["length"])
+        mixes.append(schedule(own, r["slots"]).join(blocks_of(placed, own, r["length"]), ["s", "rank"]).withColumn("length", F.lit(r["length"])))
+    if not mixes:
+        mixes = [schedule(parts, 0).join(blocks_of(placed, parts, 1), ["s", "rank"]).withColumn("length", F.lit(1).cast("long"))]
+    return reduce(DataFrame.unionByName, mixes), placed, parts
 
 
 def taken_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
