@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from llm.scratch import stored
-from llm.words import ALNUM, Words, blocks, ragged, sorted_order
+from llm.words import ALNUM, Words, blocks, lean, ragged, sorted_order
 
 #: Bytes of text in a segment: its lists stay far below what a JVM keeps apart as a huge object.
 SEGMENT_BYTES = 512 << 10
@@ -56,7 +56,7 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 number += 1
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return stored(rows.mapInArrow(index, INDEX), "positional-index")
+    return stored(rows.mapInArrow(lean(index), INDEX), "positional-index")
 
 
 def phrases_of(items: DataFrame, width: int, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
@@ -193,7 +193,7 @@ def _search(index: DataFrame, chunk: list[bytes], base: int, span: int | None) -
                     out.append({"segment": row["segment"], "row": int(d), "starts": s[new], "ends": reach[np.append(np.flatnonzero(new)[1:] - 1, len(s) - 1)], "phrases": w + base, "at": s})
                 yield pa.RecordBatch.from_pylist(out, pa.schema([("segment", pa.int64()), ("row", pa.int32()), ("starts", pa.list_(pa.int32())), ("ends", pa.list_(pa.int32())), ("phrases", pa.list_(pa.int64())), ("at", pa.list_(pa.int32()))]))
 
-    found = stored(index.mapInArrow(search, MATCHES), "phrase-matches")
+    found = stored(index.mapInArrow(lean(search), MATCHES), "phrase-matches")
     given.destroy()  # one pass at a time holds its phrases on the executors
     return found
 

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from llm.scratch import stored
-from llm.words import NOT_SPACE, Words, blocks, byte_class, mixed
+from llm.words import NOT_SPACE, Words, blocks, byte_class, lean, mixed
 
 BLOCK_BYTES = 2 << 20
 MOST_ROWS = 40_000
@@ -201,7 +201,7 @@ def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                 flat = pa.ListArray.from_arrays(np.arange(part.num_rows + 1, dtype=np.int32) * rows.shape[1], pa.array(rows.reshape(-1)))
                 yield pa.RecordBatch.from_arrays([part.column("id"), flat], names=["id", "statistics"])
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(measure, "id long, statistics array<float>")
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(lean(measure), "id long, statistics array<float>")
 
 
 def train(rows: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS) -> Trees:

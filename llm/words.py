@@ -7,7 +7,8 @@ needs no more memory than its own bytes and words.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -145,3 +146,18 @@ def ragged(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Indices start, start + 1, ... of each run, one run after another."""
     ends = np.cumsum(counts)
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - counts), counts)
+
+
+def lean(task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The task, giving the memory it has freed back to the system when it ends: its Python worker lives on for other tasks,
+    and what an allocator keeps would count against the executor all the while."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from task(batches)
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (AttributeError, OSError):  # other C libraries have no such call
+            pass
+
+    return run
