@@ -4,6 +4,10 @@ A large star points every greater neighbour of a node at the least node it sees;
 neighbours at the least of them.  Both keep components and only lessen ends, so links never get more, and they end as one
 star around the least node of each component.  The number of rounds grows with the logarithm of the longest path.
 
+Links may be many times as many as nodes, so the stars run on a link per node first, the one to its least neighbour.  What
+of the links then still joins different components is between these, at most half as many as nodes, and goes through the
+stars again.  All links are read twice, whatever the number of rounds.
+
 Each round is a grouped minimum and an equi-join, and is written to the shared folder, which cuts lineage and survives
 lost executors.  No node's links are ever collected.
 """
@@ -29,12 +33,10 @@ def _small_star(links: DataFrame) -> DataFrame:
     return moved.union(least.select("x", F.col("least").alias("y"))).distinct()
 
 
-def components(links: DataFrame) -> DataFrame:
-    """``links(x, y)`` of one orderable type -> ``(node, comp)``: every linked node with the least node it reaches.
-
-    Direction, repeats and loops make no difference; nodes that are in loops alone, and nulls, don't come out."""
+def _stars(links: DataFrame) -> DataFrame:
+    """``(node, comp)`` of every node of ``links(x, y)``, which have no loops and no nulls."""
     spark = links.sparkSession
-    now = links.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).where("x != y").distinct()
+    now = links.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).distinct()
     now, mark = written(spark, now, "links"), None
     while True:
         now = written(spark, _small_star(_large_star(now)), "stars")
@@ -44,3 +46,21 @@ def components(links: DataFrame) -> DataFrame:
             break
         mark = seen
     return now.select(F.col("x").alias("node"), F.col("y").alias("comp")).union(now.select("y", "y").distinct())
+
+
+def components(links: DataFrame) -> DataFrame:
+    """``links(x, y)`` of one orderable type -> ``(node, comp)``: every linked node with the least node it reaches.
+
+    Direction, repeats and loops make no difference; nodes that are in loops alone, and nulls, don't come out.  ``links`` is
+    evaluated twice."""
+    spark = links.sparkSession
+    links = links.where("x != y")
+    ways = F.array(F.struct("x", "y"), F.struct(F.col("y").alias("x"), F.col("x").alias("y")))
+    first = _stars(links.select(F.inline(ways)).groupBy("x").agg(F.min("y").alias("y")))
+    x, y = (first.select(F.col("node").alias(c), F.col("comp").alias(f"{c}_comp")) for c in "xy")
+    rest = written(spark, links.join(x, "x").join(y, "y").where("x_comp != y_comp")
+                   .select(F.col("x_comp").alias("x"), F.col("y_comp").alias("y")).distinct(), "links")
+    if rest.isEmpty():
+        return first
+    second = _stars(rest).select(F.col("node").alias("comp"), F.col("comp").alias("least"))
+    return first.join(second, "comp", "left").select("node", F.coalesce("least", "comp").alias("comp"))

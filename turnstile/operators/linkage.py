@@ -1,22 +1,23 @@
 """Duplicate people (DUP1 near, DUP2 exact).
 
-DUP1 is lossless blocking by segments (``operators/segments.py``).  The whole
-search is equi-joins on *distinct names*, never a cross join:
+DUP1 is lossless blocking by edit keys and, for long names, segments
+(``operators/edits.py``, ``operators/segments.py``).  The whole search is
+equi-joins on *distinct names*, never a cross join:
 
 1. people -> distinct (first, last) name keys with a head count, so a name
    shared by a third of all people is one row from here on;
-2. near first names, by segments and verified with ``levenshtein(a, b, k)``;
+2. near first names, verified with ``levenshtein(a, b, k)``;
 3. candidate name pairs: each name key, expanded by its near first names, meets
-   the other name keys on ``(first name, segment of the last name)``; every
+   the other name keys on ``(first name, key of the last name)``; every
    candidate is verified exactly with ``levenshtein`` on the last name;
 4. ``near_duplicates`` expands verified name pairs to the people that carry
    them.  ``duplicate_classes`` and ``duplicate_groups`` (AG12) don't: they give
    one row per different name and one per person, whatever the number of pairs.
 
-Step 3 is where a hot segment could concentrate work.  Its rows are salted, and
-its join is a plain sort-merge join whose shuffles the planner adds, so AQE splits
-a key that is still too large.  ``near_name_pairs`` is the same search by deletion
-variants.
+Names are written with a number of their own, so pairs travel as two numbers and
+the few columns asked for, in one direction.  The joins' shuffles are the
+planner's, so AQE splits a key that is too large.  ``near_name_pairs`` is the
+same search by deletion variants.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from turnstile.operators.components import components
+from turnstile.operators.edits import one_deleted
 from turnstile.operators.segments import near_pairs
 from turnstile.session import written
 
@@ -65,12 +67,7 @@ def variant_rows(df: DataFrame, col: str, k: int, out: str = "var") -> DataFrame
     level = df.withColumn(out, F.col(col)).withColumn("_from", F.lit(1))
     levels = [level]
     for _ in range(k):
-        n = F.length(out)
-        some = F.when(F.col("_from") <= n, F.sequence(F.col("_from"), n)).otherwise(F.array().cast("array<int>"))
-        cut = level.withColumn("_i", F.explode(some))
-        first = (F.col("_i") == 1) | (F.expr(f"substr({out}, _i - 1, 1)") != F.expr(f"substr({out}, _i, 1)"))
-        level = (cut.where(first).withColumn(out, F.concat(F.expr(f"substr({out}, 1, _i - 1)"), F.expr(f"substr({out}, _i + 1)")))
-                 .withColumn("_from", F.col("_i")).drop("_i"))
+        level = one_deleted(level, out)
         levels.append(level)
     return reduce(DataFrame.unionByName, levels).drop("_from")
 
@@ -139,29 +136,56 @@ def values_by_segments(values: DataFrame, col: str, k: int) -> DataFrame:
     including a == b."""
     v = values.select(F.col(col).alias("s")).where(F.col("s").isNotNull()).distinct().withColumn("g", F.lit(0))
     once = (F.length("r") < F.length("s")) | (F.col("r") <= F.col("s"))
-    found = near_pairs(v, v.withColumnRenamed("s", "r"), k, v, variant_rows, once)
+    found = near_pairs(v, v.withColumnRenamed("s", "r"), k, v, once, ["s", "r"])
     return _mirrored(found.select(F.col("s").alias("a"), F.col("r").alias("b")), ["a"], ["b"])
 
 
-def name_pairs_by_segments(people: DataFrame, k_first: int = 2, k_last: int = 2) -> DataFrame:
-    """Verified pairs of distinct name keys:
-    (firstname, lastname, dup_firstname, dup_lastname), both directions,
-    including a name paired with itself."""
-    names = (people.where(F.col("firstname").isNotNull() & F.col("lastname").isNotNull())
-             .select("firstname", "lastname").distinct())
+def numbered(names: DataFrame, name: str) -> DataFrame:
+    """``names`` with a number for each row (``name_id``), written, so that the numbers stay."""
+    return written(names.sparkSession, names.withColumn("name_id", F.monotonically_increasing_id()), name)
+
+
+def name_links(names: DataFrame, k_first: int = 2, k_last: int = 2, more: tuple[str, ...] = ()) -> DataFrame:
+    """Verified pairs of different names from ``names(name_id, firstname, lastname, ...)``, a row per name: ``(x, y)`` in
+    one direction, with the columns ``more`` of both as ``x_..`` and ``y_..``."""
     near_first = values_by_segments(names, "firstname", k_first).select(
         F.col("a").alias("firstname"), F.col("b").alias("g"))
     # each name key is indexed under its first name, and looked up under every
     # near one; near_first grows with the distinct first names, so Spark's size
     # checks decide whether it is broadcast
-    index = names.select(F.col("firstname").alias("g"), F.col("lastname").alias("r"))
-    sought = names.join(near_first, "firstname").select("firstname", "g", F.col("lastname").alias("s"))
+    index = names.select(F.col("firstname").alias("g"), F.col("lastname").alias("r"), F.col("name_id").alias("y"),
+                         *[F.col(c).alias(f"y_{c}") for c in more])
+    sought = names.join(near_first, "firstname").select("g", F.col("lastname").alias("s"), F.col("name_id").alias("x"),
+                                                        *[F.col(c).alias(f"x_{c}") for c in more])
     last = names.select(F.col("lastname").alias("s")).distinct()
     # of two names of equal length both find each other: one of them is enough
-    once = (F.length("r") < F.length("s")) | (F.struct("r", F.col("g").alias("f")) <= F.struct(F.col("s").alias("r"), F.col("firstname").alias("f")))
-    found = near_pairs(sought, index, k_last, last, variant_rows, once)
-    pairs = found.select("firstname", F.col("s").alias("lastname"), F.col("g").alias("dup_firstname"), F.col("r").alias("dup_lastname"))
-    return _mirrored(pairs, ["firstname", "lastname"], ["dup_firstname", "dup_lastname"])
+    once = (F.length("r") < F.length("s")) | (F.col("y") < F.col("x"))
+    return near_pairs(sought, index, k_last, last, once, ["x", "y", *[f"{e}_{c}" for e in "xy" for c in more]])
+
+
+def both_ways(links: DataFrame) -> DataFrame:
+    """The rows of ``links``, and again with all ``x`` and ``y`` columns changed over."""
+    other = {c: ("y" if c[0] == "x" else "x") + c[1:] for c in links.columns}
+    ways = [F.struct(*links.columns), F.struct(*[F.col(other[c]).alias(c) for c in links.columns])]
+    return links.select(F.inline(F.array(*ways)))
+
+
+def _names(people: DataFrame) -> DataFrame:
+    """A row per different whole name, with how many people have it."""
+    return (people.where(F.col("firstname").isNotNull() & F.col("lastname").isNotNull())
+            .groupBy("firstname", "lastname").agg(F.count(F.lit(1)).alias("heads")))
+
+
+def name_pairs_by_segments(people: DataFrame, k_first: int = 2, k_last: int = 2) -> DataFrame:
+    """Verified pairs of distinct name keys:
+    (firstname, lastname, dup_firstname, dup_lastname), both directions,
+    including a name paired with itself."""
+    names = numbered(_names(people), "names")
+    whole = ("firstname", "lastname")
+    pairs = both_ways(name_links(names, k_first, k_last, whole)).select(
+        F.col("x_firstname").alias("firstname"), F.col("x_lastname").alias("lastname"),
+        F.col("y_firstname").alias("dup_firstname"), F.col("y_lastname").alias("dup_lastname"))
+    return pairs.unionByName(names.select(*whole, *[F.col(c).alias(f"dup_{c}") for c in whole]))
 
 
 def near_duplicates(people: DataFrame, k_first: int = 2, k_last: int = 2) -> DataFrame:
@@ -169,13 +193,14 @@ def near_duplicates(people: DataFrame, k_first: int = 2, k_last: int = 2) -> Dat
     within ``k_first`` and last names within ``k_last`` edits (both
     directions, case-sensitive, NULL names never match).  ``k = 0`` and
     ``0`` finds exact matches only."""
-    pairs = name_pairs_by_segments(people, k_first, k_last)
-    p = people.select(F.col("idperson").alias("id"), "firstname", "lastname")
-    q = people.select(F.col("idperson").alias("dup_id"), F.col("firstname").alias("dup_firstname"),
-                      F.col("lastname").alias("dup_lastname"))
-    out = (p.join(pairs, ["firstname", "lastname"])
-           .join(q, ["dup_firstname", "dup_lastname"])
-           .where(F.col("id") != F.col("dup_id")))
+    names = numbered(_names(people), "names")
+    pairs = both_ways(name_links(names, k_first, k_last)).unionByName(
+        names.where("heads > 1").select(F.col("name_id").alias("x"), F.col("name_id").alias("y")))
+    p = people.select(F.col("idperson").alias("id"), "firstname", "lastname").join(
+        names.select("firstname", "lastname", F.col("name_id").alias("x")), ["firstname", "lastname"])
+    q = p.select(F.col("x").alias("y"), F.col("id").alias("dup_id"), F.col("firstname").alias("dup_firstname"),
+                 F.col("lastname").alias("dup_lastname"))
+    out = pairs.join(p, "x").join(q, "y").where(F.col("id") != F.col("dup_id"))
     return out.select("id", "firstname", "lastname", "dup_id", "dup_firstname", "dup_lastname")
 
 
@@ -183,13 +208,10 @@ def near_duplicate_counts(people: DataFrame, k_first: int = 2, k_last: int = 2)
     """Per person, how many other people are near duplicates, computed on
     name keys with head counts: a name held by millions of people is never
     expanded into pairs."""
-    heads = (people.where(F.col("firstname").isNotNull() & F.col("lastname").isNotNull())
-             .groupBy("firstname", "lastname").agg(F.count(F.lit(1)).alias("heads")))
-    pairs = name_pairs_by_segments(people, k_first, k_last)
-    dup_heads = heads.select(F.col("firstname").alias("dup_firstname"), F.col("lastname").alias("dup_lastname"),
-                             F.col("heads").alias("dup_heads"))
-    per_name = (pairs.join(dup_heads, ["dup_firstname", "dup_lastname"])
-                .groupBy("firstname", "lastname").agg(F.sum("dup_heads").alias("near_heads")))
+    names = numbered(_names(people), "names")
+    near = both_ways(name_links(names, k_first, k_last, ("heads",))).groupBy(F.col("x").alias("name_id")).agg(F.sum("y_heads").alias("near"))
+    per_name = names.join(near, "name_id", "left").select(
+        "firstname", "lastname", (F.col("heads") + F.coalesce("near", F.lit(0))).alias("near_heads"))
     p = people.select(F.col("idperson").alias("id"), "firstname", "lastname")
     # minus one: the person itself is counted under its own name key
     return (p.join(per_name, ["firstname", "lastname"])
@@ -217,22 +239,19 @@ def name_classes(people: DataFrame) -> DataFrame:
 
 
 def class_links(people: DataFrame, k_first: int = 2, k_last: int = 2) -> tuple[DataFrame, DataFrame]:
-    """``(classes, links)``, both written: name classes, and ``(x, y, y_heads)`` for every two near ones, both ways."""
-    spark = people.sparkSession
-    classes = written(spark, name_classes(people), "name_classes")
-    x = classes.select("firstname", "lastname", F.col("class_id").alias("x"))
-    y = classes.select(F.col("firstname").alias("dup_firstname"), F.col("lastname").alias("dup_lastname"),
-                       F.col("class_id").alias("y"), F.col("heads").alias("y_heads"))
-    links = (name_pairs_by_segments(classes, k_first, k_last).join(x, ["firstname", "lastname"])
-             .join(y, ["dup_firstname", "dup_lastname"]).where("x != y").select("x", "y", "y_heads"))
-    return classes, written(spark, links, "class_links")
+    """``(classes, links)``, both written: name classes, and ``(x, y, x_heads, y_heads)`` for every two near ones, one way."""
+    classes = numbered(name_classes(people), "name_classes")
+    links = (name_links(classes, k_first, k_last, ("class_id", "heads"))
+             .select(F.col("x_class_id").alias("x"), F.col("y_class_id").alias("y"), "x_heads", "y_heads").where("x != y"))
+    return classes.drop("name_id"), written(people.sparkSession, links, "class_links")
 
 
 def duplicate_classes(people: DataFrame, k_first: int = 2, k_last: int = 2) -> DataFrame:
     """AG12 in bounded form: per different name its people, its near names with their people, and its group (the least
     class that can be reached over near names).  Output is linear in the names."""
     classes, links = class_links(people, k_first, k_last)
-    near = links.groupBy(F.col("x").alias("class_id")).agg(F.count(F.lit(1)).alias("near_classes"), F.sum("y_heads").alias("near_heads"))
+    near = (both_ways(links).groupBy(F.col("x").alias("class_id"))
+            .agg(F.count(F.lit(1)).alias("near_classes"), F.sum("y_heads").alias("near_heads")))
     groups = components(links.select("x", "y")).select(F.col("node").alias("class_id"), "comp")
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
     return (classes.join(near, "class_id", "left").join(groups, "class_id", "left")

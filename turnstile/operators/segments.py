@@ -12,8 +12,12 @@ gives the same pairs; the entropies come from all names, and only decide how man
 
 A segment that many names still share is split: index rows are written once for each of ``SALTS``, and a name looks up in
 one of them, so the candidates of one segment meet in as many places.  The join's shuffles are Spark's own, so AQE splits
-what is still uneven.  Strings of up to ``k`` characters have no ``k + 1`` segments; they meet strings of up to ``2 k``
-through deletion variants, which are few at that length.
+what is still uneven.
+
+Names that fill their space densely (account numbers) share every segment with ever more others as they get more.  So
+pairs whose shorter string has up to ``edits.LENGTH`` letters are found by edit keys (``operators/edits.py``), whose
+candidates are about as many as the pairs, and segments are for longer strings, whose edit keys would be too many.  Strings
+of up to ``k`` characters have no ``k + 1`` segments, and always go by edit keys.
 """
 
 from __future__ import annotations
@@ -23,6 +27,8 @@ from math import log2
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from turnstile.operators import edits
+
 SALTS = 4
 
 
@@ -83,18 +89,20 @@ def candidate_pairs(left: DataFrame, right: DataFrame, k: int, strings: DataFram
     return sought.join(index, ["g", "len", "seg", "var", "salt"]).drop("len", "seg", "var", "salt")
 
 
-def near_pairs(left: DataFrame, right: DataFrame, k: int, strings: DataFrame, variants, keep: Column) -> DataFrame:
-    """Pairs ``(g, s, r, ...)`` of ``left(g, s, ...)`` and ``right(g, r, ...)`` with equal ``g`` and ``r`` no longer than
-    ``s``, within ``k`` edits, that ``keep`` lets through; each combination once.
+def near_pairs(left: DataFrame, right: DataFrame, k: int, strings: DataFrame, keep: Column, out: list[str],
+               longest: int | None = None) -> DataFrame:
+    """Columns ``out`` of the pairs ``(g, s, r, ...)`` of ``left(g, s, ...)`` and ``right(g, r, ...)`` with equal ``g`` and
+    ``r`` no longer than ``s``, within ``k`` edits, that ``keep`` lets through; each combination once.
 
-    ``variants(df, col, k)`` gives a row per deletion variant (as ``var``), for strings too short to have segments."""
+    Pairs go by edit keys up to an ``r`` of ``longest`` letters (if more than ``k``), the others by segments."""
     if k < 0:
         raise ValueError("k must be >= 0")
-    if k:
-        few = variants(right.where(F.length("r") <= k), "r", k)
-        near = variants(left.where(F.length("s") <= 2 * k), "s", k)
-        short = near.join(few, ["g", "var"]).where(F.length("r") <= F.length("s")).drop("var")
-    else:
-        short = left.where("s = ''").join(right.where("r = ''"), "g")
-    pairs = candidate_pairs(left, right, k, strings).unionByName(short).where(keep)
-    return pairs.where(F.levenshtein("s", "r", k).between(0, k)).distinct()
+    if longest is None:
+        longest = edits.LENGTH if k <= edits.EDITS else k
+    longest = max(longest, k)
+    near = F.levenshtein("s", "r", k) != -1      # one call a pair; beyond k it is -1
+    # the few long strings alone decide where long strings are cut
+    long_ones = [df.where(F.length(c) > longest) for df, c in ((left, "s"), (right, "r"), (strings, "s"))]
+    some = edits.edit_candidates(left, right, k, strings, longest).where(keep).where(near)
+    rest = candidate_pairs(long_ones[0], long_ones[1], k, long_ones[2]).where(keep).where(near)
+    return some.select(*out).unionByName(rest.select(*out)).distinct()
