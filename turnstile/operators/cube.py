@@ -35,6 +35,14 @@ TOP = 11
 #: Levels that one pass merges from the level below; a pass reads 2**-4 of what the pass before it read.
 STEP = 4
 SKETCH_LOG2 = 14
+#: Tasks a core for work whose rows are few bytes until bitmaps come of them.  AQE would join its tasks by those bytes.
+TASKS = 16
+#: The nodes of a span that many periods take meet those in as many tasks.
+SALTS = 16
+
+
+def _tasks(df: DataFrame) -> int:
+    return TASKS * df.sparkSession.sparkContext.defaultParallelism
 
 
 def day_number(ts: Column | str) -> Column:
@@ -70,9 +78,11 @@ def day_nodes(visits: DataFrame, dims: tuple[str, ...] = (), exact: bool = True)
     rows = visits.where(F.col("timestamp").isNotNull()).select(
         day_number("timestamp").alias("node"), *dims, m.bucket().alias("bucket"), F.col("person_id").cast("long").alias("person_id"), "timestamp")
     keys = ["node", *dims, "bucket"]
-    # narrow rows go over the wire; both halves of the aggregate then run where they arrive
-    met = rows.repartition(*keys) if exact else rows
-    return (met.groupBy(*keys)
+    # narrow rows go over the wire; both halves of the aggregate then run where they arrive, with the neighbours that the
+    # nodes are merged with next
+    rows = rows.withColumn("span", F.expr(f"shiftright(node, {STEP})"))
+    met = rows.repartition(_tasks(rows), "span", *dims, "bucket") if exact else rows
+    return (met.groupBy("span", *keys)
             .agg(m.of_visits().alias("people"), F.count(F.lit(1)).alias("visits"),
                  F.min("timestamp").alias("first"), F.max("timestamp").alias("last"))
             .select(F.lit(0).alias("level"), *keys, "people", "visits", "first", "last"))
@@ -120,7 +130,11 @@ def _answers(periods: DataFrame, nodes: DataFrame, visits: DataFrame, dims: tupl
              .withColumn("whole", (F.col("first") >= F.col("start")) & (F.col("last") <= F.col("end"))))
     spans = inner.unionByName(edges.where("whole").select("start", "end", F.lit(0).alias("level"), F.col("day").alias("node")))
     keys = ["start", "end", *dims, "bucket"]
-    from_nodes = spans.join(nodes, ["level", "node"]).select(*keys, "people", "visits")
+    # a span that most periods take has many of its buckets' bitmaps copied: by buckets to different tasks
+    salted = spans.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))) if exact else spans.withColumn("salt", F.lit(0))
+    dealt = nodes.withColumn("salt", F.pmod(F.hash("bucket"), F.lit(SALTS)) if exact else F.lit(0)).select("level", "node", "salt", *dims, "bucket", "people", "visits")
+    met = dealt.repartition(_tasks(nodes), "level", "node", "salt") if exact else dealt
+    from_nodes = salted.join(met, ["level", "node", "salt"]).select(*keys, "people", "visits")
     cut = edges.where("NOT whole").select("start", "end", "day")
     some = (cut.join(visits.withColumn("day", day_number("timestamp")), "day")
             .where(F.col("timestamp").between(F.col("start"), F.col("end")))
@@ -162,11 +176,13 @@ class DayCube:
         steps = [written(self.spark, day_nodes(visits, dims, self.exact), "cube")]
         for low in range(0, TOP, STEP):
             below = steps[-1].where(F.col("level") == low)
+            if self.exact:      # small files of bitmaps are read together; here they go apart, neighbours to one task
+                below = below.repartition(_tasks(below), F.expr(f"shiftright(node, {STEP})"), *dims, "bucket")
             steps.append(written(self.spark, raised(below, low, min(low + STEP, TOP), dims, self.exact), "cube"))
         rows = reduce(DataFrame.unionByName, steps).withColumn("person_id", F.lit(None).cast("long"))
         edges = visits.where(F.col("timestamp").isNotNull()).select(
             F.lit(self.EDGE).alias("level"), day_number("timestamp").alias("node"), *dims, F.col("timestamp").alias("first"), F.col("person_id").cast("long").alias("person_id"))
-        every = rows.unionByName(edges, allowMissingColumns=True).repartitionByRange("level", "node", "bucket").sortWithinPartitions("level", "node")
+        every = rows.unionByName(edges, allowMissingColumns=True).repartitionByRange(_tasks(visits), "level", "node", "bucket").sortWithinPartitions("level", "node")
         every.write.mode("overwrite").partitionBy("level").parquet(f"{self.root}/batch={batch}")
 
     def _read(self) -> DataFrame:
