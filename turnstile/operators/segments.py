@@ -92,7 +92,8 @@ def candidate_pairs(left: DataFrame, right: DataFrame, k: int, strings: DataFram
 def near_pairs(left: DataFrame, right: DataFrame, k: int, strings: DataFrame, keep: Column, out: list[str],
                longest: int | None = None) -> DataFrame:
     """Columns ``out`` of the pairs ``(g, s, r, ...)`` of ``left(g, s, ...)`` and ``right(g, r, ...)`` with equal ``g`` and
-    ``r`` no longer than ``s``, within ``k`` edits, that ``keep`` lets through; each combination once.
+    ``r`` no longer than ``s``, within ``k`` edits; of those of equal length, the ones that ``keep`` (of columns ``out``) lets
+    through.  Each two rows come once, where ``out`` tells the rows of each side apart.
 
     Pairs go by edit keys up to an ``r`` of ``longest`` letters (if more than ``k``), the others by segments."""
     if k < 0:
@@ -100,9 +101,11 @@ def near_pairs(left: DataFrame, right: DataFrame, k: int, strings: DataFrame, ke
     if longest is None:
         longest = edits.LENGTH if k <= edits.EDITS else k
     longest = max(longest, k)
-    near = F.levenshtein("s", "r", k) != -1      # one call a pair; beyond k it is -1
     # the few long strings alone decide where long strings are cut
     long_ones = [df.where(F.length(c) > longest) for df, c in ((left, "s"), (right, "r"), (strings, "s"))]
-    some = edits.edit_candidates(left, right, k, strings, longest).where(keep).where(near)
-    rest = candidate_pairs(long_ones[0], long_ones[1], k, long_ones[2]).where(keep).where(near)
-    return some.select(*out).unionByName(rest.select(*out)).distinct()
+    rest = candidate_pairs(long_ones[0], long_ones[1], k, long_ones[2]).where((F.length("r") < F.length("s")) | keep)
+    # one call a pair; beyond k it is -1
+    rest = rest.where(F.levenshtein("s", "r", k) != -1).select(*out)
+    if k:
+        rest = rest.unionByName(edits.moved_pairs(left, right, k, strings, keep, out, longest))
+    return edits.replaced_pairs(left, right, k, strings, keep, out, longest).unionByName(rest.distinct())
