@@ -32,6 +32,9 @@ from turnstile.operators.edits import one_deleted
 from turnstile.operators.segments import near_pairs
 from turnstile.session import written
 
+#: People of a name in one row.
+TOGETHER = 64
+
 
 def _delete_one(x: str) -> str:
     """SQL lambda body: every string obtained by deleting one character of x
@@ -188,20 +191,30 @@ def name_pairs_by_segments(people: DataFrame, k_first: int = 2, k_last: int = 2)
     return pairs.unionByName(names.select(*whole, *[F.col(c).alias(f"dup_{c}") for c in whole]))
 
 
+def _people_by_name(people: DataFrame) -> DataFrame:
+    """The people of each different whole name, some ``TOGETHER`` in a row, numbered: ``(firstname, lastname, ids, name_id)``."""
+    p = people.select(F.col("idperson").alias("id"), "firstname", "lastname").join(_names(people), ["firstname", "lastname"])
+    some = p.groupBy("firstname", "lastname", F.pmod(F.xxhash64("id"), F.ceil(F.col("heads") / TOGETHER)).alias("part"))
+    return numbered(some.agg(F.collect_list("id").alias("ids")).drop("part"), "names")
+
+
 def near_duplicates(people: DataFrame, k_first: int = 2, k_last: int = 2) -> DataFrame:
     """DUP1 flat form: ordered pairs of different people whose first names are
     within ``k_first`` and last names within ``k_last`` edits (both
     directions, case-sensitive, NULL names never match).  ``k = 0`` and
-    ``0`` finds exact matches only."""
-    names = numbered(_names(people), "names")
-    pairs = both_ways(name_links(names, k_first, k_last)).unionByName(
-        names.where("heads > 1").select(F.col("name_id").alias("x"), F.col("name_id").alias("y")))
-    p = people.select(F.col("idperson").alias("id"), "firstname", "lastname").join(
-        names.select("firstname", "lastname", F.col("name_id").alias("x")), ["firstname", "lastname"])
-    q = p.select(F.col("x").alias("y"), F.col("id").alias("dup_id"), F.col("firstname").alias("dup_firstname"),
-                 F.col("lastname").alias("dup_lastname"))
-    out = pairs.join(p, "x").join(q, "y").where(F.col("id") != F.col("dup_id"))
-    return out.select("id", "firstname", "lastname", "dup_id", "dup_firstname", "dup_lastname")
+    ``0`` finds exact matches only.
+
+    Each row of a name brings its people along, so no pair of names travels
+    again to meet them."""
+    names = _people_by_name(people)
+    more = ("firstname", "lastname", "ids")
+    ends = [F.col(c).alias(f"{e}_{c}") for e in "xy" for c in more]
+    own = names.where(F.size("ids") > 1).select(F.col("name_id").alias("x"), F.col("name_id").alias("y"), *ends)
+    pairs = both_ways(name_links(names, k_first, k_last, more)).unionByName(own)
+    out = (pairs.select(F.explode("x_ids").alias("id"), "x_firstname", "x_lastname", "y_ids", "y_firstname", "y_lastname")
+           .select("id", F.col("x_firstname").alias("firstname"), F.col("x_lastname").alias("lastname"), F.explode("y_ids").alias("dup_id"),
+                   F.col("y_firstname").alias("dup_firstname"), F.col("y_lastname").alias("dup_lastname")))
+    return out.where(F.col("id") != F.col("dup_id"))
 
 
 def near_duplicate_counts(people: DataFrame, k_first: int = 2, k_last: int = 2) -> DataFrame:
