@@ -45,6 +45,8 @@ class WaveletMatrix:
     """A sequence of small integers as bit-planes, highest bit first."""
 
     BLOCK = 512
+    #: For each place in a block, the bits before it.
+    UNTIL = np.packbits(np.arange(BLOCK) < np.arange(BLOCK)[:, None], axis=1, bitorder="little")
 
     def __init__(self, length: int, planes: list[np.ndarray], before: list[np.ndarray] | None = None) -> None:
         self.length, self.planes = length, planes  # bits packed into bytes, lowest bit first
@@ -62,7 +64,7 @@ class WaveletMatrix:
             ones = (at & at.dtype.type(1 << k)) != 0
             planes.append(np.packbits(ones, bitorder="little"))
             if k:  # nothing stands below the last plane
-                at = np.concatenate([at[~ones], at[ones]])
+                at = np.concatenate([np.compress(~ones, at), np.compress(ones, at)])
         return cls(len(values), planes)
 
     def to_bytes(self) -> bytes:
@@ -98,12 +100,10 @@ class WaveletMatrix:
         """The same for many places at once."""
         step = self.BLOCK // 8
         block, left = at // self.BLOCK, at % self.BLOCK
-        bytes_ = np.zeros((len(at), step), np.uint8)
-        own = block[:, None] * step + np.arange(step)
-        inside = own < len(self.planes[plane])
-        bytes_[inside] = self.planes[plane][own[inside]]
-        whole = np.clip(left[:, None] - 8 * np.arange(step), 0, 8)
-        return self.before[plane][block].astype(np.int64) + np.bitwise_count(bytes_ & ((1 << whole) - 1).astype(np.uint8)).sum(1, dtype=np.int64)
+        blocks = np.zeros((len(self.before[plane]), step), np.uint8)
+        blocks.reshape(-1)[: len(self.planes[plane])] = self.planes[plane]
+        some = (blocks[block] & self.UNTIL[left]).view(np.uint64)
+        return self.before[plane][block].astype(np.int64) + np.bitwise_count(some).sum(1, dtype=np.int64)
 
     def counts(self, value: int, lows: np.ndarray, highs: np.ndarray) -> np.ndarray:
         """How often the value stands in each stretch, by rank alone."""
@@ -153,7 +153,7 @@ class WaveletMatrix:
         for p in range(len(self.planes) - 1, -1, -1):
             ones = np.unpackbits(self.planes[p], count=self.length, bitorder="little").view(bool)
             up, z = np.empty_like(at), self.zeros[p]
-            up[~ones], up[ones] = at[:z], at[z:] | at.dtype.type(1 << (len(self.planes) - 1 - p))
+            up[np.flatnonzero(~ones)], up[np.flatnonzero(ones)] = at[:z], at[z:] | at.dtype.type(1 << (len(self.planes) - 1 - p))
             at = up
         return at
 
