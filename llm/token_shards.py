@@ -39,6 +39,8 @@ END_ID = 2
 #: each block of texts.  An entry counts with what Python adds to its text and ids.
 REMEMBERED, ENTRY = 48 << 20, 160
 TOGETHER = 256
+#: Pieces whose ids are made, or put in their places, at once.
+AT_ONCE = 1 << 14
 
 
 class WaveletMatrix:
@@ -216,8 +218,7 @@ class Encoder:
         joined &= ~pc.match_substring(pieces, "<|").to_numpy(zero_copy_only=False)
         together, alone = np.flatnonzero(joined), np.flatnonzero(~joined)
         groups = ["".join([texts[i] for i in together[k : k + TOGETHER]]) for k in range(0, len(together), TOGETHER)]
-        encoded = self.tokenizer.encode_batch_fast(groups + [texts[i] for i in alone], add_special_tokens=False)
-        parts = [np.array(e.ids, self.kind) for e in encoded]
+        parts = self._ids(groups, AT_ONCE // TOGETHER) + self._ids([texts[i] for i in alone], AT_ONCE)
         first = np.concatenate([np.zeros(0, self.kind), *parts[: len(groups)]])
         cut = np.searchsorted(np.cumsum(self.lengths[first]), np.cumsum((ends - starts)[together])) + 1
         counts = np.zeros(len(texts), np.int64)
@@ -230,6 +231,10 @@ class Encoder:
         back[order] = at
         return mixed[ragged(back, counts)], counts
 
+    def _ids(self, texts: list[str], most: int) -> list[np.ndarray]:
+        """The ids of each text.  What the tokenizer tells besides of a token is many times an id, so it tells of a few texts at a time."""
+        return [np.array(e.ids, self.kind) for k in range(0, len(texts), most) for e in self.tokenizer.encode_batch_fast(texts[k : k + most], add_special_tokens=False)]
+
     @staticmethod
     def _bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The bytes of all texts, and where each ends."""
@@ -249,7 +254,7 @@ class Encoder:
         cuts = self._cuts(data, offsets)
         found = pa.Array.from_buffers(pa.large_string(), len(cuts) - 1, [None, pa.py_buffer(cuts), pa.py_buffer(np.ascontiguousarray(data))]).dictionary_encode()
         known = self.known.get
-        number = np.array([known(x, -1) for x in found.dictionary.to_pylist()])
+        number = np.array([known(x, -1) for x in found.dictionary.to_pylist()], np.int32)
         missing = np.flatnonzero(number < 0)
         fresh = found.dictionary.take(pa.array(missing))
         ids, counts = self._encode(fresh) if len(missing) else (self.flat[:0], self.lasting[:0])
@@ -263,9 +268,12 @@ class Encoder:
             self.lasting = lengths[: len(self.known)]
             self.flat = flat[: self.lasting.sum()]
         each = number[found.indices.to_numpy()]
-        starts, per = (np.cumsum(lengths) - lengths)[each], lengths[each]
-        so_far = np.concatenate([[0], np.cumsum(per)])
-        return flat[ragged(starts, per)], np.diff(so_far[np.searchsorted(cuts, offsets)])
+        so_far = np.concatenate([[0], np.cumsum(lengths[each])])
+        out, begin = np.empty(so_far[-1], self.kind), np.cumsum(lengths) - lengths
+        for k in range(0, len(each), AT_ONCE):
+            some = each[k : k + AT_ONCE]
+            out[so_far[k] : so_far[k + len(some)]] = flat[ragged(begin[some], lengths[some])]
+        return out, np.diff(so_far[np.searchsorted(cuts, offsets)])
 
 
 @lru_cache(maxsize=2)
