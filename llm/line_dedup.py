@@ -6,9 +6,10 @@ more and one word inserted, deleted or replaced turns one into the other.  Lines
 without words stay.
 
 Near lines meet by their deletion neighbourhood: every line gives the hashes of
-itself and of itself less each word.  Two lines of a replaced word share the
-variant without that word's place; a line with an inserted word has a variant
-that equals the other line.  No pairs of lines are made: a variant needs only its
+itself and of itself less each word, each the XOR of hashes of a word and its
+place, so that all of a line's come from running XORs over its words.  Two lines
+of a replaced word share the variant without that word's place; a line with an
+inserted word has a variant that equals the other line.  No pairs of lines are made: a variant needs only its
 earliest line, and that line's words verify it.  Before that, lines pass only
 that share their first or last half with another; one of the two halves is whole
 in near lines.  All of it is DataFrame functions.
@@ -53,16 +54,32 @@ def distinct_lines(rows: DataFrame, least_words: int) -> DataFrame:
     return lines.groupBy("h1", "h2").agg(F.min("place").alias("place"), F.first("halves").alias("halves"))
 
 
+def _xors(name: str, *salt: Column) -> list[Column]:
+    """For the first 0, 1, ... words, the XOR of the hashes of each word with its place (here), and with the place before it (back).
+
+    A line's hash is all of ``here``; less the word at a cut it is what ``here`` has before the cut and ``back`` after it."""
+
+    def running(shift: int) -> Column:
+        placed = F.transform("words", lambda w, i: F.xxhash64(*salt, w, i - shift))
+        return F.aggregate(placed, F.array(F.lit(0).cast("long")), lambda so_far, x: F.array_append(so_far, F.element_at(so_far, -1).bitwiseXOR(x)))
+
+    return [running(0).alias(f"here{name}"), running(1).alias(f"back{name}")]
+
+
 def near_earlier(lines: DataFrame) -> DataFrame:
     """``(h1, h2)`` of the lines of ``lines(h1, h2, place, words)`` that have an earlier line within one word edit."""
     n = F.size("words")
-    without = F.concat(F.slice("words", F.lit(1), F.col("cut") - 1), F.slice("words", F.col("cut") + 1, n))
-    cuts = lines.withColumn("cut", F.explode(F.sequence(F.lit(1), n)))
-    cuts = stored(cuts.select("h1", "h2", "place", "cut", F.xxhash64(without).alias("v1"), F.xxhash64(F.lit("other"), without).alias("v2")), "line-variants")
+    hashed = lines.select("*", *_xors("1"), *_xors("2", F.lit("other")))
+    cuts = hashed.withColumn("cut", F.explode(F.sequence(F.lit(0), n)))
+    without = [F.get(f"here{k}", F.col("cut") - 1).bitwiseXOR(F.get(f"back{k}", F.col("cut"))).bitwiseXOR(F.get(f"back{k}", n)) for k in (1, 2)]
+    # a cut of 0 leaves the line whole
+    variants = [F.when(F.col("cut") == 0, F.get(f"here{k}", n)).otherwise(v).alias(f"v{k}") for k, v in enumerate(without, 1)]
+    variants = stored(cuts.select("h1", "h2", "place", "cut", *variants), "line-variants")
+    cuts = variants.where("cut > 0")
     both = ["v1", "v2"]
     # one word replaced: the same variant, cut at the same place
     replaced = cuts.groupBy(*both, "cut").agg(F.min("place").alias("least"), F.min(F.struct("place", "h1", "h2")).alias("by"), F.count("*").alias("lines")).where("lines > 1").select(*both, "cut", "least", "by.h1", "by.h2")
-    whole = lines.select(F.col("h1").alias("v1"), F.col("h2").alias("v2"), F.lit(0).alias("cut"), F.col("place").alias("least"), "h1", "h2")
+    whole = variants.where("cut = 0").select(*both, "cut", F.col("place").alias("least"), "h1", "h2")
     met = cuts.alias("c").join(replaced.union(whole).alias("g"), both).where("(g.cut = 0 OR g.cut = c.cut) AND g.least != c.place")
     later = F.when(F.expr("g.least < c.place"), F.struct("c.h1", "c.h2", F.col("g.h1").alias("e1"), F.col("g.h2").alias("e2"))).when(F.expr("g.cut = 0"), F.struct("g.h1", "g.h2", F.col("c.h1").alias("e1"), F.col("c.h2").alias("e2")))
     found = met.select(later.alias("found")).where("found IS NOT NULL").select("found.*").distinct()
