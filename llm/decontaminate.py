@@ -95,7 +95,7 @@ def frequencies(index: DataFrame, terms: np.ndarray) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["i", "n"])
 
     out = np.zeros(len(terms), np.int64)
-    for row in index.select("terms", "counts").mapInArrow(count, "i long, n long").groupBy("i").agg(F.sum("n").alias("n")).toLocalIterator():
+    for row in index.select("terms", "counts").mapInArrow(lean(count), "i long, n long").groupBy("i").agg(F.sum("n").alias("n")).toLocalIterator():
         out[row["i"]] = row["n"]
     return out
 

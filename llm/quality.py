@@ -235,4 +235,4 @@ def good_documents(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROW
             for part in blocks(batch, text_col, BLOCK_BYTES):
                 yield part.filter(pa.array(trees.scores(statistics(part.column(text_col))) >= 0.5))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.mapInArrow(lean(keep), docs.schema)

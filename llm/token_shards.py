@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from llm.scratch import stored
-from llm.words import blocks, byte_class, lean, ragged
+from llm.words import blocks, byte_class, keeps, lean, ragged
 
 BLOCK_BYTES = 8 << 20
 SHARD_TOKENS = 1 << 20
@@ -281,6 +281,8 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+KIND = "token shards"
+keeps(KIND, encoder.cache_clear)
 SHARDS = "part int, shard long, ids array<long>, n_tokens array<long>, total long, file binary"
 
 
@@ -313,7 +315,7 @@ def write_shards(docs: DataFrame, path: str, end_id: int = END_ID, shard_tokens:
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("name"), F.col(text_col).alias("text"))
     ordered = rows.repartitionByRange("id", "name").sortWithinPartitions("id", "name").select("id", "text")
-    return stored(ordered.mapInArrow(lean(shards), SHARDS), "token-shards")
+    return stored(ordered.mapInArrow(lean(shards, KIND), SHARDS), "token-shards")
 
 
 def read_shards(shards: DataFrame, end_id: int = END_ID) -> DataFrame:
@@ -339,5 +341,5 @@ def read_shards(shards: DataFrame, end_id: int = END_ID) -> DataFrame:
                     names=["part", "shard", "doc_id", "offset", "n_tokens", "ids_crc32", "n_end_ids"],
                 )
 
-    texts = shards.select("part", "shard", "ids", "n_tokens", "file").mapInArrow(lean(read), "part int, shard long, doc_id long, offset long, n_tokens long, ids_crc32 long, n_end_ids long")
+    texts = shards.select("part", "shard", "ids", "n_tokens", "file").mapInArrow(lean(read, KIND), "part int, shard long, doc_id long, offset long, n_tokens long, ids_crc32 long, n_end_ids long")
     return texts.join(starts, ["part", "shard"]).select("doc_id", (F.col("before") + F.col("within") + F.col("offset")).alias("start"), "n_tokens", "ids_crc32", "n_end_ids")

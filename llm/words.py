@@ -72,6 +72,17 @@ def span_sums(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return (total[ends] - total[starts]) * down[starts]
 
 
+def byte_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, table: np.ndarray = _RANDOM) -> np.ndarray:
+    """The hash of each run of bytes; runs are in order and don't overlap."""
+    out, i = np.empty(len(starts), _U), 0
+    while i < len(out):
+        j = max(i + 1, int(np.searchsorted(starts, starts[i] + SLICE)))
+        lo, hi = starts[i], ends[j - 1]
+        out[i:j] = span_sums(table[data[lo:hi]], starts[i:j] - lo, ends[i:j] - lo)
+        i = j
+    return mixed(out + (ends - starts).astype(_U) * _LEN)
+
+
 class Words:
     """The words of a string array: ``starts`` and ``ends`` in ``data``, ``first[i]`: ``first[i + 1]`` are those of text i."""
 
@@ -97,14 +108,7 @@ class Words:
         self.counts = np.diff(self.first)
 
     def hashes(self) -> np.ndarray:
-        out, table = np.empty(len(self.starts), _U), _RANDOM[self.fold]
-        i = 0
-        while i < len(out):
-            j = max(i + 1, int(np.searchsorted(self.starts, self.starts[i] + SLICE)))
-            lo, hi = self.starts[i], self.ends[j - 1]
-            out[i:j] = span_sums(table[self.data[lo:hi]], self.starts[i:j] - lo, self.ends[i:j] - lo)
-            i = j
-        return mixed(out + (self.ends - self.starts).astype(_U) * _LEN)
+        return byte_hashes(self.data, self.starts, self.ends, _RANDOM[self.fold])
 
     def word(self, i: int) -> bytes:
         return self.fold[self.data[self.starts[i] : self.ends[i]]].tobytes()
@@ -148,11 +152,28 @@ def ragged(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - counts), counts)
 
 
-def lean(task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+#: What tasks keep in their Python worker for the next ones of their kind, and how each kind lets go of it.
+_kept: dict[str, Callable[[], None]] = {}
+
+
+def keeps(kind: str, let_go: Callable[[], None]) -> None:
+    """Tasks of this kind (of ``lean``) keep something in their worker, which ``let_go`` frees."""
+    _kept[kind] = let_go
+
+
+def others_let_go(kind: str | None) -> None:
+    for other, let_go in _kept.items():
+        if other != kind:
+            let_go()
+
+
+def lean(task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], kind: str | None = None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """The task, giving the memory it has freed back to the system when it ends: its Python worker lives on for other tasks,
-    and what an allocator keeps would count against the executor all the while."""
+    and what an allocator keeps would count against the executor all the while.  What tasks of another kind keep in the worker
+    goes when this one begins, for the same reason."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        others_let_go(kind)
         yield from task(batches)
         pa.default_memory_pool().release_unused()
         try:
