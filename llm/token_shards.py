@@ -30,14 +30,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from llm.scratch import stored
-from llm.words import blocks, byte_class, keeps, lean, ragged
+from llm.words import blocks, byte_class, byte_hashes, keeps, lean, ragged
 
 BLOCK_BYTES = 8 << 20
 SHARD_TOKENS = 1 << 20
 END_ID = 2
 #: Bytes that the pieces which a Python worker remembers may take, from task to task; what doesn't fit is encoded again in
-#: each block of texts.  An entry counts with what Python adds to its text and ids.
-REMEMBERED, ENTRY = 48 << 20, 160
+#: each block of texts.  An entry has a hash and a number, and tells where its text and its ids end, besides these.
+REMEMBERED, ENTRY = 48 << 20, 28
 TOGETHER = 256
 #: Pieces whose ids are made, or put in their places, at once.
 AT_ONCE = 1 << 14
@@ -179,10 +179,17 @@ class Encoder:
         self.bits = max(1, (size - 1).bit_length())
         self.kind = np.uint16 if self.bits <= 16 else np.uint32
         self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, int] = {}
-        self.flat, self.lasting = np.zeros(0, self.kind), np.zeros(0, np.int64)
+        # remembered pieces by number: their texts and ids, and where each ends; and their hashes in order, with the numbers
+        self.texts, self.flat = np.zeros(0, np.uint8), np.zeros(0, self.kind)
+        self.text_ends, self.ends = np.zeros(1, np.int64), np.zeros(1, np.int64)
+        self.hashes, self.numbers = np.zeros(0, np.uint64), np.zeros(0, np.int32)
         self.used = 0
 
+    @property
+    def known(self) -> range:
+        """Numbers of the remembered pieces."""
+        return range(len(self.ends) - 1)
+
     def _begins_sure(self, first: np.ndarray) -> np.ndarray:
         """A character with this first byte is no white space."""
         return self.SURE[first] | ((first >= 0x80) & ~self.FIRST[first])
@@ -242,6 +249,41 @@ class Encoder:
         data = np.frombuffer(texts.buffers()[2], np.uint8)[offsets[0] : offsets[-1]] if texts.buffers()[2] else np.zeros(0, np.uint8)
         return data, offsets[1:] - offsets[0]
 
+    def _recalled(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The number of each piece, below 0 for one that is not remembered, and the hashes of all.  Equal hashes alone are not enough."""
+        data, ends = self._bytes(pieces)
+        starts = np.concatenate([[0], ends[:-1]])
+        hashes = byte_hashes(data, starts, ends)
+        number = np.full(len(pieces), -1, np.int32)
+        if len(self.hashes):
+            at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+            like = self.numbers[at]
+            lengths = self.text_ends[like + 1] - self.text_ends[like]
+            same = np.flatnonzero((self.hashes[at] == hashes) & (lengths == ends - starts))
+            like, lengths = like[same], lengths[same]
+            if len(same):
+                differ = self.texts[ragged(self.text_ends[like], lengths)] != data[ragged(starts[same], lengths)]
+                alike = ~np.logical_or.reduceat(differ, np.cumsum(lengths) - lengths)
+                number[same[alike]] = like[alike]
+        return number, hashes
+
+    def _remember(self, fresh: pa.Array, hashes: np.ndarray, flat: np.ndarray, ends: np.ndarray) -> None:
+        """Takes as many of the fresh pieces as there is room for; ``flat`` and ``ends`` have the ids of all pieces."""
+        n = len(self.known)
+        data, text_ends = self._bytes(fresh)
+        costs = text_ends + (ends[n + 1 :] - ends[n]) * self.flat.itemsize + ENTRY * np.arange(1, len(fresh) + 1)
+        room = int(np.searchsorted(costs, REMEMBERED - self.used, side="right"))
+        if not room:
+            return
+        self.used += int(costs[room - 1])
+        self.texts = np.concatenate([self.texts, data[: text_ends[room - 1]]])
+        self.text_ends = np.concatenate([self.text_ends, self.text_ends[-1] + text_ends[:room]])
+        self.ends = ends[: n + room + 1].copy()
+        self.flat = flat[: self.ends[-1]].copy()
+        order = np.argsort(hashes[:room])
+        at = np.searchsorted(self.hashes, hashes[order])
+        self.hashes, self.numbers = np.insert(self.hashes, at, hashes[order]), np.insert(self.numbers, at, (n + order).astype(np.int32))
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and how many each text has."""
         texts = texts.fill_null("").cast(pa.large_string())
@@ -253,23 +295,18 @@ class Encoder:
             return np.zeros(0, self.kind), np.zeros(len(texts), np.int64)
         cuts = self._cuts(data, offsets)
         found = pa.Array.from_buffers(pa.large_string(), len(cuts) - 1, [None, pa.py_buffer(cuts), pa.py_buffer(np.ascontiguousarray(data))]).dictionary_encode()
-        known = self.known.get
-        number = np.array([known(x, -1) for x in found.dictionary.to_pylist()], np.int32)
-        missing = np.flatnonzero(number < 0)
+        number, hashes = self._recalled(found.dictionary)
+        missing, n = np.flatnonzero(number < 0), len(self.known)
         fresh = found.dictionary.take(pa.array(missing))
-        ids, counts = self._encode(fresh) if len(missing) else (self.flat[:0], self.lasting[:0])
-        number[missing] = np.arange(len(self.known), len(self.known) + len(missing))
-        flat, lengths = np.concatenate([self.flat, ids]), np.concatenate([self.lasting, counts])
-        costs = np.cumsum(pc.binary_length(fresh).to_numpy(zero_copy_only=False) + counts * self.flat.itemsize + ENTRY) if len(missing) else np.zeros(0, np.int64)
-        room = int(np.searchsorted(costs, REMEMBERED - self.used, side="right"))
-        if room:
-            self.used += int(costs[room - 1])
-            self.known.update(zip(fresh.slice(0, room).to_pylist(), number[missing[:room]].tolist(), strict=True))
-            self.lasting = lengths[: len(self.known)]
-            self.flat = flat[: self.lasting.sum()]
+        ids, counts = self._encode(fresh) if len(missing) else (self.flat[:0], self.ends[:0])
+        number[missing] = np.arange(n, n + len(missing))
+        flat, begin = np.concatenate([self.flat, ids]), np.concatenate([self.ends, self.ends[-1] + np.cumsum(counts)])
+        if len(missing):
+            self._remember(fresh, hashes[missing], flat, begin)
+        lengths = np.diff(begin)
         each = number[found.indices.to_numpy()]
         so_far = np.concatenate([[0], np.cumsum(lengths[each])])
-        out, begin = np.empty(so_far[-1], self.kind), np.cumsum(lengths) - lengths
+        out = np.empty(so_far[-1], self.kind)
         for k in range(0, len(each), AT_ONCE):
             some = each[k : k + AT_ONCE]
             out[so_far[k] : so_far[k + len(some)]] = flat[ragged(begin[some], lengths[some])]
