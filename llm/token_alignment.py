@@ -11,7 +11,7 @@ are read; else texts stay whole), so a text is cut there and each different chun
 
 Counting: a block sends each different pair of ids once, with its links; Spark adds them up, finds the highest count of
 each B id, and sends the verdicts back to the blocks that hold the pair, where they are summed over the links.  A pair in
-a third of all links is one row for each block.
+a third of all links is one row for each block.  What a block keeps travels in pieces of PIECE_BYTES, so no row is large.
 
 Null and empty texts, and texts whose bytes either tokenizer changes, have no tokens: zeros and an empty hash.  Rows count
 each for itself, also if they or their ids repeat.  A text of any length stays in one block; a block has at least one text.
@@ -33,12 +33,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from llm.packed import from_bytes, to_bytes
 from llm.scratch import stored
-from llm.words import blocks, byte_class, ragged
+from llm.words import blocks, byte_class, keeps, lean, ragged
 
-BLOCK_BYTES = 8 << 20
+#: Bytes of text in a block, of what it keeps in a row, and pairs of it in a row.
+BLOCK_BYTES, PIECE_BYTES, PIECE_PAIRS = 8 << 20, 128 << 10, 8192
 #: Different chunks that are encoded and aligned together; chunks that A encodes as one text.
-CHUNKS, TOGETHER = 1 << 16, 256
+CHUNKS, TOGETHER = 1 << 14, 256
 
 GRAPHIC = byte_class((0x21, 0x7E))
 #: First bytes of characters of two bytes that are never white space (U+00C0 to U+07FF), and bytes that follow a first byte.
@@ -233,14 +235,22 @@ def aligner(path_a: str, path_b: str) -> Aligner:
     return Aligner(path_a, path_b)
 
 
+#: Tasks that need the tokenizers; others free them in their worker.
+KIND = "aligner"
+keeps(KIND, aligner.cache_clear)
+
+
 def _sums(values: np.ndarray, ends: np.ndarray, counts: np.ndarray) -> np.ndarray:
     total = np.concatenate([[0], np.cumsum(values)])
     return total[ends] - total[ends - counts]
 
 
-_STILL = "doc_id array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, groups_sha256 array<string>"
-_BLOCK = f"part int, number long, {_STILL}, groups array<string>, chunks array<long>, chunk_low binary, chunk_high binary, links binary, link_pairs binary, pairs array<long>, pair_links array<long>"
-_NAMES = [x.split()[0] for x in _BLOCK.split(", ")]
+_MADE = "part int, number long, at long, data binary, pairs array<long>, pair_links array<long>"
+#: Columns of a block's texts, and what else it keeps.
+_STILL = {"doc_id": pa.int64(), "n_a": pa.int64(), "n_b": pa.int64(), "n_groups": pa.int64(), "n_links": pa.int64(), "groups_sha256": pa.string(), "chunks": pa.int64()}
+_KEPT = ("chunk_low", "chunk_high", "links", "link_pairs")
+#: Places of a block's pieces among its rows: before all pairs.
+_FIRST = -(1 << 40)
 #: A pair of ids as one number.
 _SHIFT = 32
 
@@ -277,11 +287,25 @@ def _block(own: Aligner, ids: pa.Array, texts: pa.Array, keep: bool) -> dict:
     pairs, place = np.unique(of["link_a"] << _SHIFT | of["link_b"], return_inverse=True)
     links = np.bincount(place, np.repeat(times, of["n_links"]), len(pairs)).astype(np.int64)
     return {
-        "doc_id": ids, **{k: _sums(of[k][each], ends, counts) for k in ("n_a", "n_b", "n_groups", "n_links")}, "groups_sha256": hashes, "groups": named if keep else [], "chunks": counts,
+        "doc_id": ids, **{k: _sums(of[k][each], ends, counts) for k in ("n_a", "n_b", "n_groups", "n_links")}, "groups_sha256": hashes, **({"groups": named} if keep else {}), "chunks": counts,
         "chunk_low": (each & 0xFFFF).astype("<u2").tobytes(), "chunk_high": (each >> 16).astype("<u2").tobytes(), "links": of["n_links"].astype("<u4").tobytes(), "link_pairs": place.astype("<u4").tobytes(), "pairs": pairs, "pair_links": links,
     }
 
 
+def _made_rows(part: int, number: int, block: dict) -> Iterator[pa.RecordBatch]:
+    """A block as rows of _MADE: what it keeps in pieces, then its pairs."""
+    kinds = _STILL | ({"groups": pa.string()} if "groups" in block else {})
+    texts = pa.RecordBatch.from_arrays([pa.array(block[k], t) for k, t in kinds.items()], names=list(kinds))
+    kept = [to_bytes(texts, "zstd"), *(block[k] for k in _KEPT)]
+    data = to_bytes(pa.RecordBatch.from_arrays([pa.array([x], pa.large_binary()) for x in kept] + [pa.array([len(block["pairs"])])], names=["texts", *_KEPT, "n_pairs"]), "zstd")
+    pieces = [data[i : i + PIECE_BYTES] for i in range(0, len(data), PIECE_BYTES)]
+    starts = range(0, len(block["pairs"]), PIECE_PAIRS)
+    at = [*range(len(pieces)), *starts]
+    cut = [pa.array([None] * len(pieces) + [block[k][i : i + PIECE_PAIRS] for i in starts], pa.list_(pa.int64())) for k in ("pairs", "pair_links")]
+    columns = [pa.array([part] * len(at), pa.int32()), pa.array([number] * len(at), pa.int64()), pa.array(at, pa.int64()), pa.array(pieces + [None] * len(starts), pa.binary()), *cut]
+    yield pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in _MADE.split(", ")])
+
+
 def alignment(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text_col: str = "text", keep_groups: bool = False) -> tuple[DataFrame, DataFrame]:
     """Per text: doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256 (and ``groups``, if kept); and the
     table of linked ids: id_a, id_b, n_links, best."""
@@ -291,54 +315,51 @@ def alignment(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id",
         own, part, number = aligner(path_a, path_b), TaskContext.get().partitionId(), 0
         for batch in batches:
             for some in blocks(batch, "text", BLOCK_BYTES):
-                row = {"part": part, "number": number, **_block(own, some.column("id"), some.column("text"), keep_groups)}
-                kinds = {"part": pa.int32(), "number": pa.int64(), "groups_sha256": pa.list_(pa.string()), "groups": pa.list_(pa.string())}
-                kinds |= {k: pa.binary() for k in ("chunk_low", "chunk_high", "links", "link_pairs")}
-                yield pa.RecordBatch.from_arrays([pa.array([row[k]], kinds.get(k, pa.list_(pa.int64()))) for k in _NAMES], names=_NAMES)
+                yield from _made_rows(part, number, _block(own, some.column("id"), some.column("text"), keep_groups))
                 number += 1
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    made = stored(rows.mapInArrow(align, _BLOCK), "aligned-blocks")
-    pairs = made.select("part", "number", F.posexplode(F.arrays_zip("pairs", "pair_links"))).select("part", "number", "pos", F.col("col.pairs").alias("pair"), F.col("col.pair_links").alias("n_links"))
+    made = stored(rows.mapInArrow(lean(align, KIND), _MADE), "aligned-blocks")
+    pairs = made.where("data IS NULL").select("part", "number", "at", F.posexplode(F.arrays_zip("pairs", "pair_links"))).select("part", "number", (F.col("at") + F.col("pos")).alias("pos"), F.col("col.pairs").alias("pair"), F.col("col.pair_links").alias("n_links"))
     totals = pairs.groupBy("pair").agg(F.sum("n_links").alias("n_links")).where("n_links > 0")
     totals = stored(totals.select("pair", F.col("pair").bitwiseAND(F.lit((1 << _SHIFT) - 1)).alias("id_b"), "n_links"), "linked-ids")
     highest = totals.groupBy("id_b").agg(F.max("n_links").alias("highest"))
     counted = stored(totals.join(highest, "id_b").select("pair", "n_links", (F.col("n_links") == F.col("highest")).alias("best")), "linked-counts")
     verdicts = pairs.select("part", "number", "pos", "pair").join(counted, "pair").select("part", "number", "pos", "n_links", "best")
-    still = [x.split()[0] for x in _STILL.split(", ")] + ["groups"]
-    kept = F.struct(*still, "chunks", "chunk_low", "chunk_high", "links", "link_pairs", F.size("pairs").alias("n_pairs"))
-    both = made.select("part", "number", F.lit(-1).alias("pos"), F.lit(None).cast("long").alias("n_links"), F.lit(None).cast("boolean").alias("best"), kept.alias("block"))
-    both = both.unionByName(verdicts, allowMissingColumns=True)
+    both = made.where("data IS NOT NULL").select("part", "number", (F.col("at") + F.lit(_FIRST)).alias("pos"), "data").unionByName(verdicts, allowMissingColumns=True)
     schema = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string" + ", groups string" * keep_groups
     names = [x.split()[0] for x in schema.split(", ")]
 
-    def figures(block: dict, totals: np.ndarray, best: np.ndarray) -> pa.RecordBatch:
+    def figures(pieces: list[pa.Buffer], verdicts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        kept = from_bytes(b"".join(pieces))
+        block = {k: kept.column(k)[0].as_buffer() for k in ("texts", *_KEPT)}
+        texts = from_bytes(block["texts"])
+        totals, best = np.zeros(kept.column("n_pairs")[0].as_py(), np.int64), np.zeros(kept.column("n_pairs")[0].as_py(), np.int64)
+        for some in verdicts:
+            pos = some.column("pos").to_numpy()
+            totals[pos], best[pos] = some.column("n_links").to_numpy(), some.column("best").to_numpy(zero_copy_only=False)
         at, sizes = np.frombuffer(block["link_pairs"], "<u4"), np.frombuffer(block["links"], "<u4").astype(np.int64)
         each = np.frombuffer(block["chunk_low"], "<u2").astype(np.int64) | np.frombuffer(block["chunk_high"], "<u2").astype(np.int64) << 16
-        counts = np.array(block["chunks"], np.int64)
+        counts = texts.column("chunks").to_numpy()
         of = {"n_best": _sums(best[at], np.cumsum(sizes), sizes), "count_sum": _sums(totals[at], np.cumsum(sizes), sizes)}
-        of = {k: _sums(x[each], np.cumsum(counts), counts) for k, x in of.items()}
-        columns = [of[k] if k in of else block[k] for k in names]
-        return pa.RecordBatch.from_arrays([pa.array(x, pa.string() if k.startswith("groups") else pa.int64()) for k, x in zip(names, columns, strict=True)], names=names)
+        of = {k: pa.array(_sums(x[each], np.cumsum(counts), counts)) for k, x in of.items()}
+        return pa.RecordBatch.from_arrays([of[k] if k in of else texts.column(k) for k in names], names=names)
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, totals, best = None, None, None
-        for batch in batches:  # a block comes first, then its verdicts
-            new = np.flatnonzero(batch.column("pos").to_numpy() < 0).tolist()
-            starts = sorted({0, *new})
+        pieces, found = [], []
+        for batch in batches:  # a block's pieces come first, then its verdicts
+            pos = batch.column("pos").to_numpy()
+            starts = sorted({0, *np.flatnonzero(pos == _FIRST).tolist()})
             for i, j in zip(starts, [*starts[1:], batch.num_rows], strict=True):
-                if i in new:
-                    if block:
-                        yield figures(block, totals, best)
-                    block = batch.column("block")[i].as_py()
-                    totals, best, i = np.zeros(block["n_pairs"], np.int64), np.zeros(block["n_pairs"], np.int64), i + 1
-                if i < j:
-                    some = batch.slice(i, j - i)
-                    pos = some.column("pos").to_numpy()
-                    totals[pos], best[pos] = some.column("n_links").to_numpy(), some.column("best").to_numpy(zero_copy_only=False)
-        if block:
-            yield figures(block, totals, best)
+                if i < j and pos[i] == _FIRST and pieces:
+                    yield figures(pieces, found)
+                    pieces, found = [], []
+                k = i + int((pos[i:j] < 0).sum())
+                pieces += [x.as_buffer() for x in batch.column("data").slice(i, k - i)]
+                found += [batch.select(["pos", "n_links", "best"]).slice(k, j - k)] * (k < j)
+        if pieces:
+            yield figures(pieces, found)
 
     met = both.repartition("part", "number").sortWithinPartitions("part", "number", "pos")
     table = counted.select(F.shiftright("pair", _SHIFT).alias("id_a"), F.col("pair").bitwiseAND(F.lit((1 << _SHIFT) - 1)).alias("id_b"), "n_links", "best")
-    return stored(met.mapInArrow(finish, schema), "aligned-texts"), table
+    return stored(met.mapInArrow(lean(finish), schema), "aligned-texts"), table
